@@ -141,7 +141,7 @@ def dau(actions: Actions, compat: bool = False) -> DataFrame:
     feed users as users of the app, as the source query does.
     """
     f = F.col("f")
-    all_users = F.count_if((f & 1) == 1) if compat else F.count(F.lit(1))
+    all_users = F.count_if(f.bitwiseAND(1) == 1) if compat else F.count(F.lit(1))
     d = (_service_flags(actions).groupBy("day")
          .agg(F.count_if(f == 2).alias("dau_message"),
               F.count_if(f == 1).alias("dau_feed"),
