@@ -54,6 +54,32 @@ def hash32(salt: str, *keys: ColumnOrName) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
+# Fixed values of the 32-bit draw: the golden-ratio increment of a Weyl
+# sequence and the multiplier of a xor-shift-multiply finalizer. The
+# multiplier is below 2^27, so every product stays below 2^63 and no 64-bit
+# overflow can occur (in Spark's ANSI mode or in any SQL engine).
+M32 = 0xFFFFFFFF
+GOLDEN32 = 0x9E3779B1
+MIX32 = 0x45D9F3B
+
+
+def mix32(x: ColumnOrName) -> Column:
+    """Bijective avalanche mix of a value in [0, 2^32)."""
+    def step(v: Column) -> Column:
+        return (v.bitwiseXOR(F.shiftright(v, 16)) * MIX32).bitwiseAND(M32)
+    y = step(step(_col(x)))
+    return y.bitwiseXOR(F.shiftright(y, 16))
+
+
+def draw32(key: ColumnOrName, rep: ColumnOrName) -> Column:
+    """Uniform 32-bit draw number ``rep`` from a per-unit 32-bit key: the
+    rep-th output of a SplitMix-style generator seeded with the key. The
+    key is hashed once per unit, so exploding units x repetitions costs a
+    few integer operations per row."""
+    z = (_col(key) + _col(rep).cast("bigint") * GOLDEN32).bitwiseAND(M32)
+    return mix32(z)
+
+
 def uniform_bucket(salt: str, key: ColumnOrName, buckets: int) -> Column:
     """Bucket in [0, buckets) from the hash of one key."""
     return (hash32(salt, key) % buckets).cast("int")

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import hash32, poisson1_weight, ratio, uniform_bucket
+from feedlens.functions.columns import draw32, hash32, poisson1_weight, ratio, uniform_bucket
 from feedlens.functions.pvalues import decision, normal_p_value, t_test_p_value
 from feedlens.operators.ordering import running_total
 from feedlens.operators.timeframe import day_range
@@ -225,15 +225,21 @@ def poisson_bootstrap(users: DataFrame, groups: Sequence[int], reps: int = BOOTS
                       salt: str = "poisson") -> DataFrame:
     """Global CTR of each group under ``reps`` Poisson(1) reweightings.
 
-    Weight of (rep b, user) = Poisson(1) inverse CDF of a hash of (salt, b,
-    user). The exploded rows live only inside one stage: weight-0 rows are
-    dropped and the partial aggregate by (group, b) runs before the shuffle.
+    Weight of (rep b, user) = Poisson(1) inverse CDF of draw b of the
+    user's key (an md5 hash of salt and user, computed once per user). The
+    exploded rows live only inside one stage: the partial aggregate by
+    (group, b) runs before the shuffle.
     Columns: exp_group, b, likes_w, views_w, ctr.
     """
-    u = users.where(F.col("exp_group").isin(*groups)).select("exp_group", "user_id", "likes", "views")
+    u = (users.where(F.col("exp_group").isin(*groups))
+         .select("exp_group", "user_id", "likes", "views", hash32(salt, "user_id").alias("_key")))
+    # The draw is its own column: the weight's CASE tests it up to 12 times.
+    # Weight-0 rows are not filtered out: they add nothing to the sums, and a
+    # filter on w would be pushed below the projections with the CASE (and
+    # the draw in each branch) inlined into it.
     x = (u.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-         .withColumn("w", poisson1_weight(hash32(salt, "b", "user_id")))
-         .where(F.col("w") > 0))
+         .withColumn("_h", draw32("_key", "b"))
+         .withColumn("w", poisson1_weight("_h")))
     return (x.groupBy("exp_group", "b")
             .agg(F.sum(F.col("w") * F.col("likes")).alias("likes_w"),
                  F.sum(F.col("w") * F.col("views")).alias("views_w"))
@@ -257,17 +263,23 @@ def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sam
                salt: str = "aa", value: str = "ctr") -> DataFrame:
     """``reps`` samples of ``sample`` users per group without replacement.
 
-    Sample s of group g = the ``sample`` users with the smallest hash of
-    (salt, s, user) (ties by user id): a uniform draw without replacement.
-    To rank only a few rows per (s, g), pairs whose hash is above a cut that
-    keeps about sample + 8 sigma are dropped right after the explode. Any
-    (s, g) left with fewer than ``sample`` candidates (probability < 1e-12)
-    takes all its users back, so the result is exact either way. A group
-    smaller than ``sample`` fails the job, as drawing without replacement
-    cannot be done. Columns: sim, exp_group, user_id, <value>.
+    Sample s of group g = the ``sample`` users of g with the smallest draw s
+    of their key (ties by user id): a uniform draw without replacement. Keys
+    are md5 hashes of (salt, user), one per user; draws are
+    ``functions.columns.draw32``.
+
+    Plan: users x repetitions are exploded inside one stage, and pairs whose
+    draw is above a cut that keeps about sample + 8 sigma per (s, g) are
+    dropped there, so only candidates are shuffled and ranked. Each (s, g)
+    left with fewer than ``sample`` candidates (probability < 1e-12) ranks
+    all its users instead, so the result is exact either way. The candidate
+    shuffle feeds both the ranking and the candidate count (one exchange,
+    reused). A group smaller than ``sample`` fails the job: drawing without
+    replacement cannot be done. Columns: sim, exp_group, user_id, <value>.
     """
     spark = users.sparkSession
-    u = users.where(F.col("exp_group").isin(*groups)).select("exp_group", "user_id", value)
+    u = (users.where(F.col("exp_group").isin(*groups))
+         .select("exp_group", "user_id", value, hash32(salt, "user_id").alias("_key")))
     # One row per listed group.
     sizes = u.groupBy("exp_group").agg(F.count(F.lit(1)).alias("_size"))
     keep = sample + 8.0 * math.sqrt(sample) + 16.0
@@ -276,24 +288,28 @@ def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sam
                        F.raise_error(F.lit(f"A/A sample of {sample} is larger than a group")))
         .otherwise(F.least(F.lit(2.0 ** 32), F.ceil(F.lit(keep * 2.0 ** 32) / F.col("_size")))).cast("bigint"))
     sized = u.join(F.broadcast(sizes), "exp_group")
-    pairs = (sized.withColumn("sim", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-             .withColumn("_h", hash32(salt, "sim", "user_id")))
-    cand = pairs.where(F.col("_h") < F.col("_cut"))
+    sims = F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))
+    cand = (sized.withColumn("sim", sims)
+            .withColumn("_h", draw32("_key", "sim"))
+            .where(F.col("_h") < F.col("_cut"))
+            .select("sim", "exp_group", "user_id", value, "_h")
+            .repartition("sim", "exp_group"))
+    by_draw = Window.partitionBy("sim", "exp_group").orderBy("_h", "user_id")
+    ranked = (cand.withColumn("_rank", F.row_number().over(by_draw))
+              .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("sim", "exp_group"))))
+    main = ranked.where((F.col("_n") >= sample) & (F.col("_rank") <= sample))
     # (sim, group) grid: reps x len(groups) rows, a parameter-bounded table.
-    grid = (spark.range(reps).withColumnRenamed("id", "sim")
+    grid = (spark.range(reps).select(F.col("id").cast("int").alias("sim"))
             .withColumn("exp_group", F.explode(F.array(*[F.lit(int(g)) for g in groups]))))
-    got = cand.groupBy("sim", "exp_group").agg(F.count(F.lit(1)).alias("_n"))
+    got = cand.groupBy("sim", "exp_group").agg(F.count(F.lit(1)).alias("_got"))
     short = (grid.join(got, ["sim", "exp_group"], "left")
-             .where(F.coalesce(F.col("_n"), F.lit(0)) < sample).select("sim", "exp_group"))
-    rest = (sized.join(F.broadcast(short), "exp_group")
-            .withColumn("_h", hash32(salt, "sim", "user_id"))
-            .where(F.col("_h") >= F.col("_cut")))
-    cols = ["sim", "exp_group", "user_id", value, "_h"]
-    pool = cand.select(*cols).unionByName(rest.select(*cols))
-    w = Window.partitionBy("sim", "exp_group").orderBy("_h", "user_id")
-    return (pool.withColumn("_rank", F.row_number().over(w))
-            .where(F.col("_rank") <= sample)
-            .select(F.col("sim").cast("int").alias("sim"), "exp_group", "user_id", value))
+             .where(F.coalesce(F.col("_got"), F.lit(0)) < sample).select("sim", "exp_group"))
+    fallback = (sized.join(F.broadcast(short), "exp_group")
+                .withColumn("_h", draw32("_key", "sim"))
+                .withColumn("_rank", F.row_number().over(by_draw))
+                .where(F.col("_rank") <= sample))
+    cols = [F.col("sim").cast("int").alias("sim"), "exp_group", "user_id", value]
+    return main.select(*cols).unionByName(fallback.select(*cols))
 
 
 def aa_stats(samples: DataFrame, groups: Pair = (2, 3), value: str = "ctr") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from feedlens.functions.columns import poisson1_thresholds
+from feedlens.functions.columns import GOLDEN32, M32, MIX32, poisson1_thresholds
 from feedlens.plans import params as P
 
 
@@ -37,6 +37,17 @@ def _hash32(salt: str, *keys: str) -> str:
     return f"CAST('0x' || substr(md5(concat_ws(':', '{salt}', {parts})), 1, 8) AS BIGINT)"
 
 
+def _mix32(x: str) -> str:
+    def step(v: str) -> str:
+        return f"((xor({v}, ({v}) >> 16) * {MIX32}) & {M32})"
+    y = step(step(x))
+    return f"xor({y}, {y} >> 16)"
+
+
+def _draw32(key: str, rep: str) -> str:
+    return _mix32(f"(({key} + CAST({rep} AS BIGINT) * {GOLDEN32}) & {M32})")
+
+
 def _fixed2(x: str) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,6)), 2) AS VARCHAR)"
 
@@ -151,12 +162,13 @@ def _poisson_case(h: str) -> str:
 
 
 def _boot_cte(name: str) -> str:
-    h = _hash32("poisson", "r.b", "u.user_id")
-    return f"""{name} AS (
+    h = _draw32("u.k", "r.b")
+    return f"""boot_users AS (SELECT *, {_hash32('poisson', 'user_id')} AS k FROM ab_users),
+{name} AS (
   SELECT exp_group, b, CAST(sum(w * likes) AS BIGINT) AS likes_w, CAST(sum(w * views) AS BIGINT) AS views_w,
     {_ratio('sum(w * likes)', 'sum(w * views)')} AS ctr
   FROM (SELECT u.exp_group, r.b, u.likes, u.views, {_poisson_case(h)} AS w
-        FROM ab_users u CROSS JOIN range({P.BOOTSTRAP_REPS}) r(b))
+        FROM boot_users u CROSS JOIN range({P.BOOTSTRAP_REPS}) r(b))
   WHERE w > 0 GROUP BY exp_group, b)"""
 
 
@@ -183,8 +195,9 @@ ctrl AS (SELECT exp_group AS group_a, sum(likes) / sum(views) AS ctr_control
 
 def _aa_samples_cte(name: str) -> str:
     g = ", ".join(str(x) for x in P.AA_GROUPS)
-    h = _hash32("aa", "r.sim", "u.user_id")
-    return f"""{_user_ctr_cte('aa_users', P.AA_GROUPS)},
+    h = _draw32("u.k", "r.sim")
+    return f"""{_user_ctr_cte('aa_users0', P.AA_GROUPS)},
+aa_users AS (SELECT *, {_hash32('aa', 'user_id')} AS k FROM aa_users0),
 {name} AS (
   SELECT CAST(sim AS INTEGER) AS sim, exp_group, user_id, ctr FROM (
     SELECT r.sim, u.exp_group, u.user_id, u.ctr,
