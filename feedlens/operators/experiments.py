@@ -260,7 +260,7 @@ def bootstrap_diff(boot: DataFrame, a: int, b: int) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sample: int = AA_SAMPLE,
-               salt: str = "aa", value: str = "ctr") -> DataFrame:
+               salt: str = "aa", value: str = "ctr", margin_sigmas: float = 8.0) -> DataFrame:
     """``reps`` samples of ``sample`` users per group without replacement.
 
     Sample s of group g = the ``sample`` users of g with the smallest draw s
@@ -270,7 +270,8 @@ def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sam
 
     Plan: users x repetitions are exploded inside one stage, and pairs whose
     draw is above a cut that keeps about sample + 8 sigma per (s, g) are
-    dropped there, so only candidates are shuffled and ranked. Each (s, g)
+    dropped there (``margin_sigmas`` sets the margin), so only candidates
+    are shuffled and ranked. Each (s, g)
     left with fewer than ``sample`` candidates (probability < 1e-12) ranks
     all its users instead, so the result is exact either way. The candidate
     shuffle feeds both the ranking and the candidate count (one exchange,
@@ -282,7 +283,7 @@ def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sam
          .select("exp_group", "user_id", value, hash32(salt, "user_id").alias("_key")))
     # One row per listed group.
     sizes = u.groupBy("exp_group").agg(F.count(F.lit(1)).alias("_size"))
-    keep = sample + 8.0 * math.sqrt(sample) + 16.0
+    keep = max(1.0, sample + margin_sigmas * math.sqrt(sample) + (16.0 if margin_sigmas > 0 else 0.0))
     sizes = sizes.withColumn(
         "_cut", F.when(F.col("_size") < sample,
                        F.raise_error(F.lit(f"A/A sample of {sample} is larger than a group")))
