@@ -49,14 +49,18 @@ def write_slices(df: DataFrame, path: str, mode: str = "overwrite_days") -> None
         raise ValueError(f"unknown mode {mode!r}")
 
 
-def create_slice_table(spark: SparkSession, table: str) -> None:
-    spark.sql(SLICE_DDL.format(table=table))
+def create_slice_table(spark: SparkSession, table: str, location: str | None = None) -> None:
+    ddl = SLICE_DDL.format(table=table)
+    if location:
+        ddl += f"LOCATION '{location}'\n"
+    spark.sql(ddl)
 
 
-def insert_slices(df: DataFrame, table: str, mode: str = "overwrite_days") -> None:
-    """Insert into a catalog table created by ``create_slice_table``."""
+def insert_slices(df: DataFrame, table: str, mode: str = "overwrite_days",
+                  location: str | None = None) -> None:
+    """Insert into a catalog table (created if absent, at ``location`` if given)."""
     spark = df.sparkSession
-    create_slice_table(spark, table)
+    create_slice_table(spark, table, location)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     ordered = _ordered(df).select(*SLICE_COLUMNS[1:], "event_date")
     try:

@@ -1,0 +1,65 @@
+import datetime as dt
+
+from feedlens.operators import cohorts
+from feedlens.sources.actions import Actions
+
+MON = dt.date(2024, 1, 1)  # a Monday
+
+
+def _actions(spark, feed_rows, msg_rows=()):
+    feed = spark.createDataFrame(
+        [(u, 1, "view", dt.datetime.combine(d, dt.time(10)), 0, "iOS", 20, 0, s) for u, d, s in feed_rows],
+        "user_id bigint, post_id bigint, action string, time timestamp_ntz, exp_group int, os string, "
+        "age int, gender int, source string")
+    msg = spark.createDataFrame(
+        [(u, 2, dt.datetime.combine(d, dt.time(10)), "Android", 30, 1, "ads") for u, d in msg_rows],
+        "user_id bigint, reciever_id bigint, time timestamp_ntz, os string, age int, gender int, source string")
+    return Actions(feed=feed, message=msg)
+
+
+def test_weekly_status_with_gap(spark):
+    week = lambda k: MON + dt.timedelta(days=7 * (k - 1))
+    a = _actions(spark, [(1, week(1) + dt.timedelta(days=2), "ads"), (1, week(2), "ads"),
+                         (1, week(4) + dt.timedelta(days=6), "ads")])
+    rows = cohorts.weekly_audience(a, as_of=week(10)).collect()
+    got = {(r.this_week, r.status): r.num_users for r in rows}
+    assert got == {(week(1), "new"): 1, (week(2), "retained"): 1, (week(3), "gone"): -1,
+                   (week(4), "new"): 1, (week(5), "gone"): -1}
+    for r in rows:
+        assert r.previous_week == r.this_week - dt.timedelta(days=7)
+
+
+def test_gone_rows_of_next_week_are_dropped(spark):
+    a = _actions(spark, [(1, MON, "ads")])
+    rows = cohorts.weekly_audience(a, as_of=MON + dt.timedelta(days=3)).collect()
+    assert [(r.status, r.num_users) for r in rows] == [("new", 1)]
+
+
+def test_messenger_users_count_in_weekly_audience(spark):
+    a = _actions(spark, [(1, MON, "ads")], [(2, MON)])
+    both = {r.status: r.num_users for r in cohorts.weekly_audience(a, MON + dt.timedelta(days=30)).collect()
+            if r.this_week == MON}
+    feed_only = {r.status: r.num_users for r in
+                 cohorts.weekly_audience(a, MON + dt.timedelta(days=30), feed_only=True).collect()
+                 if r.this_week == MON}
+    assert both == {"new": 2} and feed_only == {"new": 1}
+
+
+def test_retention_by_source(spark):
+    d = lambda k: MON + dt.timedelta(days=k)
+    a = _actions(spark, [(1, d(0), "ads"), (1, d(1), "ads"), (2, d(0), "ads"), (3, d(0), "organic"),
+                         (3, d(2), "organic"), (3, d(2), "organic")])
+    got = {(r.source, r.day_n): (r.active_users, r.cohort_users, r.retention)
+           for r in cohorts.retention_by_source(a.feed).collect()}
+    assert got == {("ads", 0): (2, 2, 1.0), ("ads", 1): (1, 2, 0.5),
+                   ("organic", 0): (1, 1, 1.0), ("organic", 2): (1, 1, 1.0)}
+
+
+def test_audience_drop(spark):
+    d = lambda k: MON + dt.timedelta(days=k)
+    a = _actions(spark, [(1, d(0), "ads"), (2, d(1), "organic"), (1, d(7), "ads")], [(3, d(2))])
+    got = {(r.dimension, r.dimension_value): (r.users_base, r.users_missing)
+           for r in cohorts.audience_drop(a, d(0), d(6), d(7)).collect()}
+    assert got[("source", "organic")] == (1, 1)
+    assert got[("source", "ads")] == (2, 1)   # user 1 came back; user 3 (messenger, ads) did not
+    assert got[("os", "iOS")] == (2, 1)
