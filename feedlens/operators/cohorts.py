@@ -45,25 +45,30 @@ def weekly_audience(actions: Actions, as_of, feed_only: bool = False,
     and 'gone' (active the week before, not this week; counted negative).
     Gone users of the week after as_of's week are left out, since that week
     has not happened. Columns: this_week, previous_week, num_users, status.
+
+    Each (user, week) row yields its own status row and, when the user skips
+    the next week, a 'gone' row for that week; one aggregate counts both.
     """
     rows = _weekly_rows(actions, feed_only)
-    users = F.approx_count_distinct("user_id") if approx else F.count(F.lit(1))
     week = F.col("week")
-    active = (rows.select(
+    active = F.struct(
         week.alias("this_week"), add_weeks("week", -1).alias("previous_week"),
         F.when(F.col("prev_seen") == add_weeks("week", -1), F.lit("retained"))
-        .otherwise(F.lit("new")).alias("status"), "user_id")
-        .groupBy("this_week", "previous_week", "status")
-        .agg(users.cast("bigint").alias("num_users")))
+        .otherwise(F.lit("new")).alias("status"))
+    gone = F.when(
+        F.col("next_seen").isNull() | (F.col("next_seen") != add_weeks("week", 1)),
+        F.struct(add_weeks("week", 1).alias("this_week"), week.alias("previous_week"),
+                 F.lit("gone").alias("status")))
+    out = (rows.select("user_id", F.explode(F.array(active, gone)).alias("r"))
+           .where(F.col("r").isNotNull())
+           .select("user_id", "r.*"))
+    users = F.approx_count_distinct("user_id") if approx else F.count(F.lit(1))
+    sign = F.when(F.col("status") == "gone", F.lit(-1)).otherwise(F.lit(1))
     next_week_of_as_of = F.date_add(monday(date_literal(as_of)), 7)
-    gone = (rows.where(F.col("next_seen").isNull() | (F.col("next_seen") != add_weeks("week", 1)))
-            .select(add_weeks("week", 1).alias("this_week"), week.alias("previous_week"),
-                    F.lit("gone").alias("status"), "user_id")
+    return (out.where(~((F.col("status") == "gone") & (F.col("this_week") == next_week_of_as_of)))
             .groupBy("this_week", "previous_week", "status")
-            .agg((-users).cast("bigint").alias("num_users"))
-            .where(F.col("this_week") != next_week_of_as_of))
-    cols = ["this_week", "previous_week", "num_users", "status"]
-    return gone.select(*cols).unionByName(active.select(*cols))
+            .agg((users * F.first(sign)).cast("bigint").alias("num_users"))
+            .select("this_week", "previous_week", "num_users", "status"))
 
 
 def weekly_audience_totals(weekly: DataFrame) -> DataFrame:

@@ -335,22 +335,27 @@ def histogram(df: DataFrame, value: str, group_col: str | None = None,
               groups: Sequence[int] | None = None, bins: int = 10) -> DataFrame:
     """Counts of ``value`` in ``bins`` equal bins over [min, max] taken over
     all listed groups together (common edges); the last bin is closed.
-    Columns: [group_col,] bin, bin_lo, bin_hi, n."""
+
+    The range is one global aggregate fetched first (one row, two numbers),
+    then used as literals: the binning is a plain projection and one
+    aggregate, with no join. Columns: [group_col,] bin, bin_lo, bin_hi, n.
+    """
     x = df.where(F.col(value).isNotNull())
     if group_col and groups is not None:
         x = x.where(F.col(group_col).isin(*groups))
-    # A global aggregate: exactly one row, so broadcasting it is safe.
-    rng = x.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")).withColumn("_k", F.lit(1))
-    v, lo, hi = F.col(value).cast("double"), F.col("_lo").cast("double"), F.col("_hi").cast("double")
-    width = hi - lo
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor(F.try_divide(v - lo, width) * bins), F.lit(bins - 1))).cast("int")
+    v = F.col(value).cast("double")
+    lo, hi = x.agg(F.min(v), F.max(v)).first()
     keys = ([group_col] if group_col else []) + ["bin"]
-    out = (x.withColumn("_k", F.lit(1)).join(F.broadcast(rng), "_k")
-           .withColumn("bin", b)
-           .groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                               F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi")))
-    step = (F.col("_hi").cast("double") - F.col("_lo").cast("double")) / bins
-    return (out.withColumn("bin_lo", F.col("_lo") + step * F.col("bin"))
-            .withColumn("bin_hi", F.col("_lo") + step * (F.col("bin") + 1))
+    if lo is None:
+        return x.select(*([group_col] if group_col else []), F.lit(0).alias("bin"),
+                        F.lit(None).cast("double").alias("bin_lo"), F.lit(None).cast("double").alias("bin_hi"),
+                        F.lit(0).cast("bigint").alias("n")).limit(0)
+    width = hi - lo
+    lo_c, width_c = F.lit(float(lo)), F.lit(float(width))
+    b = (F.lit(0) if width == 0 else
+         F.least(F.floor((v - lo_c) / width_c * bins), F.lit(bins - 1))).cast("int")
+    out = x.withColumn("bin", b).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    step = F.lit(float(width)) / bins
+    return (out.withColumn("bin_lo", lo_c + step * F.col("bin"))
+            .withColumn("bin_hi", lo_c + step * (F.col("bin") + 1))
             .select(*keys, "bin_lo", "bin_hi", "n"))

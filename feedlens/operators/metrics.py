@@ -75,20 +75,44 @@ def _user_days(df: DataFrame) -> DataFrame:
     return df.select("user_id", day_of("time").alias("day"))
 
 
-def daily_actions(actions: Actions) -> DataFrame:
-    """Likes, views and messages sent per day over both services.
-
-    Equal to summing the per-(day, user) tables after a full join on (day,
-    user); each side is summed per day first, so the join is day to day.
+def user_day_activity(actions: Actions) -> DataFrame:
+    """One row per (day, user) over both services: likes, views, messages
+    sent, and service bits f (1 = feed, 2 = messenger).
+
+    This is the one large shuffle of the application report: daily actions,
+    DAU and new users are all small aggregates of it, so each action table is
+    scanned once for them (Spark reuses the shuffle when several of them are
+    computed in one plan).
     """
-    feed = (actions.feed.groupBy(day_of("time").alias("day"))
-            .agg(_count_where(F.col("action") == "like").alias("likes"),
-                 _count_where(F.col("action") == "view").alias("views")))
-    msg = (actions.message.groupBy(day_of("time").alias("day"))
-           .agg(F.count("reciever_id").alias("messages_sent")))
-    return (feed.join(msg, "day", "full")
-            .select("day", *[F.coalesce(F.col(c), F.lit(0)).alias(c)
-                             for c in ("likes", "views", "messages_sent")]))
+    user = F.col("user_id")
+    feed = actions.feed.select(
+        day_of("time").alias("day"), "user_id",
+        F.when(F.col("action") == "like", user).alias("_like"),
+        F.when(F.col("action") == "view", user).alias("_view"),
+        F.lit(None).cast("bigint").alias("_msg"), F.lit(1).alias("_f"))
+    msg = actions.message.select(
+        day_of("time").alias("day"), "user_id",
+        F.lit(None).cast("bigint").alias("_like"), F.lit(None).cast("bigint").alias("_view"),
+        F.col("reciever_id").alias("_msg"), F.lit(2).alias("_f"))
+    return (feed.unionByName(msg).groupBy("day", "user_id")
+            .agg(F.count("_like").alias("likes"), F.count("_view").alias("views"),
+                 F.count("_msg").alias("messages_sent"), F.bit_or("_f").alias("f")))
+
+
+def _daily_totals(activity: DataFrame, compat_dau: bool = False) -> DataFrame:
+    f = F.col("f")
+    all_users = F.count_if(f.bitwiseAND(1) == 1) if compat_dau else F.count(F.lit(1))
+    return (activity.groupBy("day")
+            .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"),
+                 F.sum("messages_sent").alias("messages_sent"),
+                 F.count_if(f == 2).alias("dau_message"), F.count_if(f == 1).alias("dau_feed"),
+                 all_users.alias("dau_all_services")))
+
+
+def daily_actions(actions: Actions) -> DataFrame:
+    """Likes, views and messages sent per day over both services (the sums of
+    the per-(day, user) tables joined on day and user)."""
+    return _daily_totals(user_day_activity(actions)).select("day", "likes", "views", "messages_sent")
 
 
 def daily_actions_compat(actions: Actions) -> DataFrame:
@@ -113,11 +137,14 @@ def daily_actions_compat(actions: Actions) -> DataFrame:
                  F.coalesce(F.sum("s"), F.lit(0)).cast("bigint").alias("messages_sent")))
 
 
+def _new_users(activity: DataFrame) -> DataFrame:
+    first = activity.groupBy("user_id").agg(F.min("day").alias("day"))
+    return first.groupBy("day").agg(F.count("user_id").alias("new_users"))
+
+
 def new_users(actions: Actions) -> DataFrame:
     """Users per first day seen in either service."""
-    seen = _user_days(actions.feed).unionByName(_user_days(actions.message))
-    first = seen.groupBy("user_id").agg(F.min("day").alias("day"))
-    return first.groupBy("day").agg(F.count("user_id").alias("new_users"))
+    return _new_users(user_day_activity(actions))
 
 
 def new_posts(feed: DataFrame) -> DataFrame:
@@ -126,11 +153,9 @@ def new_posts(feed: DataFrame) -> DataFrame:
     return first.groupBy("day").agg(F.count("post_id").alias("new_posts"))
 
 
-def _service_flags(actions: Actions) -> DataFrame:
-    """One row per (day, user) with bit 1 = feed, bit 2 = messenger."""
-    both = (_user_days(actions.feed).withColumn("f", F.lit(1))
-            .unionByName(_user_days(actions.message).withColumn("f", F.lit(2))))
-    return both.groupBy("day", "user_id").agg(F.bit_or("f").alias("f"))
+def _dau_present(d: DataFrame) -> Column:
+    # the source joins the three daily DAU counts with inner joins
+    return (F.col("dau_message") > 0) & (F.col("dau_feed") > 0)
 
 
 def dau(actions: Actions, compat: bool = False) -> DataFrame:
@@ -140,21 +165,24 @@ def dau(actions: Actions, compat: bool = False) -> DataFrame:
     joins the three daily counts with inner joins). ``compat`` counts only
     feed users as users of the app, as the source query does.
     """
-    f = F.col("f")
-    all_users = F.count_if(f.bitwiseAND(1) == 1) if compat else F.count(F.lit(1))
-    d = (_service_flags(actions).groupBy("day")
-         .agg(F.count_if(f == 2).alias("dau_message"),
-              F.count_if(f == 1).alias("dau_feed"),
-              all_users.alias("dau_all_services")))
-    return d.where((F.col("dau_message") > 0) & (F.col("dau_feed") > 0))
+    d = _daily_totals(user_day_activity(actions), compat_dau=compat)
+    return d.where(_dau_present(d)).select("day", "dau_message", "dau_feed", "dau_all_services")
 
 
 def product_daily(actions: Actions) -> DataFrame:
-    """Actions, new users, new posts and DAU per day, outer-joined on the day."""
-    out = (daily_actions(actions)
-           .join(new_users(actions), "day", "full")
-           .join(new_posts(actions.feed), "day", "full")
-           .join(dau(actions), "day", "full"))
+    """Actions, new users, new posts and DAU per day, outer-joined on the day.
+
+    Every day with a new user or a new post also has actions, so the outer
+    merges of the source reduce to left joins of small per-day tables onto
+    the daily totals; DAU columns are NULL on days the DAU query drops.
+    """
+    activity = user_day_activity(actions)
+    d = _daily_totals(activity)
+    keep = _dau_present(d)
+    daily = d.select("day", "likes", "views", "messages_sent",
+                     *[F.when(keep, F.col(c)).alias(c) for c in ("dau_message", "dau_feed", "dau_all_services")])
+    out = (daily.join(_new_users(activity), "day", "left")
+           .join(new_posts(actions.feed), "day", "left"))
     return out.select("day", *PRODUCT_METRICS)
 
 
