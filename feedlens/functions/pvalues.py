@@ -10,6 +10,7 @@ the complementary error function from the standard library.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module's code with the UDFs (by value), so Python workers do not
+# need the package on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: workers import the package instead
+    pass
+
 _EPS = 1e-15
 _TINY = 1e-300
 _MAX_ITER = 400
