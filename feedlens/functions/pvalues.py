@@ -99,16 +99,14 @@ def student_t_two_sided(t, df) -> np.ndarray:
     return np.clip(p, 0.0, 1.0)
 
 
-_erfc = np.vectorize(math.erfc, otypes=[float])
-
-
 def normal_two_sided_upper(z) -> np.ndarray:
     """2 * P(Z >= z), clipped to [0, 1] (the Mann-Whitney convention: z is
     computed from the larger U, so it is rarely negative)."""
     z = np.asarray(z, dtype=float)
     out = np.full(z.shape, np.nan)
     ok = ~np.isnan(z)
-    out[ok] = _erfc(z[ok] / math.sqrt(2.0))
+    erfc = np.vectorize(math.erfc, otypes=[float])
+    out[ok] = erfc(z[ok] / math.sqrt(2.0))
     return np.clip(out, 0.0, 1.0)
 
 
