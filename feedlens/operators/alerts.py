@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import fifteen_minute_start, fixed2, hh_mm, percent2, ratio
-from feedlens.operators.timeframe import as_datetime, fifteen_minute_floor, ts_literal
+from feedlens.operators.timeframe import as_datetime, fifteen_minute_floor, ts_literal, where_days
 from feedlens.sources.actions import Actions
 
 # Metric keys and their display names (fixed values).
@@ -54,7 +54,8 @@ def alert_series(actions: Actions, now, since=None) -> DataFrame:
     def frame(df: DataFrame) -> DataFrame:
         # The source bounds only the feed side; bounding the messenger side as
         # well changes nothing for a left join on the bucket and prunes the scan.
-        return df.where((F.col("time") >= ts_literal(start)) & (F.col("time") < ts_literal(end)))
+        days = where_days(df, start.date(), (end - dt.timedelta(microseconds=1)).date())
+        return days.where((F.col("time") >= ts_literal(start)) & (F.col("time") < ts_literal(end)))
 
     feed = (frame(actions.feed).groupBy(fifteen_minute_start("time").alias("ts"))
             .agg(F.count_distinct("user_id").alias("users_feed"),

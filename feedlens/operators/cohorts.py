@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import add_weeks, day_of, monday, ratio
-from feedlens.operators.timeframe import date_literal, day_range
+from feedlens.operators.timeframe import date_literal, where_days
 from feedlens.sources.actions import Actions
 
 
@@ -83,7 +83,7 @@ def weekly_audience_totals(weekly: DataFrame) -> DataFrame:
 def _active_days(feed: DataFrame, start=None, end=None) -> DataFrame:
     """Distinct (user, day) with the user's cohort (first day), source and
     the day number since the cohort day."""
-    f = feed.where(day_range("time", start, end)) if (start or end) else feed
+    f = where_days(feed, start, end)
     ud = f.groupBy("user_id", day_of("time").alias("day")).agg(F.min("source").alias("source"))
     w = Window.partitionBy("user_id")
     return (ud.withColumn("cohort_date", F.min("day").over(w))
@@ -136,7 +136,7 @@ def audience_drop(actions: Actions, base_start, base_end, drop_day,
     cols = ["user_id", *dimensions]
 
     def seen(df: DataFrame, start, end) -> DataFrame:
-        return df.where(day_range("time", start, end)).select(*cols)
+        return where_days(df, start, end).select(*cols)
 
     base = (seen(actions.feed, base_start, base_end)
             .unionByName(seen(actions.message, base_start, base_end))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from feedlens.functions.columns import draw32, hash32, poisson1_weight, ratio, uniform_bucket
 from feedlens.functions.pvalues import decision, normal_p_value, t_test_p_value
 from feedlens.operators.ordering import running_total
-from feedlens.operators.timeframe import day_range
+from feedlens.operators.timeframe import where_days
 
 # Defaults of the reference study (fixed values).
 ALPHA = 0.05
@@ -45,7 +45,7 @@ def user_ctr(feed: DataFrame, start: dt.date | str, end: dt.date | str,
              groups: Sequence[int] | None = None) -> DataFrame:
     """Likes, views and CTR per (exp_group, user_id) over the inclusive days
     [start, end]. CTR is NULL for a user without views."""
-    f = feed.where(day_range("time", start, end))
+    f = where_days(feed, start, end)
     if groups is not None:
         f = f.where(F.col("exp_group").isin(*groups))
     return (f.groupBy("exp_group", "user_id")
@@ -210,7 +210,7 @@ def bucket_ctr(feed: DataFrame, start, end, groups: Sequence[int], buckets: int
     ``buckets`` buckets. One aggregate straight from the events (the per-user
     level of the source query adds nothing to sums); the shuffle carries at
     most groups x buckets rows per task."""
-    f = feed.where(day_range("time", start, end) & F.col("exp_group").isin(*groups))
+    f = where_days(feed, start, end).where(F.col("exp_group").isin(*groups))
     return (f.groupBy("exp_group", uniform_bucket(salt, "user_id", buckets).alias("bucket"))
             .agg(F.count_if(F.col("action") == "like").alias("likes"),
                  F.count_if(F.col("action") == "view").alias("views"))

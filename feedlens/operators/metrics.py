@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import day_of, fixed2, percent2, ratio
-from feedlens.operators.timeframe import as_date, date_literal, day_range, yesterday
+from feedlens.operators.timeframe import as_date, date_literal, where_days, yesterday
 from feedlens.sources.actions import Actions
 
 FEED_DAILY_METRICS = ("dau", "views", "likes", "ctr")
@@ -35,7 +35,7 @@ def _count_where(cond: Column) -> Column:
 
 def feed_daily(feed: DataFrame, start=None, end=None) -> DataFrame:
     """DAU, views, likes and CTR of the feed per day in [start, end]."""
-    f = feed.where(day_range("time", start, end)) if (start or end) else feed
+    f = where_days(feed, start, end)
     return (f.groupBy(day_of("time").alias("day"))
             .agg(F.count_distinct("user_id").alias("dau"),
                  _count_where(F.col("action") == "view").alias("views"),
@@ -190,10 +190,12 @@ def _text(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit("n/a"))
 
 
-def product_report_day(actions: Actions, as_of) -> DataFrame:
-    """Yesterday's row of the application table and the report text."""
+def product_report_day(actions: Actions, as_of, daily: DataFrame | None = None) -> DataFrame:
+    """Yesterday's row of the application table and the report text
+    (``daily``: an already computed ``product_daily`` table)."""
     day = yesterday(as_of)
-    d = product_daily(actions).where(F.col("day") == date_literal(day))
+    table = daily if daily is not None else product_daily(actions)
+    d = table.where(F.col("day") == date_literal(day))
     text = F.concat(
         F.lit("App report for "), F.date_format("day", "dd.MM.yyyy"), F.lit(":\nNew users: "),
         _text("new_users"), F.lit("\nDAU: "), _text("dau_all_services"),

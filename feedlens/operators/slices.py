@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import day_of
-from feedlens.operators.timeframe import day_range
+from feedlens.operators.timeframe import where_days
 
 USER_KEYS = ["event_date", "user_id", "os", "age", "gender"]
 SLICE_DIMENSIONS = ("os", "age", "gender")
@@ -22,7 +22,7 @@ SLICE_COLUMNS = ["event_date", "dimension", "dimension_value", *SLICE_METRICS]
 
 
 def _days(df: DataFrame, start, end) -> DataFrame:
-    return df.where(day_range("time", start, end)) if (start or end) else df
+    return where_days(df, start, end)
 
 
 def etl_feed(feed: DataFrame, start=None, end=None) -> DataFrame:

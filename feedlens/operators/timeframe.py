@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,29 @@ def day_range(col: str, start: dt.date | str | None, end: dt.date | str | None)
     return parts[0] if len(parts) == 1 else parts[0] & parts[1]
 
 
+# Date partition columns recognised on the action tables. Catalyst cannot
+# derive a partition predicate from a predicate on the timestamp, so when a
+# table is partitioned by the event date, the day range is stated on that
+# column too and whole partitions are skipped before any file is opened.
+PARTITION_DATE_COLUMNS = ("event_date", "dt")
+
+
+def where_days(df: DataFrame, start: dt.date | str | None, end: dt.date | str | None,
+               time_col: str = "time") -> DataFrame:
+    """Rows of ``df`` whose ``time_col`` falls on a day in [start, end]."""
+    if start is None and end is None:
+        return df
+    out = df.where(day_range(time_col, start, end))
+    for c in PARTITION_DATE_COLUMNS:
+        if c in df.columns:
+            if start is not None:
+                out = out.where(F.col(c) >= date_literal(start))
+            if end is not None:
+                out = out.where(F.col(c) <= date_literal(end))
+            break
+    return out
+
+
 def yesterday(as_of: dt.date | str) -> dt.date:
     return as_date(as_of) - dt.timedelta(days=1)
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 
 from feedlens.operators import alerts, cohorts, metrics, slices
 from feedlens.operators.timeframe import as_date, as_datetime, yesterday
+from feedlens.session import ensure_checkpoint_dir
 from feedlens.sources import sinks
 from feedlens.sources.actions import Actions
 
@@ -50,7 +51,8 @@ def _first_message(df: DataFrame) -> str | None:
 def feed_report_job(actions: Actions, as_of, out_dir: str | None = None) -> ReportOutput:
     """Yesterday's text (one row) and the last 7 days as a long series."""
     day = metrics.report_day(actions.feed, as_of)
-    week = metrics.report_week(actions.feed, as_of)
+    ensure_checkpoint_dir(actions.feed.sparkSession)
+    week = metrics.report_week(actions.feed, as_of).checkpoint(eager=True)
     series = metrics.long_series(week, metrics.FEED_DAILY_METRICS)
     if out_dir:
         stamp = as_date(as_of).isoformat()
@@ -61,8 +63,11 @@ def feed_report_job(actions: Actions, as_of, out_dir: str | None = None) -> Repo
 def app_report_job(actions: Actions, as_of, out_dir: str | None = None) -> ReportOutput:
     """Yesterday's application text, the daily table and its long series,
     weekly audience totals by status, and the top-10 posts file."""
-    daily = metrics.product_daily(actions)
-    day = metrics.product_report_day(actions, as_of)
+    # One row per day over the whole history: computed once, checkpointed to
+    # the session's checkpoint folder, then read by the text and the series.
+    ensure_checkpoint_dir(actions.feed.sparkSession)
+    daily = metrics.product_daily(actions).checkpoint(eager=True)
+    day = metrics.product_report_day(actions, as_of, daily=daily)
     series = metrics.long_series(daily, metrics.PRODUCT_METRICS)
     weekly = cohorts.weekly_audience_totals(cohorts.weekly_audience(actions, as_of))
     top = metrics.top_posts(actions.feed, 10)
