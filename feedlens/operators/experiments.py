@@ -221,6 +221,20 @@ def bucket_ctr(feed: DataFrame, start, end, groups: Sequence[int], buckets: int
 # Poisson bootstrap
 # --------------------------------------------------------------------------
 
+def _spread_for_explode(df: DataFrame, key: str = "user_id", per_core: int = 2) -> DataFrame:
+    """Hash-partition a per-user table over the cluster before a repetition
+    explode. After an aggregate, AQE coalesces a small table into few
+    partitions; exploding by thousands there would leave a few huge tasks.
+    A repartition with an explicit count is kept as is by AQE."""
+    spark = df.sparkSession
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a remote session)
+        cores = 0
+    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))) * per_core
+    return df.repartition(n, key)
+
+
 def poisson_bootstrap(users: DataFrame, groups: Sequence[int], reps: int = BOOTSTRAP_REPS,
                       salt: str = "poisson") -> DataFrame:
     """Global CTR of each group under ``reps`` Poisson(1) reweightings.
@@ -237,7 +251,7 @@ def poisson_bootstrap(users: DataFrame, groups: Sequence[int], reps: int = BOOTS
     # Weight-0 rows are not filtered out: they add nothing to the sums, and a
     # filter on w would be pushed below the projections with the CASE (and
     # the draw in each branch) inlined into it.
-    x = (u.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
+    x = (_spread_for_explode(u).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
          .withColumn("_h", draw32("_key", "b"))
          .withColumn("w", poisson1_weight("_h")))
     return (x.groupBy("exp_group", "b")
@@ -290,7 +304,7 @@ def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sam
         .otherwise(F.least(F.lit(2.0 ** 32), F.ceil(F.lit(keep * 2.0 ** 32) / F.col("_size")))).cast("bigint"))
     sized = u.join(F.broadcast(sizes), "exp_group")
     sims = F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))
-    cand = (sized.withColumn("sim", sims)
+    cand = (_spread_for_explode(sized).withColumn("sim", sims)
             .withColumn("_h", draw32("_key", "sim"))
             .where(F.col("_h") < F.col("_cut"))
             .select("sim", "exp_group", "user_id", value, "_h")

@@ -82,7 +82,10 @@ def event_window_metrics(events: DataFrame, watermark: str = BUCKET) -> tuple[Da
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    """Closed windows of one micro-batch under ``batch=<id>/date=<day>``: a
+    replayed batch overwrites its own folder, and readers prune by date."""
+    (df.withColumn("date", F.to_date("ts")).write.mode("overwrite")
+     .partitionBy("date").parquet(f"{path}/batch={batch_id}"))
 
 
 def check_recent(spark: SparkSession, feed_table: str, message_table: str, now,
@@ -90,10 +93,16 @@ def check_recent(spark: SparkSession, feed_table: str, message_table: str, now,
     """Band check over the buckets stored by the stream: the batch alert on
     the window [now - lookback, now)."""
     start = as_datetime(now) - lookback
-    feed = spark.read.parquet(feed_table).where(F.col("ts") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
+
+    def recent(path: str) -> DataFrame:
+        df = spark.read.parquet(path)
+        return (df.where(F.col("date") >= F.lit(start.date().isoformat()).cast("date"))
+                .where(F.col("ts") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
+                .drop("date", "batch"))
+
+    feed = recent(feed_table)
     try:
-        msg = spark.read.parquet(message_table).where(
-            F.col("ts") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
+        msg = recent(message_table)
     except Exception:  # noqa: BLE001 - no closed messenger window stored yet
         msg = spark.createDataFrame([], "ts timestamp_ntz, users_messenger bigint, number_messages bigint")
     series = (feed.join(msg, "ts", "left")

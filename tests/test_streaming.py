@@ -52,6 +52,7 @@ def test_alert_stream_tables(spark, tmp_dir):
     q_feed.awaitTermination()
     feed = spark.read.parquet(f"{out}/feed")
     assert feed.count() == feed.select("ts").distinct().count() > 2000
+    assert {"batch", "date"} <= set(feed.columns)
     msg = spark.read.parquet(f"{out}/messages")
     batch_msg = (message_from_events(spark.read.parquet(f"{SF}/events.parquet"))
                  .groupBy(fifteen_minute_start("time").alias("ts"))
