@@ -178,8 +178,8 @@ def smoothed_ctr(users: DataFrame, groups: Sequence[int], weight: float = SMOOTH
     g = global_ctr(u).select("exp_group", "global_ctr")
     return (u.join(F.broadcast(g), "exp_group")
             .withColumn("smoothed_ctr",
-                        (F.col("likes") + F.lit(float(weight)) * F.col("global_ctr"))
-                        / (F.col("views") + F.lit(float(weight))))
+                        F.try_divide(F.col("likes") + F.lit(float(weight)) * F.col("global_ctr"),
+                                     F.col("views") + F.lit(float(weight))))
             .select("exp_group", "user_id", "likes", "views", "global_ctr", "smoothed_ctr"))
 
 

@@ -224,6 +224,20 @@ def q_ctr_histogram(a: Actions) -> DataFrame:
     return ex.histogram(_users(a, P.AB_GROUPS), "ctr", "exp_group", P.AB_GROUPS, P.HIST_BINS)
 
 
+def q_bootstrap_diff_histogram(a: Actions) -> DataFrame:
+    return ex.histogram(ex.bootstrap_diff(_boot(a), *P.AB_GROUPS), "diff", bins=P.HIST_BINS)
+
+
+def q_bucket_ctr_histogram(a: Actions) -> DataFrame:
+    return ex.histogram(_buckets(a), "bucket_ctr", "exp_group", P.AB_GROUPS, P.HIST_BINS)
+
+
+def q_linearized_histogram(a: Actions) -> DataFrame:
+    pair = P.LINEARIZED_PAIRS[0]
+    lin = _linearized(a).where((F.col("group_a") == pair[0]) & (F.col("group_b") == pair[1]))
+    return ex.histogram(lin, "linearized_likes", "exp_group", pair, P.HIST_BINS)
+
+
 def _aa_samples(a: Actions) -> DataFrame:
     return ex.aa_samples(_users(a, P.AA_GROUPS), P.AA_GROUPS, P.AA_REPS, P.AA_SAMPLE)
 

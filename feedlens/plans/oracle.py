@@ -510,6 +510,28 @@ SELECT exp_group, bin, {_r(f'lo + (hi - lo) / {bins} * bin')} AS bin_lo, {_r(f'l
   FROM x CROSS JOIN rng)
 GROUP BY exp_group, bin, lo, hi"""
 
+    def hist_sql(src_ctes, src: str, value: str, group: str | None) -> str:
+        g = f"{group}, " if group else ""
+        return _with(*src_ctes, f"x AS (SELECT * FROM {src} WHERE {value} IS NOT NULL)",
+                     f"rng AS (SELECT min({value}) AS lo, max({value}) AS hi FROM x)") + f"""
+SELECT {g}bin, {_r(f'lo + (hi - lo) / {bins} * bin')} AS bin_lo, {_r(f'lo + (hi - lo) / {bins} * (bin + 1)')} AS bin_hi,
+  CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT {'x.' + group + ', ' if group else ''}rng.lo, rng.hi,
+    CAST(CASE WHEN rng.hi = rng.lo THEN 0 ELSE least(floor((x.{value} - rng.lo) / (rng.hi - rng.lo) * {bins}), {bins - 1}) END AS INTEGER) AS bin
+  FROM x CROSS JOIN rng)
+GROUP BY {g}bin, lo, hi"""
+
+    diff_cte = f"""diff AS (
+  SELECT b, max(CASE WHEN exp_group = {a} THEN ctr END) AS ctr_a, max(CASE WHEN exp_group = {b} THEN ctr END) AS ctr_b,
+    max(CASE WHEN exp_group = {b} THEN ctr END) - max(CASE WHEN exp_group = {a} THEN ctr END) AS diff
+  FROM src GROUP BY b)"""
+    q["bootstrap_diff_histogram"] = hist_sql((boot, diff_cte), "diff", "diff", None)
+    q["bucket_ctr_histogram"] = hist_sql((_bucket_cte("src"),), "src", "bucket_ctr", "exp_group")
+    pa, pb = P.LINEARIZED_PAIRS[0]
+    q["linearized_histogram"] = hist_sql(
+        (_linearized_cte("lin"), f"lin1 AS (SELECT * FROM lin WHERE group_a = {pa} AND group_b = {pb})"),
+        "lin1", "linearized_likes", "exp_group")
+
     q["aa_samples"] = _with(_aa_samples_cte("s")) + f"SELECT sim, exp_group, user_id, {_r('ctr')} AS ctr FROM s"
     a2, b2 = P.AA_GROUPS
     q["aa_stats"] = _with(_aa_samples_cte("s")) + _welch_select("s", "ctr", "exp_group", str(a2), str(b2), "sim")
