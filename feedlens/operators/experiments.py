@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.columns import draw32, hash32, poisson1_weight, ratio, uniform_bucket
 from feedlens.functions.pvalues import decision, normal_p_value, t_test_p_value
-from feedlens.operators.ordering import running_total
+from feedlens.operators.ordering import materialize, running_total
 from feedlens.operators.timeframe import where_days
 
 # Defaults of the reference study (fixed values).
@@ -346,17 +346,23 @@ def aa_summary(pvalues: DataFrame, alpha: float = ALPHA) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def histogram(df: DataFrame, value: str, group_col: str | None = None,
-              groups: Sequence[int] | None = None, bins: int = 10) -> DataFrame:
+              groups: Sequence[int] | None = None, bins: int = 10,
+              checkpoint: bool = True) -> DataFrame:
     """Counts of ``value`` in ``bins`` equal bins over [min, max] taken over
     all listed groups together (common edges); the last bin is closed.
 
     The range is one global aggregate fetched first (one row, two numbers),
     then used as literals: the binning is a plain projection and one
-    aggregate, with no join. Columns: [group_col,] bin, bin_lo, bin_hi, n.
+    aggregate, with no join. The input is read twice, so its needed columns
+    are checkpointed first unless ``checkpoint`` is False.
+    Columns: [group_col,] bin, bin_lo, bin_hi, n.
     """
     x = df.where(F.col(value).isNotNull())
     if group_col and groups is not None:
         x = x.where(F.col(group_col).isin(*groups))
+    x = x.select(*([group_col] if group_col else []), value)
+    if checkpoint:
+        x = materialize(x)
     v = F.col(value).cast("double")
     lo, hi = x.agg(F.min(v), F.max(v)).first()
     keys = ([group_col] if group_col else []) + ["bin"]

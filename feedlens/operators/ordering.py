@@ -24,15 +24,28 @@ def _range_index(col: Column, cuts: list[float]) -> Column:
     return build(0, len(cuts))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` to the session's checkpoint folder (shared storage on
+    a cluster) for operators that read their input twice: the upstream plan
+    runs once, and the lineage is cut. Use on aggregated, small inputs."""
+    from feedlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def running_total(df: DataFrame, order_col: str, sum_col: str, out_col: str,
-                  ranges: int | None = None, relative_error: float = 0.001) -> DataFrame:
+                  ranges: int | None = None, relative_error: float = 0.001,
+                  checkpoint: bool = True) -> DataFrame:
     """Add ``out_col`` = sum of ``sum_col`` over all rows whose ``order_col`` is
     <= this row's (ties are included together, so the result is deterministic).
 
     Range cuts come from ``approxQuantile`` (a small driver-side list of at most
     ``ranges - 1`` numbers); any cuts give the same exact result, they only
-    decide the balance between tasks.
+    decide the balance between tasks. The input is read twice (cuts, then the
+    sums), so it is checkpointed first unless ``checkpoint`` is False.
     """
+    if checkpoint:
+        df = materialize(df)
     spark = df.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts: list[float] = []

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from feedlens.operators import alerts, cohorts, experiments as ex, metrics, slices
 from feedlens.plans import params as P
-from feedlens.session import ensure_checkpoint_dir
 from feedlens.sources.actions import Actions, load_fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,12 +258,9 @@ def q_aa_summary(a: Actions) -> DataFrame:
 
 
 def q_aa_pvalue_histogram(a: Actions) -> DataFrame:
-    # The histogram reads its input twice (range, then bins). The p-values
-    # (one row per simulation) are checkpointed to the session's checkpoint
-    # folder first, so the simulations run once and the lineage is cut.
-    pvalues = q_aa_test(a)
-    ensure_checkpoint_dir(pvalues.sparkSession)
-    return ex.histogram(pvalues.checkpoint(eager=True), "p_value", bins=10)
+    # histogram() checkpoints the p-values (one row per simulation) before
+    # its two passes, so the simulations run once.
+    return ex.histogram(q_aa_test(a), "p_value", bins=10)
 
 
 def q_ab_results(a: Actions) -> DataFrame:
