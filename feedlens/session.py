@@ -22,6 +22,24 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (hundreds of executors, tens to
+# hundreds of TB of actions). AQE sizes shuffles at run time: the initial
+# partition count is high and coalesced to ~256 MB partitions, skewed
+# partitions of sort-merge joins are split, and a join side is broadcast only
+# after its measured size is under the threshold.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "feedlens", extra: dict | None = None) -> SparkSession:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
