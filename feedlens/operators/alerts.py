@@ -78,9 +78,14 @@ def alert_long(series: DataFrame, metrics=ALERT_METRICS) -> DataFrame:
             .unpivot("ts", list(metrics), "metric", "value"))
 
 
+def ts_label(ts: str = "ts"):
+    """A bucket as the alert chart prints it (dd/MM HH:mm)."""
+    return F.date_format(ts, "dd/MM HH:mm")
+
+
 def alert_bands(series: DataFrame, a: float = BAND_WIDTH, n: int = BAND_ROWS,
                 metrics=ALERT_METRICS) -> DataFrame:
-    """Columns: metric, ts, value, prev_value, mean, std, up, low.
+    """Columns: metric, ts, label, value, prev_value, mean, std, up, low.
 
     mean and std cover the n rows before (NULL unless all n hold a value);
     the upper band is smoothed on a centred frame, the lower on a trailing one.
@@ -99,7 +104,8 @@ def alert_bands(series: DataFrame, a: float = BAND_WIDTH, n: int = BAND_ROWS,
     return (banded
             .withColumn("up", F.avg("_up").over(order.rowsBetween(-half, n - half - 1)))
             .withColumn("low", F.avg("_low").over(order.rowsBetween(-(n - 1), 0)))
-            .select("metric", "ts", "value", "prev_value", "mean", "std", "up", "low"))
+            .select("metric", "ts", ts_label("ts").alias("label"),
+                    "value", "prev_value", "mean", "std", "up", "low"))
 
 
 def alert_check(bands: DataFrame) -> DataFrame:

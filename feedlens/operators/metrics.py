@@ -62,9 +62,11 @@ def report_week(feed: DataFrame, as_of, days: int = 7) -> DataFrame:
 
 
 def long_series(daily: DataFrame, metrics, key: str = "day") -> DataFrame:
-    """(day, metric, value) rows: one line per metric for any chart tool."""
-    return (daily.select(key, *[F.col(m).cast("double").alias(m) for m in metrics])
-            .unpivot(key, list(metrics), "metric", "value"))
+    """(day, label, metric, value) rows: one line per metric for any chart
+    tool; label is the day as the report charts print it (dd/MM/yyyy)."""
+    return (daily.select(key, F.date_format(key, "dd/MM/yyyy").alias("label"),
+                         *[F.col(m).cast("double").alias(m) for m in metrics])
+            .unpivot([key, "label"], list(metrics), "metric", "value"))
 
 
 # --------------------------------------------------------------------------

@@ -405,7 +405,7 @@ FROM d"""
     week = _feed_daily(f'CAST("time" AS DATE) BETWEEN {_d(WEEK_START)} AND {_d(YESTERDAY)}')
     q["report_week"] = _with(f"d AS ({week})") + f"SELECT day, dau, views, likes, {_r('ctr')} AS ctr FROM d"
     q["report_week_series"] = _with(f"d AS ({week})") + " UNION ALL ".join(
-        f"SELECT day, '{m}' AS metric, {_r(f'CAST({m} AS DOUBLE)')} AS value FROM d"
+        f"SELECT day, strftime(day, '%d/%m/%Y') AS label, '{m}' AS metric, {_r(f'CAST({m} AS DOUBLE)')} AS value FROM d"
         for m in ("dau", "views", "likes", "ctr"))
 
     # application report
@@ -436,7 +436,7 @@ Views: ' || coalesce(CAST(views AS VARCHAR), 'n/a') || '
 Likes: ' || coalesce(CAST(likes AS VARCHAR), 'n/a') AS message
 FROM product_daily WHERE day = {_d(YESTERDAY)}"""
     q["product_series"] = _with(*PRODUCT_CTES) + " UNION ALL ".join(
-        f"SELECT day, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM product_daily"
+        f"SELECT day, strftime(day, '%d/%m/%Y') AS label, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM product_daily"
         for m in ("likes", "views", "messages_sent", "new_users", "new_posts",
                   "dau_message", "dau_feed", "dau_all_services"))
     q["top_posts"] = _with() + f"""
@@ -539,7 +539,7 @@ GROUP BY {g}bin, lo, hi"""
     # alerts
     q["alert_series"] = _with(_alert_series_cte("series")) + f"""
 SELECT ts, date, hm, users_feed, views, likes, {_r('ctr')} AS ctr, users_messenger, number_messages FROM series"""
-    bc = ["metric", "ts", "value", "prev_value", "mean", "std", "up", "low"]
+    bc = ["metric", "ts", "strftime(ts, '%d/%m %H:%M') AS label", "value", "prev_value", "mean", "std", "up", "low"]
     q["alert_bands"] = _with(_alert_bands_cte("bands")) + f"""
 SELECT {_rounded_cols(bc, {'value', 'prev_value', 'mean', 'std', 'up', 'low'})} FROM bands"""
     label = "CASE metric " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ALERT_LABELS.items()) + " ELSE metric END"
