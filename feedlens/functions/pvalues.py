@@ -110,6 +110,72 @@ def normal_two_sided_upper(z) -> np.ndarray:
     return np.clip(out, 0.0, 1.0)
 
 
+EXACT_MAX = 8  # fixed value: the exact law is used when a group has at most 8 values and no ties
+
+
+def _u_counts(m: int, n: int) -> list[int]:
+    """Number of orderings of m + n distinct values giving U = 0 .. m*n
+    (the coefficients of the Gaussian binomial [m + n choose m])."""
+    coef = [1] + [0] * (m * n)
+    for i in range(1, m + 1):
+        # multiply by (1 - q^(n + i)), then divide by (1 - q^i)
+        for k in range(m * n, n + i - 1, -1):
+            coef[k] -= coef[k - n - i]
+        for k in range(i, m * n + 1):
+            coef[k] += coef[k - i]
+    return coef
+
+
+def _u_weights(m: int, n: int) -> np.ndarray:
+    """The same coefficients as floats, scaled to sum to 1 after each step
+    (vectorized: the small group has at most 8 values, the other may be large)."""
+    coef = np.zeros(m * n + 1)
+    coef[0] = 1.0
+    for i in range(1, m + 1):
+        shifted = np.zeros_like(coef)
+        shifted[n + i:] = coef[:-(n + i)]
+        coef = coef - shifted
+        for r in range(i):
+            coef[r::i] = np.cumsum(coef[r::i])
+        coef /= coef.sum()
+    return coef
+
+
+def mann_whitney_exact_p(u_a: float, u_b: float, n_a: int, n_b: int) -> float:
+    """Two-sided exact p-value: 2 * P(U >= max(u_a, u_b)), clipped to 1."""
+    m, n = sorted((int(n_a), int(n_b)))
+    u = int(round(max(u_a, u_b)))
+    if m * n <= 20000:
+        coef = _u_counts(m, n)
+        tail = sum(coef[u:]) / sum(coef)
+    else:
+        tail = float(_u_weights(m, n)[u:].sum())
+    return min(1.0, 2.0 * tail)
+
+
+def mann_whitney_method(n_a: int, n_b: int, tie_sum: float) -> str:
+    small = min(n_a, n_b) <= EXACT_MAX
+    return "exact" if small and tie_sum == 0 and min(n_a, n_b) > 0 else "asymptotic"
+
+
+@F.pandas_udf(T.DoubleType())
+def _mw_p_udf(u_a: pd.Series, u_b: pd.Series, n_a: pd.Series, n_b: pd.Series,
+              tie_sum: pd.Series, z: pd.Series) -> pd.Series:
+    out = normal_two_sided_upper(z.to_numpy(dtype=float, na_value=np.nan))
+    for i in range(len(out)):
+        if pd.isna(n_a.iat[i]) or pd.isna(n_b.iat[i]) or pd.isna(tie_sum.iat[i]):
+            continue
+        if mann_whitney_method(int(n_a.iat[i]), int(n_b.iat[i]), float(tie_sum.iat[i])) == "exact":
+            out[i] = mann_whitney_exact_p(u_a.iat[i], u_b.iat[i], n_a.iat[i], n_b.iat[i])
+    return pd.Series(out)
+
+
+def mann_whitney_p_value(u_a: Column, u_b: Column, n_a: Column, n_b: Column,
+                         tie_sum: Column, z: Column) -> Column:
+    """Exact law for small groups without ties, normal law otherwise."""
+    return _mw_p_udf(u_a, u_b, n_a, n_b, tie_sum, z)
+
+
 @F.pandas_udf(T.DoubleType())
 def _t_p_udf(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(student_t_two_sided(t.to_numpy(dtype=float, na_value=np.nan),

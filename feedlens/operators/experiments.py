@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import draw32, hash32, poisson1_weight, ratio, uniform_bucket
-from feedlens.functions.pvalues import decision, normal_p_value, t_test_p_value
+from feedlens.functions.pvalues import EXACT_MAX, decision, mann_whitney_p_value, t_test_p_value
 from feedlens.operators.ordering import materialize, running_total
 from feedlens.operators.timeframe import where_days
 
@@ -136,9 +136,9 @@ def mann_whitney(df: DataFrame, value: str, group_col: str, a: int, b: int,
     Ranks with ties are averaged. Values are first reduced to distinct values
     with their counts; a distributed running total over the values gives each
     block of ties its first rank. Twice the rank sum is kept as an integer so
-    U is exact. Columns: group_a, group_b, n_a, n_b, u_a, u_b, tie_sum, z.
-    (The normal law with tie and continuity correction is used throughout;
-    for groups of at most 8 without ties an exact test would differ.)
+    U is exact. Columns: group_a, group_b, n_a, n_b, u_a, u_b, tie_sum, z
+    (z: normal approximation with tie and continuity correction; see
+    ``with_normal_p_value`` for the p-value).
     """
     g, x = F.col(group_col), F.col(value)
     counts = (df.where(x.isNotNull() & g.isin(a, b))
@@ -163,8 +163,16 @@ def mann_whitney(df: DataFrame, value: str, group_col: str, a: int, b: int,
 
 
 def with_normal_p_value(stats: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    p = normal_p_value(F.col("z"))
-    return stats.withColumn("p_value", p).withColumn("decision", decision(F.col("p_value"), alpha))
+    """Add the Mann-Whitney p-value: the exact law when a group has at most 8
+    values and there are no ties, else the normal law with tie and
+    continuity correction (the choice is in ``method``)."""
+    c = F.col
+    small = F.least("n_a", "n_b") <= EXACT_MAX
+    method = F.when(small & (c("tie_sum") == 0) & (F.least("n_a", "n_b") > 0), F.lit("exact")) \
+        .otherwise(F.lit("asymptotic"))
+    p = mann_whitney_p_value(c("u_a"), c("u_b"), c("n_a"), c("n_b"), c("tie_sum"), c("z"))
+    return (stats.withColumn("method", method).withColumn("p_value", p)
+            .withColumn("decision", decision(F.col("p_value"), alpha)))
 
 
 # --------------------------------------------------------------------------

@@ -19,8 +19,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import day_of, fixed2, percent2, ratio
-from feedlens.operators.timeframe import as_date, date_literal, where_days, yesterday
+from feedlens.functions.columns import day_of, percent2, ratio
+from feedlens.operators.timeframe import date_literal, where_days, yesterday
 from feedlens.sources.actions import Actions
 
 FEED_DAILY_METRICS = ("dau", "views", "likes", "ctr")
@@ -218,13 +218,3 @@ def top_posts(feed: DataFrame, k: int = 10) -> DataFrame:
             .limit(k)
             .select("post_id", "views", "likes", "ctr", "uniq_users"))
 
-
-def report_date_text(day: dt.date | str) -> str:
-    return as_date(day).strftime("%d.%m.%Y")
-
-
-__all__ = [
-    "feed_daily", "report_day", "report_week", "long_series", "daily_actions",
-    "daily_actions_compat", "new_users", "new_posts", "dau", "product_daily",
-    "product_report_day", "top_posts", "fixed2",
-]

@@ -52,3 +52,36 @@ def test_matches_monte_carlo_t():
     sample = rng.standard_t(df, size=400_000)
     for t in (0.5, 1.7, 2.9):
         assert student_t_two_sided([t], [df])[0] == pytest.approx(np.mean(np.abs(sample) >= t), abs=3e-3)
+
+
+def _brute_u_dist(m, n):
+    import itertools
+    from collections import Counter
+    c = Counter()
+    for pos in itertools.combinations(range(m + n), m):
+        # U of the first sample = pairs (x in first, y in second) with x > y, ranks = positions
+        others = [i for i in range(m + n) if i not in pos]
+        c[sum(1 for x in pos for y in others if x > y)] += 1
+    return c
+
+
+def test_exact_u_counts_match_enumeration():
+    from feedlens.functions.pvalues import _u_counts
+    for m, n in ((1, 1), (2, 3), (4, 3), (3, 5)):
+        brute = _brute_u_dist(m, n)
+        assert _u_counts(m, n) == [brute.get(u, 0) for u in range(m * n + 1)]
+
+
+def test_mann_whitney_exact_small_groups(spark):
+    from feedlens.functions.pvalues import mann_whitney_exact_p
+    from feedlens.operators import experiments as ex
+    a, b = [1.0, 2.5, 3.0, 7.0], [4.0, 5.0, 6.0]
+    df = spark.createDataFrame([(1, x) for x in a] + [(2, x) for x in b], "g int, x double")
+    r = ex.with_normal_p_value(ex.mann_whitney(df, "x", "g", 1, 2)).first()
+    assert r.method == "exact" and r.u_a == 3.0
+    dist = _brute_u_dist(3, 4)
+    tail = sum(v for u, v in dist.items() if u >= max(r.u_a, r.u_b)) / sum(dist.values())
+    assert r.p_value == pytest.approx(min(1.0, 2 * tail))
+    assert mann_whitney_exact_p(6.0, 6.0, 3, 4) == 1.0
+    ties = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 2.0), (2, 3.0)], "g int, x double")
+    assert ex.with_normal_p_value(ex.mann_whitney(ties, "x", "g", 1, 2)).first().method == "asymptotic"
