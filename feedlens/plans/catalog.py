@@ -237,8 +237,17 @@ def q_linearized_histogram(a: Actions) -> DataFrame:
     return ex.histogram(lin, "linearized_likes", "exp_group", pair, P.HIST_BINS)
 
 
+def _aa_sample_size(users: DataFrame) -> int:
+    """The fixture's A/A sample: 20 users, but fewer than the smallest group
+    (drawing without replacement needs a smaller sample than the group). One
+    row per group is fetched."""
+    sizes = [r["n"] for r in users.groupBy("exp_group").agg(F.count(F.lit(1)).alias("n")).collect()]
+    return max(1, min([P.AA_SAMPLE] + [n - 1 for n in sizes]))
+
+
 def _aa_samples(a: Actions) -> DataFrame:
-    return ex.aa_samples(_users(a, P.AA_GROUPS), P.AA_GROUPS, P.AA_REPS, P.AA_SAMPLE)
+    users = _users(a, P.AA_GROUPS)
+    return ex.aa_samples(users, P.AA_GROUPS, P.AA_REPS, _aa_sample_size(users))
 
 
 def q_aa_samples(a: Actions) -> DataFrame:

@@ -169,7 +169,7 @@ def _boot_cte(name: str) -> str:
     {_ratio('sum(w * likes)', 'sum(w * views)')} AS ctr
   FROM (SELECT u.exp_group, r.b, u.likes, u.views, {_poisson_case(h)} AS w
         FROM boot_users u CROSS JOIN range({P.BOOTSTRAP_REPS}) r(b))
-  WHERE w > 0 GROUP BY exp_group, b)"""
+  GROUP BY exp_group, b)"""
 
 
 def _bucket_cte(name: str) -> str:
@@ -203,7 +203,8 @@ aa_users AS (SELECT *, {_hash32('aa', 'user_id')} AS k FROM aa_users0),
     SELECT r.sim, u.exp_group, u.user_id, u.ctr,
       row_number() OVER (PARTITION BY r.sim, u.exp_group ORDER BY {h}, u.user_id) AS rk
     FROM aa_users u CROSS JOIN range({P.AA_REPS}) r(sim))
-  WHERE rk <= {P.AA_SAMPLE})"""
+  WHERE rk <= (SELECT greatest(1, least({P.AA_SAMPLE}, min(n) - 1))
+               FROM (SELECT count(*) AS n FROM aa_users GROUP BY exp_group)))"""
 
 
 def _feed_daily(where: str) -> str:

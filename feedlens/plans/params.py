@@ -21,7 +21,7 @@ AB_GROUPS = (1, 2)
 LINEARIZED_PAIRS = ((0, 3), (1, 2))
 
 AA_REPS = 10000
-AA_SAMPLE = 20
+AA_SAMPLE = 20          # capped at (smallest group - 1): 2 at sf0.001
 BUCKETS = 20
 BOOTSTRAP_REPS = 100
 HIST_BINS = 20
