@@ -22,7 +22,7 @@ from feedlens.sources.actions import load_fixture, read_actions
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="feedlens")
-    p.add_argument("job", choices=["slices", "feed-report", "app-report", "alert"])
+    p.add_argument("job", choices=["slices", "feed-report", "app-report", "alert", "alert-stream"])
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="job date; 'yesterday' is the day before")
     p.add_argument("--now", default=None, help="alert clock, e.g. '2024-01-30 12:00:00'")
     src = p.add_mutually_exclusive_group()
@@ -34,6 +34,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True, help="output folder (shared storage)")
     p.add_argument("--table", default=None, help="slices: catalog table instead of a folder")
     p.add_argument("--append", action="store_true", help="slices: append instead of replacing the day")
+    p.add_argument("--events", help="alert-stream: folder where event Parquet files land")
+    p.add_argument("--stream-checkpoint", help="alert-stream: checkpoint folder (shared storage)")
+    p.add_argument("--once", action="store_true", help="alert-stream: process what is there and stop")
     return p
 
 
@@ -41,6 +44,17 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"feedlens-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    if args.job == "alert-stream":
+        from feedlens.streaming.alert_stream import run_alert_stream
+        if not (args.events and args.stream_checkpoint):
+            raise SystemExit("alert-stream needs --events and --stream-checkpoint")
+        q_feed, q_msg = run_alert_stream(spark, args.events, args.out, args.stream_checkpoint,
+                                         available_now=args.once)
+        q_feed.awaitTermination()
+        if not args.once:
+            q_msg.awaitTermination()
+        print(json.dumps({"job": args.job, "out": args.out}))
+        return 0
     if args.fixture:
         actions = load_fixture(spark, args.fixture)
     else:
