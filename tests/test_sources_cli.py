@@ -36,3 +36,13 @@ def test_cli_slices_and_alert(spark, tmp_dir, capsys):
     assert main(["alert", "--fixture", "/root/testdata/sf0.01", "--now", "2024-01-30 12:00:00", "--out", out]) == 0
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert isinstance(res["alerts"], list)
+
+
+def test_cli_alert_stream_once(spark, tmp_dir, capsys):
+    from feedlens.__main__ import main
+    src = os.path.join(tmp_dir, "landing")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").coalesce(1).write.parquet(src)
+    out = os.path.join(tmp_dir, "stream_out")
+    assert main(["alert-stream", "--events", src, "--stream-checkpoint", os.path.join(tmp_dir, "ck"),
+                 "--once", "--out", out]) == 0
+    assert spark.read.parquet(os.path.join(out, "feed")).count() > 300
