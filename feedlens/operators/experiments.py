@@ -295,7 +295,9 @@ def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sam
     dropped there (``margin_sigmas`` sets the margin), so only candidates
     are shuffled and ranked. Each (s, g)
     left with fewer than ``sample`` candidates (probability < 1e-12) ranks
-    all its users instead, so the result is exact either way. The candidate
+    all its users instead, so the result is exact either way; that ranking is
+    a ``row_number() <= sample`` filter, which Spark plans with a per-task
+    top-n before the shuffle, so no task receives a whole group. The candidate
     shuffle feeds both the ranking and the candidate count (one exchange,
     reused). A group smaller than ``sample`` fails the job: drawing without
     replacement cannot be done. Columns: sim, exp_group, user_id, <value>.
