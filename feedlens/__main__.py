@@ -48,11 +48,9 @@ def main(argv: list[str] | None = None) -> int:
         from feedlens.streaming.alert_stream import run_alert_stream
         if not (args.events and args.stream_checkpoint):
             raise SystemExit("alert-stream needs --events and --stream-checkpoint")
-        q_feed, q_msg = run_alert_stream(spark, args.events, args.out, args.stream_checkpoint,
-                                         available_now=args.once)
-        q_feed.awaitTermination()
-        if not args.once:
-            q_msg.awaitTermination()
+        query = run_alert_stream(spark, args.events, args.out, args.stream_checkpoint,
+                                 available_now=args.once)
+        query.awaitTermination()
         print(json.dumps({"job": args.job, "out": args.out}))
         return 0
     if args.fixture:

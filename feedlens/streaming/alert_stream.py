@@ -6,10 +6,12 @@
 * Distinct users per window are exact: ``count(DISTINCT)`` is not supported
   on streams, so a first aggregation by (window, user) feeds a second one by
   window (chained stateful operators; the watermark flows through both).
+* ``window_metrics`` computes feed and messenger metrics in one query over
+  the union of both streams, so a window's six metrics arrive together.
 * ``run_alert_stream`` appends each micro-batch of closed windows to a
   Parquet table under a folder named by the batch id (a replayed batch
   overwrites its own folder, so nothing is duplicated), then runs the band
-  check of ``operators.alerts`` on the table's recent buckets.
+  check of ``operators.alerts`` on the table's recent windows.
 
 Event time must be a TIMESTAMP (with time zone) column to carry a watermark;
 the fixture's TIMESTAMP_NTZ is cast with the session time zone (UTC).
@@ -81,6 +83,36 @@ def event_window_metrics(events: DataFrame, watermark: str = BUCKET) -> tuple[Da
             message_window_metrics(message_from_events(events), watermark))
 
 
+def window_metrics(feed: DataFrame, message: DataFrame, watermark: str = BUCKET) -> DataFrame:
+    """All six alert metrics per closed 15-minute window, from the union of a
+    feed stream and a message stream, in one query: a (window, user)
+    aggregate, then a window aggregate. Both services' metrics of a window are
+    emitted together. Columns: ts, users_feed, views, likes, ctr,
+    users_messenger, number_messages (windows without feed rows have
+    users_feed = 0; the batch alert leaves them out)."""
+    f = feed.select("time", "user_id",
+                    (F.col("action") == "view").cast("int").alias("v"),
+                    (F.col("action") == "like").cast("int").alias("l"),
+                    F.lit(1).alias("is_feed"), F.lit(0).alias("m"))
+    m = message.select("time", "user_id", F.lit(0).alias("v"), F.lit(0).alias("l"),
+                       F.lit(0).alias("is_feed"), F.col("reciever_id").isNotNull().cast("int").alias("m"))
+    per_user = (_event_time(f.unionByName(m), watermark)
+                .groupBy(F.window("event_time", BUCKET).alias("w"), "user_id")
+                .agg(F.sum("v").alias("views"), F.sum("l").alias("likes"),
+                     F.max("is_feed").alias("in_feed"), F.sum("m").alias("msgs"),
+                     F.min("is_feed").alias("min_feed")))
+    out = (per_user.groupBy("w")
+           .agg(F.count_if(F.col("in_feed") == 1).alias("users_feed"),
+                F.sum("views").alias("views"), F.sum("likes").alias("likes"),
+                F.count_if(F.col("min_feed") == 0).alias("users_messenger"),
+                F.sum("msgs").alias("number_messages")))
+    return out.select(F.col("w.start").cast("timestamp_ntz").alias("ts"), "users_feed",
+                      F.col("views").cast("bigint").alias("views"), F.col("likes").cast("bigint").alias("likes"),
+                      F.round(F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double")), 3)
+                      .alias("ctr"),
+                      "users_messenger", F.col("number_messages").cast("bigint").alias("number_messages"))
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Closed windows of one micro-batch under ``batch=<id>/date=<day>``: a
     replayed batch overwrites its own folder, and readers prune by date."""
@@ -88,62 +120,44 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .partitionBy("date").parquet(f"{path}/batch={batch_id}"))
 
 
-def check_recent(spark: SparkSession, feed_table: str, message_table: str, now,
+def check_recent(spark: SparkSession, table: str, now,
                  lookback: dt.timedelta = dt.timedelta(days=2)) -> DataFrame:
-    """Band check over the buckets stored by the stream: the batch alert on
-    the window [now - lookback, now)."""
+    """Band check over the windows stored by the stream: the batch alert on
+    the feed windows of [now - lookback, now)."""
     start = as_datetime(now) - lookback
-
-    def recent(path: str) -> DataFrame:
-        df = spark.read.parquet(path)
-        return (df.where(F.col("date") >= F.lit(start.date().isoformat()).cast("date"))
-                .where(F.col("ts") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
-                .drop("date", "batch"))
-
-    feed = recent(feed_table)
-    try:
-        msg = recent(message_table)
-    except Exception:  # noqa: BLE001 - no closed messenger window stored yet
-        msg = spark.createDataFrame([], "ts timestamp_ntz, users_messenger bigint, number_messages bigint")
-    series = (feed.join(msg, "ts", "left")
-              .select("ts", "users_feed", "views", "likes", "ctr",
-                      F.coalesce(F.col("users_messenger"), F.lit(0)).alias("users_messenger"),
-                      F.coalesce(F.col("number_messages"), F.lit(0)).alias("number_messages")))
+    series = (spark.read.parquet(table)
+              .where(F.col("date") >= F.lit(start.date().isoformat()).cast("date"))
+              .where(F.col("ts") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
+              .where(F.col("users_feed") > 0)
+              .drop("date", "batch"))
     return alerts.alert_check(alerts.alert_bands(series))
 
 
 def run_alert_stream(spark: SparkSession, events_path: str, out_dir: str, checkpoint_dir: str,
                      available_now: bool = True, processing_time: str = "15 minutes",
                      check_alerts: bool = True):
-    """Start the two window streams with foreachBatch sinks under ``out_dir``
-    (``feed/``, ``messages/``, ``alerts/``). Returns the two queries."""
+    """Start the alert stream over event files landing in ``events_path``.
+
+    Each micro-batch appends its closed windows to ``out_dir/windows`` (one
+    folder per batch id, so a replayed batch replaces itself) and, when it
+    closed any window, writes the band check of the latest window to
+    ``out_dir/alerts/batch=<id>``. Returns the streaming query.
+    """
     events = read_event_stream(spark, events_path)
-    feed_w, msg_w = event_window_metrics(events)
-    feed_table, msg_table, alert_table = (f"{out_dir}/feed", f"{out_dir}/messages", f"{out_dir}/alerts")
+    windows = window_metrics(feed_from_events(events), message_from_events(events))
+    table, alert_table = f"{out_dir}/windows", f"{out_dir}/alerts"
 
-    def feed_sink(df: DataFrame, batch_id: int) -> None:
+    def sink(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
-        _write_batch(df, feed_table, batch_id)
+        _write_batch(df, table, batch_id)
         if check_alerts:
             last = df.agg(F.max("ts")).first()[0]
             now = last + dt.timedelta(minutes=15)
-            check_recent(df.sparkSession, feed_table, msg_table, now) \
-                .write.mode("overwrite").parquet(f"{alert_table}/batch={batch_id}")
-
-    def msg_sink(df: DataFrame, batch_id: int) -> None:
-        if not df.isEmpty():
-            _write_batch(df, msg_table, batch_id)
-
-    def start(df: DataFrame, sink, name: str):
-        w = (df.writeStream.outputMode("append").foreachBatch(sink)
-             .option("checkpointLocation", f"{checkpoint_dir}/{name}"))
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-        return w.start()
-
-    # Messenger first, so the feed batch's check sees the same closed buckets.
-    q_msg = start(msg_w, msg_sink, "messages")
-    if available_now:
-        q_msg.awaitTermination()
-    q_feed = start(feed_w, feed_sink, "feed")
-    return q_feed, q_msg
+            (check_recent(df.sparkSession, table, now)
+             .write.mode("overwrite").parquet(f"{alert_table}/batch={batch_id}"))
+
+    w = (windows.writeStream.outputMode("append").foreachBatch(sink)
+         .option("checkpointLocation", checkpoint_dir))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()

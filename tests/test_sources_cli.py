@@ -45,4 +45,4 @@ def test_cli_alert_stream_once(spark, tmp_dir, capsys):
     out = os.path.join(tmp_dir, "stream_out")
     assert main(["alert-stream", "--events", src, "--stream-checkpoint", os.path.join(tmp_dir, "ck"),
                  "--once", "--out", out]) == 0
-    assert spark.read.parquet(os.path.join(out, "feed")).count() > 300
+    assert spark.read.parquet(os.path.join(out, "windows")).where("users_feed > 0").count() > 300

@@ -48,16 +48,21 @@ def test_closed_windows_equal_batch(spark, tmp_dir):
 def test_alert_stream_tables(spark, tmp_dir):
     src = _landing(spark, tmp_dir)
     out = os.path.join(tmp_dir, "out")
-    q_feed, q_msg = alert_stream.run_alert_stream(spark, src, out, os.path.join(tmp_dir, "ck2"))
-    q_feed.awaitTermination()
-    feed = spark.read.parquet(f"{out}/feed")
-    assert feed.count() == feed.select("ts").distinct().count() > 2000
-    assert {"batch", "date"} <= set(feed.columns)
-    msg = spark.read.parquet(f"{out}/messages")
+    query = alert_stream.run_alert_stream(spark, src, out, os.path.join(tmp_dir, "ck2"))
+    query.awaitTermination()
+    win = spark.read.parquet(f"{out}/windows")
+    assert win.count() == win.select("ts").distinct().count() > 2000
+    assert {"batch", "date"} <= set(win.columns)
+    # feed windows equal the batch feed metrics; messenger columns equal batch counts
+    feed = win.where("users_feed > 0").select("ts", "users_feed", "views", "likes", "ctr")
+    want = {r.ts: tuple(r)[1:] for r in _batch_feed(spark).collect()}
+    for r in feed.collect():
+        assert want[r.ts] == tuple(r)[1:]
     batch_msg = (message_from_events(spark.read.parquet(f"{SF}/events.parquet"))
                  .groupBy(fifteen_minute_start("time").alias("ts"))
-                 .agg(F.count_distinct("user_id").alias("users_messenger")))
-    joined = msg.join(batch_msg, "ts").where(msg.users_messenger != batch_msg.users_messenger)
-    assert joined.count() == 0
+                 .agg(F.count_distinct("user_id").alias("u"), F.count("reciever_id").alias("n")))
+    joined = win.join(batch_msg, "ts")
+    assert joined.where((F.col("users_messenger") != F.col("u")) | (F.col("number_messages") != F.col("n"))).count() == 0
+    assert joined.count() > 1000
     alerts = spark.read.parquet(f"{out}/alerts")
     assert alerts.select("metric").distinct().count() == 6
