@@ -65,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder on shared storage")
         path = tempfile.mkdtemp(prefix="feedlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
