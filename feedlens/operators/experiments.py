@@ -236,11 +236,10 @@ def _spread_for_explode(df: DataFrame, key: str = "user_id", per_core: int = 2)
     A repartition with an explicit count is kept as is by AQE."""
     spark = df.sparkSession
     try:
-        cores = spark.sparkContext.defaultParallelism
+        cores = spark.sparkContext.defaultParallelism   # all executor cores of the cluster
     except Exception:  # noqa: BLE001 - no SparkContext (e.g. a remote session)
-        cores = 0
-    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))) * per_core
-    return df.repartition(n, key)
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, cores) * per_core, key)
 
 
 def poisson_bootstrap(users: DataFrame, groups: Sequence[int], reps: int = BOOTSTRAP_REPS,
