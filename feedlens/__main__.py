@@ -22,7 +22,8 @@ from feedlens.sources.actions import load_fixture, read_actions
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="feedlens")
-    p.add_argument("job", choices=["slices", "feed-report", "app-report", "alert", "alert-stream"])
+    p.add_argument("job", choices=["slices", "feed-report", "app-report", "alert", "alert-stream",
+                                   "ab-test", "aa-test"])
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="job date; 'yesterday' is the day before")
     p.add_argument("--now", default=None, help="alert clock, e.g. '2024-01-30 12:00:00'")
     src = p.add_mutually_exclusive_group()
@@ -34,6 +35,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True, help="output folder (shared storage)")
     p.add_argument("--table", default=None, help="slices: catalog table instead of a folder")
     p.add_argument("--append", action="store_true", help="slices: append instead of replacing the day")
+    p.add_argument("--start", help="ab-test / aa-test: first day of the experiment")
+    p.add_argument("--end", help="ab-test / aa-test: last day of the experiment")
+    p.add_argument("--groups", default="1,2", help="ab-test: control,treatment; aa-test: the two groups")
+    p.add_argument("--reps", type=int, default=None, help="bootstrap (ab-test) or A/A repetitions")
+    p.add_argument("--sample", type=int, default=500, help="aa-test: users drawn per group")
+    p.add_argument("--buckets", type=int, default=200, help="ab-test: buckets for bucket CTR")
     p.add_argument("--events", help="alert-stream: folder where event Parquet files land")
     p.add_argument("--stream-checkpoint", help="alert-stream: checkpoint folder (shared storage)")
     p.add_argument("--once", action="store_true", help="alert-stream: process what is there and stop")
@@ -66,6 +73,18 @@ def main(argv: list[str] | None = None) -> int:
         result["message"] = jobs.feed_report_job(actions, args.as_of, args.out).message
     elif args.job == "app-report":
         result["message"] = jobs.app_report_job(actions, args.as_of, args.out).message
+    elif args.job in ("ab-test", "aa-test"):
+        if not (args.start and args.end):
+            raise SystemExit(f"{args.job} needs --start and --end")
+        g = tuple(int(x) for x in args.groups.split(","))
+        if args.job == "ab-test":
+            rows = jobs.ab_test_job(actions, args.start, args.end, g[0], g[1], reps=args.reps or 3000,
+                                    buckets=args.buckets, out_dir=args.out).collect()
+            result["tests"] = [r.asDict() for r in rows]
+        else:
+            out = jobs.aa_test_job(actions, args.start, args.end, g, reps=args.reps or 10000,
+                                   sample=args.sample, out_dir=args.out)
+            result["message"] = out.message
     else:
         now = args.now or dt.datetime.now().isoformat(sep=" ", timespec="seconds")
         result["alerts"] = [r.message for r in jobs.alert_job(actions, now, args.out).collect()]

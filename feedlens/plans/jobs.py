@@ -9,6 +9,8 @@ for the same date replaces its own output, so scheduler retries are safe.
 * ``feed_report_job``    yesterday's feed text and the 7-day series
 * ``app_report_job``     yesterday's app text, daily series, weekly audience, top posts CSV
 * ``alert_job``          15-minute bands and alert rows for ``now``
+* ``ab_test_job``        every A/B test of a pair of groups over a date range
+* ``aa_test_job``        the A/A simulation summary and p-value histogram
 """
 
 from __future__ import annotations
@@ -17,7 +19,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from pyspark.sql import functions as F
+
 from feedlens.operators import alerts, cohorts, metrics, slices
+from feedlens.operators import experiments as ex
 from feedlens.operators.timeframe import as_date, as_datetime, yesterday
 from feedlens.session import ensure_checkpoint_dir
 from feedlens.sources import sinks
@@ -88,3 +93,69 @@ def alert_job(actions: Actions, now, out_dir: str | None = None) -> DataFrame:
         stamp = as_datetime(now).strftime("%Y-%m-%dT%H%M")
         check.write.mode("overwrite").parquet(f"{out_dir}/alerts/now={stamp}")
     return check.where("is_alert")
+
+
+def ab_test_job(actions: Actions, start, end, control: int, treatment: int,
+                reps: int = ex.BOOTSTRAP_REPS, buckets: int = ex.BUCKETS,
+                smoothing: float = ex.SMOOTHING_WEIGHT, alpha: float = ex.ALPHA,
+                out_dir: str | None = None) -> DataFrame:
+    """All tests of the study for one pair over [start, end]: Welch and
+    Mann-Whitney on CTR, Welch on smoothed CTR, on Poisson-bootstrap global
+    CTRs, on bucket CTRs (and Mann-Whitney there), and on linearized likes
+    with the control's CTR. Columns: test, group_a, group_b, statistic, df,
+    p_value, decision."""
+    pair = (int(control), int(treatment))
+    users = ex.user_ctr(actions.feed, start, end, pair)
+    bucketed = ex.bucket_ctr(actions.feed, start, end, pair, buckets)
+
+    def t_rows(name: str, stats: DataFrame) -> DataFrame:
+        return ex.with_t_p_value(stats, alpha).select(
+            F.lit(name).alias("test"), "group_a", "group_b", F.col("t").alias("statistic"),
+            "df", "p_value", "decision")
+
+    def u_rows(name: str, stats: DataFrame) -> DataFrame:
+        return ex.with_normal_p_value(stats, alpha).select(
+            F.lit(name).alias("test"), "group_a", "group_b", F.col("u_a").alias("statistic"),
+            F.lit(None).cast("double").alias("df"), "p_value", "decision")
+
+    lin = ex.linearized_likes(users, [pair])
+    parts = [
+        t_rows("welch_ctr", ex.welch_pairs(users, "ctr", [pair])),
+        u_rows("mann_whitney_ctr", ex.mann_whitney(users, "ctr", "exp_group", *pair)),
+        t_rows("welch_smoothed_ctr", ex.welch_pairs(ex.smoothed_ctr(users, pair, smoothing),
+                                                    "smoothed_ctr", [pair])),
+        t_rows("welch_bootstrap_ctr", ex.welch_pairs(ex.poisson_bootstrap(users, pair, reps), "ctr", [pair])),
+        t_rows("welch_bucket_ctr", ex.welch_pairs(bucketed, "bucket_ctr", [pair])),
+        u_rows("mann_whitney_bucket_ctr", ex.mann_whitney(bucketed, "bucket_ctr", "exp_group", *pair)),
+        t_rows("welch_linearized_likes", ex.welch_stats(lin, "linearized_likes", "side", "a", "b",
+                                                        keys=("group_a", "group_b"))),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    if out_dir:
+        out.write.mode("overwrite").parquet(
+            f"{out_dir}/ab_test/{as_date(start).isoformat()}_{as_date(end).isoformat()}_{pair[0]}_{pair[1]}")
+    return out
+
+
+def aa_test_job(actions: Actions, start, end, groups=(2, 3), reps: int = ex.AA_REPS,
+                sample: int = ex.AA_SAMPLE, alpha: float = ex.ALPHA,
+                out_dir: str | None = None) -> ReportOutput:
+    """The A/A check: ``reps`` Welch tests on samples of ``sample`` users per
+    group; the share of p <= alpha and the 10-bin p-value histogram."""
+    users = ex.user_ctr(actions.feed, start, end, groups)
+    pvalues = ex.with_t_p_value(ex.aa_stats(ex.aa_samples(users, tuple(groups), reps, sample), tuple(groups)),
+                                alpha).select("sim", "t", "df", "p_value")
+    ensure_checkpoint_dir(actions.feed.sparkSession)
+    pvalues = pvalues.checkpoint(eager=True)     # read by the summary and the histogram
+    summary = ex.aa_summary(pvalues, alpha)
+    hist = ex.histogram(pvalues, "p_value", bins=10, checkpoint=False)
+    if out_dir:
+        base = f"{out_dir}/aa_test/{as_date(start).isoformat()}_{as_date(end).isoformat()}"
+        summary.write.mode("overwrite").parquet(f"{base}/summary")
+        hist.write.mode("overwrite").parquet(f"{base}/histogram")
+    row = summary.first()
+    text = (f"A/A: {row.n_significant} of {row.n_sims} tests with p <= {alpha}"
+            f" (share {row.fp_share:.4f})") if row and row.n_sims else None
+    return ReportOutput(message=text, tables={"p_values": pvalues, "summary": summary, "histogram": hist})

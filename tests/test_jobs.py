@@ -29,3 +29,12 @@ def test_alert_job(spark, actions001, tmp_dir):
     assert set(rows.columns) >= {"metric", "value", "is_alert", "message"}
     stored = spark.read.parquet(os.path.join(tmp_dir, "alerts"))
     assert stored.count() == 6
+
+
+def test_ab_and_aa_jobs(spark, actions001, tmp_dir):
+    rows = jobs.ab_test_job(actions001, P.EXP_START, P.EXP_END, 1, 2, reps=200, buckets=20,
+                            out_dir=tmp_dir).collect()
+    assert len(rows) == 7 and all(0.0 <= r.p_value <= 1.0 for r in rows)
+    out = jobs.aa_test_job(actions001, P.EXP_START, P.EXP_END, (2, 3), reps=300, sample=20, out_dir=tmp_dir)
+    assert out.message.startswith("A/A: ") and "of 300 tests" in out.message
+    assert sum(r.n for r in out.tables["histogram"].collect()) == 300

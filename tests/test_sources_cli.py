@@ -46,3 +46,11 @@ def test_cli_alert_stream_once(spark, tmp_dir, capsys):
     assert main(["alert-stream", "--events", src, "--stream-checkpoint", os.path.join(tmp_dir, "ck"),
                  "--once", "--out", out]) == 0
     assert spark.read.parquet(os.path.join(out, "windows")).where("users_feed > 0").count() > 300
+
+
+def test_cli_ab_test(spark, tmp_dir, capsys):
+    from feedlens.__main__ import main
+    assert main(["ab-test", "--fixture", "/root/testdata/sf0.01", "--start", "2024-01-08", "--end", "2024-01-14",
+                 "--groups", "1,2", "--reps", "100", "--buckets", "20", "--out", tmp_dir]) == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert len(res["tests"]) == 7
