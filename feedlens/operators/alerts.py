@@ -112,9 +112,12 @@ def alert_check(bands: DataFrame) -> DataFrame:
     """The last bucket of each metric: is_alert when value < low or > up
     (a missing band never alerts), the change from the previous bucket, and
     the alert text. Columns: metric, ts, value, low, up, is_alert, deviation, message."""
-    last = (bands.groupBy("metric")
-            .agg(F.max_by(F.struct("ts", "value", "prev_value", "low", "up"), "ts").alias("r"))
-            .select("metric", "r.*"))
+    # The band table is already partitioned by metric and sorted by ts, so
+    # this window adds neither a shuffle nor a sort.
+    order = Window.partitionBy("metric").orderBy("ts")
+    last = (bands.withColumn("_next", F.lead("ts").over(order))
+            .where(F.col("_next").isNull())
+            .select("metric", "ts", "value", "prev_value", "low", "up"))
     v = F.col("value")
     alert = F.coalesce((v < F.col("low")) | (v > F.col("up")), F.lit(False))
     deviation = F.abs(F.lit(1.0) - F.try_divide(v, F.col("prev_value")))
