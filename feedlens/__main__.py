@@ -22,7 +22,7 @@ from feedlens.sources.actions import load_fixture, read_actions
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="feedlens")
-    p.add_argument("job", choices=["slices", "feed-report", "app-report", "alert", "alert-stream",
+    p.add_argument("job", choices=["slices", "activity", "feed-report", "app-report", "alert", "alert-stream",
                                    "ab-test", "aa-test"])
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="job date; 'yesterday' is the day before")
     p.add_argument("--now", default=None, help="alert clock, e.g. '2024-01-30 12:00:00'")
@@ -35,7 +35,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True, help="output folder (shared storage)")
     p.add_argument("--table", default=None, help="slices: catalog table instead of a folder")
     p.add_argument("--append", action="store_true", help="slices: append instead of replacing the day")
-    p.add_argument("--start", help="ab-test / aa-test: first day of the experiment")
+    p.add_argument("--tables", help="app-report: compact tables kept by the activity job")
+    p.add_argument("--start", help="activity: first day of a backfill; ab-test / aa-test: first day")
     p.add_argument("--end", help="ab-test / aa-test: last day of the experiment")
     p.add_argument("--groups", default="1,2", help="ab-test: control,treatment; aa-test: the two groups")
     p.add_argument("--reps", type=int, default=None, help="bootstrap (ab-test) or A/A repetitions")
@@ -69,10 +70,15 @@ def main(argv: list[str] | None = None) -> int:
         df = jobs.daily_slices_job(actions, args.as_of, args.out, table=args.table,
                                    mode="append" if args.append else "overwrite_days")
         result["rows"] = df.count()
+    elif args.job == "activity":
+        if args.start:
+            result.update(jobs.daily_activity_job(actions, args.out, start=args.start, end=args.end or args.start))
+        else:
+            result.update(jobs.daily_activity_job(actions, args.out, as_of=args.as_of))
     elif args.job == "feed-report":
         result["message"] = jobs.feed_report_job(actions, args.as_of, args.out).message
     elif args.job == "app-report":
-        result["message"] = jobs.app_report_job(actions, args.as_of, args.out).message
+        result["message"] = jobs.app_report_job(actions, args.as_of, args.out, tables_dir=args.tables).message
     elif args.job in ("ab-test", "aa-test"):
         if not (args.start and args.end):
             raise SystemExit(f"{args.job} needs --start and --end")

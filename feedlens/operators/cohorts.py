@@ -29,15 +29,28 @@ def _user_weeks(actions: Actions, feed_only: bool) -> DataFrame:
     return seen.distinct()
 
 
-def _weekly_rows(actions: Actions, feed_only: bool) -> DataFrame:
-    """One row per (user, active week) with the user's previous and next
-    active weeks."""
+def _with_neighbours(user_weeks: DataFrame) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("week")
-    return (_user_weeks(actions, feed_only)
+    return (user_weeks
             .withColumn("prev_seen", F.lag("week").over(w))
             .withColumn("next_seen", F.lead("week").over(w)))
 
 
+def _weekly_rows(actions: Actions, feed_only: bool) -> DataFrame:
+    """One row per (user, active week) with the user's previous and next
+    active weeks."""
+    return _with_neighbours(_user_weeks(actions, feed_only))
+
+
+def weekly_audience_from_activity(activity: DataFrame, as_of, feed_only: bool = False,
+                                  approx: bool = False) -> DataFrame:
+    """``weekly_audience`` from the per-(day, user) activity table (bit 1 of
+    ``f`` = feed) instead of raw events."""
+    a = activity.where(F.col("f").bitwiseAND(1) == 1) if feed_only else activity
+    weeks = a.select("user_id", monday("day").alias("week")).distinct()
+    return _weekly_counts(_with_neighbours(weeks), as_of, approx)
+
+
 def weekly_audience(actions: Actions, as_of, feed_only: bool = False,
                     approx: bool = False) -> DataFrame:
     """Users per (this_week, status): 'new' (not active the week before,
@@ -49,7 +62,10 @@ def weekly_audience(actions: Actions, as_of, feed_only: bool = False,
     Each (user, week) row yields its own status row and, when the user skips
     the next week, a 'gone' row for that week; one aggregate counts both.
     """
-    rows = _weekly_rows(actions, feed_only)
+    return _weekly_counts(_weekly_rows(actions, feed_only), as_of, approx)
+
+
+def _weekly_counts(rows: DataFrame, as_of, approx: bool) -> DataFrame:
     week = F.col("week")
     active = F.struct(
         week.alias("this_week"), add_weeks("week", -1).alias("previous_week"),

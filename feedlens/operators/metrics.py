@@ -188,6 +188,35 @@ def product_daily(actions: Actions) -> DataFrame:
     return out.select("day", *PRODUCT_METRICS)
 
 
+# --------------------------------------------------------------------------
+# incremental form: the app table from compact daily tables
+# --------------------------------------------------------------------------
+
+def first_seen(keys: DataFrame, key: str, earlier: DataFrame | None) -> DataFrame:
+    """(key, day) of keys first seen in the given days: the earliest day per
+    key within ``keys`` (columns key, day), minus keys already present in
+    ``earlier`` (first-seen rows of earlier days). A partial aggregate, then
+    an anti join on the key."""
+    first = keys.groupBy(key).agg(F.min("day").alias("day"))
+    if earlier is not None:
+        first = first.join(earlier.select(key), key, "left_anti")
+    return first
+
+
+def product_daily_from_tables(activity: DataFrame, user_first: DataFrame, post_first: DataFrame) -> DataFrame:
+    """``product_daily`` from the compact tables kept by the daily activity
+    job (per-(day, user) activity, users' and posts' first-seen days): the
+    same columns and rows, without reading raw events."""
+    d = _daily_totals(activity)
+    keep = _dau_present(d)
+    daily = d.select("day", "likes", "views", "messages_sent",
+                     *[F.when(keep, F.col(c)).alias(c) for c in ("dau_message", "dau_feed", "dau_all_services")])
+    nu = user_first.groupBy("day").agg(F.count("user_id").alias("new_users"))
+    npost = post_first.groupBy("day").agg(F.count("post_id").alias("new_posts"))
+    out = daily.join(nu, "day", "left").join(npost, "day", "left")
+    return out.select("day", *PRODUCT_METRICS)
+
+
 def _text(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit("n/a"))
 

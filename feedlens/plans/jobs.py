@@ -9,6 +9,8 @@ for the same date replaces its own output, so scheduler retries are safe.
 * ``feed_report_job``    yesterday's feed text and the 7-day series
 * ``app_report_job``     yesterday's app text, daily series, weekly audience, top posts CSV
 * ``alert_job``          15-minute bands and alert rows for ``now``
+* ``daily_activity_job`` the compact daily tables the app report can read
+                         instead of the whole raw history
 * ``ab_test_job``        every A/B test of a pair of groups over a date range
 * ``aa_test_job``        the A/A simulation summary and p-value histogram
 """
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 
 from feedlens.operators import alerts, cohorts, metrics, slices
 from feedlens.operators import experiments as ex
-from feedlens.operators.timeframe import as_date, as_datetime, yesterday
+from feedlens.functions.columns import day_of
+from feedlens.operators.timeframe import as_date, as_datetime, date_literal, where_days, yesterday
 from feedlens.session import ensure_checkpoint_dir
 from feedlens.sources import sinks
 from feedlens.sources.actions import Actions
@@ -65,16 +68,81 @@ def feed_report_job(actions: Actions, as_of, out_dir: str | None = None) -> Repo
     return ReportOutput(message=_first_message(day), tables={"day": day, "week": week, "series": series})
 
 
-def app_report_job(actions: Actions, as_of, out_dir: str | None = None) -> ReportOutput:
+ACTIVITY, USER_FIRST_SEEN, POST_FIRST_SEEN = "activity", "user_first_seen", "post_first_seen"
+
+
+def _write_days(df: DataFrame, path: str) -> None:
+    (df.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(path))
+
+
+def _read_table(spark, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return None
+
+
+def daily_activity_job(actions: Actions, tables_dir: str, as_of=None, start=None, end=None) -> dict:
+    """Keep three compact tables under ``tables_dir``, partitioned by day:
+    ``activity`` (one row per day and user: likes, views, messages, service
+    bits), ``user_first_seen`` and ``post_first_seen`` (one row per user or
+    post, under its first day).
+
+    A run covers yesterday (from ``as_of``) or the days [start, end] for a
+    backfill; it reads only those days of the action tables plus the
+    first-seen rows of earlier days. Days are overwritten, so retries are
+    safe; days are processed in date order (a first-seen day relies on the
+    earlier days' rows).
+    """
+    spark = actions.feed.sparkSession
+    if start is None:
+        start = end = yesterday(as_of)
+    end = end or start
+    feed = where_days(actions.feed, start, end)
+    msg = where_days(actions.message, start, end)
+    _write_days(metrics.user_day_activity(Actions(feed=feed, message=msg)), f"{tables_dir}/{ACTIVITY}")
+    in_range = (F.col("day") >= date_literal(start)) & (F.col("day") <= date_literal(end))
+    activity = spark.read.parquet(f"{tables_dir}/{ACTIVITY}").where(in_range)
+
+    def earlier(name: str) -> DataFrame | None:
+        t = _read_table(spark, f"{tables_dir}/{name}")
+        return t.where(F.col("day") < date_literal(start)) if t is not None else None
+
+    users = metrics.first_seen(activity.select("user_id", "day"), "user_id", earlier(USER_FIRST_SEEN))
+    _write_days(users, f"{tables_dir}/{USER_FIRST_SEEN}")
+    posts = metrics.first_seen(feed.select("post_id", day_of("time").alias("day")), "post_id",
+                               earlier(POST_FIRST_SEEN))
+    _write_days(posts, f"{tables_dir}/{POST_FIRST_SEEN}")
+    return {"start": as_date(start), "end": as_date(end)}
+
+
+def read_activity_tables(spark, tables_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return tuple(spark.read.parquet(f"{tables_dir}/{n}")
+                 for n in (ACTIVITY, USER_FIRST_SEEN, POST_FIRST_SEEN))
+
+
+def app_report_job(actions: Actions, as_of, out_dir: str | None = None,
+                   tables_dir: str | None = None) -> ReportOutput:
     """Yesterday's application text, the daily table and its long series,
-    weekly audience totals by status, and the top-10 posts file."""
-    # One row per day over the whole history: computed once, checkpointed to
-    # the session's checkpoint folder, then read by the text and the series.
-    ensure_checkpoint_dir(actions.feed.sparkSession)
-    daily = metrics.product_daily(actions).checkpoint(eager=True)
+    weekly audience totals by status, and the top-10 posts file. With
+    ``tables_dir`` (kept by ``daily_activity_job``), the daily table and
+    the weekly audience come from the compact tables instead of the raw
+    history."""
+    spark = actions.feed.sparkSession
+    ensure_checkpoint_dir(spark)
+    if tables_dir:
+        activity, user_first, post_first = read_activity_tables(spark, tables_dir)
+        daily = metrics.product_daily_from_tables(activity, user_first, post_first)
+        weekly = cohorts.weekly_audience_totals(cohorts.weekly_audience_from_activity(activity, as_of))
+    else:
+        daily = metrics.product_daily(actions)
+        weekly = cohorts.weekly_audience_totals(cohorts.weekly_audience(actions, as_of))
+    # One row per day: computed once, checkpointed to the session's
+    # checkpoint folder, then read by the text and the series.
+    daily = daily.checkpoint(eager=True)
     day = metrics.product_report_day(actions, as_of, daily=daily)
     series = metrics.long_series(daily, metrics.PRODUCT_METRICS)
-    weekly = cohorts.weekly_audience_totals(cohorts.weekly_audience(actions, as_of))
     top = metrics.top_posts(actions.feed, 10)
     if out_dir:
         base = f"{out_dir}/app_report/as_of={as_date(as_of).isoformat()}"

@@ -54,3 +54,14 @@ def test_cli_ab_test(spark, tmp_dir, capsys):
                  "--groups", "1,2", "--reps", "100", "--buckets", "20", "--out", tmp_dir]) == 0
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert len(res["tests"]) == 7
+
+
+def test_cli_activity_then_report(spark, tmp_dir, capsys):
+    from feedlens.__main__ import main
+    tables = os.path.join(tmp_dir, "tables")
+    assert main(["activity", "--fixture", "/root/testdata/sf0.001", "--start", "2024-01-01",
+                 "--end", "2024-01-30", "--out", tables]) == 0
+    assert main(["app-report", "--fixture", "/root/testdata/sf0.001", "--as-of", "2024-01-31",
+                 "--tables", tables, "--out", os.path.join(tmp_dir, "rep")]) == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["message"].startswith("App report for 30.01.2024")
