@@ -72,7 +72,9 @@ ACTIVITY, USER_FIRST_SEEN, POST_FIRST_SEEN = "activity", "user_first_seen", "pos
 
 
 def _write_days(df: DataFrame, path: str) -> None:
-    (df.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # REBALANCE groups rows by day for the partitioned write and lets AQE
+    # split a large day over several tasks (and merge small ones).
+    (df.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("day").parquet(path))
 
 

@@ -32,8 +32,9 @@ PARTITIONED BY (event_date)
 
 def _ordered(df: DataFrame) -> DataFrame:
     cols = [F.col(c).cast("bigint").alias(c) if i > 2 else F.col(c) for i, c in enumerate(SLICE_COLUMNS)]
-    # One write task per day: a day holds (dimension values) rows, a small number.
-    return (df.select(*cols).repartition("event_date")
+    # Rows grouped by day for the partitioned write (AQE sizes the tasks),
+    # sorted by day inside each file.
+    return (df.select(*cols).hint("rebalance", "event_date")
             .sortWithinPartitions("event_date", "dimension", "dimension_value"))
 
 
