@@ -2,8 +2,9 @@
 
 Every query reads the fixture's ``events`` table in full (through the two
 action views) and runs one job of the library with the parameters in
-``params``. Double columns are rounded to 6 decimals (and -0.0 folded into
-0.0) so results compare exactly against an independent SQL engine.
+``params``. Double columns are rounded to 6 decimals through a decimal
+(``rounded``), so results compare exactly against an independent SQL engine
+whose floating-point sums run in another order.
 """
 
 from __future__ import annotations
@@ -25,7 +26,12 @@ def rounded(df: DataFrame, digits: int = P.DIGITS) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append((F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name))
+            # Decimal rounding: the double goes to a 9-place decimal (absorbing
+            # the few ulps by which sums in another order differ), which is then
+            # rounded half-up exactly. A binary round() would split exact
+            # decimal halves (1.0135925) differently in different engines.
+            dec = F.col(f.name).try_cast(f"decimal(38,{P.PRE_DIGITS})")
+            cols.append(F.round(dec, digits).cast("double").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -25,7 +25,7 @@ def _ts(t) -> str:
 
 
 def _r(expr: str) -> str:
-    return f"round({expr}, {P.DIGITS}) + 0.0"
+    return f"CAST(round(TRY_CAST({expr} AS DECIMAL(38,{P.PRE_DIGITS})), {P.DIGITS}) AS DOUBLE)"
 
 
 def _ratio(num: str, den: str) -> str:

@@ -33,3 +33,4 @@ DROP_BASE_END = dt.date(2024, 1, 28)
 DROP_DAY = dt.date(2024, 1, 29)
 
 DIGITS = 6
+PRE_DIGITS = 9
