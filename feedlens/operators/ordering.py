@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_RANGES = 512
+
+
 def _range_index(col: Column, cuts: list[float]) -> Column:
     """Index of the range holding col: the number of cuts <= col (a balanced
     comparison tree, so it stays a plain codegen expression)."""
@@ -47,7 +50,10 @@ def running_total(df: DataFrame, order_col: str, sum_col: str, out_col: str,
     if checkpoint:
         df = materialize(df)
     spark = df.sparkSession
-    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # At most 512 ranges by default: the cuts become a comparison tree of
+    # depth log2(ranges) in generated code, and 512 tasks already give each a
+    # small share of the distinct values.
+    n = ranges or min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts: list[float] = []
     if n > 1:
         qs = df.approxQuantile(order_col, [i / n for i in range(1, n)], relative_error)
