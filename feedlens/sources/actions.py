@@ -154,3 +154,10 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
                   .option("numPartitions", num_partitions or 64))
     df = reader.load()
     return check_schema(df, schema, table) if schema is not None else df
+
+
+def register_views(actions: Actions, feed_name: str = "feed_actions",
+                   message_name: str = "message_actions") -> None:
+    """Expose the two tables as temporary views for ``spark.sql`` queries."""
+    actions.feed.createOrReplaceTempView(feed_name)
+    actions.message.createOrReplaceTempView(message_name)

@@ -65,3 +65,19 @@ def test_cli_activity_then_report(spark, tmp_dir, capsys):
                  "--tables", tables, "--out", os.path.join(tmp_dir, "rep")]) == 0
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert res["message"].startswith("App report for 30.01.2024")
+
+
+def test_sql_over_registered_views(spark, actions001):
+    from feedlens.operators import experiments as ex
+    from feedlens.sources import register_views
+    register_views(actions001)
+    sql = spark.sql("""
+        SELECT exp_group, user_id,
+               count_if(action = 'like') AS likes,
+               count_if(action = 'view') AS views,
+               try_divide(likes, views) AS ctr
+        FROM feed_actions
+        WHERE to_date(time) BETWEEN DATE'2024-01-08' AND DATE'2024-01-14' AND exp_group IN (1, 2)
+        GROUP BY exp_group, user_id""")
+    api = ex.user_ctr(actions001.feed, "2024-01-08", "2024-01-14", (1, 2))
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, api.collect()))
