@@ -347,9 +347,23 @@ _JOBS: dict[str, Callable[[Actions], DataFrame]] = {
 }
 
 
+_FIXTURES: dict[tuple[int, str], tuple[SparkSession, Actions]] = {}
+
+
+def _fixture(spark: SparkSession, sf_dir: str) -> Actions:
+    """The fixture's two table handles, built once per session and folder
+    (plans only: no data is cached)."""
+    key = (id(spark), sf_dir)
+    hit = _FIXTURES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, load_fixture(spark, sf_dir))
+        _FIXTURES[key] = hit
+    return hit[1]
+
+
 def _bind(job: Callable[[Actions], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(job(load_fixture(spark, sf_dir)))
+        return rounded(job(_fixture(spark, sf_dir)))
     run.__name__ = job.__name__
     run.__doc__ = job.__doc__
     return run

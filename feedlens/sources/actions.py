@@ -114,8 +114,20 @@ def message_from_events(events: DataFrame) -> DataFrame:
                 *_user_attributes("user_id")))
 
 
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The fixture's events, read with their declared schema (no footer
+    inference on every read)."""
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def load_fixture(spark: SparkSession, sf_dir: str) -> Actions:

@@ -23,20 +23,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedlens.operators import alerts
 from feedlens.operators.timeframe import as_datetime
-from feedlens.sources.actions import feed_from_events, message_from_events
-
-EVENTS_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
+from feedlens.sources.actions import EVENTS_SCHEMA, feed_from_events, message_from_events
+
 
 BUCKET = "15 minutes"
 
