@@ -47,3 +47,16 @@ def test_matches_duckdb(spark, duck, key):
     got = [tuple(r[c] for c in order) for r in df.collect()]
     exp = [tuple(r[cols.index(c)] for c in order) for r in res.fetchall()]
     assert _norm(got) == _norm(exp)
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+def test_column_types_match_duckdb(spark, duck, key):
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in E.queries()[key](spark, SF).schema.fields}
+    rel = duck.sql(E.oracle_sql()[key])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
