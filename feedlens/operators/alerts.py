@@ -94,18 +94,18 @@ def alert_bands(series: DataFrame, a: float = BAND_WIDTH, n: int = BAND_ROWS,
     order = Window.partitionBy("metric").orderBy("ts")
     before = order.rowsBetween(-n, -1)
     full = F.count("value").over(before) == n
-    banded = (long
-              .withColumn("prev_value", F.lag("value").over(order))
-              .withColumn("mean", F.when(full, F.avg("value").over(before)))
-              .withColumn("std", F.when(full, F.stddev_samp("value").over(before)))
-              .withColumn("_up", F.col("mean") + a * F.col("std"))
-              .withColumn("_low", F.col("mean") - a * F.col("std")))
+    banded = long.select(
+        "metric", "ts", "value",
+        F.lag("value").over(order).alias("prev_value"),
+        F.when(full, F.avg("value").over(before)).alias("mean"),
+        F.when(full, F.stddev_samp("value").over(before)).alias("std"))
     half = n // 2
-    return (banded
-            .withColumn("up", F.avg("_up").over(order.rowsBetween(-half, n - half - 1)))
-            .withColumn("low", F.avg("_low").over(order.rowsBetween(-(n - 1), 0)))
-            .select("metric", "ts", ts_label("ts").alias("label"),
-                    "value", "prev_value", "mean", "std", "up", "low"))
+    up = F.col("mean") + a * F.col("std")
+    low = F.col("mean") - a * F.col("std")
+    return banded.select(
+        "metric", "ts", ts_label("ts").alias("label"), "value", "prev_value", "mean", "std",
+        F.avg(up).over(order.rowsBetween(-half, n - half - 1)).alias("up"),
+        F.avg(low).over(order.rowsBetween(-(n - 1), 0)).alias("low"))
 
 
 def alert_check(bands: DataFrame) -> DataFrame:
@@ -128,7 +128,6 @@ def alert_check(bands: DataFrame) -> DataFrame:
         F.lit("Alert! Metric "), F.coalesce(label, F.col("metric")), F.lit(":\n- current value "),
         F.coalesce(fixed2(v), F.lit("n/a")), F.lit(";\n- deviation from the previous value "),
         F.coalesce(percent2(F.col("deviation")), F.lit("n/a")))
-    return (last.withColumn("is_alert", alert)
-            .withColumn("deviation", deviation)
-            .withColumn("message", F.when(F.col("is_alert"), message))
-            .select("metric", "ts", "value", "low", "up", "is_alert", "deviation", "message"))
+    flagged = last.select("metric", "ts", "value", "low", "up", alert.alias("is_alert"),
+                          deviation.alias("deviation"))
+    return flagged.select("*", F.when(F.col("is_alert"), message).alias("message"))
