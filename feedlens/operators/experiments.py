@@ -95,7 +95,7 @@ def welch_stats(df: DataFrame, value: str, side_col: str, a, b,
                 F.var_samp(xa).alias("var_a"), F.var_samp(xb).alias("var_b"))
     t, dof = _welch(F.col("n_a"), F.col("n_b"), F.col("mean_a"), F.col("mean_b"),
                     F.col("var_a"), F.col("var_b"))
-    return out.withColumn("t", t).withColumn("df", dof)
+    return out.select("*", t.alias("t"), dof.alias("df"))
 
 
 def with_t_p_value(stats: DataFrame, alpha: float = ALPHA) -> DataFrame:
@@ -155,11 +155,11 @@ def mann_whitney(df: DataFrame, value: str, group_col: str, a: int, b: int,
     u_a = F.col("_r2") / 2.0 - n_a * (n_a + 1) / 2.0
     n = n_a + n_b
     sigma = F.sqrt(n_a * n_b / 12.0 * ((n + 1) - F.try_divide(F.col("tie_sum"), n * (n - 1))))
-    out = (agg.withColumn("u_a", u_a)
-           .withColumn("u_b", n_a * n_b - F.col("u_a"))
-           .withColumn("z", F.try_divide(F.greatest("u_a", "u_b") - n_a * n_b / 2.0 - 0.5, sigma)))
-    return out.select(F.lit(a).cast("int").alias("group_a"), F.lit(b).cast("int").alias("group_b"),
-                      "n_a", "n_b", "u_a", "u_b", "tie_sum", "z")
+    us = agg.select("n_a", "n_b", "tie_sum", u_a.alias("u_a"), (n_a * n_b - u_a).alias("u_b"), sigma.alias("_s"))
+    z = F.try_divide(F.greatest("u_a", "u_b") - F.col("n_a").cast("double") * F.col("n_b") / 2.0 - 0.5,
+                     F.col("_s"))
+    return us.select(F.lit(a).cast("int").alias("group_a"), F.lit(b).cast("int").alias("group_b"),
+                     "n_a", "n_b", "u_a", "u_b", "tie_sum", z.alias("z"))
 
 
 def with_normal_p_value(stats: DataFrame, alpha: float = ALPHA) -> DataFrame:
