@@ -63,3 +63,14 @@ def test_audience_drop(spark):
     assert got[("source", "organic")] == (1, 1)
     assert got[("source", "ads")] == (2, 1)   # user 1 came back; user 3 (messenger, ads) did not
     assert got[("os", "iOS")] == (2, 1)
+
+
+def test_campaign_retention_segments(spark):
+    d = lambda k: MON + dt.timedelta(days=k)
+    a = _actions(spark, [(1, d(0), "ads"), (1, d(2), "ads"),          # cohort d0: other
+                         (2, d(1), "ads"), (3, d(1), "organic"),      # cohort d1: campaign
+                         (2, d(3), "ads")])
+    got = {(r.segment, r.cohort_date, r.day_n): (r.active_users, r.cohort_users, r.retention)
+           for r in cohorts.campaign_retention(a.feed, d(1), d(1)).collect()}
+    assert got == {("other", d(0), 0): (1, 1, 1.0), ("other", d(0), 2): (1, 1, 1.0),
+                   ("campaign", d(1), 0): (2, 2, 1.0), ("campaign", d(1), 2): (1, 2, 0.5)}
