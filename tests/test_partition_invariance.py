@@ -33,3 +33,19 @@ def results_by_partitions(spark):
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_same_result_for_1_and_13_partitions(results_by_partitions, key):
     assert results_by_partitions["1"][key] == results_by_partitions["13"][key]
+
+
+ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
+
+
+@pytest.mark.parametrize("key", ROWS_ONLY)
+def test_rows_only_keys_are_partition_invariant(spark, key):
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        out = []
+        for n in ("1", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out.append(_norm(E.queries()[key](spark, SF).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    assert out[0] == out[1]
