@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import bounded_batches, id_text, slices
+from feedlens.llm.common import id_text, ready, slices
 from feedlens.llm.tokens import CACHE_WORDS, default_tokenizer, is_byte_level, split_words
 
 _NEVER = np.int64(1) << 40
@@ -197,7 +197,7 @@ def codec(path: str) -> Codec:
 def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids (array of int) of each document."""
     path = tokenizer or default_tokenizer()
-    bounded_batches(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def run(batches):
         for part in slices(batches):
@@ -229,7 +229,7 @@ def round_trip_digests(docs: DataFrame, tokenizer: str | None = None, id_col: st
                        text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document, encoded and decoded in one task."""
     path = tokenizer or default_tokenizer()
-    bounded_batches(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def run(batches):
         for part in slices(batches):

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from feedlens.session import ensure_checkpoint_dir
 
+#: The seed of Spark's xxhash64, which makes hashes on both sides agree.
+SEED = 42
+#: A table of so many (doc_id, text_hash) rows at most may be broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Bytes of text that a task turns into Python objects at a time.
 SLICE_BYTES = 2_000_000
 
@@ -27,10 +34,20 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Ask for Arrow batches of bounded bytes, where the session has not chosen a bound itself."""
+def ready(spark: SparkSession) -> None:
+    """What tasks with Python code need: this package on the workers' path, and batches of bounded size.
+
+    On a cluster the package is shipped with the job; the path added here serves
+    sessions that imported it from a source folder. Batch bounds that the session
+    has chosen itself are left alone.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) in (None, "", str(2**63 - 1), str(2**31 - 1)):
+    if spark.conf.get(key, None) in (None, "", "-1", str(2**63 - 1), str(2**31 - 1)):
         spark.conf.set(key, str(16 << 20))
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
@@ -95,3 +112,71 @@ def with_range(df: DataFrame, column: str, cuts: list[float], out: str) -> DataF
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores before it until no column of the table has that name."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
+def with_text_scores(df: DataFrame, compute: Callable[[list[str | None]], dict[str, list]], fields: dict[str, str],
+                     text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
+    """Append columns that depend on the text alone, in one pass without a shuffle.
+
+    ``compute`` gets the texts of a slice (nulls stay) and returns the new columns; ``fields``
+    has their types. Also returns the names they were given, which clash with no column.
+    """
+    names = {}
+    for f in fields:
+        names[f] = free_name(df, f)
+    ready(df.sparkSession)
+    schema = T.StructType([*df.schema.fields, *(T.StructField(names[f], T._parse_datatype_string(t))
+                                                for f, t in fields.items())])
+    types = {f: to_arrow_type(schema[names[f]].dataType) for f in fields}
+
+    def run(batches):
+        for part in slices(batches, text_col):
+            made = compute(part[text_col].to_pylist())
+            for f in fields:
+                part = part.append_column(names[f], pa.array(made[f], types[f]))
+            yield part
+
+    return df.mapInArrow(run, schema), names
+
+
+def signed(unsigned: int) -> int:
+    """A 64-bit number as Spark's long."""
+    return unsigned - (1 << 64) if unsigned >> 63 else unsigned
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows named by (doc_id, text_hash, repeated), a table on shared storage.
+
+    Rows marked ``repeated`` share doc_id and meaning with a row that stays: of
+    each set of those the longest text stays, once.
+    """
+    counts = {r["repeated"]: r["n"] for r in dropped.groupBy("repeated").agg(F.count("*").alias("n")).collect()}
+    key, order = free_name(docs, "text_hash"), free_name(docs, "place")
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+
+    def joined(left: DataFrame, repeated: bool, how: str) -> DataFrame:
+        names = dropped.where(F.col("repeated") == repeated).select(
+            F.col("doc_id").alias("_dropped_id"), F.col("text_hash").alias("_dropped_hash"))
+        if counts.get(repeated, 0) <= BROADCAST_ROWS:
+            names = F.broadcast(names)
+        return left.join(names, left[id_col].cast("long").eqNullSafe(names["_dropped_id"])
+                         & (left[key] == names["_dropped_hash"]), how)
+
+    # a repeated row may have the very text of the row that stays
+    out = joined(keyed, False, "left_anti")
+    if counts.get(True):
+        ids = dropped.where("repeated").select(F.col("doc_id").alias("_dropped_id")).distinct()
+        several = out.join(ids, out[id_col].cast("long").eqNullSafe(ids["_dropped_id"]), "left_semi")
+        plain = F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"[ \t\n\x0B\f\r]", "")
+        best = Window.partitionBy(id_col, F.sha2(plain, 256)).orderBy(F.length(text_col).desc_nulls_last(), key)
+        once = several.withColumn(order, F.row_number().over(best)).where(F.col(order) == 1).drop(order)
+        out = out.join(ids, out[id_col].cast("long").eqNullSafe(ids["_dropped_id"]), "left_anti").unionByName(once)
+    return out.select(*docs.columns)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import bounded_batches, id_text, slices, work_dir, written
+from feedlens.llm.common import SEED, id_text, ready, signed, slices, without, work_dir, written
 
 #: Fixed value: the characters left out before texts are compared.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -35,7 +35,7 @@ SPACE = b" \t\n\x0b\x0c\r"
 TRIE_BYTES = 64 << 20
 
 _LOCAL = ("group_no bigint, row_no bigint, doc_id bigint, n_chars bigint, is_text boolean, n_rows bigint, "
-          "length bigint, content_hash bigint, body binary")
+          "text_hash bigint, length bigint, content_hash bigint, body binary")
 _OWNED = "group_no bigint, keep_row bigint, keep_id bigint, group_size bigint, text_sha256 string"
 
 
@@ -161,7 +161,7 @@ def _gather(trie_bytes: int):
         rows, held = [], 0
         for body, (group_no, best, n) in trie.subtree(trie.root, b""):
             neg, _, _, row_no = best[0]
-            rows.append((group_no, row_no, best[1], -neg, True, n, len(body), xxhash.xxh3_64_intdigest(body) - 2**63, body))
+            rows.append((group_no, row_no, best[1], -neg, True, n, None, len(body), xxhash.xxh3_64_intdigest(body) - 2**63, body))
             held += len(body)
             if held > 8 << 20:
                 yield _batch(rows, _LOCAL)
@@ -176,11 +176,13 @@ def _gather(trie_bytes: int):
         for part in slices(batches):
             members = []
             for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
-                body = text.encode().translate(None, SPACE)
+                raw = text.encode()
+                body = raw.translate(None, SPACE)
                 value = (group_no, (_rank(len(text), doc_id, row_no), doc_id), 1)
                 number = trie.insert(body, value, _merge_local)[0]  # the first of a text has given it
                 group_no += number == group_no
-                members.append((number, row_no, doc_id, len(text), False, 1, None, None, None))
+                members.append((number, row_no, doc_id, len(text), False, 1, signed(xxhash.xxh64_intdigest(raw, SEED)),
+                                None, None, None))
                 row_no += 1
             yield _batch(members, _LOCAL)
             if trie.bytes > trie_bytes:
@@ -232,12 +234,21 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 trie_bytes: int = TRIE_BYTES) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_chars."""
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_chars, text_hash (XXH64 of the text)."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    ready(spark)
     local = written(id_text(docs, id_col, text_col).mapInArrow(_gather(trie_bytes), _LOCAL), work_dir(spark, "dedup"))
     owned = (local.where("is_text").select("group_no", "row_no", "doc_id", "n_chars", "n_rows", "length", "content_hash", "body")
              .repartition("length", "content_hash").mapInArrow(_own(trie_bytes), _OWNED))
-    members = local.where("not is_text").select("group_no", "row_no", "doc_id", "n_chars")
+    members = local.where("not is_text").select("group_no", "row_no", "doc_id", "n_chars", "text_hash")
     return members.join(owned, "group_no").select(
-        "doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), "text_sha256", "n_chars")
+        "doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), "text_sha256", "n_chars",
+        "text_hash")
+
+
+def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that ``exact_dedup`` keeps; columns as before."""
+    decided = written(exact_dedup(docs, id_col, text_col).where("not kept").select(
+        "doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("repeated")),
+        work_dir(docs.sparkSession, "dedup-dropped"))
+    return without(docs, decided, id_col, text_col)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import bounded_batches, id_text, range_cuts, shuffle_partitions, slices, with_range
+from feedlens.llm.common import id_text, range_cuts, ready, shuffle_partitions, slices, with_range
 from feedlens.llm.tokens import default_tokenizer, encoder
 
 FILE_SCHEMA = "doc_id bigint, part int, row_start bigint, n_tokens int, ids array<int>"
@@ -31,7 +31,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                  id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode documents and write them to ORC files in ascending doc_id order."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    ready(spark)
     file, end = tokenizer or default_tokenizer(), end_id.to_bytes(4, "little")
     table = id_text(docs, id_col, text_col)
     n = parts or shuffle_partitions(spark)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from feedlens.llm.common import bounded_batches, id_text, slices
+from feedlens.llm.common import id_text, ready, slices
 from feedlens.llm.tokens import default_tokenizer, encoder
 
 #: Tokens that are packed together; a task holds the ids of one group.
@@ -141,7 +141,7 @@ def pack(docs: DataFrame, window: int = 1024, tokenizer: str | None = None, end_
          group_tokens: int = GROUP_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: document, place in it, sequence and offset there."""
     path = tokenizer or default_tokenizer()
-    bounded_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
 
     def run(batches):

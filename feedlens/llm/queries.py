@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import bpe, common, exact_dedup, orc_tokens, packing, simhash
+from feedlens.llm import (bpe, common, exact_dedup, html_extract, language, license_scan, lz_fingerprint, orc_tokens,
+                          packing, quality, simhash)
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(common.documents(spark, sf_dir))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(common.documents(spark, sf_dir))
+    return exact_dedup.exact_dedup(common.documents(spark, sf_dir)).drop("text_hash")
 
 
 def op3_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,18 +28,33 @@ def op4_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir))
 
 
+def op5_consensus_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.compare_edits(common.documents(spark, sf_dir))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(common.documents(spark, sf_dir))
+
+
 def op8_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, sf_dir))
 
 
+def op9_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(common.documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_orc_tokens, op4_bin_slack_packing, op8_golay_simhash,
-                            op10_speculative_bpe)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_license_scan, op2_exact_dedup, op3_orc_tokens, op4_bin_slack_packing, op5_consensus_extraction,
+    op6_lz_fingerprint, op7_language_id, op8_golay_simhash, op9_quality_score, op10_speculative_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": r"""

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import bounded_batches, id_text, slices, work_dir, written
+from feedlens.llm.common import SEED, id_text, ready, signed, slices, without, work_dir, written
 from feedlens.llm.components import connected_components
 
 #: Fixed value: generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the (23, 12) Golay code.
@@ -35,8 +35,6 @@ GENERATOR = 0b101011100011
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Members of a key that are compared with each other; larger keys take the way over middle words.
 SMALL_KEY = 64
-#: The seed that the fingerprint's definition fixes.
-SEED = 42
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -65,15 +63,18 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every document."""
-    bounded_batches(docs.sparkSession)
+    """doc_id, fingerprint (as a signed long) and text_hash (XXH64 of the text) of every document."""
+    ready(docs.sparkSession)
 
     def run(batches):
         for part in slices(batches):
-            values = np.array([fingerprint(t, shingle) for t in part["text"].to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+            texts = part["text"].to_pylist()
+            values = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
+            of_text = [signed(xxhash.xxh64_intdigest(t.encode(), SEED)) for t in texts]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(values.view(np.int64)), pa.array(of_text, pa.int64())],
+                                             names=["doc_id", "fp", "text_hash"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, fp bigint")
+    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, fp bigint, text_hash bigint")
 
 
 def golay_index() -> np.ndarray:
@@ -159,9 +160,9 @@ def links(distinct: DataFrame, small_key: int = SMALL_KEY) -> DataFrame:
     return small.unionByName(large)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
-                    small_key: int = SMALL_KEY) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+def classes(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+            small_key: int = SMALL_KEY) -> DataFrame:
+    """doc_id, fp, text_hash, component_id and root (a fingerprint of the component) of every document."""
     spark = docs.sparkSession
     folder = work_dir(spark, "simhash")
     table = written(fingerprints(docs, shingle, id_col, text_col), f"{folder}/fingerprints")
@@ -170,6 +171,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
     rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return table.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                            "component_id")
+    return table.join(rooted.join(least, "root").select("fp", "component_id", "root"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                    small_key: int = SMALL_KEY) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    return classes(docs, shingle, id_col, text_col, small_key).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each component the row with the smallest doc_id (then text hash; null ids last); columns as before."""
+    spark = docs.sparkSession
+    found = written(classes(docs, shingle, id_col, text_col), work_dir(spark, "simhash-classes"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    best = found.groupBy("root").agg(F.min(place).alias("best"), F.count("*").alias("n")).where("n > 1")
+    same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
+    others = found.join(best, "root").select("doc_id", "text_hash", same.alias("repeated"))
+    kept_once = others.where("repeated").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    dropped = others.where("not repeated").unionByName(
+        kept_once.select("doc_id", "text_hash", F.lit(True).alias("repeated")))
+    return without(docs, written(dropped, work_dir(spark, "simhash-dropped")), id_col, text_col)
