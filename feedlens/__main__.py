@@ -25,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("job", choices=["slices", "activity", "feed-report", "app-report", "alert", "alert-stream",
                                    "ab-test", "aa-test"])
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="job date; 'yesterday' is the day before")
+    p.add_argument("--time-zone", default="UTC", help="session time zone: the borders of days")
     p.add_argument("--now", default=None, help="alert clock, e.g. '2024-01-30 12:00:00'")
     src = p.add_mutually_exclusive_group()
     src.add_argument("--db", help="catalog database holding feed_actions and message_actions")
@@ -41,6 +42,10 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--groups", default="1,2", help="ab-test: control,treatment; aa-test: the two groups")
     p.add_argument("--reps", type=int, default=None, help="bootstrap (ab-test) or A/A repetitions")
     p.add_argument("--sample", type=int, default=500, help="aa-test: users drawn per group")
+    p.add_argument("--share", type=float, default=None, help="aa-test: share of each group instead of --sample")
+    p.add_argument("--method", default="auto", choices=["auto", "exact", "asymptotic"],
+                   help="ab-test: law of the Mann-Whitney p-value")
+    p.add_argument("--until", help="app-report: last day of actions to use (default: yesterday)")
     p.add_argument("--buckets", type=int, default=200, help="ab-test: buckets for bucket CTR")
     p.add_argument("--events", help="alert-stream: folder where event Parquet files land")
     p.add_argument("--stream-checkpoint", help="alert-stream: checkpoint folder (shared storage)")
@@ -51,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"feedlens-{args.job}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     ensure_checkpoint_dir(spark)
     if args.job == "alert-stream":
         from feedlens.streaming.alert_stream import run_alert_stream
@@ -78,18 +84,19 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "feed-report":
         result["message"] = jobs.feed_report_job(actions, args.as_of, args.out).message
     elif args.job == "app-report":
-        result["message"] = jobs.app_report_job(actions, args.as_of, args.out, tables_dir=args.tables).message
+        result["message"] = jobs.app_report_job(actions, args.as_of, args.out, tables_dir=args.tables,
+                                                until=args.until).message
     elif args.job in ("ab-test", "aa-test"):
         if not (args.start and args.end):
             raise SystemExit(f"{args.job} needs --start and --end")
         g = tuple(int(x) for x in args.groups.split(","))
         if args.job == "ab-test":
             rows = jobs.ab_test_job(actions, args.start, args.end, g[0], g[1], reps=args.reps or 3000,
-                                    buckets=args.buckets, out_dir=args.out).collect()
+                                    buckets=args.buckets, method=args.method, out_dir=args.out).collect()
             result["tests"] = [r.asDict() for r in rows]
         else:
             out = jobs.aa_test_job(actions, args.start, args.end, g, reps=args.reps or 10000,
-                                   sample=args.sample, out_dir=args.out)
+                                   sample=args.sample, share=args.share, out_dir=args.out)
             result["message"] = out.message
     else:
         now = args.now or dt.datetime.now().isoformat(sep=" ", timespec="seconds")

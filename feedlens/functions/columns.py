@@ -9,6 +9,7 @@ independent SQL engine.
 from __future__ import annotations
 
 import math
+import zlib
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,10 +49,11 @@ def hh_mm(ts: ColumnOrName) -> Column:
     return F.date_format(_col(ts), "HH:mm")
 
 
-def hash32(salt: str, *keys: ColumnOrName) -> Column:
-    """Unsigned 32-bit hash in [0, 2^32) of salt and keys (first 8 hex digits of md5)."""
-    text = F.concat_ws(":", F.lit(salt), *[_col(k).cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+def hash_halves(salt: str, *keys: ColumnOrName) -> tuple[Column, Column]:
+    """64-bit hash of salt and keys as two unsigned 32-bit halves (the first 16
+    hex digits of md5)."""
+    text = F.md5(F.concat_ws(":", F.lit(salt), *[_col(k).cast("string") for k in keys]))
+    return tuple(F.conv(F.substring(text, at, 8), 16, 10).cast("bigint") for at in (1, 9))
 
 
 # Fixed values of the 32-bit draw: the golden-ratio increment of a Weyl
@@ -71,18 +73,30 @@ def mix32(x: ColumnOrName) -> Column:
     return y.bitwiseXOR(F.shiftright(y, 16))
 
 
-def draw32(key: ColumnOrName, rep: ColumnOrName) -> Column:
-    """Uniform 32-bit draw number ``rep`` from a per-unit 32-bit key: the
-    rep-th output of a SplitMix-style generator seeded with the key. The
-    key is hashed once per unit, so exploding units x repetitions costs a
-    few integer operations per row."""
-    z = (_col(key) + _col(rep).cast("bigint") * GOLDEN32).bitwiseAND(M32)
-    return mix32(z)
+def _keyed_mix(hi: Column, z: Column) -> Column:
+    return mix32((mix32(z.bitwiseAND(M32)) + hi).bitwiseAND(M32))
+
+
+def draw32(hi: ColumnOrName, lo: ColumnOrName, rep: ColumnOrName) -> Column:
+    """Uniform 32-bit draw number ``rep`` from a per-unit 64-bit key (two
+    halves): the rep-th output of a SplitMix-style generator seeded with the
+    low half, mixed once more with the high half. Two units share their draws
+    only if all 64 bits agree. The key is hashed once per unit, so exploding
+    units x repetitions costs a few integer operations per row."""
+    return _keyed_mix(_col(hi), _col(lo) + _col(rep).cast("bigint") * GOLDEN32)
+
+
+def salt_offset(salt: str) -> int:
+    """A salt as a 32-bit offset of the mixed key."""
+    return (zlib.crc32(salt.encode()) * GOLDEN32) & M32
 
 
 def uniform_bucket(salt: str, key: ColumnOrName, buckets: int) -> Column:
-    """Bucket in [0, buckets) from the hash of one key."""
-    return (hash32(salt, key) % buckets).cast("int")
+    """Bucket in [0, buckets) of an integer key: a mix of its two 32-bit halves
+    with the salt, a few integer operations and no text."""
+    k = _col(key).cast("bigint")
+    hi, lo = F.shiftright(k, 32).bitwiseAND(M32), k.bitwiseAND(M32)
+    return (_keyed_mix(hi, lo + salt_offset(salt)) % buckets).cast("int")
 
 
 POISSON_TAIL = 2.0 ** -32

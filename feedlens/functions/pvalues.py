@@ -64,18 +64,39 @@ def _beta_cf(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return h
 
 
-def betainc_regularized(a, b, x) -> np.ndarray:
-    """I_x(a, b) for arrays; NaN where an input is NaN or out of range."""
-    a, b, x = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, b, x))
+_LARGE = 1e4
+
+
+def log_gamma_ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log Gamma(a + b) - log Gamma(a); by the series in 1/a where a is large,
+    since the difference of two large logarithms loses its digits."""
+    lg = np.vectorize(math.lgamma, otypes=[float])
+    out = np.empty(a.shape)
+    large = a > _LARGE
+    if (~large).any():
+        out[~large] = lg(a[~large] + b[~large]) - lg(a[~large])
+    if large.any():
+        u, v = a[large], b[large]
+        out[large] = (v * np.log(u) + v * (v - 1) / (2 * u) - v * (v - 1) * (2 * v - 1) / (12 * u**2)
+                      + (v * (v - 1)) ** 2 / (12 * u**3))
+    return out
+
+
+def betainc_regularized(a, b, x, complement=None) -> np.ndarray:
+    """I_x(a, b) for arrays; NaN where an input is NaN or out of range. Pass
+    ``complement`` = 1 - x where it is known more exactly than x."""
+    complement = 1.0 - np.asarray(x, dtype=float) if complement is None else complement
+    a, b, x, y = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, b, x, complement))
     out = np.full(x.shape, np.nan)
     ok = np.isfinite(a) & np.isfinite(b) & np.isfinite(x) & (a > 0) & (b > 0) & (x >= 0) & (x <= 1)
     out[ok & (x == 0)] = 0.0
-    out[ok & (x == 1)] = 1.0
-    inner = ok & (x > 0) & (x < 1)
+    out[ok & (y == 0)] = 1.0
+    inner = ok & (x > 0) & (y > 0) & (x <= 1)
     if inner.any():
-        ai, bi, xi = a[inner], b[inner], x[inner]
+        ai, bi, xi, yi = a[inner], b[inner], x[inner], y[inner]
         lg = np.vectorize(math.lgamma, otypes=[float])
-        log_front = lg(ai + bi) - lg(ai) - lg(bi) + ai * np.log(xi) + bi * np.log1p(-xi)
+        log_x = np.where(xi < 0.5, np.log(xi), np.log1p(-np.minimum(yi, 0.5)))
+        log_front = log_gamma_ratio(ai, bi) - lg(bi) + ai * log_x + bi * np.log(yi)
         front = np.exp(log_front)
         direct = xi < (ai + 1.0) / (ai + bi + 2.0)
         res = np.empty(xi.shape)
@@ -83,19 +104,29 @@ def betainc_regularized(a, b, x) -> np.ndarray:
             res[direct] = front[direct] * _beta_cf(ai[direct], bi[direct], xi[direct]) / ai[direct]
         flip = ~direct
         if flip.any():
-            res[flip] = 1.0 - front[flip] * _beta_cf(bi[flip], ai[flip], 1.0 - xi[flip]) / bi[flip]
+            res[flip] = 1.0 - front[flip] * _beta_cf(bi[flip], ai[flip], yi[flip]) / bi[flip]
         out[inner] = res
     return out
 
 
+# From so many degrees of freedom on, the expansion around the normal law is
+# more exact than the continued fraction, which needs about sqrt(df) terms.
+_NEAR_NORMAL = 2e5
+
+
 def student_t_two_sided(t, df) -> np.ndarray:
     """P(|T| >= |t|) for Student's t with df degrees of freedom (df may be fractional)."""
-    t = np.asarray(t, dtype=float)
-    df = np.asarray(df, dtype=float)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = df / (df + t * t)
-    p = betainc_regularized(df / 2.0, 0.5, x)
-    p = np.where(np.isinf(t) & np.isfinite(df) & (df > 0), 0.0, p)
+    t, df = np.broadcast_arrays(np.abs(np.asarray(t, dtype=float)), np.asarray(df, dtype=float))
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        near = df > _NEAR_NORMAL
+        d = np.where(near, np.nan, df)
+        p = betainc_regularized(d / 2.0, 0.5, d / (d + t * t), t * t / (d + t * t))
+        # Fisher's expansion in 1/df of the tail around the normal tail
+        u, n = np.where(near & np.isfinite(t), t, 0.0), np.where(near, df, 1.0)
+        terms = u * (u**2 + 1) / (4 * n) + u * (3 * u**6 - 7 * u**4 - 5 * u**2 - 3) / (96 * n**2)
+        tail = normal_two_sided_upper(u) + 2 * np.exp(-u * u / 2) / math.sqrt(2 * math.pi) * terms
+        p = np.where(near & np.isfinite(t), tail, p)
+    p = np.where(np.isinf(t) & (df > 0), 0.0, p)
     return np.clip(p, 0.0, 1.0)
 
 
@@ -126,54 +157,50 @@ def _u_counts(m: int, n: int) -> list[int]:
     return coef
 
 
-def _u_weights(m: int, n: int) -> np.ndarray:
-    """The same coefficients as floats, scaled to sum to 1 after each step
-    (vectorized: the small group has at most 8 values, the other may be large)."""
-    coef = np.zeros(m * n + 1)
-    coef[0] = 1.0
-    for i in range(1, m + 1):
-        shifted = np.zeros_like(coef)
-        shifted[n + i:] = coef[:-(n + i)]
-        coef = coef - shifted
-        for r in range(i):
-            coef[r::i] = np.cumsum(coef[r::i])
-        coef /= coef.sum()
-    return coef
+# The exact law counts orderings over m * n + 1 values of U in one Python process.
+EXACT_TABLE = 2_000_000
 
 
 def mann_whitney_exact_p(u_a: float, u_b: float, n_a: int, n_b: int) -> float:
     """Two-sided exact p-value: 2 * P(U >= max(u_a, u_b)), clipped to 1."""
     m, n = sorted((int(n_a), int(n_b)))
+    if m * n > EXACT_TABLE:
+        raise ValueError(f"exact Mann-Whitney law for groups of {m} and {n} values: pass method='asymptotic'")
     u = int(round(max(u_a, u_b)))
-    if m * n <= 20000:
-        coef = _u_counts(m, n)
-        tail = sum(coef[u:]) / sum(coef)
-    else:
-        tail = float(_u_weights(m, n)[u:].sum())
-    return min(1.0, 2.0 * tail)
-
-
-def mann_whitney_method(n_a: int, n_b: int, tie_sum: float) -> str:
-    small = min(n_a, n_b) <= EXACT_MAX
-    return "exact" if small and tie_sum == 0 and min(n_a, n_b) > 0 else "asymptotic"
+    coef = _u_counts(m, n)
+    return min(1.0, 2.0 * (sum(coef[u:]) / sum(coef)))
+
+
+def mann_whitney_method(n_a: Column, n_b: Column, tie_sum: Column, method: str = "auto") -> Column:
+    """The law behind the p-value: 'exact' or 'asymptotic'. ``auto`` is the
+    study's rule (scipy's default): exact when a group has at most 8 values and
+    there are no ties."""
+    if method == "auto":
+        small = (F.least(n_a, n_b) <= EXACT_MAX) & (F.least(n_a, n_b) > 0)
+        return F.when(small & (tie_sum == 0), F.lit("exact")).otherwise(F.lit("asymptotic"))
+    if method == "exact":
+        # the count of orderings does not cover ties
+        tied = F.raise_error(F.lit("exact Mann-Whitney law asked for values with ties"))
+        return F.when(tie_sum > 0, tied).otherwise(F.lit("exact"))
+    if method != "asymptotic":
+        raise ValueError(f"method {method!r}: use 'auto', 'exact' or 'asymptotic'")
+    return F.lit("asymptotic")
 
 
 @F.pandas_udf(T.DoubleType())
 def _mw_p_udf(u_a: pd.Series, u_b: pd.Series, n_a: pd.Series, n_b: pd.Series,
-              tie_sum: pd.Series, z: pd.Series) -> pd.Series:
+              method: pd.Series, z: pd.Series) -> pd.Series:
     out = normal_two_sided_upper(z.to_numpy(dtype=float, na_value=np.nan))
     for i in range(len(out)):
-        if pd.isna(n_a.iat[i]) or pd.isna(n_b.iat[i]) or pd.isna(tie_sum.iat[i]):
-            continue
-        if mann_whitney_method(int(n_a.iat[i]), int(n_b.iat[i]), float(tie_sum.iat[i])) == "exact":
+        if method.iat[i] == "exact":
             out[i] = mann_whitney_exact_p(u_a.iat[i], u_b.iat[i], n_a.iat[i], n_b.iat[i])
     return pd.Series(out)
 
 
 def mann_whitney_p_value(u_a: Column, u_b: Column, n_a: Column, n_b: Column,
-                         tie_sum: Column, z: Column) -> Column:
-    """Exact law for small groups without ties, normal law otherwise."""
-    return _mw_p_udf(u_a, u_b, n_a, n_b, tie_sum, z)
+                         method: Column, z: Column) -> Column:
+    """The law named by ``method`` ('exact' or 'asymptotic')."""
+    return _mw_p_udf(u_a, u_b, n_a, n_b, method, z)
 
 
 @F.pandas_udf(T.DoubleType())

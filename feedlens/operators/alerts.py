@@ -72,10 +72,11 @@ def alert_series(actions: Actions, now, since=None) -> DataFrame:
                     F.coalesce(F.col("number_messages"), F.lit(0)).alias("number_messages")))
 
 
-def alert_long(series: DataFrame, metrics=ALERT_METRICS) -> DataFrame:
-    """(ts, metric, value) rows."""
-    return (series.select("ts", *[F.col(m).cast("double").alias(m) for m in metrics])
-            .unpivot("ts", list(metrics), "metric", "value"))
+def alert_long(series: DataFrame, metrics=ALERT_METRICS, keys=()) -> DataFrame:
+    """(keys..., ts, metric, value) rows."""
+    ids = [*keys, "ts"]
+    return (series.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics])
+            .unpivot(ids, list(metrics), "metric", "value"))
 
 
 def ts_label(ts: str = "ts"):
@@ -84,18 +85,19 @@ def ts_label(ts: str = "ts"):
 
 
 def alert_bands(series: DataFrame, a: float = BAND_WIDTH, n: int = BAND_ROWS,
-                metrics=ALERT_METRICS) -> DataFrame:
-    """Columns: metric, ts, label, value, prev_value, mean, std, up, low.
+                metrics=ALERT_METRICS, keys=()) -> DataFrame:
+    """Columns: [keys...,] metric, ts, label, value, prev_value, mean, std, up,
+    low; with ``keys`` each of their values is a series of its own.
 
     mean and std cover the n rows before (NULL unless all n hold a value);
     the upper band is smoothed on a centred frame, the lower on a trailing one.
     """
-    long = alert_long(series, metrics)
-    order = Window.partitionBy("metric").orderBy("ts")
+    long = alert_long(series, metrics, keys)
+    order = Window.partitionBy(*keys, "metric").orderBy("ts")
     before = order.rowsBetween(-n, -1)
     full = F.count("value").over(before) == n
     banded = long.select(
-        "metric", "ts", "value",
+        *keys, "metric", "ts", "value",
         F.lag("value").over(order).alias("prev_value"),
         F.when(full, F.avg("value").over(before)).alias("mean"),
         F.when(full, F.stddev_samp("value").over(before)).alias("std"))
@@ -103,21 +105,21 @@ def alert_bands(series: DataFrame, a: float = BAND_WIDTH, n: int = BAND_ROWS,
     up = F.col("mean") + a * F.col("std")
     low = F.col("mean") - a * F.col("std")
     return banded.select(
-        "metric", "ts", ts_label("ts").alias("label"), "value", "prev_value", "mean", "std",
+        *keys, "metric", "ts", ts_label("ts").alias("label"), "value", "prev_value", "mean", "std",
         F.avg(up).over(order.rowsBetween(-half, n - half - 1)).alias("up"),
         F.avg(low).over(order.rowsBetween(-(n - 1), 0)).alias("low"))
 
 
-def alert_check(bands: DataFrame) -> DataFrame:
+def alert_check(bands: DataFrame, keys=()) -> DataFrame:
     """The last bucket of each metric: is_alert when value < low or > up
     (a missing band never alerts), the change from the previous bucket, and
     the alert text. Columns: metric, ts, value, low, up, is_alert, deviation, message."""
     # The band table is already partitioned by metric and sorted by ts, so
     # this window adds neither a shuffle nor a sort.
-    order = Window.partitionBy("metric").orderBy("ts")
+    order = Window.partitionBy(*keys, "metric").orderBy("ts")
     last = (bands.withColumn("_next", F.lead("ts").over(order))
             .where(F.col("_next").isNull())
-            .select("metric", "ts", "value", "prev_value", "low", "up"))
+            .select(*keys, "metric", "ts", "value", "prev_value", "low", "up"))
     v = F.col("value")
     alert = F.coalesce((v < F.col("low")) | (v > F.col("up")), F.lit(False))
     deviation = F.abs(F.lit(1.0) - F.try_divide(v, F.col("prev_value")))
@@ -128,6 +130,24 @@ def alert_check(bands: DataFrame) -> DataFrame:
         F.lit("Alert! Metric "), F.coalesce(label, F.col("metric")), F.lit(":\n- current value "),
         F.coalesce(fixed2(v), F.lit("n/a")), F.lit(";\n- deviation from the previous value "),
         F.coalesce(percent2(F.col("deviation")), F.lit("n/a")))
-    flagged = last.select("metric", "ts", "value", "low", "up", alert.alias("is_alert"),
+    flagged = last.select(*keys, "metric", "ts", "value", "low", "up", alert.alias("is_alert"),
                           deviation.alias("deviation"))
     return flagged.select("*", F.when(F.col("is_alert"), message).alias("message"))
+
+
+def check_each(series: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``alert_check`` for each bucket (column ``ts``) of ``buckets`` as the last
+    closed one: its series runs from the start of the day before the moment the
+    bucket closed, as in ``alert_window``. ``series`` holds 15-minute rows of
+    ``alert_series``; a bucket meets two days of it at most, by an equi-join on
+    the date. Columns as ``alert_check``; the bucket is ``ts``."""
+    closes = F.col("closed") + F.expr("INTERVAL 15 MINUTES")
+    first = F.date_sub(F.to_date(closes), 1)
+    wanted = (buckets.select(F.col("ts").alias("closed")).distinct()
+              .withColumn("first", first)
+              .withColumn("date", F.explode(F.sequence("first", F.to_date("closed")))))
+    rows = series.withColumn("date", F.to_date("ts")).join(wanted, "date")
+    within = rows.where(F.col("ts") <= F.col("closed"))
+    checked = alert_check(alert_bands(within, keys=("closed",)), keys=("closed",))
+    # a bucket without a row of its own (no feed actions) has nothing to test
+    return checked.where(F.col("ts") == F.col("closed")).drop("closed")

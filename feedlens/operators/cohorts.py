@@ -88,8 +88,15 @@ def _weekly_counts(rows: DataFrame, as_of, approx: bool) -> DataFrame:
 
 
 def weekly_audience_totals(weekly: DataFrame) -> DataFrame:
-    return (weekly.groupBy("this_week", "status")
-            .agg(F.sum("num_users").cast("bigint").alias("num_users")))
+    """Net users per week (gone users count negative) and the week's label on
+    the report chart (dd/MM/yyyy)."""
+    return (weekly.groupBy("this_week").agg(F.sum("num_users").cast("bigint").alias("num_users"))
+            .select("this_week", F.date_format("this_week", "dd/MM/yyyy").alias("label"), "num_users"))
+
+
+def weekly_audience_series(weekly: DataFrame) -> DataFrame:
+    """The bars of the report chart: users per week and status, with the label."""
+    return weekly.select("this_week", F.date_format("this_week", "dd/MM/yyyy").alias("label"), "status", "num_users")
 
 
 # --------------------------------------------------------------------------
@@ -145,8 +152,9 @@ def audience_drop(actions: Actions, base_start, base_end, drop_day,
     """Users active in [base_start, base_end] but absent on ``drop_day``,
     counted by each dimension next to the base count.
 
-    Absence is an anti-join against the drop day's users (a left join with a
-    presence flag, so that one grouping-sets aggregate yields both counts).
+    A user counts once per value of a dimension, however many combinations of
+    attributes the user had; with several values of one attribute the user
+    counts under each. Absence is a left join with the drop day's users.
     Columns: dimension, dimension_value, users_base, users_missing, share_missing.
     """
     cols = ["user_id", *dimensions]
@@ -155,24 +163,14 @@ def audience_drop(actions: Actions, base_start, base_end, drop_day,
         return where_days(df, start, end).select(*cols)
 
     base = (seen(actions.feed, base_start, base_end)
-            .unionByName(seen(actions.message, base_start, base_end))
-            .distinct())
+            .unionByName(seen(actions.message, base_start, base_end)).distinct()
+            .select("user_id", *[F.col(d).cast("string").alias(d) for d in dimensions])
+            .unpivot(["user_id"], list(dimensions), "dimension", "dimension_value")
+            .where(F.col("dimension_value").isNotNull()).distinct())
     present = (seen(actions.feed, drop_day, drop_day).select("user_id")
                .unionByName(seen(actions.message, drop_day, drop_day).select("user_id"))
                .distinct().withColumn("present", F.lit(True)))
-    j = base.join(present, "user_id", "left")
-    g = (j.groupingSets([[d] for d in dimensions], *dimensions)
-         .agg(F.count(F.lit(1)).alias("users_base"),
-              F.count_if(F.col("present").isNull()).alias("users_missing"),
-              *[F.grouping(d).alias(f"_g_{d}") for d in dimensions]))
-    name = F.lit(None).cast("string")
-    value = F.lit(None).cast("string")
-    for d in dimensions:
-        chosen = F.col(f"_g_{d}") == 0
-        name = F.when(chosen, F.lit(d)).otherwise(name)
-        value = F.when(chosen, F.col(d).cast("string")).otherwise(value)
-    return (g.select(name.alias("dimension"), value.alias("dimension_value"),
-                     "users_base", "users_missing")
-            .where(F.col("dimension_value").isNotNull())
+    return (base.join(present, "user_id", "left").groupBy("dimension", "dimension_value")
+            .agg(F.count(F.lit(1)).alias("users_base"),
+                 F.count_if(F.col("present").isNull()).alias("users_missing"))
             .withColumn("share_missing", ratio("users_missing", "users_base")))
-

@@ -3,10 +3,12 @@
 Every statistic is an aggregate: per-group moments (count, mean, sample
 variance) come out of one partial + final hash aggregate, so the shuffle holds
 a handful of rows per task no matter how many users there are. Resampling
-(A/A subsamples, Poisson bootstrap) is expressed as ``explode`` of a
-repetition index per user with a hash-derived draw, followed by an aggregate
-whose partial step runs map-side; the (users x repetitions) rows are never
-shuffled or cached. Only p-values use Python (see ``functions.pvalues``).
+by Poisson weights is an ``explode`` of a repetition index per user with a
+hash-derived draw, followed by an aggregate whose partial step runs map-side;
+the (users x repetitions) rows are never shuffled or cached. A/A samples are
+drawn as row numbers, so their cost does not depend on the number of users.
+Only p-values and sampled row numbers use Python (``functions.pvalues``,
+``functions.permutation``), never events.
 
 Group and pair lists are parameters, so the small tables built from them
 (pairs, group totals) have a proven size and are broadcast explicitly.
@@ -15,15 +17,17 @@ Group and pair lists are parameters, so the small tables built from them
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import draw32, hash32, poisson1_weight, ratio, uniform_bucket
-from feedlens.functions.pvalues import EXACT_MAX, decision, mann_whitney_p_value, t_test_p_value
-from feedlens.operators.ordering import materialize, running_total
+from feedlens.functions import permutation
+from feedlens.functions.columns import draw32, hash_halves, poisson1_weight, ratio, salt_offset, uniform_bucket
+from feedlens.functions.pvalues import decision, mann_whitney_method, mann_whitney_p_value, t_test_p_value
+from feedlens.operators.ordering import RANGES, materialize, row_index, running_total
 from feedlens.operators.timeframe import where_days
 
 # Defaults of the reference study (fixed values).
@@ -106,8 +110,9 @@ def with_t_p_value(stats: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 def pair_sides(spark, pairs: Sequence[Pair], group_col: str = "exp_group") -> DataFrame:
     """One row per (pair, side): group_a, group_b, <group_col>, side ('a'/'b').
-    Its size is 2 x len(pairs)."""
-    rows = [(int(a), int(b), int(g), s) for a, b in pairs for g, s in ((a, "a"), (b, "b"))]
+    A pair listed twice counts once. Its size is 2 x len(pairs)."""
+    distinct = dict.fromkeys((int(a), int(b)) for a, b in pairs)
+    rows = [(a, b, g, s) for a, b in distinct for g, s in ((a, "a"), (b, "b"))]
     return spark.createDataFrame(rows, f"group_a int, group_b int, {group_col} int, side string")
 
 
@@ -130,7 +135,7 @@ def welch_pairs(users: DataFrame, value: str, pairs: Sequence[Pair],
 # --------------------------------------------------------------------------
 
 def mann_whitney(df: DataFrame, value: str, group_col: str, a: int, b: int,
-                 ranges: int | None = None) -> DataFrame:
+                 ranges: int = RANGES) -> DataFrame:
     """Two-sided Mann-Whitney U of ``value`` between groups a and b.
 
     Ranks with ties are averaged. Values are first reduced to distinct values
@@ -162,16 +167,15 @@ def mann_whitney(df: DataFrame, value: str, group_col: str, a: int, b: int,
                      "n_a", "n_b", "u_a", "u_b", "tie_sum", z.alias("z"))
 
 
-def with_normal_p_value(stats: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """Add the Mann-Whitney p-value: the exact law when a group has at most 8
-    values and there are no ties, else the normal law with tie and
-    continuity correction (the choice is in ``method``)."""
+def with_normal_p_value(stats: DataFrame, alpha: float = ALPHA, method: str = "auto") -> DataFrame:
+    """Add the Mann-Whitney p-value under the law that ``method`` names: 'exact',
+    'asymptotic' (normal, with tie and continuity correction) or 'auto', the
+    study's rule (exact when a group has at most 8 values and there are no ties).
+    The law used is in column ``method``."""
     c = F.col
-    small = F.least("n_a", "n_b") <= EXACT_MAX
-    method = F.when(small & (c("tie_sum") == 0) & (F.least("n_a", "n_b") > 0), F.lit("exact")) \
-        .otherwise(F.lit("asymptotic"))
-    p = mann_whitney_p_value(c("u_a"), c("u_b"), c("n_a"), c("n_b"), c("tie_sum"), c("z"))
-    return (stats.withColumn("method", method).withColumn("p_value", p)
+    law = mann_whitney_method(c("n_a"), c("n_b"), c("tie_sum"), method)
+    p = mann_whitney_p_value(c("u_a"), c("u_b"), c("n_a"), c("n_b"), c("method"), c("z"))
+    return (stats.withColumn("method", law).withColumn("p_value", p)
             .withColumn("decision", decision(F.col("p_value"), alpha)))
 
 
@@ -225,41 +229,48 @@ def bucket_ctr(feed: DataFrame, start, end, groups: Sequence[int], buckets: int
             .withColumn("bucket_ctr", ratio("likes", "views")))
 
 
+def bucket_ctr_of_users(users: DataFrame, groups: Sequence[int], buckets: int = BUCKETS,
+                        salt: str = "bucket") -> DataFrame:
+    """``bucket_ctr`` from the per-user table, where one exists already."""
+    return (users.where(F.col("exp_group").isin(*groups))
+            .groupBy("exp_group", uniform_bucket(salt, "user_id", buckets).alias("bucket"))
+            .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"))
+            .withColumn("bucket_ctr", ratio("likes", "views")))
+
+
 # --------------------------------------------------------------------------
 # Poisson bootstrap
 # --------------------------------------------------------------------------
 
-def _spread_for_explode(df: DataFrame, key: str = "user_id", per_core: int = 2) -> DataFrame:
-    """Hash-partition a per-user table over the cluster before a repetition
-    explode. After an aggregate, AQE coalesces a small table into few
-    partitions; exploding by thousands there would leave a few huge tasks.
-    A repartition with an explicit count is kept as is by AQE."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism   # all executor cores of the cluster
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a remote session)
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(1, cores) * per_core, key)
+def explode_tasks(spark, per_core: int = 2) -> int:
+    """Tasks for a repetition explode: at least the session's shuffle partitions,
+    since under dynamic allocation the cores known now may be the start-up ones."""
+    return max(per_core * spark.sparkContext.defaultParallelism,
+               int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def poisson_bootstrap(users: DataFrame, groups: Sequence[int], reps: int = BOOTSTRAP_REPS,
-                      salt: str = "poisson") -> DataFrame:
+                      salt: str = "poisson", tasks: int | None = None) -> DataFrame:
     """Global CTR of each group under ``reps`` Poisson(1) reweightings.
 
     Weight of (rep b, user) = Poisson(1) inverse CDF of draw b of the
     user's key (an md5 hash of salt and user, computed once per user). The
     exploded rows live only inside one stage: the partial aggregate by
-    (group, b) runs before the shuffle.
+    (group, b) runs before the shuffle. The per-user table is spread over
+    ``tasks`` partitions first: after an aggregate AQE coalesces a small table
+    into few, and exploding by thousands there would leave a few huge tasks.
     Columns: exp_group, b, likes_w, views_w, ctr.
     """
+    hi, lo = hash_halves(salt, "user_id")
     u = (users.where(F.col("exp_group").isin(*groups))
-         .select("exp_group", "user_id", "likes", "views", hash32(salt, "user_id").alias("_key")))
+         .select("exp_group", "user_id", "likes", "views", hi.alias("_hi"), lo.alias("_lo"))
+         .repartition(tasks or explode_tasks(users.sparkSession), "user_id"))
     # The draw is its own column: the weight's CASE tests it up to 12 times.
     # Weight-0 rows are not filtered out: they add nothing to the sums, and a
     # filter on w would be pushed below the projections with the CASE (and
     # the draw in each branch) inlined into it.
-    x = (_spread_for_explode(u).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-         .withColumn("_h", draw32("_key", "b"))
+    x = (u.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
+         .withColumn("_h", draw32("_hi", "_lo", "b"))
          .withColumn("w", poisson1_weight("_h")))
     return (x.groupBy("exp_group", "b")
             .agg(F.sum(F.col("w") * F.col("likes")).alias("likes_w"),
@@ -281,59 +292,51 @@ def bootstrap_diff(boot: DataFrame, a: int, b: int) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sample: int = AA_SAMPLE,
-               salt: str = "aa", value: str = "ctr", margin_sigmas: float = 8.0) -> DataFrame:
-    """``reps`` samples of ``sample`` users per group without replacement.
-
-    Sample s of group g = the ``sample`` users of g with the smallest draw s
-    of their key (ties by user id): a uniform draw without replacement. Keys
-    are md5 hashes of (salt, user), one per user; draws are
-    ``functions.columns.draw32``.
-
-    Plan: users x repetitions are exploded inside one stage, and pairs whose
-    draw is above a cut that keeps about sample + 8 sigma per (s, g) are
-    dropped there (``margin_sigmas`` sets the margin), so only candidates
-    are shuffled and ranked. Each (s, g)
-    left with fewer than ``sample`` candidates (probability < 1e-12) ranks
-    all its users instead, so the result is exact either way; that ranking is
-    a ``row_number() <= sample`` filter, which Spark plans with a per-task
-    top-n before the shuffle, so no task receives a whole group. The candidate
-    shuffle feeds both the ranking and the candidate count (one exchange,
-    reused). A group smaller than ``sample`` fails the job: drawing without
-    replacement cannot be done. Columns: sim, exp_group, user_id, <value>.
+               share: float | None = None, salt: str = "aa", value: str = "ctr",
+               tasks: int | None = None) -> DataFrame:
+    """``reps`` samples of ``sample`` users per group without replacement, or of
+    the ``share`` of each group's users if that is given.
+
+    The users of a group are numbered by user id; sample s of group g takes
+    the users whose numbers are the images of 0 .. sample-1 under a
+    permutation of the group's numbers keyed by (salt, s, g)
+    (``functions.permutation``). Only reps x groups x sample numbers are drawn
+    and joined to the numbered users, whatever the size of the groups. The
+    per-user table is materialized once. A group smaller than ``sample`` fails
+    the job: drawing without replacement cannot be done.
+    Columns: sim, exp_group, user_id, <value>.
     """
     spark = users.sparkSession
-    u = (users.where(F.col("exp_group").isin(*groups))
-         .select("exp_group", "user_id", value, hash32(salt, "user_id").alias("_key")))
-    # One row per listed group.
-    sizes = u.groupBy("exp_group").agg(F.count(F.lit(1)).alias("_size"))
-    keep = max(1.0, sample + margin_sigmas * math.sqrt(sample) + (16.0 if margin_sigmas > 0 else 0.0))
-    sizes = sizes.withColumn(
-        "_cut", F.when(F.col("_size") < sample,
-                       F.raise_error(F.lit(f"A/A sample of {sample} is larger than a group")))
-        .otherwise(F.least(F.lit(2.0 ** 32), F.ceil(F.lit(keep * 2.0 ** 32) / F.col("_size")))).cast("bigint"))
-    sized = u.join(F.broadcast(sizes), "exp_group")
-    sims = F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))
-    cand = (_spread_for_explode(sized).withColumn("sim", sims)
-            .withColumn("_h", draw32("_key", "sim"))
-            .where(F.col("_h") < F.col("_cut"))
-            .select("sim", "exp_group", "user_id", value, "_h")
-            .repartition("sim", "exp_group"))
-    by_draw = Window.partitionBy("sim", "exp_group").orderBy("_h", "user_id")
-    ranked = (cand.withColumn("_rank", F.row_number().over(by_draw))
-              .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("sim", "exp_group"))))
-    main = ranked.where((F.col("_n") >= sample) & (F.col("_rank") <= sample))
-    # (sim, group) grid: reps x len(groups) rows, a parameter-bounded table.
-    grid = (spark.range(reps).select(F.col("id").cast("int").alias("sim"))
-            .withColumn("exp_group", F.explode(F.array(*[F.lit(int(g)) for g in groups]))))
-    got = cand.groupBy("sim", "exp_group").agg(F.count(F.lit(1)).alias("_got"))
-    short = (grid.join(got, ["sim", "exp_group"], "left")
-             .where(F.coalesce(F.col("_got"), F.lit(0)) < sample).select("sim", "exp_group"))
-    fallback = (sized.join(F.broadcast(short), "exp_group")
-                .withColumn("_h", draw32("_key", "sim"))
-                .withColumn("_rank", F.row_number().over(by_draw))
-                .where(F.col("_rank") <= sample))
-    cols = [F.col("sim").cast("int").alias("sim"), "exp_group", "user_id", value]
-    return main.select(*cols).unionByName(fallback.select(*cols))
+    groups = [int(g) for g in groups]
+    u = materialize(users.where(F.col("exp_group").isin(*groups)).select("exp_group", "user_id", value))
+    # one row per listed group, also of a group without users
+    counts = u.groupBy("exp_group").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = (spark.createDataFrame([(g,) for g in groups], "exp_group int").join(F.broadcast(counts), "exp_group", "left")
+             .select("exp_group", F.coalesce("_n", F.lit(0)).alias("_n")))
+    n = F.col("_n")
+    if share is None:
+        too_large = F.raise_error(F.lit(f"A/A sample of {sample} is larger than a group"))
+        k = F.when(n < sample, too_large.cast("bigint")).otherwise(F.lit(sample).cast("bigint"))
+    else:
+        k = F.floor(n * F.lit(share))
+    draws = (spark.range(0, reps, 1, tasks or explode_tasks(spark))
+             .select(F.col("id").alias("sim"), F.explode(F.array(*[F.lit(g) for g in groups])).alias("exp_group"))
+             .join(F.broadcast(sizes.withColumn("_k", k)), "exp_group"))
+    offset, keys_of, images = salt_offset(salt), permutation.round_keys, permutation.permuted
+
+    def numbers(frames):
+        for frame in frames:
+            for (g, size, take), part in frame.groupby(["exp_group", "_n", "_k"]):
+                step = max(1, 500_000 // max(take, 1))
+                for at in range(0, len(part), step):
+                    sims = part["sim"].to_numpy(np.int64)[at:at + step]
+                    keys = [np.repeat(k, take) for k in keys_of(offset, sims, int(g))]
+                    yield pd.DataFrame({"sim": np.repeat(sims, take).astype(np.int32), "exp_group": np.int32(g),
+                                        "_i": images(np.tile(np.arange(take), len(sims)), int(size), keys)})
+
+    drawn = draws.mapInPandas(numbers, "sim int, exp_group int, _i bigint")
+    return (drawn.join(row_index(u, "exp_group", "user_id", "_i"), ["exp_group", "_i"])
+            .select("sim", "exp_group", "user_id", value))
 
 
 def aa_stats(samples: DataFrame, groups: Pair = (2, 3), value: str = "ctr") -> DataFrame:
@@ -355,36 +358,70 @@ def aa_summary(pvalues: DataFrame, alpha: float = ALPHA) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def histogram(df: DataFrame, value: str, group_col: str | None = None,
-              groups: Sequence[int] | None = None, bins: int = 10,
-              checkpoint: bool = True) -> DataFrame:
+              groups: Sequence[int] | None = None, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """Counts of ``value`` in ``bins`` equal bins over [min, max] taken over
-    all listed groups together (common edges); the last bin is closed.
+    all listed groups together (common edges), separately for each value of
+    ``by``; the last bin is closed.
 
-    The range is one global aggregate fetched first (one row, two numbers),
-    then used as literals: the binning is a plain projection and one
-    aggregate, with no join. The input is read twice, so its needed columns
-    are checkpointed first unless ``checkpoint`` is False.
-    Columns: [group_col,] bin, bin_lo, bin_hi, n.
+    The range is a scalar subquery (or one row per ``by``), planned with the
+    rest: the shuffle that builds the input is shared by both.
+    Columns: [by..., group_col,] bin, bin_lo, bin_hi, n.
     """
     x = df.where(F.col(value).isNotNull())
     if group_col and groups is not None:
         x = x.where(F.col(group_col).isin(*groups))
-    x = x.select(*([group_col] if group_col else []), value)
-    if checkpoint:
-        x = materialize(x)
-    v = F.col(value).cast("double")
-    lo, hi = x.agg(F.min(v), F.max(v)).first()
-    keys = ([group_col] if group_col else []) + ["bin"]
-    if lo is None:
-        return x.select(*([group_col] if group_col else []), F.lit(0).alias("bin"),
-                        F.lit(None).cast("double").alias("bin_lo"), F.lit(None).cast("double").alias("bin_hi"),
-                        F.lit(0).cast("bigint").alias("n")).limit(0)
-    width = hi - lo
-    lo_c, width_c = F.lit(float(lo)), F.lit(float(width))
-    b = (F.lit(0) if width == 0 else
-         F.least(F.floor((v - lo_c) / width_c * bins), F.lit(bins - 1))).cast("int")
-    out = x.withColumn("bin", b).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    step = F.lit(float(width)) / bins
-    return (out.withColumn("bin_lo", lo_c + step * F.col("bin"))
-            .withColumn("bin_hi", lo_c + step * (F.col("bin") + 1))
-            .select(*keys, "bin_lo", "bin_hi", "n"))
+    keys = [*by, *([group_col] if group_col else [])]
+    x = x.select(*keys, F.col(value).cast("double").alias("_v"))
+    ends = F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    if by:
+        # one row per value of ``by``, a parameter of the caller
+        x = x.join(F.broadcast(x.groupBy(*by).agg(ends.alias("_r"))), list(by))
+    else:
+        x = x.withColumn("_r", x.agg(ends).scalar())
+    lo, width = F.col("_r.lo"), F.col("_r.hi") - F.col("_r.lo")
+    b = F.when(width == 0, F.lit(0)).otherwise(
+        F.least(F.floor(F.try_divide(F.col("_v") - lo, width) * bins), F.lit(bins - 1))).cast("int")
+    out = x.withColumn("bin", b).groupBy(*keys, "bin", "_r").agg(F.count(F.lit(1)).alias("n"))
+    step = width / F.lit(float(bins))
+    return out.select(*keys, "bin", (lo + step * F.col("bin")).alias("bin_lo"),
+                      (lo + step * (F.col("bin") + 1)).alias("bin_hi"), "n")
+
+
+def ab_tests(users: DataFrame, ctr_pairs: Sequence[Pair], pair: Pair, reps: int = BOOTSTRAP_REPS,
+             buckets: int = BUCKETS, smoothing: float = SMOOTHING_WEIGHT, alpha: float = ALPHA,
+             method: str = "auto", linearized_pairs: Sequence[Pair] | None = None) -> DataFrame:
+    """Every A/B test of the study in one table, from one per-user table: Welch
+    on CTR for ``ctr_pairs`` and on linearized likes; for ``pair`` also
+    Mann-Whitney on CTR, Welch on smoothed CTR and on Poisson-bootstrap global
+    CTRs, and both tests on bucket CTRs. The per-user table is materialized
+    once, so the events are scanned once however many tests read it.
+    Columns: test, group_a, group_b, statistic, df, p_value, decision."""
+    users = materialize(users)
+    two = users.where(F.col("exp_group").isin(*pair))
+    bucketed = bucket_ctr_of_users(two, pair, buckets)
+
+    def t_rows(name: str, stats: DataFrame) -> DataFrame:
+        return with_t_p_value(stats, alpha).select(
+            F.lit(name).alias("test"), "group_a", "group_b", F.col("t").alias("statistic"),
+            "df", "p_value", "decision")
+
+    def u_rows(name: str, stats: DataFrame) -> DataFrame:
+        return with_normal_p_value(stats, alpha, method).select(
+            F.lit(name).alias("test"), "group_a", "group_b", F.col("u_a").alias("statistic"),
+            F.lit(None).cast("double").alias("df"), "p_value", "decision")
+
+    lin = linearized_likes(users, ctr_pairs if linearized_pairs is None else linearized_pairs)
+    parts = [
+        t_rows("welch_ctr", welch_pairs(users, "ctr", ctr_pairs)),
+        u_rows("mann_whitney_ctr", mann_whitney(two, "ctr", "exp_group", *pair)),
+        t_rows("welch_smoothed_ctr", welch_pairs(smoothed_ctr(two, pair, smoothing), "smoothed_ctr", [pair])),
+        t_rows("welch_bootstrap_ctr", welch_pairs(poisson_bootstrap(two, pair, reps), "ctr", [pair])),
+        t_rows("welch_bucket_ctr", welch_pairs(bucketed, "bucket_ctr", [pair])),
+        u_rows("mann_whitney_bucket_ctr", mann_whitney(bucketed, "bucket_ctr", "exp_group", *pair)),
+        t_rows("welch_linearized_likes", welch_stats(lin, "linearized_likes", "side", "a", "b",
+                                                     keys=("group_a", "group_b"))),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import day_of, percent2, ratio
@@ -82,9 +82,9 @@ def user_day_activity(actions: Actions) -> DataFrame:
     sent, and service bits f (1 = feed, 2 = messenger).
 
     This is the one large shuffle of the application report: daily actions,
-    DAU and new users are all small aggregates of it, so each action table is
-    scanned once for them (Spark reuses the shuffle when several of them are
-    computed in one plan).
+    DAU and new users are all small aggregates of it. Two aggregates that ask
+    it for different columns are planned as two shuffles, so the report takes
+    them from one table (``_daily_table``).
     """
     user = F.col("user_id")
     feed = actions.feed.select(
@@ -171,21 +171,34 @@ def dau(actions: Actions, compat: bool = False) -> DataFrame:
     return d.where(_dau_present(d)).select("day", "dau_message", "dau_feed", "dau_all_services")
 
 
+def _daily_table(activity: DataFrame) -> DataFrame:
+    """Daily totals, DAU and new users from one reading of the activity table.
+    The first day of a user is a window over that user's days (one row per day
+    of activity). DAU columns are NULL on days the DAU query drops, new users on
+    days without any."""
+    first = F.min("day").over(Window.partitionBy("user_id"))
+    f, is_new = F.col("f"), (F.col("day") == F.col("_first")) & F.col("user_id").isNotNull()
+    d = (activity.withColumn("_first", first).groupBy("day")
+         .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"),
+              F.sum("messages_sent").alias("messages_sent"),
+              F.count_if(f == 2).alias("dau_message"), F.count_if(f == 1).alias("dau_feed"),
+              F.count(F.lit(1)).alias("dau_all_services"), F.count_if(is_new).alias("_new")))
+    keep = _dau_present(d)
+    return d.select("day", "likes", "views", "messages_sent",
+                    *[F.when(keep, F.col(c)).alias(c) for c in ("dau_message", "dau_feed", "dau_all_services")],
+                    F.when(F.col("_new") > 0, F.col("_new")).alias("new_users"))
+
+
 def product_daily(actions: Actions) -> DataFrame:
     """Actions, new users, new posts and DAU per day, outer-joined on the day.
 
     Every day with a new user or a new post also has actions, so the outer
-    merges of the source reduce to left joins of small per-day tables onto
-    the daily totals; DAU columns are NULL on days the DAU query drops.
+    merges of the source reduce to one table of daily aggregates and a left
+    join of the new posts per day. The feed is scanned twice (users, posts),
+    the messages once.
     """
-    activity = user_day_activity(actions)
-    d = _daily_totals(activity)
-    keep = _dau_present(d)
-    daily = d.select("day", "likes", "views", "messages_sent",
-                     *[F.when(keep, F.col(c)).alias(c) for c in ("dau_message", "dau_feed", "dau_all_services")])
-    out = (daily.join(_new_users(activity), "day", "left")
-           .join(new_posts(actions.feed), "day", "left"))
-    return out.select("day", *PRODUCT_METRICS)
+    daily = _daily_table(user_day_activity(actions))
+    return daily.join(new_posts(actions.feed), "day", "left").select("day", *PRODUCT_METRICS)
 
 
 # --------------------------------------------------------------------------

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-MAX_RANGES = 512
+# Default number of value ranges: a comparison tree of depth 9 in generated code.
+# Any number gives the same result; it sets the number of tasks.
+RANGES = 512
 
 
 def _range_index(col: Column, cuts: list[float]) -> Column:
@@ -36,8 +38,31 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _cuts(df: DataFrame, order_col: str, ranges: int, relative_error: float) -> list[float]:
+    if ranges < 2:
+        return []
+    qs = df.approxQuantile(order_col, [i / ranges for i in range(1, ranges)], relative_error)
+    return sorted(set(q for q in qs if q is not None))
+
+
+def row_index(df: DataFrame, group_col: str, order_col: str, out_col: str, ranges: int = RANGES,
+              relative_error: float = 0.001) -> DataFrame:
+    """Add ``out_col``: 0, 1, 2 ... by the numeric ``order_col`` (unique in a
+    group) within each group, without bringing a group into one task. The
+    input is read twice; pass a materialized table. The offsets table has one
+    row per group and range."""
+    ranged = df.withColumn("_range", _range_index(F.col(order_col), _cuts(df, order_col, ranges, relative_error)))
+    local = ranged.withColumn("_local", F.row_number().over(
+        Window.partitionBy(group_col, "_range").orderBy(order_col)) - 1)
+    before = (Window.partitionBy(group_col).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (ranged.groupBy(group_col, "_range").agg(F.count(F.lit(1)).alias("_n"))
+               .select(group_col, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    return (local.join(F.broadcast(offsets), [group_col, "_range"])
+            .withColumn(out_col, F.col("_local") + F.col("_off")).drop("_range", "_local", "_off"))
+
+
 def running_total(df: DataFrame, order_col: str, sum_col: str, out_col: str,
-                  ranges: int | None = None, relative_error: float = 0.001,
+                  ranges: int | None = RANGES, relative_error: float = 0.001,
                   checkpoint: bool = True) -> DataFrame:
     """Add ``out_col`` = sum of ``sum_col`` over all rows whose ``order_col`` is
     <= this row's (ties are included together, so the result is deterministic).
@@ -49,15 +74,7 @@ def running_total(df: DataFrame, order_col: str, sum_col: str, out_col: str,
     """
     if checkpoint:
         df = materialize(df)
-    spark = df.sparkSession
-    # At most 512 ranges by default: the cuts become a comparison tree of
-    # depth log2(ranges) in generated code, and 512 tasks already give each a
-    # small share of the distinct values.
-    n = ranges or min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts: list[float] = []
-    if n > 1:
-        qs = df.approxQuantile(order_col, [i / n for i in range(1, n)], relative_error)
-        cuts = sorted(set(q for q in qs if q is not None))
+    cuts = _cuts(df, order_col, ranges or RANGES, relative_error)
     ranged = df.withColumn("_range", _range_index(F.col(order_col), cuts))
     local_w = (Window.partitionBy("_range").orderBy(order_col)
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))

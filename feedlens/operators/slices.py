@@ -51,10 +51,12 @@ def etl_messages(message: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def etl_total(feed_part: DataFrame, message_part: DataFrame) -> DataFrame:
-    """Full outer join of the two per-user tables on all five user keys;
-    metrics of the missing side stay NULL."""
-    return (feed_part.join(message_part, USER_KEYS, "full")
-            .select(*USER_KEYS, "views", "likes", *SLICE_METRICS[2:]))
+    """Full outer join of the two per-user tables on all five user keys, where
+    NULL attributes match each other; metrics of the missing side stay NULL."""
+    other = message_part.select(*[F.col(k).alias(f"_m_{k}") for k in USER_KEYS], *SLICE_METRICS[2:])
+    same = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in USER_KEYS]
+    keys = [F.coalesce(F.col(k), F.col(f"_m_{k}")).alias(k) for k in USER_KEYS]
+    return feed_part.join(other, same, "full").select(*keys, "views", "likes", *SLICE_METRICS[2:])
 
 
 def etl_slices(total: DataFrame, dimensions=SLICE_DIMENSIONS) -> DataFrame:

@@ -16,16 +16,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.operators import alerts, cohorts, experiments as ex, metrics, slices
+from feedlens.operators.ordering import materialize
 from feedlens.plans import params as P
 from feedlens.sources.actions import Actions, load_fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def rounded(df: DataFrame, digits: int = P.DIGITS) -> DataFrame:
+def significant(c: str, digits: int = P.SIGNIFICANT):
+    """A double to its leading digits, which keeps small p-values."""
+    return F.format_string(f"%.{digits - 1}e", F.col(c)).cast("double").alias(c)
+
+
+def rounded(df: DataFrame, digits: int = P.DIGITS, leading: tuple[str, ...] = ()) -> DataFrame:
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if f.name in leading:
+            cols.append(significant(f.name))
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             # Decimal rounding: the double goes to a 9-place decimal (absorbing
             # the few ulps by which sums in another order differ), which is then
             # rounded half-up exactly. A binary round() would split exact
@@ -119,6 +127,10 @@ def q_weekly_audience_totals(a: Actions) -> DataFrame:
     return cohorts.weekly_audience_totals(cohorts.weekly_audience(a, P.AS_OF))
 
 
+def q_weekly_audience_series(a: Actions) -> DataFrame:
+    return cohorts.weekly_audience_series(cohorts.weekly_audience(a, P.AS_OF))
+
+
 def q_weekly_audience_approx(a: Actions) -> DataFrame:
     return cohorts.weekly_audience(a, P.AS_OF, approx=True)
 
@@ -238,22 +250,15 @@ def q_bucket_ctr_histogram(a: Actions) -> DataFrame:
 
 
 def q_linearized_histogram(a: Actions) -> DataFrame:
-    pair = P.LINEARIZED_PAIRS[0]
-    lin = _linearized(a).where((F.col("group_a") == pair[0]) & (F.col("group_b") == pair[1]))
-    return ex.histogram(lin, "linearized_likes", "exp_group", pair, P.HIST_BINS)
+    return ex.histogram(_linearized(a), "linearized_likes", "exp_group", bins=P.HIST_BINS, by=("group_a", "group_b"))
 
 
-def _aa_sample_size(users: DataFrame) -> int:
-    """The fixture's A/A sample: 20 users, but fewer than the smallest group
-    (drawing without replacement needs a smaller sample than the group). One
-    row per group is fetched."""
-    sizes = [r["n"] for r in users.groupBy("exp_group").agg(F.count(F.lit(1)).alias("n")).collect()]
-    return max(1, min([P.AA_SAMPLE] + [n - 1 for n in sizes]))
+def q_aa_ctr_histogram(a: Actions) -> DataFrame:
+    return ex.histogram(_users(a, P.AA_GROUPS), "ctr", "exp_group", P.AA_GROUPS, P.HIST_BINS)
 
 
 def _aa_samples(a: Actions) -> DataFrame:
-    users = _users(a, P.AA_GROUPS)
-    return ex.aa_samples(users, P.AA_GROUPS, P.AA_REPS, _aa_sample_size(users))
+    return ex.aa_samples(_users(a, P.AA_GROUPS), P.AA_GROUPS, P.AA_REPS, share=P.AA_SHARE)
 
 
 def q_aa_samples(a: Actions) -> DataFrame:
@@ -273,52 +278,20 @@ def q_aa_summary(a: Actions) -> DataFrame:
 
 
 def q_aa_pvalue_histogram(a: Actions) -> DataFrame:
-    # histogram() checkpoints the p-values (one row per simulation) before
-    # its two passes, so the simulations run once.
-    return ex.histogram(q_aa_test(a), "p_value", bins=10)
+    # one row per simulation, read by the range and the counts
+    return ex.histogram(materialize(q_aa_test(a)), "p_value", bins=10)
 
 
 def q_ab_results(a: Actions) -> DataFrame:
     """All A/B tests of the study in one table with p-values and decisions."""
-    users = _users(a)
-    # exp_group is a grouping key of the per-user table: filtering it gives the
-    # pair's table without a second scan and shuffle.
-    ab = users.where(F.col("exp_group").isin(*P.AB_GROUPS))
-
-    def t_rows(name: str, stats: DataFrame) -> DataFrame:
-        s = ex.with_t_p_value(stats)
-        return s.select(F.lit(name).alias("test"), "group_a", "group_b",
-                        F.col("t").alias("statistic"), "df", "p_value", "decision")
-
-    def u_rows(name: str, stats: DataFrame) -> DataFrame:
-        s = ex.with_normal_p_value(stats)
-        return s.select(F.lit(name).alias("test"), "group_a", "group_b",
-                        F.col("u_a").alias("statistic"), F.lit(None).cast("double").alias("df"),
-                        "p_value", "decision")
-
-    lin = ex.linearized_likes(users, P.LINEARIZED_PAIRS)
-    parts = [
-        t_rows("welch_ctr", ex.welch_pairs(users, "ctr", P.LINEARIZED_PAIRS + (P.AB_GROUPS,))),
-        u_rows("mann_whitney_ctr", ex.mann_whitney(ab, "ctr", "exp_group", *P.AB_GROUPS)),
-        t_rows("welch_smoothed_ctr", ex.welch_pairs(ex.smoothed_ctr(ab, P.AB_GROUPS),
-                                                    "smoothed_ctr", [P.AB_GROUPS])),
-        t_rows("welch_bootstrap_ctr", ex.welch_pairs(_boot(a), "ctr", [P.AB_GROUPS])),
-        t_rows("welch_bucket_ctr", ex.welch_pairs(_buckets(a), "bucket_ctr", [P.AB_GROUPS])),
-        u_rows("mann_whitney_bucket_ctr", ex.mann_whitney(_buckets(a), "bucket_ctr", "exp_group",
-                                                          *P.AB_GROUPS)),
-        t_rows("welch_linearized_likes", ex.welch_stats(lin, "linearized_likes", "side", "a", "b",
-                                                        keys=("group_a", "group_b"))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return ex.ab_tests(_users(a), P.LINEARIZED_PAIRS, P.AB_GROUPS, P.BOOTSTRAP_REPS, P.BUCKETS,
+                       method=P.MANN_WHITNEY)
 
 
 # --- alerts ----------------------------------------------------------------
 
 def q_alert_series(a: Actions) -> DataFrame:
-    return alerts.alert_series(a, P.NOW)
+    return alerts.alert_series(a, P.NOW).orderBy("ts")
 
 
 def q_alert_bands(a: Actions) -> DataFrame:
@@ -343,6 +316,9 @@ def q_audience_drop(a: Actions) -> DataFrame:
     return cohorts.audience_drop(a, P.DROP_BASE_START, P.DROP_BASE_END, P.DROP_DAY)
 
 
+# Columns kept to their leading digits instead of a fixed number of places.
+_LEADING = {"q_ab_results": ("p_value",), "q_aa_test": ("p_value",)}
+
 _JOBS: dict[str, Callable[[Actions], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
@@ -365,7 +341,7 @@ def _fixture(spark: SparkSession, sf_dir: str) -> Actions:
 
 def _bind(job: Callable[[Actions], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(job(_fixture(spark, sf_dir)))
+        return rounded(job(_fixture(spark, sf_dir)), leading=_LEADING.get(job.__name__, ()))
     run.__name__ = job.__name__
     run.__doc__ = job.__doc__
     return run

@@ -67,54 +67,68 @@ def feed_report_job(actions: Actions, as_of, out_dir: str | None = None) -> Repo
     return ReportOutput(message=_first_message(day), tables={"day": day, "week": week, "series": series})
 
 
-ACTIVITY, USER_FIRST_SEEN, POST_FIRST_SEEN = "activity", "user_first_seen", "post_first_seen"
+ACTIVITY, POST_DAYS = "activity", "post_days"
+USER_FIRST_SEEN, POST_FIRST_SEEN = "user_first_seen", "post_first_seen"
 
 
-def _write_days(df: DataFrame, path: str) -> None:
+def _write_days(df: DataFrame, path: str, start, end=None) -> None:
+    """Replace the days [start, end] (or from ``start`` on) of a table
+    partitioned by day with ``df``'s rows; a day without rows goes."""
     # REBALANCE groups rows by day for the partitioned write and lets AQE
     # split a large day over several tasks (and merge small ones).
     (df.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("day").parquet(path))
+    # one row per day
+    written = {r["day"] for r in df.select("day").distinct().collect()}
+    sinks.drop_days(df.sparkSession, path, lambda d: as_date(start) <= d and (end is None or d <= as_date(end))
+                    and d not in written)
 
 
-def _read_table(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
+def _read_days(spark, path: str, schema) -> DataFrame:
+    """A table of ``_write_days``; empty if nothing has been written. Any other
+    failure to read it is the caller's error."""
+    if not sinks.has_days(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _rewrite_first_seen(spark, tables_dir: str, source: str, name: str, key: str, start) -> None:
+    """First-seen rows from ``start`` on: the earliest day per key in the
+    source's days from ``start`` on, without the keys first seen before."""
+    days = f"{key} bigint, day date"
+    later = _read_days(spark, f"{tables_dir}/{source}", days).where(F.col("day") >= date_literal(start))
+    earlier = _read_days(spark, f"{tables_dir}/{name}", days).where(F.col("day") < date_literal(start))
+    # The rows replace part of the table they are compared with: the new ones
+    # are on shared storage before any of it is written.
+    new = metrics.first_seen(later.select(key, "day"), key, earlier).checkpoint(eager=True)
+    _write_days(new, f"{tables_dir}/{name}", start)
 
 
 def daily_activity_job(actions: Actions, tables_dir: str, as_of=None, start=None, end=None) -> dict:
-    """Keep three compact tables under ``tables_dir``, partitioned by day:
+    """Keep four compact tables under ``tables_dir``, partitioned by day:
     ``activity`` (one row per day and user: likes, views, messages, service
-    bits), ``user_first_seen`` and ``post_first_seen`` (one row per user or
-    post, under its first day).
-
-    A run covers yesterday (from ``as_of``) or the days [start, end] for a
-    backfill; it reads only those days of the action tables plus the
-    first-seen rows of earlier days. Days are overwritten, so retries are
-    safe; days are processed in date order (a first-seen day relies on the
-    earlier days' rows).
+    bits), ``post_days`` (one row per day and post), ``user_first_seen`` and
+    ``post_first_seen`` (one row per user or post, under its first day).
+
+    A run covers yesterday (from ``as_of``) or the days [start, end]; it reads
+    only those days of the action tables. The days' rows are replaced, days
+    that have become empty included, and the first-seen rows from ``start`` on
+    are computed anew from the compact tables, so retries, backfills and reruns
+    of any earlier day give the tables of one run over the whole history.
     """
     spark = actions.feed.sparkSession
+    ensure_checkpoint_dir(spark)
     if start is None:
         start = end = yesterday(as_of)
     end = end or start
     feed = where_days(actions.feed, start, end)
     msg = where_days(actions.message, start, end)
-    _write_days(metrics.user_day_activity(Actions(feed=feed, message=msg)), f"{tables_dir}/{ACTIVITY}")
-    in_range = (F.col("day") >= date_literal(start)) & (F.col("day") <= date_literal(end))
-    activity = spark.read.parquet(f"{tables_dir}/{ACTIVITY}").where(in_range)
-
-    def earlier(name: str) -> DataFrame | None:
-        t = _read_table(spark, f"{tables_dir}/{name}")
-        return t.where(F.col("day") < date_literal(start)) if t is not None else None
-
-    users = metrics.first_seen(activity.select("user_id", "day"), "user_id", earlier(USER_FIRST_SEEN))
-    _write_days(users, f"{tables_dir}/{USER_FIRST_SEEN}")
-    posts = metrics.first_seen(feed.select("post_id", day_of("time").alias("day")), "post_id",
-                               earlier(POST_FIRST_SEEN))
-    _write_days(posts, f"{tables_dir}/{POST_FIRST_SEEN}")
+    _write_days(metrics.user_day_activity(Actions(feed=feed, message=msg)).checkpoint(eager=True),
+                f"{tables_dir}/{ACTIVITY}", start, end)
+    posts = feed.select("post_id", day_of("time").alias("day")).distinct().checkpoint(eager=True)
+    _write_days(posts, f"{tables_dir}/{POST_DAYS}", start, end)
+    _rewrite_first_seen(spark, tables_dir, ACTIVITY, USER_FIRST_SEEN, "user_id", start)
+    _rewrite_first_seen(spark, tables_dir, POST_DAYS, POST_FIRST_SEEN, "post_id", start)
     return {"start": as_date(start), "end": as_date(end)}
 
 
@@ -124,21 +138,27 @@ def read_activity_tables(spark, tables_dir: str) -> tuple[DataFrame, DataFrame,
 
 
 def app_report_job(actions: Actions, as_of, out_dir: str | None = None,
-                   tables_dir: str | None = None) -> ReportOutput:
-    """Yesterday's application text, the daily table and its long series,
-    weekly audience totals by status, and the top-10 posts file. With
-    ``tables_dir`` (kept by ``daily_activity_job``), the daily table and
-    the weekly audience come from the compact tables instead of the raw
-    history."""
+                   tables_dir: str | None = None, until=None) -> ReportOutput:
+    """Yesterday's application text, the daily table and its long series, the
+    weekly audience by status with its net totals, and the top-10 posts file.
+    Actions after ``until`` (by default yesterday) are left out, so a rerun of
+    a past date gives the rows it gave then. With ``tables_dir`` (kept by
+    ``daily_activity_job``), the daily table and the weekly audience come from
+    the compact tables instead of the raw history."""
     spark = actions.feed.sparkSession
     ensure_checkpoint_dir(spark)
+    last = as_date(until) if until is not None else yesterday(as_of)
+    actions = actions.until(last)
     if tables_dir:
-        activity, user_first, post_first = read_activity_tables(spark, tables_dir)
+        activity, user_first, post_first = (t.where(F.col("day") <= date_literal(last))
+                                            for t in read_activity_tables(spark, tables_dir))
         daily = metrics.product_daily_from_tables(activity, user_first, post_first)
-        weekly = cohorts.weekly_audience_totals(cohorts.weekly_audience_from_activity(activity, as_of))
+        audience = cohorts.weekly_audience_from_activity(activity, as_of)
     else:
         daily = metrics.product_daily(actions)
-        weekly = cohorts.weekly_audience_totals(cohorts.weekly_audience(actions, as_of))
+        audience = cohorts.weekly_audience(actions, as_of)
+    audience = audience.checkpoint(eager=True)  # a few rows per week
+    weekly, totals = cohorts.weekly_audience_series(audience), cohorts.weekly_audience_totals(audience)
     # One row per day: computed once, checkpointed to the session's
     # checkpoint folder, then read by the text and the series.
     daily = daily.checkpoint(eager=True)
@@ -149,9 +169,11 @@ def app_report_job(actions: Actions, as_of, out_dir: str | None = None,
         base = f"{out_dir}/app_report/as_of={as_date(as_of).isoformat()}"
         series.write.mode("overwrite").parquet(f"{base}/series")
         weekly.write.mode("overwrite").parquet(f"{base}/weekly_audience")
+        totals.write.mode("overwrite").parquet(f"{base}/weekly_totals")
         sinks.write_top_posts_csv(top, f"{base}/top_posts")
     return ReportOutput(message=_first_message(day),
-                        tables={"daily": daily, "day": day, "series": series, "weekly": weekly, "top_posts": top})
+                        tables={"daily": daily, "day": day, "series": series, "weekly": weekly,
+                                "weekly_totals": totals, "top_posts": top})
 
 
 def alert_job(actions: Actions, now, out_dir: str | None = None) -> DataFrame:
@@ -167,41 +189,12 @@ def alert_job(actions: Actions, now, out_dir: str | None = None) -> DataFrame:
 def ab_test_job(actions: Actions, start, end, control: int, treatment: int,
                 reps: int = ex.BOOTSTRAP_REPS, buckets: int = ex.BUCKETS,
                 smoothing: float = ex.SMOOTHING_WEIGHT, alpha: float = ex.ALPHA,
-                out_dir: str | None = None) -> DataFrame:
-    """All tests of the study for one pair over [start, end]: Welch and
-    Mann-Whitney on CTR, Welch on smoothed CTR, on Poisson-bootstrap global
-    CTRs, on bucket CTRs (and Mann-Whitney there), and on linearized likes
-    with the control's CTR. Columns: test, group_a, group_b, statistic, df,
-    p_value, decision."""
+                method: str = "auto", out_dir: str | None = None) -> DataFrame:
+    """All tests of the study for one pair over [start, end]
+    (``experiments.ab_tests``); ``method`` is the Mann-Whitney law."""
     pair = (int(control), int(treatment))
-    users = ex.user_ctr(actions.feed, start, end, pair)
-    bucketed = ex.bucket_ctr(actions.feed, start, end, pair, buckets)
-
-    def t_rows(name: str, stats: DataFrame) -> DataFrame:
-        return ex.with_t_p_value(stats, alpha).select(
-            F.lit(name).alias("test"), "group_a", "group_b", F.col("t").alias("statistic"),
-            "df", "p_value", "decision")
-
-    def u_rows(name: str, stats: DataFrame) -> DataFrame:
-        return ex.with_normal_p_value(stats, alpha).select(
-            F.lit(name).alias("test"), "group_a", "group_b", F.col("u_a").alias("statistic"),
-            F.lit(None).cast("double").alias("df"), "p_value", "decision")
-
-    lin = ex.linearized_likes(users, [pair])
-    parts = [
-        t_rows("welch_ctr", ex.welch_pairs(users, "ctr", [pair])),
-        u_rows("mann_whitney_ctr", ex.mann_whitney(users, "ctr", "exp_group", *pair)),
-        t_rows("welch_smoothed_ctr", ex.welch_pairs(ex.smoothed_ctr(users, pair, smoothing),
-                                                    "smoothed_ctr", [pair])),
-        t_rows("welch_bootstrap_ctr", ex.welch_pairs(ex.poisson_bootstrap(users, pair, reps), "ctr", [pair])),
-        t_rows("welch_bucket_ctr", ex.welch_pairs(bucketed, "bucket_ctr", [pair])),
-        u_rows("mann_whitney_bucket_ctr", ex.mann_whitney(bucketed, "bucket_ctr", "exp_group", *pair)),
-        t_rows("welch_linearized_likes", ex.welch_stats(lin, "linearized_likes", "side", "a", "b",
-                                                        keys=("group_a", "group_b"))),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    ensure_checkpoint_dir(actions.feed.sparkSession)
+    out = ex.ab_tests(ex.user_ctr(actions.feed, start, end, pair), [pair], pair, reps, buckets, smoothing, alpha, method)
     if out_dir:
         out.write.mode("overwrite").parquet(
             f"{out_dir}/ab_test/{as_date(start).isoformat()}_{as_date(end).isoformat()}_{pair[0]}_{pair[1]}")
@@ -210,16 +203,17 @@ def ab_test_job(actions: Actions, start, end, control: int, treatment: int,
 
 def aa_test_job(actions: Actions, start, end, groups=(2, 3), reps: int = ex.AA_REPS,
                 sample: int = ex.AA_SAMPLE, alpha: float = ex.ALPHA,
-                out_dir: str | None = None) -> ReportOutput:
+                out_dir: str | None = None, share: float | None = None) -> ReportOutput:
     """The A/A check: ``reps`` Welch tests on samples of ``sample`` users per
-    group; the share of p <= alpha and the 10-bin p-value histogram."""
+    group (or the ``share`` of each); the share of p <= alpha and the 10-bin
+    p-value histogram."""
     users = ex.user_ctr(actions.feed, start, end, groups)
-    pvalues = ex.with_t_p_value(ex.aa_stats(ex.aa_samples(users, tuple(groups), reps, sample), tuple(groups)),
-                                alpha).select("sim", "t", "df", "p_value")
     ensure_checkpoint_dir(actions.feed.sparkSession)
+    samples = ex.aa_samples(users, tuple(groups), reps, sample, share)
+    pvalues = ex.with_t_p_value(ex.aa_stats(samples, tuple(groups)), alpha).select("sim", "t", "df", "p_value")
     pvalues = pvalues.checkpoint(eager=True)     # read by the summary and the histogram
     summary = ex.aa_summary(pvalues, alpha)
-    hist = ex.histogram(pvalues, "p_value", bins=10, checkpoint=False)
+    hist = ex.histogram(pvalues, "p_value", bins=10)
     if out_dir:
         base = f"{out_dir}/aa_test/{as_date(start).isoformat()}_{as_date(end).isoformat()}"
         summary.write.mode("overwrite").parquet(f"{base}/summary")

@@ -9,8 +9,11 @@ it an independent check. Doubles are rounded to 6 decimals like the Spark side.
 from __future__ import annotations
 
 import datetime as dt
+import zlib
+from decimal import Decimal, localcontext
 
-from feedlens.functions.columns import GOLDEN32, M32, MIX32, poisson1_thresholds
+from feedlens.functions.columns import GOLDEN32, M32, MIX32
+from feedlens.functions.permutation import ROUNDS
 from feedlens.plans import params as P
 
 
@@ -32,9 +35,10 @@ def _ratio(num: str, den: str) -> str:
     return f"CAST({num} AS DOUBLE) / nullif(CAST({den} AS DOUBLE), 0)"
 
 
-def _hash32(salt: str, *keys: str) -> str:
+def _hash_halves(salt: str, *keys: str) -> tuple[str, str]:
     parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
-    return f"CAST('0x' || substr(md5(concat_ws(':', '{salt}', {parts})), 1, 8) AS BIGINT)"
+    text = f"md5(concat_ws(':', '{salt}', {parts}))"
+    return tuple(f"CAST('0x' || substr({text}, {at}, 8) AS BIGINT)" for at in (1, 9))
 
 
 def _mix32(x: str) -> str:
@@ -44,8 +48,14 @@ def _mix32(x: str) -> str:
     return f"xor({y}, {y} >> 16)"
 
 
-def _draw32(key: str, rep: str) -> str:
-    return _mix32(f"(({key} + CAST({rep} AS BIGINT) * {GOLDEN32}) & {M32})")
+def _mixed(inner: str) -> tuple[str, str]:
+    """The mix in two layers, (inner column, outer expression over ``z``): the
+    text of a nested mix doubles with every step."""
+    return _mix32(inner), _mix32(f"((z + hi) & {M32})")
+
+
+def _salt(salt: str) -> int:
+    return (zlib.crc32(salt.encode()) * GOLDEN32) & M32
 
 
 def _fixed2(x: str) -> str:
@@ -98,14 +108,20 @@ def _user_ctr_cte(name: str, groups) -> str:
   GROUP BY exp_group, user_id)"""
 
 
-def _welch_select(src: str, value: str, side: str, a: str, b: str, keys: str = "") -> str:
-    """Welch columns from conditional aggregates of ``src``."""
+def _plain(expr: str) -> str:
+    return f"({expr})"
+
+
+def _welch_select(src: str, value: str, side: str, a: str, b: str, keys: str = "", r=_r) -> str:
+    """Welch columns from conditional aggregates of ``src``, rounded by ``r``."""
     k = f"{keys}, " if keys else ""
     grp = f"GROUP BY {keys}" if keys else ""
-    return f"""SELECT {k}n_a, n_b, {_r('mean_a')} AS mean_a, {_r('mean_b')} AS mean_b,
-  {_r('var_a')} AS var_a, {_r('var_b')} AS var_b,
-  {_r('(mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b)')} AS t,
-  {_r('power(var_a / n_a + var_b / n_b, 2) / (power(var_a / n_a, 2) / (n_a - 1) + power(var_b / n_b, 2) / (n_b - 1))')} AS df
+    se = "nullif(var_a / n_a + var_b / n_b, 0)"
+    parts = "nullif(power(var_a / n_a, 2) / nullif(n_a - 1, 0) + power(var_b / n_b, 2) / nullif(n_b - 1, 0), 0)"
+    return f"""SELECT {k}n_a, n_b, {r('mean_a')} AS mean_a, {r('mean_b')} AS mean_b,
+  {r('var_a')} AS var_a, {r('var_b')} AS var_b,
+  {r(f'(mean_a - mean_b) / sqrt({se})')} AS t,
+  {r(f'power({se}, 2) / {parts}')} AS df
 FROM (
   SELECT {k}
     count(CASE WHEN {side} = {a} THEN {value} END) AS n_a,
@@ -124,13 +140,13 @@ def _pairs_cte(name: str, pairs) -> str:
     return f"{name} AS ({rows})"
 
 
-def _welch_pairs(src_cte: str, value: str, pairs) -> str:
+def _welch_pairs(src_cte: str, value: str, pairs, r=_r) -> str:
     return (_with(src_cte, _pairs_cte("pairs", pairs),
                   "paired AS (SELECT p.group_a, p.group_b, p.side, s.* FROM src s JOIN pairs p USING (exp_group))")
-            + _welch_select("paired", value, "side", "'a'", "'b'", "group_a, group_b"))
+            + _welch_select("paired", value, "side", "'a'", "'b'", "group_a, group_b", r))
 
 
-def _mann_whitney(src_cte: str, value: str, a: int, b: int) -> str:
+def _mann_whitney(src_cte: str, value: str, a: int, b: int, r=_r) -> str:
     return _with(src_cte, f"""counts AS (
   SELECT {value} AS v, count(*) AS t, count_if(exp_group = {a}) AS ca
   FROM src WHERE {value} IS NOT NULL AND exp_group IN ({a}, {b}) GROUP BY {value})""",
@@ -141,9 +157,9 @@ def _mann_whitney(src_cte: str, value: str, a: int, b: int) -> str:
     sum(ca * (cum - t + (t + 1) / 2.0)) AS r_a,
     sum(CAST(t AS DOUBLE) * t * t - t) AS tie_sum FROM ranked)""",
                  """u AS (SELECT *, r_a - n_a * (n_a + 1) / 2.0 AS u_a, n_a * n_b - (r_a - n_a * (n_a + 1) / 2.0) AS u_b FROM agg)""") + f"""
-SELECT {a} AS group_a, {b} AS group_b, n_a, n_b, {_r('u_a')} AS u_a, {_r('u_b')} AS u_b,
-  {_r('tie_sum')} AS tie_sum,
-  {_r(f"(greatest(u_a, u_b) - n_a * n_b / 2.0 - 0.5) / sqrt(n_a * n_b / 12.0 * ((n_a + n_b + 1) - tie_sum / ((n_a + n_b) * (n_a + n_b - 1.0))))")} AS z
+SELECT {a} AS group_a, {b} AS group_b, n_a, n_b, {r('u_a')} AS u_a, {r('u_b')} AS u_b,
+  {r('tie_sum')} AS tie_sum,
+  {r(f"(greatest(u_a, u_b) - n_a * n_b / 2.0 - 0.5) / sqrt(n_a * n_b / 12.0 * ((n_a + n_b + 1) - tie_sum / ((n_a + n_b) * (n_a + n_b - 1.0))))")} AS z
 FROM u"""
 
 
@@ -156,29 +172,44 @@ def _users_src(groups) -> str:
 
 
 def _poisson_case(h: str) -> str:
-    th = poisson1_thresholds()
-    whens = " ".join(f"WHEN {h} < {bound} THEN {k}" for k, bound in enumerate(th))
-    return f"CASE {whens} ELSE {len(th)} END"
+    """Weight of a 32-bit draw by the Poisson(1) law, from the law itself."""
+    with localcontext() as ctx:
+        ctx.prec = 50
+        term, cdf, bounds, k = Decimal(-1).exp(), Decimal(0), [], 0
+        while 1 - (cdf + term) >= Decimal(2) ** -32:
+            cdf += term
+            bounds.append(int(cdf * 2**32))
+            k += 1
+            term /= k
+    whens = " ".join(f"WHEN {h} < {bound} THEN {k}" for k, bound in enumerate(bounds))
+    return f"CASE {whens} ELSE {len(bounds)} END"
 
 
 def _boot_cte(name: str) -> str:
-    h = _draw32("u.k", "r.b")
-    return f"""boot_users AS (SELECT *, {_hash32('poisson', 'user_id')} AS k FROM ab_users),
+    hi, lo = _hash_halves("poisson", "user_id")
+    inner, outer = _mixed(f"((u.lo + CAST(r.b AS BIGINT) * {GOLDEN32}) & {M32})")
+    return f"""boot_users AS (SELECT *, {hi} AS hi, {lo} AS lo FROM ab_users),
+boot_low AS (SELECT u.exp_group, r.b, u.likes, u.views, u.hi, {inner} AS z
+             FROM boot_users u CROSS JOIN range({P.BOOTSTRAP_REPS}) r(b)),
+boot_draws AS (SELECT exp_group, b, likes, views, {outer} AS h FROM boot_low),
 {name} AS (
   SELECT exp_group, b, CAST(sum(w * likes) AS BIGINT) AS likes_w, CAST(sum(w * views) AS BIGINT) AS views_w,
     {_ratio('sum(w * likes)', 'sum(w * views)')} AS ctr
-  FROM (SELECT u.exp_group, r.b, u.likes, u.views, {_poisson_case(h)} AS w
-        FROM boot_users u CROSS JOIN range({P.BOOTSTRAP_REPS}) r(b))
+  FROM (SELECT exp_group, b, likes, views, {_poisson_case('h')} AS w FROM boot_draws)
   GROUP BY exp_group, b)"""
 
 
 def _bucket_cte(name: str) -> str:
     g = ", ".join(str(x) for x in P.AB_GROUPS)
-    return f"""{name} AS (
-  SELECT exp_group, CAST({_hash32('bucket', 'user_id')} % {P.BUCKETS} AS INTEGER) AS bucket,
+    inner, outer = _mixed(f"(((user_id & {M32}) + {_salt('bucket')}) & {M32})")
+    return f"""bucket_low AS (
+  SELECT exp_group, action, (user_id >> 32) & {M32} AS hi, {inner} AS z
+  FROM feed_actions WHERE {_exp_week()} AND exp_group IN ({g})),
+{name} AS (
+  SELECT exp_group, CAST({outer} % {P.BUCKETS} AS INTEGER) AS bucket,
     CAST(count_if(action = 'like') AS BIGINT) AS likes, CAST(count_if(action = 'view') AS BIGINT) AS views,
     {_ratio("count_if(action = 'like')", "count_if(action = 'view')")} AS bucket_ctr
-  FROM feed_actions WHERE {_exp_week()} AND exp_group IN ({g}) GROUP BY 1, 2)"""
+  FROM bucket_low GROUP BY 1, 2)"""
 
 
 def _linearized_cte(name: str) -> str:
@@ -194,17 +225,69 @@ ctrl AS (SELECT exp_group AS group_a, sum(likes) / sum(views) AS ctr_control
 
 
 def _aa_samples_cte(name: str) -> str:
-    g = ", ".join(str(x) for x in P.AA_GROUPS)
-    h = _draw32("u.k", "r.sim")
+    """Samples by a keyed permutation of each group's user numbers: a Feistel
+    network on 2 x half bits, repeated until the number is in range."""
+    def network(x: str, source: str) -> str:
+        body = f"SELECT sim, exp_group, n, half, j, base, ({x}) >> half AS l, ({x}) & ((1 << half) - 1) AS r FROM {source}"
+        for k in range(ROUNDS):
+            body = (f"SELECT sim, exp_group, n, half, j, base, r AS l, {_mix32('m')} & ((1 << half) - 1) AS f, l AS l0 FROM "
+                    f"(SELECT *, (r + {_mix32('q')}) & {M32} AS m FROM "
+                    f"(SELECT *, (base + exp_group * {GOLDEN32} + {k}) & {M32} AS q FROM ({body})))")
+            body = f"SELECT sim, exp_group, n, half, j, base, l, xor(l0, f) AS r FROM ({body})"
+        return f"SELECT sim, exp_group, n, half, j, base, (l << half) | r AS x FROM ({body})"
+
+    base = _mix32(f"(({_salt('aa')} + r.sim * {GOLDEN32}) & {M32})")
     return f"""{_user_ctr_cte('aa_users0', P.AA_GROUPS)},
-aa_users AS (SELECT *, {_hash32('aa', 'user_id')} AS k FROM aa_users0),
+aa_users AS (SELECT *, row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS i FROM aa_users0),
+aa_sizes AS (
+  SELECT exp_group, count(*) AS n, greatest(1, (length(bin(count(*) - 1)) + 1) // 2) AS half,
+    CAST(floor(count(*) * {P.AA_SHARE}) AS BIGINT) AS k FROM aa_users GROUP BY exp_group),
+aa_start AS (
+  SELECT r.sim, s.exp_group, s.n, s.half, j.j, {base} AS base, j.j AS x
+  FROM aa_sizes s CROSS JOIN range({P.AA_REPS}) r(sim) JOIN range((SELECT max(n) FROM aa_sizes)) j(j) ON j.j < s.k),
+aa_walk AS (
+  {network('x', 'aa_start')}
+  UNION ALL
+  {network('x', '(SELECT * FROM aa_walk WHERE x >= n)')}),
 {name} AS (
-  SELECT CAST(sim AS INTEGER) AS sim, exp_group, user_id, ctr FROM (
-    SELECT r.sim, u.exp_group, u.user_id, u.ctr,
-      row_number() OVER (PARTITION BY r.sim, u.exp_group ORDER BY {h}, u.user_id) AS rk
-    FROM aa_users u CROSS JOIN range({P.AA_REPS}) r(sim))
-  WHERE rk <= (SELECT greatest(1, least({P.AA_SAMPLE}, min(n) - 1))
-               FROM (SELECT count(*) AS n FROM aa_users GROUP BY exp_group)))"""
+  SELECT CAST(w.sim AS INTEGER) AS sim, w.exp_group, u.user_id, u.ctr
+  FROM aa_walk w JOIN aa_users u ON u.exp_group = w.exp_group AND u.i = w.x WHERE w.x < w.n)"""
+
+
+# --- p-values: the laws' tails by Simpson's rule ------------------------------
+
+def _t_p(rows: str, points: int) -> str:
+    """``rows`` (with columns t, df) and p, the two-sided p-value of Student's t:
+    the share of the integral of cos(a)^(df - 1) beyond a = atan(|t| / sqrt(df)),
+    taken over v with a = pi/2 - v^4, which is smooth at both ends."""
+    g = "pow(sin(pow(v, 4)), df - 1) * 4 * pow(v, 3)"
+    weight = f"CASE WHEN i IN (0, {points}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"""WITH numbered AS MATERIALIZED (SELECT *, row_number() OVER () AS row_no FROM ({rows}))
+SELECT numbered.* EXCLUDE (row_no), tail / whole AS p FROM numbered LEFT JOIN (
+  SELECT row_no, any_value(edge) * sum(CASE WHEN part = 1 THEN {weight} * {g} END) AS tail,
+    any_value(full_edge) * sum(CASE WHEN part = 0 THEN {weight} * {g} END) AS whole
+  FROM (SELECT row_no, df, edge, full_edge, i, part,
+          CASE WHEN part = 1 THEN edge ELSE full_edge END * i / {points} AS v
+        FROM (SELECT row_no, df, pow(atan2(sqrt(df), abs(t)), 0.25) AS edge, pow(pi() / 2, 0.25) AS full_edge
+              FROM numbered WHERE t IS NOT NULL AND df IS NOT NULL)
+        CROSS JOIN range({points} + 1) g(i) CROSS JOIN range(2) p(part))
+  GROUP BY row_no) integrals USING (row_no)"""
+
+
+def _z_p(rows: str, points: int = 20000) -> str:
+    """``rows`` (with a column z) and p = 2 P(Z >= z), at most 1."""
+    weight = f"CASE WHEN i IN (0, {points}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"""SELECT * EXCLUDE (s), least(1.0, 2 * s / sqrt(2 * pi())) AS p FROM (
+  SELECT r.*, (SELECT sum({weight} * exp(-pow(r.z + 14.0 * i / {points}, 2) / 2)) * 14.0 / {points} / 3
+               FROM range({points} + 1) g(i)) AS s FROM ({rows}) r)"""
+
+
+def _decision(p: str) -> str:
+    return f"CASE WHEN {p} < 0.05 THEN 'rejected' WHEN {p} IS NOT NULL THEN 'not rejected' END"
+
+
+def _leading(p: str) -> str:
+    return f"CAST(printf('%.{P.SIGNIFICANT - 1}e', {p}) AS DOUBLE)"
 
 
 def _feed_daily(where: str) -> str:
@@ -222,50 +305,45 @@ def _day_eq(day) -> str:
 YESTERDAY = P.AS_OF.fromordinal(P.AS_OF.toordinal() - 1)
 WEEK_START = P.AS_OF.fromordinal(P.AS_OF.toordinal() - 7)
 
+# Actions of a day over both services.
 DAILY_ACTIONS_CTE = """daily_actions AS (
-  SELECT day, coalesce(sum(l), 0) AS likes, coalesce(sum(v), 0) AS views, coalesce(sum(m), 0) AS messages_sent
-  FROM (SELECT coalesce(t1.day, t2.day) AS day, t1.l, t1.v, t2.m
-        FROM (SELECT CAST("time" AS DATE) AS day, user_id, count_if(action = 'like') AS l, count_if(action = 'view') AS v
-              FROM feed_actions GROUP BY 1, 2) t1
-        FULL JOIN (SELECT CAST("time" AS DATE) AS day, user_id, count(reciever_id) AS m
-                   FROM message_actions GROUP BY 1, 2) t2
-        ON t1.day = t2.day AND t1.user_id = t2.user_id)
+  SELECT day, sum(is_like) AS likes, sum(is_view) AS views, sum(is_message) AS messages_sent FROM (
+    SELECT CAST("time" AS DATE) AS day, CAST(action = 'like' AS BIGINT) AS is_like,
+      CAST(action = 'view' AS BIGINT) AS is_view, 0 AS is_message FROM feed_actions
+    UNION ALL
+    SELECT CAST("time" AS DATE), 0, 0, CAST(reciever_id IS NOT NULL AS BIGINT) FROM message_actions)
   GROUP BY day)"""
 
-NEW_USERS_CTE = """new_users AS (
-  SELECT start_date AS day, count(user_id) AS new_users FROM (
-    SELECT user_id, min(date) AS start_date FROM (
-      SELECT DISTINCT user_id, CAST("time" AS DATE) AS date FROM feed_actions
-      UNION ALL
-      SELECT DISTINCT user_id, CAST("time" AS DATE) AS date FROM message_actions)
-    GROUP BY user_id)
-  GROUP BY start_date)"""
+# A user is new on a day with an action of theirs that has none on an earlier day.
+NEW_USERS_CTE = """user_days AS (
+  SELECT user_id, CAST("time" AS DATE) AS day FROM feed_actions
+  UNION SELECT user_id, CAST("time" AS DATE) FROM message_actions),
+new_users AS (
+  SELECT d.day, count(d.user_id) AS new_users FROM user_days d
+  WHERE NOT EXISTS (SELECT 1 FROM user_days earlier WHERE earlier.user_id = d.user_id AND earlier.day < d.day)
+  GROUP BY d.day)"""
 
-NEW_POSTS_CTE = """new_posts AS (
-  SELECT post_day AS day, count(post_id) AS new_posts FROM (
-    SELECT post_id, min(CAST("time" AS DATE)) AS post_day FROM feed_actions GROUP BY post_id)
-  GROUP BY post_day)"""
+# A post is new on the first of the days it has actions on.
+NEW_POSTS_CTE = """post_days AS (
+  SELECT post_id, CAST("time" AS DATE) AS day, dense_rank() OVER (PARTITION BY post_id ORDER BY CAST("time" AS DATE)) AS nth
+  FROM feed_actions),
+new_posts AS (SELECT day, count(DISTINCT post_id) AS new_posts FROM post_days WHERE nth = 1 GROUP BY day)"""
 
 
 def _dau_cte(name: str, compat: bool) -> str:
-    if compat:
-        third = """SELECT CAST(t1."time" AS DATE) AS date_, count(DISTINCT t1.user_id) AS dau_all_services
-      FROM feed_actions t1 FULL JOIN message_actions t2 ON t1.user_id = t2.user_id
-      WHERE t1."time" IS NOT NULL GROUP BY 1"""
-    else:
-        third = """SELECT date_, count(DISTINCT user_id) AS dau_all_services FROM (
-        SELECT user_id, CAST("time" AS DATE) AS date_ FROM feed_actions
-        UNION ALL SELECT user_id, CAST("time" AS DATE) AS date_ FROM message_actions) GROUP BY 1"""
-    return f"""{name} AS (
-  SELECT t1.date_ AS day, t1.dau_message, t2.dau_feed, t3.dau_all_services FROM
-    (SELECT date_, count(user_id) AS dau_message FROM (
-       SELECT DISTINCT user_id, CAST("time" AS DATE) AS date_ FROM message_actions
-       EXCEPT SELECT DISTINCT user_id, CAST("time" AS DATE) AS date_ FROM feed_actions) GROUP BY date_) t1
-    JOIN (SELECT date_, count(user_id) AS dau_feed FROM (
-       SELECT DISTINCT user_id, CAST("time" AS DATE) AS date_ FROM feed_actions
-       EXCEPT SELECT DISTINCT user_id, CAST("time" AS DATE) AS date_ FROM message_actions) GROUP BY date_) t2
-    ON t1.date_ = t2.date_
-    JOIN ({third}) t3 ON t2.date_ = t3.date_)"""
+    """Users of one service only, and of the app (``compat``: those of the feed),
+    on days that have both kinds of one-service users."""
+    app = "count(*) FILTER (in_feed)" if compat else "count(*)"
+    return f"""presence AS (
+  SELECT day, user_id, bool_or(service = 'feed') AS in_feed, bool_or(service = 'messenger') AS in_messenger
+  FROM (SELECT CAST("time" AS DATE) AS day, user_id, 'feed' AS service FROM feed_actions
+        UNION ALL SELECT CAST("time" AS DATE), user_id, 'messenger' FROM message_actions)
+  GROUP BY day, user_id),
+{name} AS (
+  SELECT day, count(*) FILTER (in_messenger AND NOT in_feed) AS dau_message,
+    count(*) FILTER (in_feed AND NOT in_messenger) AS dau_feed, {app} AS dau_all_services
+  FROM presence GROUP BY day
+  HAVING bool_or(in_messenger AND NOT in_feed) AND bool_or(in_feed AND NOT in_messenger))"""
 
 
 PRODUCT_DAILY_CTE = """product_daily AS (
@@ -302,22 +380,27 @@ ETL_FEED_CTE = """etl_feed AS (
     CAST(count_if(action = 'view') AS BIGINT) AS views, CAST(count_if(action = 'like') AS BIGINT) AS likes
   FROM feed_actions GROUP BY 1, 2, 3, 4, 5)"""
 
-ETL_MESSAGES_CTE = """etl_messages AS (
-  SELECT t1.event_date, t1.user_id, t1.os, t1.age, t1.gender, t2.messages_received, t1.messages_sent,
-    t2.users_received, t1.users_sent FROM
-    (SELECT CAST("time" AS DATE) AS event_date, user_id, os, age, gender,
-       CAST(count(*) AS BIGINT) AS messages_sent, CAST(count(DISTINCT reciever_id) AS BIGINT) AS users_sent
-     FROM message_actions GROUP BY 1, 2, 3, 4, 5) t1
-    JOIN
-    (SELECT CAST("time" AS DATE) AS event_date, reciever_id,
-       CAST(count(*) AS BIGINT) AS messages_received, CAST(count(DISTINCT user_id) AS BIGINT) AS users_received
-     FROM message_actions GROUP BY 1, 2) t2
-    ON t1.event_date = t2.event_date AND t1.user_id = t2.reciever_id)"""
-
+# What a user sent and got on a day; users who sent nothing that day are left out.
+ETL_MESSAGES_CTE = """outbox AS (
+  SELECT CAST("time" AS DATE) AS event_date, user_id, os, age, gender,
+    CAST(count(*) AS BIGINT) AS messages_sent, CAST(count(DISTINCT reciever_id) AS BIGINT) AS users_sent
+  FROM message_actions GROUP BY ALL),
+inbox AS (
+  SELECT CAST("time" AS DATE) AS event_date, reciever_id AS user_id,
+    CAST(count(*) AS BIGINT) AS messages_received, CAST(count(DISTINCT user_id) AS BIGINT) AS users_received
+  FROM message_actions GROUP BY ALL),
+etl_messages AS (
+  SELECT event_date, user_id, os, age, gender, messages_received, messages_sent, users_received, users_sent
+  FROM outbox JOIN inbox USING (event_date, user_id))"""
+
+# Both services of a user and day side by side; unknown attributes match each other.
 ETL_TOTAL_CTE = """etl_total AS (
-  SELECT event_date, user_id, os, age, gender, views, likes, messages_received, messages_sent,
-    users_received, users_sent
-  FROM etl_feed FULL JOIN etl_messages USING (event_date, user_id, os, age, gender))"""
+  SELECT coalesce(f.event_date, m.event_date) AS event_date, coalesce(f.user_id, m.user_id) AS user_id,
+    coalesce(f.os, m.os) AS os, coalesce(f.age, m.age) AS age, coalesce(f.gender, m.gender) AS gender,
+    f.views, f.likes, m.messages_received, m.messages_sent, m.users_received, m.users_sent
+  FROM etl_feed f FULL JOIN etl_messages m
+  ON f.event_date IS NOT DISTINCT FROM m.event_date AND f.user_id IS NOT DISTINCT FROM m.user_id
+    AND f.os IS NOT DISTINCT FROM m.os AND f.age IS NOT DISTINCT FROM m.age AND f.gender IS NOT DISTINCT FROM m.gender)"""
 
 
 def _slice(dim: str) -> str:
@@ -413,14 +496,18 @@ FROM d"""
     q["daily_actions"] = _with(DAILY_ACTIONS_CTE) + """
 SELECT day, CAST(likes AS BIGINT) AS likes, CAST(views AS BIGINT) AS views,
   CAST(messages_sent AS BIGINT) AS messages_sent FROM daily_actions"""
-    q["daily_actions_compat"] = _with() + """
-SELECT t1.day AS day, CAST(sum(t1.l) AS BIGINT) AS likes, CAST(sum(t1.v) AS BIGINT) AS views,
-  CAST(coalesce(sum(t2.m), 0) AS BIGINT) AS messages_sent
-FROM (SELECT CAST("time" AS DATE) AS day, user_id, count(CASE WHEN action = 'like' THEN user_id END) AS l,
-        count(CASE WHEN action = 'view' THEN user_id END) AS v FROM feed_actions GROUP BY 1, 2) t1
-FULL JOIN (SELECT CAST("time" AS DATE) AS day, user_id, count(reciever_id) AS m
-           FROM message_actions GROUP BY 1, 2) t2 ON t1.user_id = t2.user_id
-WHERE t1.day IS NOT NULL GROUP BY t1.day"""
+    # One row per feed day and message day of a user (feed users without
+    # messages: one row per feed day), summed by the feed day.
+    q["daily_actions_compat"] = _with("""feed_days AS (
+  SELECT user_id, CAST("time" AS DATE) AS day, count_if(action = 'like') AS likes, count_if(action = 'view') AS views
+  FROM feed_actions GROUP BY ALL)""", """message_days AS (
+  SELECT user_id, CAST("time" AS DATE) AS message_day, count(reciever_id) AS messages FROM message_actions GROUP BY ALL)""",
+        """pairs AS (
+  SELECT day, likes, views, messages FROM feed_days JOIN message_days USING (user_id)
+  UNION ALL
+  SELECT day, likes, views, 0 FROM feed_days ANTI JOIN message_days USING (user_id))""") + """
+SELECT day, CAST(sum(likes) AS BIGINT) AS likes, CAST(sum(views) AS BIGINT) AS views,
+  CAST(sum(messages) AS BIGINT) AS messages_sent FROM pairs GROUP BY day"""
     q["new_users"] = _with(NEW_USERS_CTE) + "SELECT day, CAST(new_users AS BIGINT) AS new_users FROM new_users"
     q["new_posts"] = _with(NEW_POSTS_CTE) + "SELECT day, CAST(new_posts AS BIGINT) AS new_posts FROM new_posts"
     dau_cols = """SELECT day, CAST(dau_message AS BIGINT) AS dau_message, CAST(dau_feed AS BIGINT) AS dau_feed,
@@ -449,7 +536,10 @@ FROM feed_actions GROUP BY post_id ORDER BY views DESC, post_id LIMIT 10"""
     q["weekly_audience"] = _with(_weekly_cte("weekly", False)) + "SELECT * FROM weekly"
     q["weekly_audience_compat"] = _with(_weekly_cte("weekly", True)) + "SELECT * FROM weekly"
     q["weekly_audience_totals"] = _with(_weekly_cte("weekly", False)) + """
-SELECT this_week, status, CAST(sum(num_users) AS BIGINT) AS num_users FROM weekly GROUP BY 1, 2"""
+SELECT this_week, strftime(this_week, '%d/%m/%Y') AS label, CAST(sum(num_users) AS BIGINT) AS num_users
+FROM weekly GROUP BY this_week"""
+    q["weekly_audience_series"] = _with(_weekly_cte("weekly", False)) + """
+SELECT this_week, strftime(this_week, '%d/%m/%Y') AS label, status, num_users FROM weekly"""
 
     # slices
     q["etl_feed"] = _with(ETL_FEED_CTE) + "SELECT * FROM etl_feed"
@@ -501,17 +591,7 @@ SELECT group_a, group_b, exp_group, {_r('avg(linearized_likes)')} AS mean_linear
         "lin", "linearized_likes", "side", "'a'", "'b'", "group_a, group_b")
 
     bins = P.HIST_BINS
-    q["ctr_histogram"] = _with(_users_src(P.AB_GROUPS),
-                               "x AS (SELECT * FROM src WHERE ctr IS NOT NULL)",
-                               "rng AS (SELECT min(ctr) AS lo, max(ctr) AS hi FROM x)") + f"""
-SELECT exp_group, bin, {_r(f'lo + (hi - lo) / {bins} * bin')} AS bin_lo, {_r(f'lo + (hi - lo) / {bins} * (bin + 1)')} AS bin_hi,
-  CAST(count(*) AS BIGINT) AS n FROM (
-  SELECT x.exp_group, rng.lo, rng.hi,
-    CAST(CASE WHEN rng.hi = rng.lo THEN 0 ELSE least(floor((x.ctr - rng.lo) / (rng.hi - rng.lo) * {bins}), {bins - 1}) END AS INTEGER) AS bin
-  FROM x CROSS JOIN rng)
-GROUP BY exp_group, bin, lo, hi"""
-
-    def hist_sql(src_ctes, src: str, value: str, group: str | None) -> str:
+    def hist_sql(src_ctes, src: str, value: str, group: str | None, bins: int = bins) -> str:
         g = f"{group}, " if group else ""
         return _with(*src_ctes, f"x AS (SELECT * FROM {src} WHERE {value} IS NOT NULL)",
                      f"rng AS (SELECT min({value}) AS lo, max({value}) AS hi FROM x)") + f"""
@@ -522,20 +602,56 @@ SELECT {g}bin, {_r(f'lo + (hi - lo) / {bins} * bin')} AS bin_lo, {_r(f'lo + (hi
   FROM x CROSS JOIN rng)
 GROUP BY {g}bin, lo, hi"""
 
+    q["ctr_histogram"] = hist_sql((_users_src(P.AB_GROUPS),), "src", "ctr", "exp_group")
+    q["aa_ctr_histogram"] = hist_sql((_users_src(P.AA_GROUPS),), "src", "ctr", "exp_group")
     diff_cte = f"""diff AS (
   SELECT b, max(CASE WHEN exp_group = {a} THEN ctr END) AS ctr_a, max(CASE WHEN exp_group = {b} THEN ctr END) AS ctr_b,
     max(CASE WHEN exp_group = {b} THEN ctr END) - max(CASE WHEN exp_group = {a} THEN ctr END) AS diff
   FROM src GROUP BY b)"""
     q["bootstrap_diff_histogram"] = hist_sql((boot, diff_cte), "diff", "diff", None)
     q["bucket_ctr_histogram"] = hist_sql((_bucket_cte("src"),), "src", "bucket_ctr", "exp_group")
-    pa, pb = P.LINEARIZED_PAIRS[0]
-    q["linearized_histogram"] = hist_sql(
-        (_linearized_cte("lin"), f"lin1 AS (SELECT * FROM lin WHERE group_a = {pa} AND group_b = {pb})"),
-        "lin1", "linearized_likes", "exp_group")
+    # one histogram per pair, with edges of its own
+    q["linearized_histogram"] = " UNION ALL ".join(
+        f"SELECT {pa} AS group_a, {pb} AS group_b, * FROM (" + hist_sql(
+            (_linearized_cte("lin"), f"lin1 AS (SELECT * FROM lin WHERE group_a = {pa} AND group_b = {pb})"),
+            "lin1", "linearized_likes", "exp_group") + ")"
+        for pa, pb in P.LINEARIZED_PAIRS)
+
+    def aa(*ctes: str) -> str:
+        return _with(_aa_samples_cte("s"), *ctes).replace("WITH ", "WITH RECURSIVE ", 1)
 
-    q["aa_samples"] = _with(_aa_samples_cte("s")) + f"SELECT sim, exp_group, user_id, {_r('ctr')} AS ctr FROM s"
+    q["aa_samples"] = aa() + f"SELECT sim, exp_group, user_id, {_r('ctr')} AS ctr FROM s"
     a2, b2 = P.AA_GROUPS
-    q["aa_stats"] = _with(_aa_samples_cte("s")) + _welch_select("s", "ctr", "exp_group", str(a2), str(b2), "sim")
+    q["aa_stats"] = aa() + _welch_select("s", "ctr", "exp_group", str(a2), str(b2), "sim")
+    stats = _welch_select("s", "ctr", "exp_group", str(a2), str(b2), "sim", _plain)
+    tests = f"tests AS ({_t_p(f'SELECT sim, t, df FROM ({stats})', 6000)})"
+    q["aa_test"] = aa(tests) + f"SELECT sim, {_r('t')} AS t, {_r('df')} AS df, {_leading('p')} AS p_value FROM tests"
+    q["aa_summary"] = aa(tests) + f"""SELECT CAST(count(p) AS BIGINT) AS n_sims,
+  CAST(count(*) FILTER (p <= 0.05) AS BIGINT) AS n_significant, {_r('avg(CAST(p <= 0.05 AS DOUBLE))')} AS fp_share FROM tests"""
+    q["aa_pvalue_histogram"] = hist_sql((_aa_samples_cte("s"), tests), "tests", "p", None, 10).replace(
+        "WITH ", "WITH RECURSIVE ", 1)
+
+    # every A/B test, from statistics that are not rounded
+    def t_test(name: str, statement: str) -> str:
+        rows = _t_p(f"SELECT group_a, group_b, t, df FROM ({statement})", 20000)
+        return (f"SELECT '{name}' AS test, group_a, group_b, {_r('t')} AS statistic, {_r('df')} AS df, "
+                f"{_leading('p')} AS p_value, {_decision('p')} AS decision FROM ({rows})")
+
+    def u_test(name: str, statement: str) -> str:
+        return (f"SELECT '{name}' AS test, group_a, group_b, {_r('u_a')} AS statistic, CAST(NULL AS DOUBLE) AS df, "
+                f"{_leading('p')} AS p_value, {_decision('p')} AS decision FROM ({_z_p(statement)})")
+
+    lin_stats = _with(_linearized_cte("lin")) + _welch_select(
+        "lin", "linearized_likes", "side", "'a'", "'b'", "group_a, group_b", _plain)
+    ab = [P.AB_GROUPS]
+    q["ab_results"] = " UNION ALL ".join([
+        t_test("welch_ctr", _welch_pairs(_users_src(P.ALL_GROUPS), "ctr", P.LINEARIZED_PAIRS, _plain)),
+        u_test("mann_whitney_ctr", _mann_whitney(_users_src(P.AB_GROUPS), "ctr", *P.AB_GROUPS, _plain)),
+        t_test("welch_smoothed_ctr", _welch_pairs(smoothed, "smoothed_ctr", ab, _plain)),
+        t_test("welch_bootstrap_ctr", _welch_pairs(boot, "ctr", ab, _plain)),
+        t_test("welch_bucket_ctr", _welch_pairs(_bucket_cte("src"), "bucket_ctr", ab, _plain)),
+        u_test("mann_whitney_bucket_ctr", _mann_whitney(_bucket_cte("src"), "bucket_ctr", *P.AB_GROUPS, _plain)),
+        t_test("welch_linearized_likes", lin_stats)])
 
     # alerts
     q["alert_series"] = _with(_alert_series_cte("series")) + f"""
@@ -564,13 +680,14 @@ FROM (
     dims = ("os", "gender", "age", "source")
     cols = "user_id, os, gender, age, source"
     q["audience_drop"] = _with(
-        f"""base AS (SELECT DISTINCT {cols} FROM (SELECT {cols} FROM feed_actions WHERE {base}
-              UNION ALL SELECT {cols} FROM message_actions WHERE {base}))""",
-        f"""present AS (SELECT DISTINCT user_id FROM (SELECT user_id FROM feed_actions WHERE {drop}
-              UNION ALL SELECT user_id FROM message_actions WHERE {drop}))""",
-        "missing AS (SELECT * FROM base ANTI JOIN present USING (user_id))") + " UNION ALL ".join(
-        f"""SELECT '{d}' AS dimension, CAST(b.{d} AS VARCHAR) AS dimension_value, b.n AS users_base,
-  CAST(coalesce(m.n, 0) AS BIGINT) AS users_missing, {_r(_ratio('coalesce(m.n, 0)', 'b.n'))} AS share_missing
-FROM (SELECT {d}, CAST(count(*) AS BIGINT) AS n FROM base WHERE {d} IS NOT NULL GROUP BY 1) b
-LEFT JOIN (SELECT {d}, count(*) AS n FROM missing GROUP BY 1) m USING ({d})""" for d in dims)
+        f"""base AS (SELECT {cols} FROM feed_actions WHERE {base}
+              UNION ALL SELECT {cols} FROM message_actions WHERE {base})""",
+        f"""present AS (SELECT user_id FROM feed_actions WHERE {drop}
+              UNION ALL SELECT user_id FROM message_actions WHERE {drop})""",
+        """marked AS (SELECT *, user_id IN (SELECT user_id FROM present) AS came FROM base)""") + " UNION ALL ".join(
+        f"""SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS dimension_value,
+  CAST(count(DISTINCT user_id) AS BIGINT) AS users_base,
+  CAST(count(DISTINCT user_id) FILTER (NOT came) AS BIGINT) AS users_missing,
+  {_r(_ratio('count(DISTINCT user_id) FILTER (NOT came)', 'count(DISTINCT user_id)'))} AS share_missing
+FROM marked WHERE {d} IS NOT NULL GROUP BY {d}""" for d in dims)
     return q

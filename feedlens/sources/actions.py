@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlens.operators.timeframe import PARTITION_DATE_COLUMNS, where_days
+
 FEED_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("post_id", T.LongType()),
@@ -50,10 +52,16 @@ class Actions:
     feed: DataFrame
     message: DataFrame
 
+    def until(self, day) -> Actions:
+        """The actions up to the end of ``day``."""
+        return Actions(feed=where_days(self.feed, None, day), message=where_days(self.message, None, day))
+
 
 def check_schema(df: DataFrame, schema: T.StructType, name: str = "table") -> DataFrame:
     """Select the schema's columns in order, failing on missing columns or
-    types that cannot be cast safely (numbers to numbers, any to string)."""
+    types that cannot be cast safely (numbers to numbers, any to string). A
+    date partition column of the table stays behind them, so that day ranges
+    prune partitions (``timeframe.where_days``)."""
     have = {f.name: f.dataType for f in df.schema.fields}
     missing = [f.name for f in schema.fields if f.name not in have]
     if missing:
@@ -71,6 +79,7 @@ def check_schema(df: DataFrame, schema: T.StructType, name: str = "table") -> Da
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.col(f.name))
+    cols += [F.col(c) for c in PARTITION_DATE_COLUMNS if c in have and c not in schema.names][:1]
     return df.select(*cols)
 
 
@@ -154,9 +163,12 @@ def read_actions(spark: SparkSession, feed: str = "feed_actions", message: str =
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               schema: T.StructType | None = None, partition_column: str | None = None,
               lower_bound: int | None = None, upper_bound: int | None = None,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, one_task: bool = False) -> DataFrame:
     """Read one action table from a JDBC database (the reference's store is a
-    SQL database). A partition column splits the read over executors."""
+    SQL database). A partition column splits the read over executors; a table
+    known to be small may be read by one task with ``one_task``."""
+    if not (partition_column or one_task):
+        raise ValueError(f"{table}: pass partition_column with bounds, or one_task=True for a small table")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)

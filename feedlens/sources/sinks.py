@@ -9,6 +9,8 @@ the source table's ``ORDER BY event_date``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -88,3 +90,32 @@ def write_top_posts_csv(top: DataFrame, path: str) -> None:
     """One CSV file with a header and the index column."""
     (with_index(top).coalesce(1).write.mode("overwrite")
      .option("header", True).csv(path))
+
+
+def _day_folders(spark, path: str) -> list[tuple[dt.date, str]]:
+    """(day, folder) of a Parquet table partitioned by ``day``; none if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("day=") and name != "day=__HIVE_DEFAULT_PARTITION__":
+            found.append((dt.date.fromisoformat(name[4:]), status.getPath().toString()))
+    return found
+
+
+def has_days(spark, path: str) -> bool:
+    """True if the table has a day."""
+    return bool(_day_folders(spark, path))
+
+
+def drop_days(spark, path: str, gone) -> None:
+    """Delete the day folders whose day satisfies ``gone``."""
+    jvm = spark.sparkContext._jvm
+    for day, folder in _day_folders(spark, path):
+        if gone(day):
+            target = jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

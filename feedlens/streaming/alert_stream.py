@@ -9,9 +9,9 @@
 * ``window_metrics`` computes feed and messenger metrics in one query over
   the union of both streams, so a window's six metrics arrive together.
 * ``run_alert_stream`` appends each micro-batch of closed windows to a
-  Parquet table under a folder named by the batch id (a replayed batch
-  overwrites its own folder, so nothing is duplicated), then runs the band
-  check of ``operators.alerts`` on the table's recent windows.
+  Parquet table by date and batch id (a replayed batch overwrites its own
+  folders, so nothing is duplicated), then runs the band check of
+  ``operators.alerts`` for every window that the batch closed.
 
 Event time must be a TIMESTAMP (with time zone) column to carry a watermark;
 the fixture's TIMESTAMP_NTZ is cast with the session time zone (UTC).
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.operators import alerts
-from feedlens.operators.timeframe import as_datetime
+from feedlens.operators.timeframe import date_literal
 from feedlens.sources.actions import EVENTS_SCHEMA, feed_from_events, message_from_events
 
 
@@ -105,23 +105,24 @@ def window_metrics(feed: DataFrame, message: DataFrame, watermark: str = BUCKET)
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Closed windows of one micro-batch under ``batch=<id>/date=<day>``: a
-    replayed batch overwrites its own folder, and readers prune by date."""
-    (df.withColumn("date", F.to_date("ts")).write.mode("overwrite")
-     .partitionBy("date").parquet(f"{path}/batch={batch_id}"))
-
-
-def check_recent(spark: SparkSession, table: str, now,
-                 lookback: dt.timedelta = dt.timedelta(days=2)) -> DataFrame:
-    """Band check over the windows stored by the stream: the batch alert on
-    the feed windows of [now - lookback, now)."""
-    start = as_datetime(now) - lookback
+    """Closed windows of one micro-batch under ``date=<day>/batch=<id>``: a
+    replayed batch replaces its own folders, and readers list only the days
+    they ask for."""
+    (df.withColumn("date", F.to_date("ts")).withColumn("batch", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date", "batch").parquet(path))
+
+
+def check_buckets(spark: SparkSession, table: str, buckets: DataFrame) -> DataFrame:
+    """Band check of every bucket of ``buckets`` (column ``ts``) against the
+    windows stored by the stream: the rows of one ``alert_check`` per bucket."""
+    # one row: the days to read
+    span = buckets.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    start = span["lo"].date() - dt.timedelta(days=1)
     series = (spark.read.parquet(table)
-              .where(F.col("date") >= F.lit(start.date().isoformat()).cast("date"))
-              .where(F.col("ts") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
-              .where(F.col("users_feed") > 0)
-              .drop("date", "batch"))
-    return alerts.alert_check(alerts.alert_bands(series))
+              .where(F.col("date").between(date_literal(start), date_literal(span["hi"])))
+              .where(F.col("users_feed") > 0).drop("date", "batch"))
+    return alerts.check_each(series, buckets)
 
 
 def run_alert_stream(spark: SparkSession, events_path: str, out_dir: str, checkpoint_dir: str,
@@ -129,24 +130,27 @@ def run_alert_stream(spark: SparkSession, events_path: str, out_dir: str, checkp
                      check_alerts: bool = True):
     """Start the alert stream over event files landing in ``events_path``.
 
-    Each micro-batch appends its closed windows to ``out_dir/windows`` (one
-    folder per batch id, so a replayed batch replaces itself) and, when it
-    closed any window, writes the band check of the latest window to
-    ``out_dir/alerts/batch=<id>``. Returns the streaming query.
+    Each micro-batch appends its closed windows to ``out_dir/windows`` (by
+    date, then batch id, so a replayed batch replaces itself) and writes the
+    band check of every window it closed to ``out_dir/alerts/batch=<id>``, also
+    after a pause or over a backlog. Returns the streaming query.
     """
     events = read_event_stream(spark, events_path)
     windows = window_metrics(feed_from_events(events), message_from_events(events))
     table, alert_table = f"{out_dir}/windows", f"{out_dir}/alerts"
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        _write_batch(df, table, batch_id)
-        if check_alerts:
-            last = df.agg(F.max("ts")).first()[0]
-            now = last + dt.timedelta(minutes=15)
-            (check_recent(df.sparkSession, table, now)
-             .write.mode("overwrite").parquet(f"{alert_table}/batch={batch_id}"))
+        # The batch's stateful plan runs once; what follows reads its rows.
+        df = df.persist()
+        try:
+            if df.isEmpty():
+                return
+            _write_batch(df, table, batch_id)
+            if check_alerts:
+                (check_buckets(df.sparkSession, table, df.where(F.col("users_feed") > 0).select("ts"))
+                 .write.mode("overwrite").parquet(f"{alert_table}/batch={batch_id}"))
+        finally:
+            df.unpersist()
 
     w = (windows.writeStream.outputMode("append").foreachBatch(sink)
          .option("checkpointLocation", checkpoint_dir))

@@ -74,3 +74,20 @@ def test_campaign_retention_segments(spark):
            for r in cohorts.campaign_retention(a.feed, d(1), d(1)).collect()}
     assert got == {("other", d(0), 0): (1, 1, 1.0), ("other", d(0), 2): (1, 1, 1.0),
                    ("campaign", d(1), 0): (2, 2, 1.0), ("campaign", d(1), 2): (1, 2, 0.5)}
+
+
+def test_audience_drop_counts_users(spark):
+    """A user with two attribute values counts once per value and once in the others."""
+    from feedlens.operators import cohorts
+    from feedlens.sources.actions import FEED_SCHEMA, MESSAGE_SCHEMA, Actions
+    import datetime as dt
+
+    def row(user, os_name, day):
+        return (user, 1, "view", dt.datetime(2024, 1, day, 10), 0, os_name, 30, 1, "ads")
+
+    feed = spark.createDataFrame([row(1, "iOS", 1), row(1, "Android", 2), row(2, "iOS", 1), row(2, "iOS", 9)], FEED_SCHEMA)
+    actions = Actions(feed=feed, message=spark.createDataFrame([], MESSAGE_SCHEMA))
+    got = {(r.dimension, r.dimension_value): (r.users_base, r.users_missing)
+           for r in cohorts.audience_drop(actions, "2024-01-01", "2024-01-07", "2024-01-09").collect()}
+    assert got == {("os", "iOS"): (2, 1), ("os", "Android"): (1, 1), ("gender", "1"): (2, 1), ("age", "30"): (2, 1),
+                   ("source", "ads"): (2, 1)}

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from feedlens.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.01"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -37,7 +38,7 @@ def _norm(rows):
     return sorted((tuple(one(x) for x in r) for r in rows), key=lambda r: tuple(map(str, r)))
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.oracle_sql()))
 def test_matches_duckdb(spark, duck, key):
     df = E.queries()[key](spark, SF)
     res = duck.execute(E.oracle_sql()[key])
@@ -53,10 +54,14 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.oracle_sql()))
 def test_column_types_match_duckdb(spark, duck, key):
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
                    for f in E.queries()[key](spark, SF).schema.fields}
     rel = duck.sql(E.oracle_sql()[key])
     duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert spark_types == duck_types
+
+
+def test_only_the_approximate_count_has_no_statement():
+    assert set(catalog.queries()) - set(oracle.oracle_sql()) == {"weekly_audience_approx"}

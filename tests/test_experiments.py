@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import draw32, hash32, poisson1_thresholds, poisson1_weight
+from feedlens.functions import permutation
+from feedlens.functions.columns import draw32, hash_halves, poisson1_thresholds, poisson1_weight, salt_offset, uniform_bucket
 from feedlens.operators import experiments as ex
 from feedlens.operators.ordering import running_total
 from feedlens.plans import params as P
@@ -79,43 +80,82 @@ def test_linearized_control_mean_is_zero(spark):
     assert m[3] == pytest.approx(((2 - c * 4) + (0 - c * 6)) / 2)
 
 
-def _brute_aa(users_pdf, groups, reps, sample, salt="aa"):
-    out = []
-    for g in groups:
-        gu = users_pdf[users_pdf.exp_group == g]
-        for s in range(reps):
-            keyed = gu.assign(h=[_py_draw(_py_key(salt, u), s) for u in gu.user_id])
-            out += [(s, g, u) for u in keyed.sort_values(["h", "user_id"]).user_id[:sample]]
-    return sorted(out)
+def _py_mix(x):
+    for _ in range(2):
+        x = ((x ^ (x >> 16)) * 0x45D9F3B) & 0xFFFFFFFF
+    return x ^ (x >> 16)
 
 
-def _py_key(salt, user):
+def _py_halves(salt, user):
     import hashlib
-    return int(hashlib.md5(f"{salt}:{user}".encode()).hexdigest()[:8], 16)
+    h = hashlib.md5(f"{salt}:{user}".encode()).hexdigest()
+    return int(h[:8], 16), int(h[8:16], 16)
 
 
-def _py_draw(key, rep):
-    m = 0xFFFFFFFF
-    x = (key + rep * 0x9E3779B1) & m
-    x = ((x ^ (x >> 16)) * 0x45D9F3B) & m
-    x = ((x ^ (x >> 16)) * 0x45D9F3B) & m
-    return x ^ (x >> 16)
+def _py_draw(hi, lo, rep):
+    return _py_mix((_py_mix((lo + rep * 0x9E3779B1) & 0xFFFFFFFF) + hi) & 0xFFFFFFFF)
 
 
 def test_draws_match_python(spark):
     df = spark.createDataFrame([(u, r) for u in (0, 5, 123456789012) for r in (0, 1, 9999)], "u bigint, r int")
-    got = df.select("u", "r", draw32(hash32("aa", "u"), "r").alias("h")).collect()
+    got = df.select("u", "r", draw32(*hash_halves("aa", "u"), "r").alias("h")).collect()
     for row in got:
-        assert row.h == _py_draw(_py_key("aa", row.u), row.r)
+        assert row.h == _py_draw(*_py_halves("aa", row.u), row.r)
+
+
+def test_draw_keys_use_all_64_bits(spark):
+    """Users that share either half of the key do not share their draws."""
+    rows = [(hi, lo, r) for hi, lo in ((1, 2), (1, 3), (4, 2)) for r in range(50)]
+    got = (spark.createDataFrame(rows, "hi bigint, lo bigint, r int").withColumn("h", draw32("hi", "lo", "r"))
+           .groupBy("hi", "lo").agg(F.sort_array(F.collect_list("h")).alias("d")).collect())
+    assert len({tuple(r.d) for r in got}) == 3
+
+
+def test_buckets_are_even_and_ignore_the_salt_of_others(spark):
+    df = spark.range(40000).select(uniform_bucket("bucket", "id", 20).alias("a"), uniform_bucket("other", "id", 20).alias("b"))
+    counts = [r["count"] for r in df.groupBy("a").count().collect()]
+    assert len(counts) == 20 and max(counts) < 1.1 * 2000 and min(counts) > 0.9 * 2000
+    assert df.where("a = b").count() == pytest.approx(2000, rel=0.1)
 
 
-@pytest.mark.parametrize("margin", [8.0, -3.0])
-def test_aa_samples_exact(spark, margin):
-    rows = [(2 + (u % 2), u, u % 5, 5 + u % 3) for u in range(40)]
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 37, 64, 1000, 4097])
+def test_permutation_is_a_permutation(n):
+    for stream in (0, 1, 77):
+        keys = permutation.round_keys(salt_offset("aa"), stream, 2)
+        assert sorted(permutation.permuted(np.arange(n), n, keys).tolist()) == list(range(n))
+
+
+def test_permutation_visits_every_place_evenly():
+    n, streams = 12, 6000
+    keys = [np.repeat(k, n) for k in permutation.round_keys(salt_offset("x"), np.arange(streams), 0)]
+    images = permutation.permuted(np.tile(np.arange(n), streams), n, keys).reshape(streams, n)
+    for place in range(n):
+        counts = np.bincount(images[:, place], minlength=n)
+        # 5 sigma of a binomial count with mean 500
+        assert abs(counts - streams / n).max() < 5 * np.sqrt(streams / n)
+
+
+def test_aa_samples_are_samples(spark):
+    rows = [(2 + (u % 2), 10 * u, u % 5, 5 + u % 3) for u in range(41)]
     users = _users(spark, rows)
-    got = ex.aa_samples(users, (2, 3), reps=30, sample=6, margin_sigmas=margin)
-    got_rows = sorted((r.sim, r.exp_group, r.user_id) for r in got.collect())
-    assert got_rows == _brute_aa(users.toPandas(), (2, 3), 30, 6)
+    got = ex.aa_samples(users, (2, 3), reps=30, sample=6).toPandas()
+    assert (got.groupby(["sim", "exp_group"]).user_id.nunique() == 6).all() and len(got) == 30 * 2 * 6
+    own = {(r[0], r[1]) for r in rows}
+    assert set(zip(got.exp_group, got.user_id)) <= own
+    ids = {g: sorted(u for h, u in own if h == g) for g in (2, 3)}
+    for (sim, g), part in got.groupby(["sim", "exp_group"]):
+        keys = permutation.round_keys(salt_offset("aa"), int(sim), int(g))
+        want = permutation.permuted(np.arange(6), len(ids[g]), keys)
+        assert sorted(part.user_id) == sorted(ids[g][i] for i in want)
+    whole = ex.aa_samples(users, (2, 3), reps=2, share=1.0).toPandas()
+    assert set(zip(whole.exp_group, whole.user_id)) == own and len(whole) == 2 * 41
+
+
+def test_aa_draws_do_not_grow_with_the_group(spark):
+    """The rows drawn are reps x groups x sample for any number of users."""
+    for n in (200, 2000):
+        users = _users(spark, [(2 + (u % 2), u, 1, 5) for u in range(n)])
+        assert ex.aa_samples(users, (2, 3), reps=20, sample=5).count() == 20 * 2 * 5
 
 
 def test_aa_group_too_small(spark):
@@ -126,7 +166,7 @@ def test_aa_group_too_small(spark):
 
 def test_aa_p_values_uniform_under_null(spark):
     # Two groups drawn from one law: the share of p <= 0.05 should be near 0.05.
-    rows = [(2 + (u % 2), u, int(_py_key("law", u) % 7), 10) for u in range(2000)]
+    rows = [(2 + (u % 2), u, int(_py_halves("law", u)[0] % 7), 10) for u in range(2000)]
     users = _users(spark, rows)
     stats = ex.aa_stats(ex.aa_samples(users, (2, 3), reps=2000, sample=50), (2, 3))
     s = ex.aa_summary(ex.with_t_p_value(stats)).first()
@@ -134,10 +174,56 @@ def test_aa_p_values_uniform_under_null(spark):
     assert 0.03 <= s.fp_share <= 0.07
 
 
+def test_repeated_pair_changes_nothing(spark, actions001):
+    users = ex.user_ctr(actions001.feed, P.EXP_START, P.EXP_END, P.ALL_GROUPS)
+    once = ex.welch_pairs(users, "ctr", [(0, 3), (1, 2)]).collect()
+    twice = ex.welch_pairs(users, "ctr", [(0, 3), (1, 2), (1, 2)]).collect()
+    assert sorted(map(tuple, once)) == sorted(map(tuple, twice))
+
+
+def test_ab_tests_scan_events_once(spark, actions001):
+    """All tests read the materialized per-user table: the plan holds no scan of events."""
+    out = ex.ab_tests(ex.user_ctr(actions001.feed, P.EXP_START, P.EXP_END, P.ALL_GROUPS), P.LINEARIZED_PAIRS,
+                      P.AB_GROUPS, reps=20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan and "Scan ExistingRDD" in plan
+
+
+def test_bucket_ctr_of_users_equals_bucket_ctr_of_events(spark, actions001):
+    users = ex.user_ctr(actions001.feed, P.EXP_START, P.EXP_END, P.AB_GROUPS)
+    a = ex.bucket_ctr(actions001.feed, P.EXP_START, P.EXP_END, P.AB_GROUPS, 20)
+    b = ex.bucket_ctr_of_users(users, P.AB_GROUPS, 20)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_mann_whitney_methods(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 3.0), (1, 5.0), (2, 2.0), (2, 4.0), (2, 6.0)], "g int, x double")
+    stats = ex.mann_whitney(df, "x", "g", 1, 2)
+    auto, exact, normal = (ex.with_normal_p_value(stats, method=m).first() for m in ("auto", "exact", "asymptotic"))
+    assert auto.method == exact.method == "exact" and auto.p_value == exact.p_value == pytest.approx(0.7)
+    assert normal.method == "asymptotic" and normal.p_value != auto.p_value
+    tied = ex.mann_whitney(spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 2.0)], "g int, x double"), "x", "g", 1, 2)
+    assert ex.with_normal_p_value(tied).first().method == "asymptotic"
+    with pytest.raises(Exception, match="ties"):
+        ex.with_normal_p_value(tied, method="exact").collect()
+
+
+def test_histogram_by_pair_has_edges_of_its_own(spark):
+    rows = [(0, 3, 0, float(v)) for v in range(11)] + [(1, 2, 1, 100.0 + 2 * v) for v in range(6)]
+    df = spark.createDataFrame(rows, "group_a int, group_b int, exp_group int, x double")
+    got = {(r.group_a, r.bin): (r.bin_lo, r.bin_hi, r.n)
+           for r in ex.histogram(df, "x", "exp_group", bins=5, by=("group_a", "group_b")).collect()}
+    assert got[(0, 0)] == (0.0, 2.0, 2) and got[(0, 4)] == (8.0, 10.0, 3)
+    assert got[(1, 0)] == (100.0, 102.0, 1) and got[(1, 4)] == (108.0, 110.0, 2)
+    assert ex.histogram(df.where("x < 0"), "x", bins=5).count() == 0
+
+
 def test_poisson_weights_have_mean_and_variance_one(spark):
     th = poisson1_thresholds()
     assert th == sorted(th) and th[-1] < 2 ** 32
-    df = spark.range(200000).select(poisson1_weight(draw32(hash32("p", "id"), F.lit(3))).alias("w"))
+    # fixed values of the law: floor(2^32 e^-1 (1/0! + ... + 1/k!))
+    assert th[:6] == [1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291]
+    df = spark.range(200000).select(poisson1_weight(draw32(*hash_halves("p", "id"), F.lit(3))).alias("w"))
     m = df.agg(F.avg("w").alias("m"), F.var_samp("w").alias("v")).first()
     assert m.m == pytest.approx(1.0, abs=0.01) and m.v == pytest.approx(1.0, abs=0.02)
 

@@ -75,3 +75,17 @@ def test_etl_one_day_drops_receivers_who_did_not_send(spark):
     m = {r.user_id: r for r in slices.etl_messages(a.message, D, D).collect()}
     assert set(m) == {1}                      # user 2 received on D but sent nothing that day
     assert (m[1].messages_sent, m[1].users_sent, m[1].messages_received, m[1].users_received) == (1, 1, 1, 1)
+
+
+def test_unknown_attributes_match_in_etl_total(spark):
+    import datetime as dt
+
+    from feedlens.operators import slices
+    day = dt.date(2024, 1, 1)
+    feed = spark.createDataFrame([(day, 1, None, 30, None, 5, 1)],
+                                 "event_date date, user_id bigint, os string, age int, gender int, views bigint, likes bigint")
+    message = spark.createDataFrame([(day, 1, None, 30, None, 2, 3, 1, 1), (day, 2, "iOS", 20, 0, 1, 1, 1, 1)],
+                                    "event_date date, user_id bigint, os string, age int, gender int, messages_received bigint, "
+                                    "messages_sent bigint, users_received bigint, users_sent bigint")
+    got = {r.user_id: tuple(r) for r in slices.etl_total(feed, message).collect()}
+    assert got == {1: (day, 1, None, 30, None, 5, 1, 2, 3, 1, 1), 2: (day, 2, "iOS", 20, 0, None, None, 1, 1, 1, 1)}

@@ -2,7 +2,7 @@ import math
 
 import pytest
 
-import __spark_entry__ as E
+from feedlens.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.01"
 
@@ -17,25 +17,25 @@ def _norm(rows):
 
 @pytest.fixture(scope="module")
 def results_by_partitions(spark):
-    keys = sorted(E.oracle_sql())
+    keys = sorted(oracle.oracle_sql())
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     out = {}
     try:
         for n in ("1", "13"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            qs = E.queries()
+            qs = catalog.queries()
             out[n] = {k: _norm(qs[k](spark, SF).collect()) for k in keys}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
     return out
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.oracle_sql()))
 def test_same_result_for_1_and_13_partitions(results_by_partitions, key):
     assert results_by_partitions["1"][key] == results_by_partitions["13"][key]
 
 
-ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
+ROWS_ONLY = sorted(set(catalog.queries()) - set(oracle.oracle_sql()))
 
 
 @pytest.mark.parametrize("key", ROWS_ONLY)
@@ -45,7 +45,7 @@ def test_rows_only_keys_are_partition_invariant(spark, key):
         out = []
         for n in ("1", "13"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            out.append(_norm(E.queries()[key](spark, SF).collect()))
+            out.append(_norm(catalog.queries()[key](spark, SF).collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
     assert out[0] == out[1]

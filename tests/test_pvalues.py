@@ -85,3 +85,19 @@ def test_mann_whitney_exact_small_groups(spark):
     assert mann_whitney_exact_p(6.0, 6.0, 3, 4) == 1.0
     ties = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 2.0), (2, 3.0)], "g int, x double")
     assert ex.with_normal_p_value(ex.mann_whitney(ties, "x", "g", 1, 2)).first().method == "asymptotic"
+
+
+def test_t_p_value_at_large_df():
+    """Student's law meets the normal law as df grows; the tails agree to the order of 1/df."""
+    at, over = student_t_two_sided([0.5, 1.96, 4.0], [2e5] * 3), student_t_two_sided([0.5, 1.96, 4.0], [2e5 + 1] * 3)
+    assert over == pytest.approx(at, rel=1e-8)  # where the formula changes
+    for df in (1e5, 1e6, 1e9, 1e10, 1e13, 1e15):
+        for t in (0.3, 1.0, 1.959963984540054, 4.0):
+            want = math.erfc(t / math.sqrt(2))
+            assert student_t_two_sided([t], [df])[0] == pytest.approx(want, rel=1e-9 + 100 / df)
+
+
+def test_exact_law_has_a_clear_bound():
+    from feedlens.functions.pvalues import mann_whitney_exact_p
+    with pytest.raises(ValueError, match="asymptotic"):
+        mann_whitney_exact_p(5.0, 3.0, 8, 10**9)

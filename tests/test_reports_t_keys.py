@@ -19,6 +19,20 @@ def test_ab_results_decisions(spark):
     names = {r.test for r in rows}
     assert names == {"welch_ctr", "mann_whitney_ctr", "welch_smoothed_ctr", "welch_bootstrap_ctr",
                      "welch_bucket_ctr", "mann_whitney_bucket_ctr", "welch_linearized_likes"}
+    by_test = {(r.test, r.group_a, r.group_b): r for r in rows}
+    assert len(by_test) == len(rows) == 9
+    # each row is its own single-test key
+    for test, key, value in (("welch_ctr", "welch_ctr_pairs", "t"), ("mann_whitney_ctr", "mann_whitney", "u_a"),
+                             ("welch_smoothed_ctr", "welch_smoothed", "t"), ("welch_bootstrap_ctr", "welch_bootstrap", "t"),
+                             ("welch_bucket_ctr", "welch_bucket", "t"),
+                             ("mann_whitney_bucket_ctr", "mann_whitney_bucket", "u_a"),
+                             ("welch_linearized_likes", "welch_linearized", "t")):
+        for single in E.queries()[key](spark, SF).collect():
+            row = by_test[(test, single.group_a, single.group_b)]
+            assert row.statistic == pytest.approx(single[value], abs=1e-6)
+    single = E.queries()["welch_ctr"](spark, SF).first()
+    assert by_test[("welch_ctr", 1, 2)].statistic == pytest.approx(single.t, abs=1e-6)
+    assert by_test[("welch_ctr", 1, 2)].df == pytest.approx(single.df, abs=1e-6)
     for r in rows:
         assert 0.0 <= r.p_value <= 1.0
         assert r.decision == ("rejected" if r.p_value < 0.05 else "not rejected")

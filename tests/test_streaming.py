@@ -1,5 +1,6 @@
 import os
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import fifteen_minute_start, ratio
@@ -66,3 +67,39 @@ def test_alert_stream_tables(spark, tmp_dir):
     assert joined.count() > 1000
     alerts = spark.read.parquet(f"{out}/alerts")
     assert alerts.select("metric").distinct().count() == 6
+
+
+def test_every_closed_window_is_checked(spark, tmp_dir):
+    """A backlog of two batches: the alert rows are those of one alert_check per bucket."""
+    from feedlens.operators import alerts
+
+    src = os.path.join(tmp_dir, "events_in")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    for lo, hi in (("2024-01-10", "2024-01-11"), ("2024-01-11", "2024-01-13")):
+        (events.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+         .coalesce(1).write.mode("append").parquet(src))
+    out = os.path.join(tmp_dir, "out")
+    alert_stream.run_alert_stream(spark, src, out, os.path.join(tmp_dir, "ck")).awaitTermination()
+    rows = spark.read.parquet(f"{out}/alerts").drop("batch").toPandas()
+    series = spark.read.parquet(f"{out}/windows").where("users_feed > 0").drop("date", "batch").toPandas()
+    checked = sorted(set(rows.ts))
+    assert checked == sorted(set(series.ts)) and len(checked) > 100
+    columns = ["metric", "ts", "value", "low", "up", "is_alert", "deviation", "message"]
+    for ts in checked[::17]:
+        closed = ts + pd.Timedelta(minutes=15)
+        start = closed.normalize() - pd.Timedelta(days=1)
+        part = spark.createDataFrame(series[(series.ts >= start) & (series.ts <= ts)]).withColumn(
+            "ts", F.col("ts").cast("timestamp_ntz"))
+        want = alerts.alert_check(alerts.alert_bands(part)).toPandas()[columns].sort_values("metric").reset_index(drop=True)
+        got = rows[rows.ts == ts][columns].sort_values("metric").reset_index(drop=True)
+        pd.testing.assert_frame_equal(got, want, check_dtype=False, atol=1e-9)
+
+
+def test_replayed_batch_replaces_its_windows(spark, tmp_dir):
+    rows = spark.createDataFrame([("2024-01-10 00:00:00", 1), ("2024-01-11 00:00:00", 2)], "ts string, users_feed long") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    table = os.path.join(tmp_dir, "windows")
+    for batch in (0, 1, 1):
+        alert_stream._write_batch(rows, table, batch)
+    assert spark.read.parquet(table).count() == 4
+    assert sorted(os.listdir(table))[-2:] == ["date=2024-01-10", "date=2024-01-11"]
