@@ -1,9 +1,9 @@
 """Document encoding with a tokenizer file, at the speed of a word cache.
 
 A byte-level tokenizer cuts a text into words by a fixed pattern and encodes
-each word by itself, so a task encodes each new word once with the tokenizers
-library and joins the stored ids. Tokenizer files of any other kind, and
-texts that hold an added token's content, go through the library whole.
+each word by itself, so a worker gives each new word once to the tokenizers
+library's BPE model and joins the stored ids. Tokenizer files of any other
+kind, and texts that hold an added token's content, go through the library whole.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NARROW = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 _PLAIN = re.compile(rf"[\x00-\x1b\x20-\x7f{_LETTERS}]*")
 _WIDE = regex.compile(WORDS)
-#: Words a task remembers; beyond that it starts anew.
+#: Words a worker remembers; the older half goes when there are more.
 CACHE_WORDS = 1_000_000
 
 
@@ -39,6 +39,13 @@ def split_words(text: str) -> list[str]:
     return (_NARROW if _PLAIN.fullmatch(text) else _WIDE).findall(text)
 
 
+def byte_symbols() -> dict[str, int]:
+    """The printable character that stands for each byte in a byte-level vocabulary file."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 def is_byte_level(spec: dict) -> bool:
     """True if the file encodes each word of ``WORDS`` by itself."""
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
@@ -58,31 +65,42 @@ class DocumentEncoder:
         self.full.no_padding()
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.by_word = is_byte_level(spec)
-        if self.by_word:
-            spec |= {"added_tokens": [], "post_processor": None, "truncation": None, "padding": None}
-            spec["pre_tokenizer"] = spec["pre_tokenizer"] | {"use_regex": False}
-            self.words = Tokenizer.from_str(json.dumps(spec))
+        self.model = self.full.model
+        self.symbols = str.maketrans({b: s for s, b in byte_symbols().items()})
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the words known before the last time there were too many
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn(self, new: list[str]) -> None:
-        for word, e in zip(new, self.words.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = array("I", e.ids).tobytes()
+    def word(self, word: str) -> bytes:
+        """One word by the library's BPE model, which knows bytes by their printable symbols."""
+        if (ids := self.older.get(word)) is not None:
+            return ids
+        plain = word.isascii() and word.isprintable()
+        shown = word.replace(" ", "Ġ") if plain else word.encode().decode("latin-1").translate(self.symbols)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self.whole(t) for t in texts]
-        cut = [None if any(a in t for a in self.added) else split_words(t) for t in texts]
-        wanted = set()
-        for words in cut:
-            wanted.update(words or ())
-        if len(self.known) + len(wanted) > CACHE_WORDS:
-            self.known.clear()
-        self.learn([w for w in wanted if w not in self.known])
-        get = self.known.__getitem__
-        return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, cut)]
+        if len(self.known) > CACHE_WORDS // 2:
+            self.older, self.known = self.known, {}
+        known, word = self.known, self.word
+        out = []
+        for text in texts:
+            if any(a in text for a in self.added):
+                out.append(self.whole(text))
+                continue
+            words = split_words(text)
+            ids, at = list(map(known.get, words)), -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                if (new := known.get(words[at])) is None:
+                    new = known[words[at]] = word(words[at])
+                ids[at] = new
+            out.append(b"".join(ids))
+        return out
 
 
 _ENCODERS: dict[str, DocumentEncoder] = {}
