@@ -26,16 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import id_text, ready, slices
-from feedlens.llm.tokens import CACHE_WORDS, default_tokenizer, is_byte_level, split_words
+from feedlens.llm.tokens import CACHE_WORDS, byte_symbols, default_tokenizer, is_byte_level, split_words
 
-_NEVER = np.int64(1) << 40
-
-
-def byte_symbols() -> dict[str, int]:
-    """The printable character that stands for each byte in a byte-level vocabulary file."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+_BITS = 24  # of an id
+_ID = (1 << _BITS) - 1
+_NONE = 1 << 60  # no merge
+_NEVER = np.int64(_NONE)
 
 
 class Codec:
@@ -59,46 +55,42 @@ class Codec:
         for s, i in self.added.items():
             self.tokens[i] = s.encode()
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.byte_ids = [self.by_bytes.get(bytes([b]), 0) for b in range(256)]
+        self.rank: dict[int, int] = {}  # by a pair of ids: rank of its merge and the id it makes
         size = len(self.tokens)
         self.born = np.full(size, -1, np.int64)  # rank of the merge that makes a token; -1 for a byte
         self.left, self.right = np.arange(size), np.arange(size)
         self.single = True  # each token has one merge that makes it
         for r, (x, y) in enumerate(merges):
             a, b, made = vocab[x], vocab[y], vocab[x + y]
-            self.rank.setdefault((a, b), (r, made))
+            self.rank.setdefault(a << _BITS | b, r << _BITS | made)
             self.single &= self.born[made] < 0
             self.born[made], self.left[made], self.right[made] = r, a, b
-        keys = np.array([a << 32 | b for a, b in self.rank], np.int64)
+        keys = np.array(list(self.rank), np.int64)
         order = np.argsort(keys)
         self.pair_keys = keys[order]
-        self.pair_ranks = np.array([r for r, _ in self.rank.values()], np.int64)[order]
+        self.pair_ranks = np.array(list(self.rank.values()), np.int64)[order] >> _BITS
         self.longest: dict[bytes, int] = {}  # of the tokens that begin with these two bytes
         for t in self.by_bytes:
             self.longest[t[:2]] = max(self.longest.get(t[:2], 0), len(t))
         self.own = np.full(size, -1, np.int8)  # 1: the token is the encoding of its bytes; -1: not known yet
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the words known before the last time there were too many
         self.decimal = [b"%d" % i for i in range(size)]
         self.failed = self.seen = 0
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merging: again and again the pair of lowest rank, leftmost first."""
-        ids = [self.by_bytes[word[i:i + 1]] for i in range(len(word))]
-        rank, last = self.rank.get, (1 << 40, 0)
-        found = [rank(p, last) for p in zip(ids, ids[1:])]
-        while found and (best := min(found)) is not last:
-            i = found.index(best)
-            while True:
-                ids[i:i + 2] = [best[1]]
-                del found[i]
-                if i < len(found):
-                    found[i] = rank((ids[i], ids[i + 1]), last)
-                if i:
-                    found[i - 1] = rank((ids[i - 1], ids[i]), last)
-                try:
-                    i = found.index(best, i)
-                except ValueError:
-                    break
+        ids, get = [self.byte_ids[b] for b in word], self.rank.get
+        found = [get(a << _BITS | b, _NONE) for a, b in zip(ids, ids[1:])]
+        while found and (best := min(found)) != _NONE:
+            i, made = found.index(best), best & _ID
+            ids[i:i + 2] = [made]
+            del found[i]
+            if i < len(found):
+                found[i] = get(made << _BITS | ids[i + 1], _NONE)
+            if i:
+                found[i - 1] = get(ids[i - 1] << _BITS | made, _NONE)
         return ids
 
     def propose(self, word: bytes) -> list[int]:
@@ -120,7 +112,7 @@ class Codec:
         absorbed_x = np.full(len(a), _NEVER)  # rank of the merge that takes the part up
         absorbed_y = np.full(len(a), _NEVER)
         while live.size:
-            at = np.searchsorted(self.pair_keys, key := x << 32 | y)
+            at = np.searchsorted(self.pair_keys, key := x << _BITS | y)
             at[at == self.pair_keys.size] = 0
             rank = np.where(self.pair_keys[at] == key, self.pair_ranks[at], _NEVER)
             # at equal rank the leftmost pair goes first
@@ -153,8 +145,8 @@ class Codec:
         wrong = np.zeros(len(words), bool)
         wrong[owner[~self.self_encoded(flat)]] = True
         inner = np.flatnonzero(owner[1:] == owner[:-1])
-        pairs, back = np.unique(flat[inner] << 32 | flat[inner + 1], return_inverse=True)
-        good = self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)[back]
+        pairs, back = np.unique(flat[inner] << _BITS | flat[inner + 1], return_inverse=True)
+        good = self.compatible(pairs >> _BITS, pairs & _ID)[back]
         wrong[owner[inner[~good]]] = True
         self.seen += len(words)
         self.failed += int(wrong.sum())
@@ -171,14 +163,30 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self.pieces(t) for t in texts]
-        wanted = {w for words in cut for w in words if isinstance(w, str)}
-        if len(self.known) + len(wanted) > CACHE_WORDS:
-            self.known.clear()
-        if new := [w for w in wanted if w not in self.known]:
+        if len(self.known) > CACHE_WORDS // 2:
+            self.older, self.known = self.known, {}
+        known, found, new = self.known, [], set()
+        for text in texts:
+            words = self.pieces(text)
+            ids, places, at = list(map(known.get, words)), [], -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                places.append((at, words[at]))
+            for at, w in places:
+                if w.__class__ is int:
+                    ids[at] = w.to_bytes(4, "little")
+                elif (old := self.older.get(w)) is not None:
+                    ids[at] = known[w] = old
+                else:
+                    new.add(w)
+            found.append((ids, places))
+        if new := [w for w in new if w not in known]:
             self.learn(new)
-        known = self.known
-        return [b"".join([known[w] if w.__class__ is str else w.to_bytes(4, "little") for w in words]) for words in cut]
+        for ids, places in found:
+            for at, w in places:
+                if ids[at] is None:
+                    ids[at] = known[w]
+        return [b"".join(ids) for ids, _ in found]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", errors="replace")
