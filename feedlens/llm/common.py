@@ -98,16 +98,15 @@ def range_cuts(df: DataFrame, column: str, parts: int) -> list[float]:
 
 def with_range(df: DataFrame, column: str, cuts: list[float], out: str) -> DataFrame:
     """Add the range number of ``column`` (nulls: the last one)."""
-    wide = f"{out}_value"
+    wide, number = f"{out}_value", f"{out}_no"
     df = df.withColumn(wide, F.col(column).cast("double"))
     if cuts:
         splits = [float("-inf"), *cuts, float("inf")]
-        made = Bucketizer(splits=splits, inputCol=wide, outputCol=f"{out}_no", handleInvalid="keep").transform(df)
-        number = F.col(f"{out}_no").cast("int")
+        df = Bucketizer(splits=splits, inputCol=wide, outputCol=number, handleInvalid="keep").transform(df)
     else:
-        made = df
-        number = F.when(F.col(wide).isNull(), F.lit(1)).otherwise(F.lit(0))
-    return made.withColumn(out, number).drop(wide, f"{out}_no")
+        df = df.withColumn(number, F.lit(0.0))
+    last = F.lit(len(cuts) + 1)
+    return df.withColumn(out, F.when(F.col(wide).isNull(), last).otherwise(F.col(number).cast("int"))).drop(wide, number)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
