@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Default number of value ranges: a comparison tree of depth 9 in generated code.
+# Default number of value ranges: a comparison tree of depth 6 in generated code.
 # Any number gives the same result; it sets the number of tasks.
-RANGES = 512
+RANGES = 64
 
 
 def _range_index(col: Column, cuts: list[float]) -> Column:
