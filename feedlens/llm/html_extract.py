@@ -5,7 +5,9 @@ and boilerplate, and votes for the path of tags and generalised classes of the
 best one. Spark adds up the votes of each host; pages then take the text of the
 container on their host's path, or of their own best one where the page has no
 such container. A host of any size only meets its votes, added up before the
-shuffle, and one row with its path.
+shuffle, and one row with its path. The table of paths is broadcast if it has
+few rows; else pages and paths meet by host and salt, so that a host with a
+third of all pages is spread over many tasks.
 
 Left out: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments, by element, role and class or id words. Character
@@ -27,7 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import ready, slices
+from feedlens.llm.common import ready, slices, work_dir, written
+
+#: Hosts whose paths are broadcast (a row is a few hundred bytes); beyond that, the salts of a host.
+BROADCAST_HOSTS, SALTS = 200_000, 32
 
 _MARKUP = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<other>[!?][^>]*>)|(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)"""
                      r"""(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z))""", re.S)
@@ -273,7 +278,17 @@ def host_paths(pages: DataFrame) -> DataFrame:
             .select("host", F.col("best.path").alias("path")))
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def with_paths(pages: DataFrame, paths: DataFrame, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
+    """Pages (with host) and their host's path; ``paths`` is a table on shared storage."""
+    if paths.count() <= broadcast_hosts:
+        return pages.join(F.broadcast(paths), "host", "left")
+    salted = pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    copies = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["host", "salt"], "left")
+
+
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+              broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     ready(pages.sparkSession)
     table = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
@@ -286,6 +301,6 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 [part["page_id"], part["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    # No hint: the paths are broadcast only if Spark finds them small; else a hot host is split by the skew join.
-    return (table.join(host_paths(table), "host", "left").select("page_id", "url", "html", "path")
+    paths = written(host_paths(table), work_dir(pages.sparkSession, "host-paths"))
+    return (with_paths(table, paths, broadcast_hosts).select("page_id", "url", "html", "path")
             .mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint"))

@@ -59,6 +59,8 @@ def test_host_paths_outvote_a_single_page(spark):
     assert by_id[6].text == "another layout altogether" and by_id[7].text == "no url"
     assert by_id[8].text == by_id[None].text == "" and all(r.n_chars == len(r.text) for r in got)
     assert hx.main_text(pages.where("false")).count() == 0
+    # more hosts than are broadcast: the same by host and salt
+    assert sorted(map(str, hx.main_text(pages, broadcast_hosts=1).collect())) == sorted(map(str, got))
 
 
 def _plain(source):
