@@ -32,7 +32,7 @@ from feedlens.llm.common import SEED, id_text, ready, signed, slices, without, w
 #: Fixed value: the characters left out before texts are compared.
 SPACE = b" \t\n\x0b\x0c\r"
 #: Bytes of text in a task's trie before it sends them on (first tasks) or spills a subtree (owners).
-TRIE_BYTES = 64 << 20
+TRIE_BYTES = 24 << 20
 
 _LOCAL = ("group_no bigint, row_no bigint, doc_id bigint, n_chars bigint, is_text boolean, n_rows bigint, "
           "text_hash bigint, length bigint, content_hash bigint, body binary")
@@ -163,7 +163,7 @@ def _gather(trie_bytes: int):
             neg, _, _, row_no = best[0]
             rows.append((group_no, row_no, best[1], -neg, True, n, None, len(body), xxhash.xxh3_64_intdigest(body) - 2**63, body))
             held += len(body)
-            if held > 8 << 20:
+            if held > 4 << 20:
                 yield _batch(rows, _LOCAL)
                 rows, held = [], 0
         if rows:
