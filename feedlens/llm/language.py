@@ -41,7 +41,7 @@ FAMILIES = {
 #: Hash buckets of the trigrams.
 BUCKETS = 4096
 #: About so many labelled documents of each language are read for the fit.
-SAMPLE = 1000
+SAMPLE = 400
 #: A document without a letter, or with less than this score, is rejected by ``keep_identified``.
 MIN_SCORE = 0.2
 _LETTER = re.compile(r"[^\W\d_]")
