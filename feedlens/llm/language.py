@@ -16,7 +16,6 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -44,13 +43,12 @@ BUCKETS = 4096
 SAMPLE = 400
 #: A document without a letter, or with less than this score, is rejected by ``keep_identified``.
 MIN_SCORE = 0.2
-_LETTER = re.compile(r"[^\W\d_]")
 # ASCII characters other than letters count as space
 _FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -52,8 +52,9 @@ def test_language_families():
     model = language.fit(language.vectors(texts), names)
     assert model.families == {"germanic": ["de", "en"], "romance": ["fr"], "xx": ["xx"]}
     assert len(model.between) == 3 and len(model.within["germanic"]) == 1
-    got, scores = model.decide(texts + [None, "", "12 !!"])
-    assert got == names + ["und"] * 3 and scores[-3:] == [0.0] * 3 and all(0 <= s <= 1 for s in scores)
+    got, scores = model.decide(texts + [None, "", "12 !!", "½ ² _ 日"[:5]])
+    assert got == names + ["und"] * 4 and scores[-4:] == [0.0] * 4 and all(0 <= s <= 1 for s in scores)
+    assert language.has_letter("日") and language.has_letter("1 é")
 
 
 def test_language_defined_cases(spark):
