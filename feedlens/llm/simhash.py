@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import SEED, id_text, ready, signed, slices, without, work_dir, written
+from feedlens.llm.common import BROADCAST_ROWS, SEED, id_text, ready, signed, slices, without, work_dir, written
 from feedlens.llm.components import connected_components
 
 #: Fixed value: generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the (23, 12) Golay code.
@@ -186,9 +186,10 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
     spark = docs.sparkSession
     found = written(classes(docs, shingle, id_col, text_col), work_dir(spark, "simhash-classes"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    best = found.groupBy("root").agg(F.min(place).alias("best"), F.count("*").alias("n")).where("n > 1")
+    best = written(found.groupBy("root").agg(F.min(place).alias("best"), F.count("*").alias("n")).where("n > 1"),
+                   work_dir(spark, "simhash-best"))
     same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
-    others = found.join(best, "root").select("doc_id", "text_hash", same.alias("repeated"))
+    others = found.join(F.broadcast(best) if best.count() <= BROADCAST_ROWS else best, "root").select("doc_id", "text_hash", same.alias("repeated"))
     kept_once = others.where("repeated").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
     dropped = others.where("not repeated").unionByName(
         kept_once.select("doc_id", "text_hash", F.lit(True).alias("repeated")))
