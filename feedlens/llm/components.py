@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import work_dir, written
+from feedlens.llm.common import BROADCAST_ROWS, work_dir, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -17,9 +17,10 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
 
     Large-star and small-star steps in turn until nothing changes: each moves
     links towards smaller nodes, the number of rounds grows with the logarithm
-    of the longest path. Every round starts from a table on shared storage. A
-    node with very many links is spread by the skew-aware join, since its
-    minimum is one row.
+    of the longest path. Every round starts from a table on shared storage. The
+    minimum of each node is added up before the shuffle and meets the node's
+    links by a broadcast while there are few nodes; beyond that a node with very
+    many links is split by the skew-aware join, since its minimum is one row.
     """
     spark = links.sparkSession
     folder = work_dir(spark, name)
@@ -27,12 +28,13 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     edges = written(ordered, f"{folder}/0")
     state, n = _state(edges), 0
     while state[0]:
+        few = F.broadcast if 2 * state[0] <= BROADCAST_ROWS else (lambda table: table)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        large = both.join(few(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         # the star of smaller neighbours: a's least neighbour takes a and its other smaller neighbours
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b")
+        small = large.join(few(low), "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b")
         n += 1
         edges = written(small.distinct(), f"{folder}/{n}")
         before, state = state, _state(edges)
