@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
 
 import numpy as np
@@ -46,6 +47,9 @@ class Codec:
         as_bytes = lambda s: bytes(symbols[c] for c in s)
         vocab = spec["model"]["vocab"]
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        # the leftmost added token is cut out, of several the longest
+        self.cut = (re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})")
+                    if self.added else None)
         self.tokens: list[bytes] = [b""] * (max([*vocab.values(), *self.added.values()]) + 1)
         self.by_bytes: dict[bytes, int] = {}
         for s, i in vocab.items():
@@ -155,11 +159,15 @@ class Codec:
 
     def pieces(self, text: str) -> list[str | int]:
         """Words of the text, and ids of the added tokens in it."""
-        found = [(text.find(s), -len(s), s) for s in self.added if s in text]
-        if not found:
+        if self.cut is None:
             return split_words(text)
-        at, _, s = min(found)
-        return [*split_words(text[:at]), self.added[s], *self.pieces(text[at + len(s):])]
+        parts = self.cut.split(text)  # between two added tokens what stands between them
+        out: list[str | int] = split_words(parts[0])
+        for s, after in zip(parts[1::2], parts[2::2]):
+            out.append(self.added[s])
+            if after:
+                out += split_words(after)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""

@@ -2,7 +2,10 @@
 
 import hashlib
 import itertools
+import json
+import os
 import random
+import tempfile
 import zlib
 
 import numpy as np
@@ -105,6 +108,24 @@ def test_bpe_defined_cases(spark, library):
     assert sorted(r.text for r in bpe.decode(encoded).collect()) == texts
 
 
+def test_many_added_tokens_in_a_text(spark, library):
+    """A dump of joined documents: far more added tokens than Python lets functions nest."""
+    rows = [(1, "a story<|endoftext|>" * 100_000), (2, "<|endoftext|>" * 5000), (3, "<|endoftext|> x<|endoftext|")]
+    _check_digests(bpe.round_trip_digests(documents(spark, rows)).collect(), rows, library)
+
+
+def test_longest_of_added_tokens_at_a_place():
+    with open(default_tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"] += [{"content": "<|end", "id": 60000}, {"content": "<|endoftext|>.", "id": 60001}]
+    path = os.path.join(tempfile.mkdtemp(prefix="feedlens-test-"), "tokenizer.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    own = bpe.Codec(path)
+    eot = own.added["<|endoftext|>"]
+    assert own.pieces("a b<|endoftext|><|endoftext|>.<|end.") == ["a", " b", eot, 60001, 60000, "."]
+
+
 def test_bpe_query(spark, library):
     rows = [(r.doc_id, r.text) for r in common.documents(spark, SF0001).collect()]
     _check_digests(queries.QUERIES["op10_speculative_bpe"](spark, SF0001).collect(), rows, library)
