@@ -2,9 +2,10 @@
 
 Every page scores its containers by the text of their own blocks outside links
 and boilerplate, and votes for the path of tags and generalised classes of the
-best one. Spark adds up the votes of each host; pages then take the text of the
-container on their host's path, or of their own best one where the page has no
-such container. A host of any size only meets its votes, added up before the
+best one; where containers beside it with the same step hold text too, of the
+container around them. Spark adds up the votes of each host; pages then take the
+text of all containers on their host's path in page order, or on their own best
+path where the page has no such container. A host of any size only meets its votes, added up before the
 shuffle, and one row with its path. The table of paths is broadcast if it has
 few rows; else pages and paths meet by host and salt, so that a host with a
 third of all pages is spread over many tasks.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -188,8 +190,23 @@ class Page:
                 box = box.parent.container if box.parent else None
         return out
 
+    def holding(self) -> set[Element]:
+        """Containers with text outside links, their own or that of containers in them."""
+        out: set[Element] = set()
+        for node, _, text in self.pieces:
+            box = node.container
+            if node.in_link or box in out or not html.unescape(text).strip():
+                continue
+            while box is not None and box not in out:
+                out.add(box)
+                box = box.parent.container if box.parent else None
+        return out
+
     def best(self) -> tuple[Element, float] | None:
-        """The container with the most text, or the article or main element around it; the first of equals."""
+        """The container with the most text, the first of equals, or the article or main element around it.
+
+        Without such an element, the container around it as long as others of its step beside it hold text.
+        """
         scores = {e: s for e, s in self.scores().items() if s > 0}
         if not scores:
             return None
@@ -197,21 +214,24 @@ class Page:
         for e in self._ancestors(own):
             if e.tag in ("article", "main"):
                 return e, scores[own]
-        return own, scores[own]
-
-    def on_path(self, path: str) -> Element | None:
-        """The container on the path with the most text."""
-        scores = {e: s for e, s in self.scores().items() if e.path == path and s > 0}
-        return max(scores, key=scores.get) if scores else None
-
-    def text(self, box: Element) -> str:
-        """Blocks of the container, without boilerplate."""
+        beside = Counter((e.parent.container, e.path) for e in self.holding() if e.parent)
+        box = own
+        while box.parent and beside[box.parent.container, box.path] > 1:
+            box = box.parent.container
+        return box, scores[own]
+
+    def holds(self, path: str) -> bool:
+        """True if a container on the path has text outside links."""
+        return any(e.path == path for e in self.holding())
+
+    def text(self, path: str) -> str:
+        """Blocks of all containers on the path, in page order and without boilerplate."""
         blocks: list[tuple[int, list[str]]] = []
         inside: dict[Element, bool] = {}
         for node, number, piece in self.pieces:
             own = inside.get(node)
             if own is None:
-                own = inside[node] = any(e is box for e in self._ancestors(node)) and not self._in_header(node, box)
+                own = inside[node] = any(e.path == path for e in self._ancestors(node)) and not self._in_header(node, path)
             if not own:
                 continue
             if not blocks or blocks[-1][0] != number:
@@ -220,11 +240,11 @@ class Page:
         lines = (" ".join(html.unescape("".join(pieces)).split()) for _, pieces in blocks)
         return "\n\n".join(line for line in lines if line)
 
-    def _in_header(self, node: Element, box: Element) -> bool:
+    def _in_header(self, node: Element, path: str) -> bool:
         """In a header of the article, but not in its headline."""
         heading = False
         for e in self._ancestors(node):
-            if e is box:
+            if e.path == path:
                 return False
             heading |= e.tag in HEADINGS
             if e.tag == "header":
@@ -240,15 +260,14 @@ def vote(source: str | None) -> tuple[str, float] | None:
 
 
 def extract(source: str | None, path: str | None = None) -> str:
-    """Main text of a page from the container on ``path``, or from its best one."""
+    """Main text of a page from the containers on ``path``, or on the path of its best one."""
     page = Page(source or "")
-    box = page.on_path(path) if path is not None else None
-    if box is None:
+    if path is None or not page.holds(path):
         best = page.best()
         if best is None:
             return ""
-        box = best[0]
-    return page.text(box)
+        path = best[0].path
+    return page.text(path)
 
 
 def host_of(url: Column) -> Column:

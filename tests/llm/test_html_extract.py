@@ -63,6 +63,45 @@ def test_host_paths_outvote_a_single_page(spark):
     assert sorted(map(str, hx.main_text(pages, broadcast_hosts=1).collect())) == sorted(map(str, got))
 
 
+def test_text_split_over_containers():
+    """Without an article element: the larger part must not stand for the whole."""
+    a, b = "first part " * 70, "second part " * 25
+    both = f"{a.strip()}\n\n{b.strip()}"
+    for tag in ("div class='part p1'", "section", "td"):
+        row = ("<table><tr>%s</tr></table>" if tag == "td" else "%s") % f"<{tag}>{a}</{tag.split()[0]}><{tag}>{b}</{tag.split()[0]}>"
+        page = f"<body><div class='content'><h2>Title</h2>{row}<p>End.</p></div><div class='x'>teaser</div></body>"
+        assert hx.extract(page) == f"Title\n\n{both}\n\nEnd."
+        assert hx.vote(page)[0] == "/body/div.content"
+        # equal parts
+        assert hx.extract(page.replace(b, a)) == f"Title\n\n{a.strip()}\n\n{a.strip()}\n\nEnd."
+    assert hx.extract("<div>a</div><div>b</div>") == "a\n\nb"
+    # parts in rows, two levels up
+    rows = f"<div class=row><div class=part>{a}</div><div class=part>{b}</div></div>" * 2
+    assert hx.extract(f"<body><div class=content>{rows}</div></body>") == f"{both}\n\n{both}"
+
+
+def test_all_containers_on_the_path():
+    articles = "<main><article><p>one of two</p></article><p>mid</p><article><header><h1>T</h1><i>by x</i></header>the longer one, two of two</article></main>"
+    assert hx.extract(articles) == "one of two\n\nT\n\nthe longer one, two of two"
+    page = "<body><div class='c'><div class='part'>one, the longest</div><div class='x'>no</div><div class='part'>two</div></div></body>"
+    assert hx.extract(page, "/body/div.c/div.part") == "one, the longest\n\ntwo"
+    links = "<body><div class='part'><a>menu</a></div><div class='c'>text</div></body>"
+    assert hx.extract(links, "/body/div.part") == "text"
+
+
+def test_split_pages_of_a_host(spark):
+    """Pages with one part outvote those with several, whose other parts still stay."""
+    def page(n, *parts):
+        inner = "".join(f"<section class='part'>{p}</section>" for p in parts)
+        return (n, f"https://h.example/{n}", f"<body><div class='content'>{inner}</div></body>")
+
+    rows = [page(n, "a story " * 40) for n in range(4)] + [page(4, "b " * 300, "c " * 100, "b " * 300), page(5, "d " * 9, "e " * 9)]
+    got = {r.page_id: r.text for r in hx.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[0] == ("a story " * 40).strip()
+    assert got[4] == "\n\n".join(("b " * 300, "c " * 100, "b " * 300)).replace(" \n", "\n").strip()
+    assert got[5] == "\n\n".join((("d " * 9).strip(), ("e " * 9).strip()))
+
+
 def _plain(source):
     inner = re.search(r"<article>(.*?)</article>", source, re.S)[1]
     blocks = (" ".join(unescape(re.sub(r"<[^>]+>", "", b.replace("<br>", " "))).split())
