@@ -13,7 +13,9 @@ third of all pages is spread over many tasks.
 Left out: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments, by element, role and class or id words. Character
 references are decoded, white space in a block becomes one space, blocks are
-joined by an empty line.
+joined by an empty line. Formulas, labels of drawings and the fallback text of
+objects, canvases and media are text like any other; of a formula only its
+annotations go, which repeat it in another notation and are not shown.
 
 Defined cases: null and empty pages, and pages without text, give the empty
 text; a null url is a host of its own; a null page_id stays null; repeated rows
@@ -46,11 +48,13 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noframes noembed iframe xmp".split())
 SKIPPED = frozenset("script style textarea title noscript template head nav footer aside form button select option "
-                    "iframe object embed svg math canvas audio video dialog menu noframes noembed datalist".split())
+                    "iframe embed dialog menu noframes noembed datalist annotation annotation-xml".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary "
                    "table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("html body main article section div td center".split())
+#: Labels of drawings and cells of formulas, set apart by white space.
+SPACED = frozenset("text mtr mtd".split())
 #: An open element of the key is closed by the start of one of these.
 CLOSED_BY = {"p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody"},
              "td": {"td", "th", "tr", "tbody"}, "th": {"td", "th", "tr", "tbody"}, "option": {"option"}, "head": {"body"}}
@@ -133,6 +137,8 @@ class Page:
                 continue
             if tag in BLOCKS:
                 self.block += 1
+            elif tag in SPACED and not top.skipped:
+                self.pieces.append((top, self.block, " "))
             if m["close"]:
                 node = top
                 while node is not self.root and node.tag != tag:

@@ -63,6 +63,18 @@ def test_host_paths_outvote_a_single_page(spark):
     assert sorted(map(str, hx.main_text(pages, broadcast_hosts=1).collect())) == sorted(map(str, got))
 
 
+def test_formulas_drawings_and_fallback_text():
+    assert hx.extract("<article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>") == "where x=2 holds"
+    assert hx.extract("<p>a <math><semantics><mrow><mi>x</mi></mrow><annotation encoding='application/x-tex'>{x}</annotation>"
+                      "</semantics></math> b</p>") == "a x b"
+    assert hx.extract("<p><math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr></mtable></math></p>") == "1 2"
+    svg = "<svg><title>icon</title><style>a{}</style><path d='M0 0'/><text x='1'>left</text><text>right</text></svg>"
+    assert hx.extract(f"<article><p>See {svg}.</p></article>") == "See left right ."
+    for tag in ("object", "canvas", "video", "audio"):
+        assert hx.extract(f"<article><p>Sales: <{tag} id='f'><param name='a'>rose by 4%</{tag}> a year</p></article>") == "Sales: rose by 4% a year"
+    assert hx.extract(f"<body><nav>{svg}</nav><p>text</p></body>") == "text"
+
+
 def test_text_split_over_containers():
     """Without an article element: the larger part must not stand for the whole."""
     a, b = "first part " * 70, "second part " * 25
