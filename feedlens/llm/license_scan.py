@@ -18,6 +18,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -155,19 +156,21 @@ class Templates:
         return out
 
 
-def align(template: list[bytes], words: list[bytes], diagonal: int, band: int) -> tuple[int, int, int, int]:
-    """Best local alignment with word j of the text near word j - diagonal of the template.
+def align(template: list[bytes], words: list[bytes], diagonal: int, band: int, begin: int = 0,
+          end: int | None = None) -> tuple[int, int, int, int]:
+    """Best local alignment with word j of the text, from ``begin`` to ``end``, near word j - diagonal of the template.
 
     Returns its score (2 a match, -1 a mismatch or gap), matched words, and the
     first and last matched word of the text.
     """
     best = (0, 0, -1, -1)
+    end = len(words) if end is None else end
     previous: dict[int, tuple[int, int, int]] = {}  # offset in the band: score, matches, first word
     for i, word in enumerate(template):
         row: dict[int, tuple[int, int, int]] = {}
         for k in range(-band, band + 1):
             j = i + diagonal + k
-            if not 0 <= j < len(words):
+            if not begin <= j < end:
                 continue
             same = words[j] == word
             s, m, first = previous.get(k, (0, 0, -1))
@@ -191,19 +194,29 @@ def matches(raw: bytes, hits: list[tuple[int, int, int]], templates: Templates,
     words = [w.group().lower() for w in found]
     tries = defaultdict(set)
     for at, t, place in hits:
-        tries[t].add(int(np.searchsorted(begins, at, "right")) - 1 - place)
+        word = int(np.searchsorted(begins, at, "right")) - 1
+        tries[t].add((word - place, word))
     out = []
-    for t, diagonals in tries.items():
-        template = templates.words[t]
+    for t, places in tries.items():
+        template, places = templates.words[t], sorted(places)
         band = max(BAND, int(len(template) * BAND_SHARE))
+        diagonals = [d for d, _ in places]
         last = None
-        for d in sorted(diagonals):
+        for d in diagonals:
             if last is not None and d - last <= band:  # the same band has been aligned
                 continue
             last = d
-            score, n, first, end = align(template, words, d, band)
-            if n >= min_coverage * len(template):
-                out.append((-score, t, found[first].start(), found[end].end(), n, n / len(template)))
+            near = [w for _, w in places[bisect_left(diagonals, d - band):bisect_right(diagonals, d + band)]]
+            # a band may hold several copies: again before and after each, while hits are left there
+            todo = [(0, len(words))]
+            while todo:
+                begin, stop = todo.pop()
+                if not any(begin <= w < stop for w in near):
+                    continue
+                score, n, first, end = align(template, words, d, band, begin, stop)
+                if n and n >= min_coverage * len(template):
+                    out.append((-score, t, found[first].start(), found[end].end(), n, n / len(template)))
+                    todo += [(begin, first), (end + 1, stop)]
     kept = []
     for _, t, a, b, n, coverage in sorted(out):
         if all(b <= x or y <= a for _, x, y, _, _ in kept):

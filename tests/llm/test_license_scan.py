@@ -82,6 +82,18 @@ def test_long_templates_and_repeats(spark):
     assert part.coverage == pytest.approx(30 / len(re.findall(r"[0-9A-Za-z]+", grant)), abs=0.02)
 
 
+def test_copies_side_by_side(spark):
+    line = "Released under the MIT License.\n"
+    rows = [(n, line * n) for n in (2, 3, 10, 50)]
+    got = scan.scan(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.span_start) for r in got) == [(n, k * len(line)) for n in (2, 3, 10, 50) for k in range(n)]
+    assert all(r.coverage == 1 for r in got)
+    # two damaged copies whose diagonals are four words apart, and a template of six words
+    own = [("own", "alphabet bravissimo charlatan deltas echoes foxtrots")]
+    copies = "alphabet bravissimo charlatan deltas echoes " * 2 + "alphabet bravissimo charlatan deltas echoes foxtrots"
+    assert scan.scan(documents(spark, [(1, copies)]), templates=own).count() == 3
+
+
 def test_defined_cases(spark):
     assert scan.scan(edge_table(spark)).count() == 0
     assert scan.scan(empty_table(spark)).count() == 0
