@@ -12,14 +12,16 @@ in the text and the share of the template's words that match.
 Defined cases: null and empty texts match nothing; a null doc_id stays null;
 repeated rows repeat their matches; of overlapping matches the one with the
 higher alignment score stays, then the one earlier in the list of templates; an
-empty table gives no rows; other columns are ignored.
+empty table gives no rows; other columns are ignored. A notice is named only if
+its numbers and marks (version, SA, NC, ND, Lesser, Affero) are those of the text.
 """
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from bisect import bisect_left, bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from feedlens.llm.common import id_text, ready, slices
 RUN, WINDOW = 12, 8
 #: Words by which an alignment may leave its diagonal, at least and as a share of the template.
 BAND, BAND_SHARE = 6, 0.1
+#: Wider bands are aligned with numpy.
+WIDE_BAND = 16
 MIN_COVERAGE = 0.8
 #: Bound of the templates' text, which is sent to every task.
 TEMPLATE_BYTES = 64 << 20
@@ -66,6 +70,54 @@ NOTICES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+_GNU = (("GPL", "General", ("1", "2")), ("LGPL", "Library General", ("2",)), ("LGPL", "Lesser General", ("2.1", "3")),
+        ("AGPL", "Affero General", ("3",)))
+_CC = (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+       ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+       ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+
+
+def _variants():
+    """Other notices and versions of the same families."""
+    for short, name, versions in _GNU:
+        for v in versions:
+            full = f"{short}-{v}" if "." in v else f"{short}-{v}.0"
+            if (short, v) not in (("LGPL", "3"), ("AGPL", "3")):  # among NOTICES
+                yield full, f"This work is licensed under the GNU {name} Public License, version {v}."
+            for what in ("program", "library"):
+                yield f"{full}-notice", (
+                    f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} "
+                    f"Public License as published by the Free Software Foundation; either version {v} of the License, or "
+                    "(at your option) any later version.")
+    for short, name in _CC:
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            full = f"CC-{short}-{v}"
+            if v != "4.0" or short in ("BY", "BY-NC-SA", "BY-NC-ND"):  # the others are among NOTICES
+                yield full, f"Licensed under CC {short} {v}."
+            scope = "International" if v == "4.0" else "Unported" if v == "3.0" else "Generic"
+            yield full, f"This work is licensed under a Creative Commons {name} {v} {scope} License."
+            yield full, f"This work is licensed under the Creative Commons {name} {v} License."
+    yield "MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"
+
+
+#: Whole licences, files of the folder ``licenses``, by the names that are reported.
+WHOLE = {"MIT": "MIT", "BSD-2-Clause": "BSD-2", "BSD-3-Clause": "BSD-3", "ISC": "ISC", "0BSD": "0BSD",
+         "Unlicense": "Unlicense", "Apache-2.0": "Apache-2.0", "Artistic-1.0-Perl": "Artistic", "CC0-1.0": "CC0-1.0",
+         "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1.0": "GPL-1", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3",
+         "LGPL-2.0": "LGPL-2", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+#: Templates of fewer words are notices: their numbers and these words must be those of the text.
+NOTICE_WORDS = 90
+MARKS = frozenset(b"sa nc nd sharealike noncommercial noderivatives noderivs lesser affero".split())
+
+
+def production_templates() -> list[tuple[str, str]]:
+    """Notices, whole licences and the disclaimers of the short ones."""
+    whole = {name: pkgutil.get_data("feedlens.llm", f"licenses/{file}.txt").decode() for name, file in WHOLE.items()}
+    parts = [(f"{name}-warranty", text[text.index("THE SOFTWARE IS" if "THE SOFTWARE IS" in text else "THIS SOFTWARE IS"):])
+             for name, text in whole.items() if name in ("MIT", "BSD-3-Clause", "ISC")]
+    return [*NOTICES, *_variants(), *whole.items(), *parts]
+
+
 _FOLD = bytes(b if 97 <= b <= 122 or 48 <= b <= 57 else b + 32 if 65 <= b <= 90 else 0 for b in range(256))
 _BREAK = 1  # stands between texts
 _NONE = np.uint64(2**64 - 1)
@@ -126,6 +178,9 @@ class Templates:
             raise ValueError(f"templates of more than {TEMPLATE_BYTES} bytes in all")
         self.names = [name for name, _ in templates]
         self.words = [[w.group().lower() for w in _WORD.finditer(t.encode())] for _, t in templates]
+        self.bags = [Counter(words) for words in self.words]
+        self.named = [Counter({w: n for w, n in bag.items() if w.isdigit() or w in MARKS})
+                      if sum(bag.values()) < NOTICE_WORDS else None for bag in self.bags]
         hashes, owner, place = [], [], []
         for i, (name, text) in enumerate(templates):
             codes = np.frombuffer(text.encode().translate(_FOLD), np.uint8)
@@ -145,6 +200,20 @@ class Templates:
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
+    def possible(self, t: int, window: list[bytes], least: float) -> bool:
+        """Whether the words of the window can match as many of the template's."""
+        if len(window) < least:
+            return False
+        own = self.bags[t]
+        return sum(min(n, own[w]) for w, n in Counter(window).items() if w in own) >= least
+
+    def right_name(self, t: int, span: list[bytes]) -> bool:
+        """Whether the words that tell a notice from others are in the span, and no other such mark is."""
+        if self.named[t] is None:
+            return True
+        here = Counter(span)
+        return all(here[w] >= n for w, n in self.named[t].items()) and all(w in self.named[t] for w in MARKS & here.keys())
+
     def hits(self, h: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int]]:
         """(place in the text, template, word of the template) of common fingerprints."""
         values = h[places]
@@ -163,8 +232,10 @@ def align(template: list[bytes], words: list[bytes], diagonal: int, band: int, b
     Returns its score (2 a match, -1 a mismatch or gap), matched words, and the
     first and last matched word of the text.
     """
-    best = (0, 0, -1, -1)
     end = len(words) if end is None else end
+    if band > WIDE_BAND:
+        return _align_wide(template, words, diagonal, band, begin, end)
+    best = (0, 0, -1, -1)
     previous: dict[int, tuple[int, int, int]] = {}  # offset in the band: score, matches, first word
     for i, word in enumerate(template):
         row: dict[int, tuple[int, int, int]] = {}
@@ -186,6 +257,41 @@ def align(template: list[bytes], words: list[bytes], diagonal: int, band: int, b
     return best
 
 
+def _align_wide(template: list[bytes], words: list[bytes], diagonal: int, band: int, begin: int,
+                end: int) -> tuple[int, int, int, int]:
+    """``align`` with one row of the band at a time."""
+    number = {w: k for k, w in enumerate(dict.fromkeys(template))}
+    size, low = 2 * band + 1, diagonal - band
+    codes = np.full(len(template) + size, -1)  # of the words from ``low`` on
+    inside = np.zeros(len(codes), bool)
+    for j in range(max(begin, low), min(end, low + len(codes))):
+        codes[j - low], inside[j - low] = number.get(words[j], -1), True
+    k, never = np.arange(size), -(1 << 40)
+    s, m, first = np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1)
+    best = (0, 0, -1, -1)
+    for i, word in enumerate(template):
+        same = codes[i:i + size] == number[word]
+        first = np.where(same & (m == 0), low + i + k, first)
+        now, count = np.where(same, s + 2, s - 1), m + same
+        # gaps: from the row before, then along this row
+        up = np.flatnonzero(s[1:] - 1 > now[:-1])
+        new_first = first.copy()
+        now[up], count[up], new_first[up] = s[up + 1] - 1, m[up + 1], old_first[up + 1] if i else -1
+        now[~inside[i:i + size]] = never
+        along = now + k
+        top = np.maximum.accumulate(along)
+        source = np.maximum.accumulate(np.where(along == top, k, 0))
+        now, count, new_first = top - k, count[source], new_first[source]
+        gone = (now <= 0) | ~inside[i:i + size]
+        now[gone], count[gone], new_first[gone] = 0, 0, -1
+        s, m, first = now, count, new_first
+        old_first = first
+        at = int(np.argmax(np.where(same, s, 0)))
+        if same[at] and s[at] > best[0]:
+            best = (int(s[at]), int(m[at]), int(first[at]), low + i + at)
+    return best
+
+
 def matches(raw: bytes, hits: list[tuple[int, int, int]], templates: Templates,
             min_coverage: float) -> list[tuple[str, int, int, int, float]]:
     """(template, begin and end byte, matched words, coverage) of one text's hits (byte, template, word)."""
@@ -213,9 +319,13 @@ def matches(raw: bytes, hits: list[tuple[int, int, int]], templates: Templates,
                 begin, stop = todo.pop()
                 if not any(begin <= w < stop for w in near):
                     continue
+                least = min_coverage * len(template)
+                if not templates.possible(t, words[max(begin, d - band):max(0, min(stop, d + len(template) + band))], least):
+                    continue
                 score, n, first, end = align(template, words, d, band, begin, stop)
-                if n and n >= min_coverage * len(template):
-                    out.append((-score, t, found[first].start(), found[end].end(), n, n / len(template)))
+                if n and n >= least:
+                    if templates.right_name(t, words[first:end + 1]):
+                        out.append((-score, t, found[first].start(), found[end].end(), n, n / len(template)))
                     todo += [(begin, first), (end + 1, stop)]
     kept = []
     for _, t, a, b, n, coverage in sorted(out):
@@ -228,9 +338,13 @@ SCHEMA = ("doc_id bigint, license string, coverage double, matched_words bigint,
           "span_start bigint, span_end bigint, matched_text string")
 
 
-def scan(docs: DataFrame, templates=NOTICES, min_coverage: float = MIN_COVERAGE, id_col: str = "doc_id",
+def scan(docs: DataFrame, templates=None, min_coverage: float = MIN_COVERAGE, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """One row per licence passage: template, share of its words, and the span in code points."""
+    """One row per licence passage: template, share of its words, and the span in code points.
+
+    Without ``templates``, those of ``production_templates`` count.
+    """
+    templates = production_templates() if templates is None else templates
     ready(docs.sparkSession)
     index = docs.sparkSession.sparkContext.broadcast(Templates(list(templates)))
     gap = bytes([_BREAK]) * WINDOW

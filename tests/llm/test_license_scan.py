@@ -94,6 +94,42 @@ def test_copies_side_by_side(spark):
     assert scan.scan(documents(spark, [(1, copies)]), templates=own).count() == 3
 
 
+def test_wide_alignment_equals_the_plain_one(monkeypatch):
+    rng = random.Random(5)
+    for _ in range(60):
+        template = [rng.choice([b"a", b"b", b"c", b"d", b"e%d" % n]) for n in range(rng.randint(3, 40))]
+        text = [rng.choice([b"a", b"b", b"x"]) for _ in range(9)] + [w for w in template if rng.random() < 0.9] + [b"a", b"c"] * 5
+        args = (template, text, rng.randint(-4, 14), rng.randint(1, 16), rng.randint(0, 4), len(text) - rng.randint(0, 4))
+        monkeypatch.setattr(scan, "WIDE_BAND", 16)
+        plain = scan.align(*args)
+        monkeypatch.setattr(scan, "WIDE_BAND", 0)
+        assert scan.align(*args) == plain
+
+
+def test_whole_licences(spark):
+    own = scan.production_templates()
+    texts = {name: next(t for n, t in own if n == name and len(t) == max(len(t) for n, t in own if n == name)) for name in scan.WHOLE}
+    rows = [(k, f"Some words before. {t}\nAnd some after.") for k, t in enumerate(texts.values())]
+    got = {}
+    for r in scan.scan(documents(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for k, name in enumerate(texts):
+        assert [r.license for r in got[k]] == [name] and got[k][0].coverage == 1, name
+    warranty = texts["MIT"][texts["MIT"].index("THE SOFTWARE IS"):]
+    assert [r.license for r in scan.scan(documents(spark, [(1, warranty)])).collect()] == ["MIT-warranty"]
+
+
+def test_notices_are_named_by_version_and_marks(spark):
+    want = {"Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+            "Licensed under CC BY-SA 3.0.": "CC-BY-SA-3.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+            "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+            "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+            "This work is licensed under the GNU General Public License, version 9.": None,
+            "Licensed under the Apache License, Version 1.1.": None}
+    got = {r.doc_id: r.license for r in scan.scan(documents(spark, list(enumerate(want)))).collect()}
+    assert [got.get(k) for k in range(len(want))] == list(want.values())
+
+
 def test_defined_cases(spark):
     assert scan.scan(edge_table(spark)).count() == 0
     assert scan.scan(empty_table(spark)).count() == 0
