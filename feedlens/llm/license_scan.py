@@ -3,7 +3,9 @@
 Texts are folded to their ASCII letters and digits in lower case. Hashes of all
 runs of ``RUN`` such characters are winnowed with windows of ``WINDOW``: of each
 window the smallest stays, so a passage of RUN + WINDOW - 1 characters that is
-in both a text and a template has a fingerprint in common. The templates'
+in both a text and a template has a fingerprint in common. Of short templates
+all runs are kept and looked up at all places of a text, so there a passage of
+RUN characters is enough. The templates'
 fingerprints form an inverted index, small enough to go to every task (its size
 is checked). Hits on one diagonal are a candidate; the template's words are
 then aligned with the words around it inside a band, and the result is the span
@@ -31,6 +33,8 @@ from feedlens.llm.common import id_text, ready, slices
 
 #: Folded characters of a hashed run, and runs of a winnowing window.
 RUN, WINDOW = 12, 8
+#: Of templates of fewer folded characters every run is looked up at every place.
+SHORT = 60
 #: Words by which an alignment may leave its diagonal, at least and as a share of the template.
 BAND, BAND_SHARE = 6, 0.1
 #: Wider bands are aligned with numpy.
@@ -170,6 +174,28 @@ def winnow(h: np.ndarray) -> np.ndarray:
     return np.flatnonzero((best == h) & (h != _NONE))
 
 
+class Index:
+    """Inverted index of (hash, template, word of the template)."""
+
+    def __init__(self, entries: list[tuple[int, int, int]]):
+        hashes, owner, place = (list(c) for c in zip(*entries)) if entries else ([], [], [])
+        order = np.argsort(np.array(hashes, np.uint64), kind="stable")
+        self.hashes = np.array(hashes, np.uint64)[order]
+        self.owner, self.place = np.array(owner, np.int64)[order], np.array(place, np.int64)[order]
+        # one bit per hash, by its low bits: nearly all places of a text end here
+        self.filter = np.zeros(1 << 20, bool)
+        self.filter[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+
+    def hits(self, h: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int]]:
+        values = h[places]
+        near = self.filter[(values & np.uint64((1 << 20) - 1)).astype(np.int64)]
+        out = []
+        for at, v in zip(places[near].tolist(), values[near]):
+            a, b = np.searchsorted(self.hashes, v), np.searchsorted(self.hashes, v, "right")
+            out += [(at, int(self.owner[k]), int(self.place[k])) for k in range(a, b)]
+        return out
+
+
 class Templates:
     """Words of the templates and the inverted index of their fingerprints."""
 
@@ -181,7 +207,7 @@ class Templates:
         self.bags = [Counter(words) for words in self.words]
         self.named = [Counter({w: n for w, n in bag.items() if w.isdigit() or w in MARKS})
                       if sum(bag.values()) < NOTICE_WORDS else None for bag in self.bags]
-        hashes, owner, place = [], [], []
+        entries: tuple[list, list] = [], []  # of long and of short templates: hash, template, word
         for i, (name, text) in enumerate(templates):
             codes = np.frombuffer(text.encode().translate(_FOLD), np.uint8)
             folded = codes[codes > 0]
@@ -189,16 +215,10 @@ class Templates:
                 raise ValueError(f"template {name!r} has fewer than {RUN} letters and digits")
             word_of = np.repeat(np.arange(len(self.words[i])), [len(w) for w in self.words[i]])
             h = run_hashes(folded)
-            for at in winnow(h).tolist():
-                hashes.append(int(h[at]))
-                owner.append(i)
-                place.append(int(word_of[at]))
-        order = np.argsort(np.array(hashes, np.uint64), kind="stable")
-        self.hashes = np.array(hashes, np.uint64)[order]
-        self.owner, self.place = np.array(owner, np.int64)[order], np.array(place, np.int64)[order]
-        # one bit per hash, by its low bits: nearly all places of a text end here
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+            short = len(folded) < SHORT
+            for at in (range(len(h)) if short else winnow(h).tolist()):
+                entries[short].append((int(h[at]), i, int(word_of[at])))
+        self.long, self.short = map(Index, entries)
 
     def possible(self, t: int, window: list[bytes], least: float) -> bool:
         """Whether the words of the window can match as many of the template's."""
@@ -214,15 +234,9 @@ class Templates:
         here = Counter(span)
         return all(here[w] >= n for w, n in self.named[t].items()) and all(w in self.named[t] for w in MARKS & here.keys())
 
-    def hits(self, h: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int]]:
+    def hits(self, h: np.ndarray) -> list[tuple[int, int, int]]:
         """(place in the text, template, word of the template) of common fingerprints."""
-        values = h[places]
-        near = self.filter[(values & np.uint64((1 << 20) - 1)).astype(np.int64)]
-        out = []
-        for at, v in zip(places[near].tolist(), values[near]):
-            a, b = np.searchsorted(self.hashes, v), np.searchsorted(self.hashes, v, "right")
-            out += [(at, int(self.owner[k]), int(self.place[k])) for k in range(a, b)]
-        return out
+        return self.long.hits(h, winnow(h)) + self.short.hits(h, np.flatnonzero(h != _NONE))
 
 
 def align(template: list[bytes], words: list[bytes], diagonal: int, band: int, begin: int = 0,
@@ -359,7 +373,7 @@ def scan(docs: DataFrame, templates=None, min_coverage: float = MIN_COVERAGE, id
             at = np.flatnonzero(codes)
             h = run_hashes(codes[at])
             per_doc = defaultdict(list)
-            for place, t, word in own.hits(h, winnow(h)):
+            for place, t, word in own.hits(h):
                 doc = int(np.searchsorted(begins, at[place], "right")) - 1
                 per_doc[doc].append((int(at[place] - begins[doc]), t, word))
             rows = []

@@ -130,6 +130,15 @@ def test_notices_are_named_by_version_and_marks(spark):
     assert [got.get(k) for k in range(len(want))] == list(want.values())
 
 
+def test_short_notices_with_one_word_changed(spark):
+    rows = [(1, "It is available under the MIT License"), (2, "Released under an MIT License"), (3, "Licensed under a CC BY-SA 4.0 ")]
+    padded = [(i + 10 * k, "qzx jvk " * k + t + " wvu" * k) for i, t in rows for k in range(12)]
+    got = {(r.doc_id, r.license, r.matched_words) for r in scan.scan(documents(spark, padded)).collect()}
+    names = {1: "MIT", 2: "MIT", 3: "CC-BY-SA-4.0"}
+    assert got >= {(i + 10 * k, names[i], 4) for i in (1, 2) for k in range(12)}
+    assert {(i, name) for i, name, _ in got} == {(i + 10 * k, names[i]) for i in names for k in range(12)}
+
+
 def test_defined_cases(spark):
     assert scan.scan(edge_table(spark)).count() == 0
     assert scan.scan(empty_table(spark)).count() == 0
