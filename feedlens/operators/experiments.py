@@ -291,6 +291,10 @@ def bootstrap_diff(boot: DataFrame, a: int, b: int) -> DataFrame:
 # A/A simulation
 # --------------------------------------------------------------------------
 
+#: Numbers that a task draws at a time.
+DRAWS = 500_000
+
+
 def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sample: int = AA_SAMPLE,
                share: float | None = None, salt: str = "aa", value: str = "ctr",
                tasks: int | None = None) -> DataFrame:
@@ -321,18 +325,23 @@ def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sam
         k = F.floor(n * F.lit(share))
     draws = (spark.range(0, reps, 1, tasks or explode_tasks(spark))
              .select(F.col("id").alias("sim"), F.explode(F.array(*[F.lit(g) for g in groups])).alias("exp_group"))
-             .join(F.broadcast(sizes.withColumn("_k", k)), "exp_group"))
+             .join(F.broadcast(sizes.withColumn("_k", k)), "exp_group")
+             # a sample of any size is drawn by ranges of at most DRAWS numbers
+             .withColumn("_from", F.explode(F.when(F.col("_k") > 0, F.sequence(
+                 F.lit(0).cast("bigint"), F.col("_k") - 1, F.lit(DRAWS).cast("bigint"))))))
+    most = DRAWS
     offset, keys_of, images = salt_offset(salt), permutation.round_keys, permutation.permuted
 
     def numbers(frames):
         for frame in frames:
-            for (g, size, take), part in frame.groupby(["exp_group", "_n", "_k"]):
-                step = max(1, 500_000 // max(take, 1))
+            for (g, size, whole, begin), part in frame.groupby(["exp_group", "_n", "_k", "_from"]):
+                take = int(min(most, whole - begin))
+                step = max(1, most // take)
                 for at in range(0, len(part), step):
                     sims = part["sim"].to_numpy(np.int64)[at:at + step]
                     keys = [np.repeat(k, take) for k in keys_of(offset, sims, int(g))]
                     yield pd.DataFrame({"sim": np.repeat(sims, take).astype(np.int32), "exp_group": np.int32(g),
-                                        "_i": images(np.tile(np.arange(take), len(sims)), int(size), keys)})
+                                        "_i": images(np.tile(np.arange(begin, begin + take), len(sims)), int(size), keys)})
 
     drawn = draws.mapInPandas(numbers, "sim int, exp_group int, _i bigint")
     return (drawn.join(row_index(u, "exp_group", "user_id", "_i"), ["exp_group", "_i"])

@@ -250,3 +250,20 @@ def test_results_do_not_depend_on_partitions(spark, actions001):
         assert results[0] == results[1] == results[2]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
+def test_aa_draws_are_bounded_by_ranges(spark, monkeypatch):
+    """A sample of half a group is drawn range by range; the rows do not depend on the ranges."""
+    users = spark.createDataFrame([(g, u, u / 7) for g in (2, 3) for u in range(40 + g)],
+                                  "exp_group int, user_id bigint, ctr double")
+    plain = sorted(map(tuple, ex.aa_samples(users, reps=6, share=0.5).collect()))
+    permuted = ex.permutation.permuted
+
+    def bounded(numbers, *args):
+        assert len(numbers) <= 8
+        return permuted(numbers, *args)
+
+    monkeypatch.setattr(ex.permutation, "permuted", bounded)
+    monkeypatch.setattr(ex, "DRAWS", 8, raising=False)
+    assert sorted(map(tuple, ex.aa_samples(users, reps=6, share=0.5).collect())) == plain
+    assert len(plain) == len(set(plain)) == 6 * (21 + 21)
