@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlens.llm import (bpe, common, exact_dedup, html_extract, language, license_scan, lz_fingerprint, orc_tokens,
-                          packing, quality, simhash, spelling)
+                          packing, periodic, quality, simhash, spelling)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,10 +56,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(common.documents(spark, sf_dir))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_planted_runs(common.documents(spark, sf_dir))
+    return periodic.run_digests(periodic.periodic_runs(docs)).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_exact_dedup, op3_orc_tokens, op4_bin_slack_packing, op5_consensus_extraction,
     op6_lz_fingerprint, op7_language_id, op8_golay_simhash, op9_quality_score, op10_speculative_bpe,
-    op11_spelling_variants)}
+    op11_spelling_variants, op12_periodic_runs)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": r"""

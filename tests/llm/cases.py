@@ -31,3 +31,8 @@ def empty_table(spark):
 
 def documents(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def common_rows(spark, sf_dir):
+    """(doc_id, text) of a folder's documents."""
+    return [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
