@@ -8,7 +8,6 @@ independent SQL engine.
 
 from __future__ import annotations
 
-import math
 import zlib
 
 from pyspark.sql import Column
@@ -99,35 +98,6 @@ def uniform_bucket(salt: str, key: ColumnOrName, buckets: int) -> Column:
     return (_keyed_mix(hi, lo + salt_offset(salt)) % buckets).cast("int")
 
 
-POISSON_TAIL = 2.0 ** -32
-
-
-def poisson1_thresholds() -> list[int]:
-    """Upper bounds on the 32-bit hash for Poisson(1) weights 0, 1, 2, ...
-
-    Weight k is drawn when threshold[k-1] <= h < threshold[k] (inverse CDF).
-    The list stops once the remaining tail is below the hash resolution.
-    """
-    out, cdf, k = [], 0.0, 0
-    while True:
-        cdf += math.exp(-1.0) / math.factorial(k)
-        if 1.0 - cdf < POISSON_TAIL:
-            break
-        out.append(int(math.floor(cdf * 2 ** 32)))
-        k += 1
-    return out
-
-
-def poisson1_weight(h: ColumnOrName) -> Column:
-    """Poisson(1) draw from a uniform 32-bit hash through the inverse CDF."""
-    h = _col(h)
-    thresholds = poisson1_thresholds()
-    expr = F.when(h < thresholds[0], F.lit(0))
-    for k, bound in enumerate(thresholds[1:], start=1):
-        expr = expr.when(h < bound, F.lit(k))
-    return expr.otherwise(F.lit(len(thresholds)))
-
-
 def fixed2(x: ColumnOrName) -> Column:
     """Text of x with two decimals, rounded half away from zero on the decimal
     value (a plain ``format_string('%.2f')`` rounds differently from C)."""

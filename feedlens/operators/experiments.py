@@ -2,13 +2,13 @@
 
 Every statistic is an aggregate: per-group moments (count, mean, sample
 variance) come out of one partial + final hash aggregate, so the shuffle holds
-a handful of rows per task no matter how many users there are. Resampling
-by Poisson weights is an ``explode`` of a repetition index per user with a
-hash-derived draw, followed by an aggregate whose partial step runs map-side;
-the (users x repetitions) rows are never shuffled or cached. A/A samples are
-drawn as row numbers, so their cost does not depend on the number of users.
-Only p-values and sampled row numbers use Python (``functions.pvalues``,
-``functions.permutation``), never events.
+a handful of rows per task no matter how many users there are. Resampling works
+on counts: users with the same likes and views are one row of the bootstrap, whose
+weight is one Poisson draw of their number; an A/A simulation deals its sample over
+the distinct values of the metric. Both cost repetitions x distinct values, whatever
+the number of users. ``aa_samples`` has the sampled users themselves.
+Only p-values, weights and sampled row numbers use Python (``functions.pvalues``,
+``functions.resampling``, ``functions.permutation``), never events.
 
 Group and pair lists are parameters, so the small tables built from them
 (pairs, group totals) have a proven size and are broadcast explicitly.
@@ -24,8 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions import permutation
-from feedlens.functions.columns import draw32, hash_halves, poisson1_weight, ratio, salt_offset, uniform_bucket
+from feedlens.functions import permutation, resampling
+from feedlens.functions.columns import hash_halves, ratio, salt_offset, uniform_bucket
 from feedlens.functions.pvalues import decision, mann_whitney_method, mann_whitney_p_value, t_test_p_value
 from feedlens.operators.ordering import RANGES, materialize, row_index, running_total
 from feedlens.operators.timeframe import where_days
@@ -249,32 +249,52 @@ def explode_tasks(spark, per_core: int = 2) -> int:
                int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: Repetitions that one row of the draw carries, and numbers that a task draws at a time.
+BOOTSTRAP_RUN, WEIGHTS = 500, 1_000_000
+
+
+def bootstrap_cells(users: DataFrame, groups: Sequence[int]) -> DataFrame:
+    """Users per (exp_group, likes, views): all that a bootstrap of the global CTR needs of them."""
+    return (users.where(F.col("exp_group").isin(*groups)).groupBy("exp_group", "likes", "views")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def poisson_bootstrap(users: DataFrame, groups: Sequence[int], reps: int = BOOTSTRAP_REPS,
                       salt: str = "poisson", tasks: int | None = None) -> DataFrame:
-    """Global CTR of each group under ``reps`` Poisson(1) reweightings.
-
-    Weight of (rep b, user) = Poisson(1) inverse CDF of draw b of the
-    user's key (an md5 hash of salt and user, computed once per user). The
-    exploded rows live only inside one stage: the partial aggregate by
-    (group, b) runs before the shuffle. The per-user table is spread over
-    ``tasks`` partitions first: after an aggregate AQE coalesces a small table
-    into few, and exploding by thousands there would leave a few huge tasks.
-    Columns: exp_group, b, likes_w, views_w, ctr.
+    """Global CTR of each group under ``reps`` Poisson(1) reweightings of its users.
+
+    The weights of n users with the same likes and views add up to a Poisson(n)
+    number, so those users are one cell and get one draw per repetition, keyed by
+    an md5 hash of salt, group, likes and views (``functions.resampling``). The
+    rows drawn are repetitions x distinct (likes, views), whatever the number of
+    users. A task adds its cells up before the shuffle, which carries one row per
+    task, group and repetition. Columns: exp_group, b, likes_w, views_w, ctr.
     """
-    hi, lo = hash_halves(salt, "user_id")
-    u = (users.where(F.col("exp_group").isin(*groups))
-         .select("exp_group", "user_id", "likes", "views", hi.alias("_hi"), lo.alias("_lo"))
-         .repartition(tasks or explode_tasks(users.sparkSession), "user_id"))
-    # The draw is its own column: the weight's CASE tests it up to 12 times.
-    # Weight-0 rows are not filtered out: they add nothing to the sums, and a
-    # filter on w would be pushed below the projections with the CASE (and
-    # the draw in each branch) inlined into it.
-    x = (u.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-         .withColumn("_h", draw32("_hi", "_lo", "b"))
-         .withColumn("w", poisson1_weight("_h")))
-    return (x.groupBy("exp_group", "b")
-            .agg(F.sum(F.col("w") * F.col("likes")).alias("likes_w"),
-                 F.sum(F.col("w") * F.col("views")).alias("views_w"))
+    spark = users.sparkSession
+    hi, lo = hash_halves(salt, "exp_group", "likes", "views")
+    cells = (bootstrap_cells(users, groups).select("exp_group", "likes", "views", "n", hi.alias("hi"), lo.alias("lo"))
+             .withColumn("first", F.explode(F.sequence(F.lit(0), F.lit(reps - 1), F.lit(BOOTSTRAP_RUN))))
+             .repartition(tasks or explode_tasks(spark), "exp_group", "likes", "views", "first"))
+    run, most, poisson = BOOTSTRAP_RUN, WEIGHTS, resampling.poisson
+
+    def weigh(frames):
+        sums = {}
+        for frame in frames:
+            for (g, first, n), part in frame.groupby(["exp_group", "first", "n"]):
+                reps_here = np.arange(first, min(first + run, reps), dtype=np.int64)
+                held = sums.setdefault((g, first), np.zeros((2, len(reps_here)), np.int64))
+                for at in range(0, len(part), max(1, most // run)):
+                    few = part.iloc[at:at + max(1, most // run)]
+                    shape = (len(few), len(reps_here))
+                    keys = (np.repeat(few[c].to_numpy(np.int64), shape[1]) for c in ("hi", "lo"))
+                    w = poisson(int(n), *keys, np.tile(reps_here, shape[0])).reshape(shape)
+                    held += np.stack([few[c].to_numpy(np.int64) @ w for c in ("likes", "views")])
+        for (g, first), (likes, views) in sums.items():
+            yield pd.DataFrame({"exp_group": np.int32(g), "b": np.arange(first, first + len(likes), dtype=np.int32),
+                                "likes_w": likes, "views_w": views})
+
+    return (cells.mapInPandas(weigh, "exp_group int, b int, likes_w bigint, views_w bigint").groupBy("exp_group", "b")
+            .agg(F.sum("likes_w").alias("likes_w"), F.sum("views_w").alias("views_w"))
             .withColumn("ctr", ratio("likes_w", "views_w")))
 
 
@@ -348,6 +368,105 @@ def aa_samples(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sam
             .select("sim", "exp_group", "user_id", value))
 
 
+#: Distinct values that a task deals a sample over at a time, and simulations it does that for.
+CELLS, SIMS = 4096, 250
+#: A table of at most so many ranges of ``CELLS`` values (64 MB) is broadcast; a larger one is joined by a shuffle.
+BROADCAST_RANGES = 1000
+
+
+def aa_draw_stats(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS, sample: int = AA_SAMPLE,
+                  share: float | None = None, salt: str = "aa", value: str = "ctr", cells: int = CELLS) -> DataFrame:
+    """Welch statistics of ``reps`` samples without replacement, as ``aa_stats`` has them, without the sampled users.
+
+    A sample matters by how many users of each value it holds: a multivariate
+    hypergeometric draw over the group's distinct values (NULL is one of them). A
+    binary tree over the values, in order, splits the sample at each node
+    (``resampling.split_sample``), keyed by (salt, simulation, group, node). Up to
+    ``cells`` values are one range: the sample is dealt over the ranges first and
+    then, in other tasks, over the values of each. The rows shuffled are reps x
+    groups x ranges, whatever the number of users. ``sample`` and ``share`` are those
+    of ``aa_samples``; a group smaller than ``sample`` fails the job.
+    Columns: sim, n_a, n_b, mean_a, mean_b, var_a, var_b, t, df.
+    """
+    spark = users.sparkSession
+    groups = [int(g) for g in groups]
+    counted = (users.where(F.col("exp_group").isin(*groups)).groupBy("exp_group", F.col(value).cast("double").alias("_v"))
+               .agg(F.count(F.lit(1)).alias("_n")).withColumn("_place", F.coalesce("_v", F.lit(float("inf")))))
+    numbered = row_index(materialize(counted), "exp_group", "_place", "_i")
+    # a range holds at most ``cells`` rows
+    ranges = materialize(numbered.groupBy("exp_group", F.floor(F.col("_i") / cells).alias("_r")).agg(
+        F.sort_array(F.collect_list(F.struct("_i", "_v", "_n"))).alias("_c"), F.sum("_n").alias("_total"),
+        F.sum(F.col("_v") * F.col("_n")).alias("_s"), F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))).alias("_m"))
+        .select("exp_group", "_r", F.col("_c._v").alias("_values"), F.col("_c._n").alias("_counts"), "_total", "_s", "_m"))
+    # one row per listed group, also of a group without users; its arrays have a number per range
+    whole = (spark.createDataFrame([(g,) for g in groups], "exp_group int").join(F.broadcast(
+        ranges.groupBy("exp_group").agg(F.sort_array(F.collect_list(F.struct("_r", "_total"))).alias("_c"),
+                                        F.sum("_total").alias("_n"), F.try_divide(F.sum("_s"), F.sum("_m")).alias("_mid"))
+        .select("exp_group", "_n", "_mid", F.col("_c._total").alias("_totals"))), "exp_group", "left")
+        .withColumn("_n", F.coalesce("_n", F.lit(0))))
+    n = F.col("_n")
+    if share is None:
+        too_large = F.raise_error(F.lit(f"A/A sample of {sample} is larger than a group"))
+        k = F.when(n < sample, too_large.cast("bigint")).otherwise(F.lit(sample).cast("bigint"))
+    else:
+        k = F.floor(n * F.lit(share))
+    blocks = (spark.range(0, -(-reps // SIMS), 1, explode_tasks(spark)).join(F.broadcast(whole.withColumn("_k", k)))
+              .select(F.col("id").alias("_block"), "exp_group", "_k", "_totals", F.coalesce("_mid", F.lit(0.0)).alias("_mid")))
+    sims, low, offset, split = SIMS, (cells - 1).bit_length(), salt_offset(salt), resampling.split_sample
+
+    def streams(block):
+        return np.arange(block * sims, min((block + 1) * sims, reps), dtype=np.int64)
+
+    def over_ranges(frames):
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                if row[3] is None or row[2] == 0:
+                    continue
+                block, group, taken, totals, mid = row
+                stream = streams(block)
+                held = split(np.asarray(totals, np.int64), np.full(len(stream), taken), offset, stream, group, low)
+                yield pd.DataFrame({"_block": block, "exp_group": np.int32(group), "_mid": mid, "_r": np.arange(len(totals)),
+                                    "_ks": list(held.T)})
+
+    def over_values(frames):
+        for frame in frames:
+            for block, group, mid, r, ks, values, counts in frame.itertuples(index=False):
+                stream = streams(block)
+                held = split(np.asarray(counts, np.int64), np.asarray(ks, np.int64), offset, stream, group, 0, r * (1 << low), low)
+                v = np.array([np.nan if x is None else x for x in values], float)
+                known = ~np.isnan(v)
+                held, v = held[:, known], v[known]
+                seen = held > 0
+                yield pd.DataFrame({"sim": stream.astype(np.int32), "exp_group": np.int32(group), "mid": mid,
+                                    "n": held.sum(axis=1), "s": held @ v, "q": held @ (v - mid) ** 2,
+                                    "lo": np.where(seen, v, np.inf).min(axis=1, initial=np.inf),
+                                    "hi": np.where(seen, v, -np.inf).max(axis=1, initial=-np.inf)})
+
+    dealt = blocks.mapInPandas(over_ranges, "_block bigint, exp_group int, _mid double, _r bigint, _ks array<bigint>")
+    table = ranges.select("exp_group", "_r", "_values", "_counts")
+    if table.count() <= BROADCAST_RANGES:
+        table = F.broadcast(table)
+    sums = (dealt.join(table, ["exp_group", "_r"])
+            .select("_block", "exp_group", "_mid", "_r", "_ks", "_values", "_counts")
+            .mapInPandas(over_values, "sim int, exp_group int, mid double, n bigint, s double, q double, lo double, hi double"))
+
+    def of(side: int, name: str, add=F.sum) -> Column:
+        return add(F.when(F.col("exp_group") == side, F.col(name)))
+
+    out = sums.groupBy("sim").agg(*[of(g, c, add).alias(f"_{c}_{side}") for side, g in zip("ab", groups) for c, add in (
+        ("n", F.sum), ("s", F.sum), ("q", F.sum), ("lo", F.min), ("hi", F.max), ("mid", F.max))])
+    moments = ["sim"]
+    for side in "ab":
+        m, total, q, lo, hi, mid = (F.col(f"_{c}_{side}") for c in ("n", "s", "q", "lo", "hi", "mid"))
+        mean = F.try_divide(total, m)
+        spread = F.when(lo == hi, F.lit(0.0)).otherwise(q - m * (mean - mid) * (mean - mid))
+        moments += [F.coalesce(m, F.lit(0).cast("bigint")).alias(f"n_{side}"), mean.alias(f"mean_{side}"),
+                    F.when(m > 1, F.greatest(spread, F.lit(0.0)) / (m - 1)).alias(f"var_{side}")]
+    names = ("n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b")
+    t, dof = _welch(*(F.col(c) for c in names))
+    return out.select(*moments).select("sim", *names, t.alias("t"), dof.alias("df"))
+
+
 def aa_stats(samples: DataFrame, groups: Pair = (2, 3), value: str = "ctr") -> DataFrame:
     """Welch statistics per simulation (first group against the second)."""
     a, b = groups

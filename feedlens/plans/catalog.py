@@ -265,12 +265,16 @@ def q_aa_samples(a: Actions) -> DataFrame:
     return _aa_samples(a)
 
 
+def _aa_stats(a: Actions) -> DataFrame:
+    return ex.aa_draw_stats(_users(a, P.AA_GROUPS), P.AA_GROUPS, P.AA_REPS, share=P.AA_SHARE)
+
+
 def q_aa_stats(a: Actions) -> DataFrame:
-    return ex.aa_stats(_aa_samples(a), P.AA_GROUPS)
+    return _aa_stats(a)
 
 
 def q_aa_test(a: Actions) -> DataFrame:
-    return ex.with_t_p_value(ex.aa_stats(_aa_samples(a), P.AA_GROUPS)).select("sim", "t", "df", "p_value")
+    return ex.with_t_p_value(_aa_stats(a)).select("sim", "t", "df", "p_value")
 
 
 def q_aa_summary(a: Actions) -> DataFrame:

@@ -14,6 +14,7 @@ from decimal import Decimal, localcontext
 
 from feedlens.functions.columns import GOLDEN32, M32, MIX32
 from feedlens.functions.permutation import ROUNDS
+from feedlens.functions.resampling import SMALL_MEAN
 from feedlens.plans import params as P
 
 
@@ -93,6 +94,10 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join((BASE,) + ctes) + "\n"
 
 
+def _recursive(statement: str) -> str:
+    return statement.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _exp_week(col: str = '"time"') -> str:
     return f"{col} >= {_ts(P.EXP_START)} AND {col} < {_ts(P.EXP_END)} + INTERVAL 1 DAY"
 
@@ -171,32 +176,61 @@ def _users_src(groups) -> str:
     return _user_ctr_cte("src", groups)
 
 
-def _poisson_case(h: str) -> str:
-    """Weight of a 32-bit draw by the Poisson(1) law, from the law itself."""
+def _poisson_case(h: str, mean: int) -> str:
+    """Weight of a 32-bit draw by the Poisson(mean) law, from the law itself."""
     with localcontext() as ctx:
         ctx.prec = 50
-        term, cdf, bounds, k = Decimal(-1).exp(), Decimal(0), [], 0
+        term, cdf, bounds, k = Decimal(-mean).exp(), Decimal(0), [], 0
         while 1 - (cdf + term) >= Decimal(2) ** -32:
             cdf += term
             bounds.append(int(cdf * 2**32))
             k += 1
-            term /= k
+            term = term * mean / k
     whens = " ".join(f"WHEN {h} < {bound} THEN {k}" for k, bound in enumerate(bounds))
     return f"CASE {whens} ELSE {len(bounds)} END"
 
 
+def poisson_sql(cells: str, reps: int) -> str:
+    """CTEs up to ``weighted``: the rows of ``cells`` (with n, hi, lo) and each repetition b, w drawn by the
+    Poisson(n) law: by the distribution function for small n, else by transformed rejection, attempt after attempt."""
+    inner = _mix32(f"((c.lo + CAST(r.b AS BIGINT) * {GOLDEN32}) & {M32})")
+    first = _mix32(f"((z + hi) & {M32})")
+    small = " ".join(f"WHEN {n} THEN {_poisson_case('h', n)}" for n in range(1, SMALL_MEAN + 1))
+
+    def uniform(number: str) -> str:
+        return f"(({_mix32(f'((z + hi + ({number}) * {GOLDEN32}) & {M32})')}) + 0.5) / 4294967296.0"
+
+    b = "(0.931 + 2.53 * sqrt(n))"
+    a = f"(-0.059 + 0.02483 * {b})"
+    place = f"floor((2 * {a} / us + {b}) * u + n + 0.43)"
+    fits = (f"ln(v) + ln(1.1239 + 1.1328 / ({b} - 3.4)) - ln({a} / (us * us) + {b}) "
+            f"<= k * ln(n) - n - lgamma(greatest(k, 0) + 1)")
+    # attempt and number of the draw: 2 t for the place, 2 t + 1 for the height
+    attempt = f"""SELECT * EXCLUDE (k, us, u, v), CASE WHEN (us >= 0.07 AND v <= 0.9277 - 3.6224 / ({b} - 2))
+      OR (k >= 0 AND NOT (us < 0.013 AND v > us) AND {fits}) THEN CAST(k AS BIGINT) END AS w FROM (
+    SELECT *, {place} AS k FROM (SELECT *, 0.5 - abs(u) AS us FROM (
+      SELECT *, {uniform('2 * t')} - 0.5 AS u, {uniform('2 * t + 1')} AS v FROM ({{}}))))"""
+    return f"""boot_low AS (SELECT c.*, r.b, {inner} AS z FROM {cells} c CROSS JOIN range({reps}) r(b)),
+boot_small AS (SELECT *, CASE n {small} END AS w FROM (SELECT *, {first} AS h FROM boot_low WHERE n <= {SMALL_MEAN})),
+boot_large AS (
+  {attempt.format(f"SELECT *, 0 AS t FROM boot_low WHERE n > {SMALL_MEAN}")}
+  UNION ALL
+  {attempt.format("SELECT * EXCLUDE (w, t), t + 1 AS t FROM boot_large WHERE w IS NULL")}),
+weighted AS (SELECT * EXCLUDE (z, h) FROM boot_small
+  UNION ALL SELECT * EXCLUDE (z, t) FROM boot_large WHERE w IS NOT NULL)"""
+
+
 def _boot_cte(name: str) -> str:
-    hi, lo = _hash_halves("poisson", "user_id")
-    inner, outer = _mixed(f"((u.lo + CAST(r.b AS BIGINT) * {GOLDEN32}) & {M32})")
-    return f"""boot_users AS (SELECT *, {hi} AS hi, {lo} AS lo FROM ab_users),
-boot_low AS (SELECT u.exp_group, r.b, u.likes, u.views, u.hi, {inner} AS z
-             FROM boot_users u CROSS JOIN range({P.BOOTSTRAP_REPS}) r(b)),
-boot_draws AS (SELECT exp_group, b, likes, views, {outer} AS h FROM boot_low),
+    """Poisson bootstrap of the users with the same likes and views together."""
+    hi, lo = _hash_halves("poisson", "exp_group", "likes", "views")
+    return f"""boot_cells AS (
+  SELECT *, {hi} AS hi, {lo} AS lo FROM (
+    SELECT exp_group, likes, views, CAST(count(*) AS BIGINT) AS n FROM ab_users GROUP BY ALL)),
+{poisson_sql('boot_cells', P.BOOTSTRAP_REPS)},
 {name} AS (
   SELECT exp_group, b, CAST(sum(w * likes) AS BIGINT) AS likes_w, CAST(sum(w * views) AS BIGINT) AS views_w,
     {_ratio('sum(w * likes)', 'sum(w * views)')} AS ctr
-  FROM (SELECT exp_group, b, likes, views, {_poisson_case('h')} AS w FROM boot_draws)
-  GROUP BY exp_group, b)"""
+  FROM weighted GROUP BY exp_group, b)"""
 
 
 def _bucket_cte(name: str) -> str:
@@ -254,6 +288,68 @@ aa_walk AS (
   FROM aa_walk w JOIN aa_users u ON u.exp_group = w.exp_group AND u.i = w.x WHERE w.x < w.n)"""
 
 
+#: Levels of the tree over distinct values; those above a table's own size split nothing.
+TREE_LEVELS = 14
+
+
+def split_sql(cells: str, starts: str, salt: str, levels: int = TREE_LEVELS) -> str:
+    """CTEs up to ``dealt`` (sim, exp_group, i, k): how many of each sample come from each cell.
+
+    ``cells`` are (exp_group, i, n), ``starts`` (sim, exp_group, k). On each level of a binary
+    tree over the cells the sample of a node is split by a hypergeometric draw: the values are
+    listed outwards from the mode, and the first whose running probability exceeds the draw counts."""
+    base = _mix32(f"(({_salt(salt)} + sim * {GOLDEN32}) & {M32})")
+    parts = [f"""sums AS (SELECT exp_group, i, sum(n) OVER (PARTITION BY exp_group ORDER BY i) AS upto FROM {cells}),
+node_{levels} AS (SELECT sim, exp_group, CAST(0 AS BIGINT) AS j, k, {base} AS base FROM {starts})"""]
+
+    def choose(n: str, k: str) -> str:
+        return f"lgamma({n} + 1) - lgamma({k} + 1) - lgamma({n} - {k} + 1)"
+
+    probability = (f"exp({choose('part', 'x')} + {choose('(total - part)', '(k - x)')} - ({choose('total', 'k')}))")
+    for up in range(levels, 0, -1):
+        def upto(at: str) -> str:
+            return (f"coalesce((SELECT max(s.upto) FROM sums s WHERE s.exp_group = d.exp_group AND s.i < ({at})), 0)")
+        size, half = 1 << up, 1 << (up - 1)
+        draw = _mix32("((z + j) & %d)" % M32)
+        parts.append(f"""size_{up} AS (
+  SELECT exp_group, j, {upto(f'j * {size} + {half}')} - {upto(f'j * {size}')} AS part,
+    {upto(f'(j + 1) * {size}')} - {upto(f'j * {size}')} AS total FROM (SELECT DISTINCT exp_group, j FROM node_{up}) d),
+split_{up} AS (
+  SELECT *, greatest(0, k - (total - part)) AS low, least(part, k) AS high,
+    floor((k + 1.0) * (part + 1.0) / (total + 2.0)) AS mode, ({draw} + 0.5) / 4294967296.0 AS u FROM (
+    SELECT n.*, s.part, s.total, {_mix32(f'((base + exp_group * {GOLDEN32} + {up}) & {M32})')} AS z
+    FROM node_{up} n JOIN size_{up} s USING (exp_group, j))),
+took_{up} AS (
+  SELECT sim, exp_group, j, CAST(arg_min(x, nth) FILTER (running > u) AS BIGINT) AS x FROM (
+    SELECT sim, exp_group, j, x, nth, u, sum(probability) OVER (PARTITION BY sim, exp_group, j ORDER BY nth) AS running FROM (
+      SELECT *, CASE WHEN x > mode THEN 2 * (x - mode) - 1 ELSE 2 * (mode - x) END AS nth, {probability} AS probability
+      FROM (SELECT *, unnest(range(CAST(low AS BIGINT), CAST(high AS BIGINT) + 1)) AS x FROM split_{up} WHERE low < high)))
+  GROUP BY ALL),
+left_{up} AS (
+  SELECT s.sim, s.exp_group, s.j, s.k, s.base, CAST(CASE WHEN low = high THEN low ELSE coalesce(t.x, s.mode) END AS BIGINT) AS x
+  FROM split_{up} s LEFT JOIN took_{up} t USING (sim, exp_group, j)),
+node_{up - 1} AS (
+  SELECT sim, exp_group, 2 * j AS j, x AS k, base FROM left_{up} WHERE x > 0
+  UNION ALL SELECT sim, exp_group, 2 * j + 1, k - x, base FROM left_{up} WHERE k > x)""")
+    parts.append("dealt AS (SELECT sim, exp_group, j AS i, k FROM node_0)")
+    return ",\n".join(parts)
+
+
+def _aa_drawn_cte(name: str) -> str:
+    """One row per sampled user of the A/A simulations, known by its CTR only."""
+    return f"""{_user_ctr_cte('aa_users', P.AA_GROUPS)},
+aa_cells AS (
+  SELECT exp_group, ctr, n, row_number() OVER (PARTITION BY exp_group ORDER BY ctr NULLS LAST) - 1 AS i
+  FROM (SELECT exp_group, ctr, CAST(count(*) AS BIGINT) AS n FROM aa_users GROUP BY ALL)),
+aa_starts AS (
+  SELECT r.sim, exp_group, k FROM range({P.AA_REPS}) r(sim) CROSS JOIN (
+    SELECT exp_group, CAST(floor(sum(n) * {P.AA_SHARE}) AS BIGINT) AS k FROM aa_cells GROUP BY exp_group) WHERE k > 0),
+{split_sql('aa_cells', 'aa_starts', 'aa')},
+{name} AS (
+  SELECT CAST(sim AS INTEGER) AS sim, exp_group, ctr FROM (
+    SELECT d.sim, d.exp_group, c.ctr, unnest(range(d.k)) FROM dealt d JOIN aa_cells c USING (exp_group, i)))"""
+
+
 # --- p-values: the laws' tails by Simpson's rule ------------------------------
 
 def _t_p(rows: str, points: int) -> str:
@@ -571,13 +667,13 @@ src AS (SELECT u.exp_group, u.user_id, u.likes, u.views, g.global_ctr,
     q["welch_smoothed"] = _welch_pairs(smoothed, "smoothed_ctr", [P.AB_GROUPS])
 
     boot = f"{_user_ctr_cte('ab_users', P.AB_GROUPS)},\n{_boot_cte('src')}"
-    q["poisson_bootstrap"] = _with(boot) + f"SELECT exp_group, CAST(b AS INTEGER) AS b, likes_w, views_w, {_r('ctr')} AS ctr FROM src"
+    q["poisson_bootstrap"] = _recursive(_with(boot)) + f"SELECT exp_group, CAST(b AS INTEGER) AS b, likes_w, views_w, {_r('ctr')} AS ctr FROM src"
     a, b = P.AB_GROUPS
-    q["bootstrap_diff"] = _with(boot) + f"""
+    q["bootstrap_diff"] = _recursive(_with(boot)) + f"""
 SELECT CAST(b AS INTEGER) AS b, {_r('ctr_a')} AS ctr_a, {_r('ctr_b')} AS ctr_b, {_r('ctr_b - ctr_a')} AS diff FROM (
   SELECT b, max(CASE WHEN exp_group = {a} THEN ctr END) AS ctr_a, max(CASE WHEN exp_group = {b} THEN ctr END) AS ctr_b
   FROM src GROUP BY b)"""
-    q["welch_bootstrap"] = _welch_pairs(boot, "ctr", [P.AB_GROUPS])
+    q["welch_bootstrap"] = _recursive(_welch_pairs(boot, "ctr", [P.AB_GROUPS]))
 
     q["bucket_ctr"] = _with(_bucket_cte("src")) + f"SELECT exp_group, bucket, likes, views, {_r('bucket_ctr')} AS bucket_ctr FROM src"
     q["welch_bucket"] = _welch_pairs(_bucket_cte("src"), "bucket_ctr", [P.AB_GROUPS])
@@ -608,7 +704,7 @@ GROUP BY {g}bin, lo, hi"""
   SELECT b, max(CASE WHEN exp_group = {a} THEN ctr END) AS ctr_a, max(CASE WHEN exp_group = {b} THEN ctr END) AS ctr_b,
     max(CASE WHEN exp_group = {b} THEN ctr END) - max(CASE WHEN exp_group = {a} THEN ctr END) AS diff
   FROM src GROUP BY b)"""
-    q["bootstrap_diff_histogram"] = hist_sql((boot, diff_cte), "diff", "diff", None)
+    q["bootstrap_diff_histogram"] = _recursive(hist_sql((boot, diff_cte), "diff", "diff", None))
     q["bucket_ctr_histogram"] = hist_sql((_bucket_cte("src"),), "src", "bucket_ctr", "exp_group")
     # one histogram per pair, with edges of its own
     q["linearized_histogram"] = " UNION ALL ".join(
@@ -617,19 +713,16 @@ GROUP BY {g}bin, lo, hi"""
             "lin1", "linearized_likes", "exp_group") + ")"
         for pa, pb in P.LINEARIZED_PAIRS)
 
-    def aa(*ctes: str) -> str:
-        return _with(_aa_samples_cte("s"), *ctes).replace("WITH ", "WITH RECURSIVE ", 1)
-
-    q["aa_samples"] = aa() + f"SELECT sim, exp_group, user_id, {_r('ctr')} AS ctr FROM s"
+    q["aa_samples"] = _recursive(_with(_aa_samples_cte("s"))) + f"SELECT sim, exp_group, user_id, {_r('ctr')} AS ctr FROM s"
     a2, b2 = P.AA_GROUPS
-    q["aa_stats"] = aa() + _welch_select("s", "ctr", "exp_group", str(a2), str(b2), "sim")
+    drawn = _aa_drawn_cte("s")
+    q["aa_stats"] = _with(drawn) + _welch_select("s", "ctr", "exp_group", str(a2), str(b2), "sim")
     stats = _welch_select("s", "ctr", "exp_group", str(a2), str(b2), "sim", _plain)
     tests = f"tests AS ({_t_p(f'SELECT sim, t, df FROM ({stats})', 6000)})"
-    q["aa_test"] = aa(tests) + f"SELECT sim, {_r('t')} AS t, {_r('df')} AS df, {_leading('p')} AS p_value FROM tests"
-    q["aa_summary"] = aa(tests) + f"""SELECT CAST(count(p) AS BIGINT) AS n_sims,
+    q["aa_test"] = _with(drawn, tests) + f"SELECT sim, {_r('t')} AS t, {_r('df')} AS df, {_leading('p')} AS p_value FROM tests"
+    q["aa_summary"] = _with(drawn, tests) + f"""SELECT CAST(count(p) AS BIGINT) AS n_sims,
   CAST(count(*) FILTER (p <= 0.05) AS BIGINT) AS n_significant, {_r('avg(CAST(p <= 0.05 AS DOUBLE))')} AS fp_share FROM tests"""
-    q["aa_pvalue_histogram"] = hist_sql((_aa_samples_cte("s"), tests), "tests", "p", None, 10).replace(
-        "WITH ", "WITH RECURSIVE ", 1)
+    q["aa_pvalue_histogram"] = hist_sql((drawn, tests), "tests", "p", None, 10)
 
     # every A/B test, from statistics that are not rounded
     def t_test(name: str, statement: str) -> str:
@@ -648,7 +741,7 @@ GROUP BY {g}bin, lo, hi"""
         t_test("welch_ctr", _welch_pairs(_users_src(P.ALL_GROUPS), "ctr", P.LINEARIZED_PAIRS, _plain)),
         u_test("mann_whitney_ctr", _mann_whitney(_users_src(P.AB_GROUPS), "ctr", *P.AB_GROUPS, _plain)),
         t_test("welch_smoothed_ctr", _welch_pairs(smoothed, "smoothed_ctr", ab, _plain)),
-        t_test("welch_bootstrap_ctr", _welch_pairs(boot, "ctr", ab, _plain)),
+        t_test("welch_bootstrap_ctr", _recursive(_welch_pairs(boot, "ctr", ab, _plain))),
         t_test("welch_bucket_ctr", _welch_pairs(_bucket_cte("src"), "bucket_ctr", ab, _plain)),
         u_test("mann_whitney_bucket_ctr", _mann_whitney(_bucket_cte("src"), "bucket_ctr", *P.AB_GROUPS, _plain)),
         t_test("welch_linearized_likes", lin_stats)])

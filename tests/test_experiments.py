@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlens.functions import permutation
-from feedlens.functions.columns import draw32, hash_halves, poisson1_thresholds, poisson1_weight, salt_offset, uniform_bucket
+from feedlens.functions.columns import draw32, hash_halves, salt_offset, uniform_bucket
 from feedlens.operators import experiments as ex
 from feedlens.operators.ordering import running_total
 from feedlens.plans import params as P
@@ -218,16 +218,6 @@ def test_histogram_by_pair_has_edges_of_its_own(spark):
     assert ex.histogram(df.where("x < 0"), "x", bins=5).count() == 0
 
 
-def test_poisson_weights_have_mean_and_variance_one(spark):
-    th = poisson1_thresholds()
-    assert th == sorted(th) and th[-1] < 2 ** 32
-    # fixed values of the law: floor(2^32 e^-1 (1/0! + ... + 1/k!))
-    assert th[:6] == [1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291]
-    df = spark.range(200000).select(poisson1_weight(draw32(*hash_halves("p", "id"), F.lit(3))).alias("w"))
-    m = df.agg(F.avg("w").alias("m"), F.var_samp("w").alias("v")).first()
-    assert m.m == pytest.approx(1.0, abs=0.01) and m.v == pytest.approx(1.0, abs=0.02)
-
-
 def test_bootstrap_mean_near_global_ctr(spark, actions001):
     users = ex.user_ctr(actions001.feed, P.EXP_START, P.EXP_END, P.AB_GROUPS)
     boot = ex.poisson_bootstrap(users, P.AB_GROUPS, reps=400)

@@ -1,0 +1,185 @@
+"""Draws of whole counts: laws, equality with the SQL sampler, and rows that do not grow with the users."""
+
+import math
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feedlens.functions import resampling
+from feedlens.functions.columns import draw32, hash_halves, salt_offset
+from feedlens.operators import experiments as ex
+from feedlens.plans import oracle
+
+
+def _keys(n, seed=1):
+    rng = np.random.default_rng(seed)
+    return rng.integers(0, 2**32, n), rng.integers(0, 2**32, n), np.arange(n)
+
+
+def _users(spark, rows):
+    return spark.createDataFrame(rows, "exp_group int, user_id bigint, likes bigint, views bigint") \
+        .withColumn("ctr", F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double")))
+
+
+def test_first_draw_is_the_column_expression(spark):
+    df = spark.createDataFrame([(u, r) for u in (0, 5, 123456789012) for r in (0, 1, 9999)], "u bigint, r int")
+    hi, lo = hash_halves("poisson", "u")
+    for row in df.select(hi.alias("hi"), lo.alias("lo"), "r", draw32(hi, lo, "r").alias("h")).collect():
+        assert row.h == resampling.draws(row.hi, row.lo, row.r)
+
+
+def test_poisson_bounds_are_the_law():
+    # fixed values of the law: floor(2^32 e^-1 (1/0! + ... + 1/k!))
+    assert resampling.poisson_bounds(1)[:6] == (1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291)
+    for mean in (1, 7, resampling.SMALL_MEAN):
+        bounds = resampling.poisson_bounds(mean)
+        assert list(bounds) == sorted(bounds) and bounds[-1] < 2**32
+        assert bounds[3] == pytest.approx(2**32 * sum(math.exp(-mean) * mean**k / math.factorial(k) for k in range(4)), abs=2)
+
+
+@pytest.mark.parametrize("mean", [1, 3, 16, 17, 40, 1000, 10**6, 10**9])
+def test_poisson_has_mean_and_variance_of_its_law(mean):
+    w = resampling.poisson(mean, *_keys(100_000))
+    assert w.mean() == pytest.approx(mean, abs=5 * math.sqrt(mean / 100_000))
+    assert w.var() == pytest.approx(mean, rel=0.04)
+
+
+def test_large_poisson_frequencies():
+    w = resampling.poisson(30, *_keys(200_000))
+    for k in range(15, 46):
+        p = math.exp(-30 + k * math.log(30) - math.lgamma(k + 1))
+        assert (w == k).mean() == pytest.approx(p, abs=5 * math.sqrt(p / 200_000))
+
+
+def test_sql_sampler_draws_the_same_numbers():
+    """Both branches of the sampler, also the repeated attempts of the rejection."""
+    rng = np.random.default_rng(4)
+    cells = [(int(n), int(h), int(l)) for n, h, l in zip(
+        [1, 2, 5, 16, 17, 18, 40, 333, 5000, 10**6, 10**8], rng.integers(0, 2**32, 11), rng.integers(0, 2**32, 11))]
+    values = ", ".join(f"(CAST({n} AS BIGINT), CAST({h} AS BIGINT), CAST({lo} AS BIGINT))" for n, h, lo in cells)
+    got = duckdb.sql(f"WITH RECURSIVE cells(n, hi, lo) AS (VALUES {values}), {oracle.poisson_sql('cells', 400)} "
+                     "SELECT n, b, w FROM weighted").fetchall()
+    want = {(n, b): w for n, h, lo in cells
+            for b, w in enumerate(resampling.poisson(n, np.full(400, h), np.full(400, lo), np.arange(400)).tolist())}
+    assert {(n, b): w for n, b, w in got} == want and len(got) == len(want)
+
+
+def test_bootstrap_matches_user_level_weights(spark):
+    """Mean and variance of the reweighted sums against one Poisson(1) weight for each user."""
+    rng = np.random.default_rng(3)
+    likes, views = rng.integers(0, 4, 400), rng.integers(4, 9, 400)
+    users = _users(spark, [(1, u, int(likes[u]), int(views[u])) for u in range(400)])
+    boot = ex.poisson_bootstrap(users, (1,), reps=4000).toPandas()
+    assert len(boot) == 4000 and sorted(boot.b) == list(range(4000))
+    plain = rng.poisson(1.0, (4000, 400)) @ np.stack([likes, views], 1)
+    for i, c in enumerate(("likes_w", "views_w")):
+        assert boot[c].mean() == pytest.approx(plain[:, i].mean(), rel=0.01)
+        assert boot[c].var() == pytest.approx(plain[:, i].var(), rel=0.12)
+    assert np.corrcoef(boot.likes_w, boot.views_w)[0, 1] == pytest.approx(np.corrcoef(plain.T)[0, 1], abs=0.05)
+
+
+def test_bootstrap_rows_do_not_grow_with_the_users(spark):
+    rows = [(1 + u % 2, u, u % 3, 3 + u % 4) for u in range(240)]
+    few, many = _users(spark, rows), _users(spark, [(g, u + 1000 * c, n, m) for g, u, n, m in rows for c in range(25)])
+    cells = [ex.bootstrap_cells(u, (1, 2)) for u in (few, many)]
+    assert cells[0].count() == cells[1].count() == 12
+    assert cells[1].agg(F.sum("n")).first()[0] == 25 * 240
+    a, b = (ex.poisson_bootstrap(u, (1, 2), reps=600).groupBy("exp_group").agg(
+        F.avg("ctr").alias("m"), F.var_samp("ctr").alias("v")).orderBy("exp_group").collect() for u in (few, many))
+    for x, y in zip(a, b):
+        assert x.m == pytest.approx(y.m, rel=0.01) and x.v / y.v == pytest.approx(25, rel=0.3)
+
+
+def test_bootstrap_does_not_depend_on_tasks_or_runs(spark, monkeypatch):
+    users = _users(spark, [(1, u, u % 7, 9) for u in range(300)])
+    one = sorted(map(tuple, ex.poisson_bootstrap(users, (1,), reps=70, tasks=1).collect()))
+    monkeypatch.setattr(ex, "BOOTSTRAP_RUN", 9)
+    monkeypatch.setattr(ex, "WEIGHTS", 20)
+    assert sorted(map(tuple, ex.poisson_bootstrap(users, (1,), reps=70, tasks=5).collect())) == one
+
+
+@pytest.mark.parametrize("total,part,taken", [(50, 20, 13), (10, 10, 4), (10, 0, 4), (9, 5, 9), (30, 1, 15), (200, 150, 199)])
+def test_hypergeometric_is_exact(total, part, taken):
+    n = 60_000
+    x = resampling.hypergeometric(*(np.full(n, v) for v in (total, part, taken)),
+                                  np.random.default_rng(2).integers(0, 2**32, n))
+    for k in range(taken + 1):
+        p = math.comb(part, k) * math.comb(total - part, taken - k) / math.comb(total, taken)
+        assert (x == k).mean() == pytest.approx(p, abs=5 * math.sqrt(p / n) + 1e-12)
+
+
+def test_hypergeometric_keeps_its_digits_for_many_users():
+    n, m = 10**10, 5000
+    x = resampling.hypergeometric(np.full(m, n), np.full(m, n // 2), np.full(m, 10**6),
+                                  np.random.default_rng(5).integers(0, 2**32, m))
+    assert x.mean() == pytest.approx(5 * 10**5, abs=5 * 500 / math.sqrt(m)) and x.std() == pytest.approx(500, rel=0.05)
+
+
+def test_a_sample_is_dealt_alike_in_one_go_or_two():
+    rng = np.random.default_rng(8)
+    counts = rng.integers(0, 9, 1000)
+    taken, stream = np.full(40, counts.sum() // 3), np.arange(40)
+    whole = resampling.split_sample(counts, taken, 77, stream, 2, levels=10)
+    assert (whole.sum(axis=1) == taken).all() and (whole >= 0).all() and (whole <= counts).all()
+    ranges = resampling.split_sample(np.add.reduceat(counts, np.arange(0, 1000, 64)), taken, 77, stream, 2, low=6)
+    parts = [resampling.split_sample(counts[i * 64:(i + 1) * 64], ranges[:, i], 77, stream, 2, 0, i * 64, 6)
+             for i in range(ranges.shape[1])]
+    assert (np.hstack(parts) == whole).all()
+
+
+def test_sql_tree_deals_the_same_samples():
+    rng = np.random.default_rng(6)
+    counts = {g: rng.integers(1, 30, 21 + g) for g in (2, 3)}
+    values = ", ".join(f"({g}, {i}, CAST({n} AS BIGINT))" for g, c in counts.items() for i, n in enumerate(c))
+    got = duckdb.sql(f"WITH cells(exp_group, i, n) AS (VALUES {values}), starts AS ("
+                     "SELECT sim, exp_group, CAST(sum(n) // 2 AS BIGINT) AS k FROM cells CROSS JOIN range(50) r(sim) GROUP BY ALL), "
+                     f"{oracle.split_sql('cells', 'starts', 'aa', 6)} SELECT exp_group, sim, i, k FROM dealt").fetchall()
+    want = set()
+    for g, c in counts.items():
+        held = resampling.split_sample(c, np.full(50, c.sum() // 2), salt_offset("aa"), np.arange(50), g)
+        want |= {(g, s, i, int(k)) for s, row in enumerate(held) for i, k in enumerate(row) if k}
+    assert set(got) == want
+
+
+@pytest.mark.parametrize("cells", [1, 4, 4096])
+def test_aa_statistics_from_counts(spark, cells):
+    """The moments are those of the dealt counts, however the distinct values are cut into ranges."""
+    rows = [(2 + u % 2, u, u % 5, (u // 2) % 7) for u in range(300)]
+    users = _users(spark, rows)
+    got = {r.sim: r for r in ex.aa_draw_stats(users, (2, 3), reps=300, sample=40, cells=cells).collect()}
+    assert sorted(got) == list(range(300))
+    pdf = users.toPandas()
+    for side, g in (("a", 2), ("b", 3)):
+        ctr = pdf[pdf.exp_group == g].ctr
+        values = [*sorted(ctr.dropna().unique()), None]
+        counts = np.array([(ctr.isna() if v is None else ctr == v).sum() for v in values])
+        held = resampling.split_sample(counts, np.full(300, 40), salt_offset("aa"), np.arange(300), g)
+        for s in range(0, 300, 17):
+            x = np.repeat(values[:-1], held[s][:-1]).astype(float)
+            row = got[s]
+            assert row[f"n_{side}"] == len(x) and row[f"mean_{side}"] == pytest.approx(x.mean())
+            assert row[f"var_{side}"] == pytest.approx(x.var(ddof=1))
+    assert len({round(r.t, 9) for r in got.values()}) > 250
+
+
+def test_aa_law_is_that_of_sampled_users(spark):
+    users = _users(spark, [(2 + u % 2, u, (u * 7) % 5, 6 + u % 9) for u in range(400)])
+    counts = ex.aa_draw_stats(users, (2, 3), reps=2000, share=0.5).toPandas()
+    rows = ex.aa_stats(ex.aa_samples(users, (2, 3), reps=2000, share=0.5), (2, 3)).toPandas()
+    for c in ("mean_a", "mean_b", "var_a", "t"):
+        assert counts[c].mean() == pytest.approx(rows[c].mean(), abs=5 * rows[c].std() / math.sqrt(2000) + 1e-9)
+        assert counts[c].std() == pytest.approx(rows[c].std(), rel=0.1)
+
+
+def test_aa_statistics_of_odd_groups(spark):
+    users = _users(spark, [(2, 1, 1, 2), (2, 2, 1, 2), (2, 3, 1, 2), (3, 4, 1, 0)])
+    with pytest.raises(Exception, match="larger than a group"):
+        ex.aa_draw_stats(users, (2, 3), reps=3, sample=2).collect()
+    row = ex.aa_draw_stats(users, (2, 3), reps=2, share=1.0).first()
+    assert (row.n_a, row.n_b, row.var_a, row.var_b, row.t) == (3, 0, 0.0, None, None)
+    assert ex.aa_draw_stats(users.where("false"), (2, 3), reps=2, share=0.5).count() == 0
+    one = ex.aa_draw_stats(_users(spark, [(2, u, 1, 3) for u in range(9)] + [(3, u, 1, 3) for u in range(9)]),
+                           (2, 3), reps=5, sample=4).collect()
+    assert [(r.var_a, r.var_b, r.t) for r in one] == [(0.0, 0.0, None)] * 5
