@@ -98,6 +98,50 @@ def uniform_bucket(salt: str, key: ColumnOrName, buckets: int) -> Column:
     return (_keyed_mix(hi, lo + salt_offset(salt)) % buckets).cast("int")
 
 
+# Fixed values of XXH64 (its five primes).
+XXH_PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+#: The seed that Spark's ``xxhash64`` starts from.
+SPARK_SEED = 42
+
+
+def _seed_zero() -> int:
+    """The long that ``xxhash64`` turns into 0. Each column's hash is the seed of the
+    next one's, so a column of this value in front starts the following one from 0.
+
+    Every step of the hash of 8 bytes can be undone: shifts, products with odd
+    numbers and rotations modulo 2^64. A hash of 0 is 0 before the final shifts and
+    products; the steps before those are taken backwards here.
+    """
+    p1, p2, _, p4, p5 = XXH_PRIMES
+    m64 = 2**64 - 1
+
+    def rotate(x: int, by: int) -> int:
+        return ((x << by) | (x >> (64 - by))) & m64
+
+    mixed = rotate((0 - p4) * pow(p1, -1, 2**64) & m64, 64 - 27) ^ ((SPARK_SEED + p5 + 8) & m64)
+    value = rotate(mixed * pow(p1, -1, 2**64) & m64, 64 - 31) * pow(p2, -1, 2**64) & m64
+    return value - 2**64 if value >> 63 else value
+
+
+def xxh64(key: ColumnOrName, width: int = 8) -> Column:
+    """XXH64 with seed 0 of an integer's ``width`` little-endian bytes (8, or 4 for
+    keys that are stored in 32 bits), as a signed long: one built-in expression."""
+    if width not in (4, 8):
+        raise ValueError(f"integer keys have 4 or 8 bytes, not {width}")
+    return F.xxhash64(F.lit(_seed_zero()).cast("bigint"), _col(key).cast("bigint" if width == 8 else "int"))
+
+
+def unsigned_mod(x: ColumnOrName, modulus: int) -> Column:
+    """A long read as an unsigned number, modulo ``modulus``."""
+    x = _col(x)
+    return (F.shiftrightunsigned(x, 1) % modulus * 2 + x.bitwiseAND(F.lit(1).cast("bigint"))) % modulus
+
+
+def xxh64_bucket(key: ColumnOrName, buckets: int, width: int = 8) -> Column:
+    """The bucket that a column store's ``xxHash64(key) % buckets`` gives the same key."""
+    return unsigned_mod(xxh64(key, width), buckets).cast("int")
+
+
 def fixed2(x: ColumnOrName) -> Column:
     """Text of x with two decimals, rounded half away from zero on the decimal
     value (a plain ``format_string('%.2f')`` rounds differently from C)."""

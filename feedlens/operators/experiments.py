@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions import permutation, resampling
-from feedlens.functions.columns import hash_halves, ratio, salt_offset, uniform_bucket
+from feedlens.functions.columns import hash_halves, ratio, salt_offset, uniform_bucket, xxh64_bucket
 from feedlens.functions.pvalues import decision, mann_whitney_method, mann_whitney_p_value, t_test_p_value
 from feedlens.operators.ordering import RANGES, materialize, row_index, running_total
 from feedlens.operators.timeframe import where_days
@@ -216,24 +216,34 @@ def linearized_means(lin: DataFrame) -> DataFrame:
 # buckets
 # --------------------------------------------------------------------------
 
+def _bucket(hashing: str, salt: str, buckets: int) -> Column:
+    if hashing == "mix":
+        return uniform_bucket(salt, "user_id", buckets)
+    if hashing in ("xxh64", "xxh64_32"):
+        return xxh64_bucket("user_id", buckets, 8 if hashing == "xxh64" else 4)
+    raise ValueError(f"unknown hashing {hashing!r}: 'mix', 'xxh64' or 'xxh64_32'")
+
+
 def bucket_ctr(feed: DataFrame, start, end, groups: Sequence[int], buckets: int = BUCKETS,
-               salt: str = "bucket") -> DataFrame:
+               salt: str = "bucket", hashing: str = "mix") -> DataFrame:
     """Sum of likes / sum of views per (exp_group, bucket), users hashed into
     ``buckets`` buckets. One aggregate straight from the events (the per-user
     level of the source query adds nothing to sums); the shuffle carries at
-    most groups x buckets rows per task."""
+    most groups x buckets rows per task. ``hashing`` is 'mix' (salted, so that
+    experiments have buckets of their own), or 'xxh64' for the buckets that the
+    study's database gives 64-bit user ids ('xxh64_32': 32-bit ones)."""
     f = where_days(feed, start, end).where(F.col("exp_group").isin(*groups))
-    return (f.groupBy("exp_group", uniform_bucket(salt, "user_id", buckets).alias("bucket"))
+    return (f.groupBy("exp_group", _bucket(hashing, salt, buckets).alias("bucket"))
             .agg(F.count_if(F.col("action") == "like").alias("likes"),
                  F.count_if(F.col("action") == "view").alias("views"))
             .withColumn("bucket_ctr", ratio("likes", "views")))
 
 
 def bucket_ctr_of_users(users: DataFrame, groups: Sequence[int], buckets: int = BUCKETS,
-                        salt: str = "bucket") -> DataFrame:
+                        salt: str = "bucket", hashing: str = "mix") -> DataFrame:
     """``bucket_ctr`` from the per-user table, where one exists already."""
     return (users.where(F.col("exp_group").isin(*groups))
-            .groupBy("exp_group", uniform_bucket(salt, "user_id", buckets).alias("bucket"))
+            .groupBy("exp_group", _bucket(hashing, salt, buckets).alias("bucket"))
             .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"))
             .withColumn("bucket_ctr", ratio("likes", "views")))
 
@@ -485,32 +495,78 @@ def aa_summary(pvalues: DataFrame, alpha: float = ALPHA) -> DataFrame:
 # histograms
 # --------------------------------------------------------------------------
 
+def _order_statistics(df: DataFrame, value: str, ranges: int = RANGES) -> DataFrame:
+    """One row with the number of values, their ends and quartiles (linear between the two nearest ranks).
+
+    Values are counted first; a distributed running total gives each distinct one its
+    ranks, and the at most four that the quartiles lie between are picked from it.
+    """
+    counts = (df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_t")))
+    ranked = running_total(counts, "_v", "_t", "_cum", ranges=ranges)
+    ends = ranked.agg(F.coalesce(F.sum("_t"), F.lit(0)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    x = ranked.withColumn("_e", ends.select(F.struct("n", "lo", "hi")).scalar())
+    first, n = F.col("_cum") - F.col("_t"), F.col("_e.n")
+
+    def quartile(quarters: int) -> Column:
+        at = F.lit(quarters) * (n - 1)
+        rank, part = F.floor(at / 4), (at % 4) / 4.0
+        below = F.when((first <= rank) & (rank < F.col("_cum")), F.col("_v"))
+        above = F.when((first <= rank + 1) & (rank + 1 < F.col("_cum")), F.col("_v"))
+        return F.min(below) + F.coalesce(F.min(above) - F.min(below), F.lit(0.0)) * F.min(part)
+
+    return x.agg(F.coalesce(F.min("_e.n"), F.lit(0)).alias("n"), F.min("_e.lo").alias("lo"), F.min("_e.hi").alias("hi"),
+                 quartile(1).alias("q1"), quartile(3).alias("q3"))
+
+
+def auto_bins(df: DataFrame, value: str) -> DataFrame:
+    """One row: n, lo, hi, q1, q3 and ``bins``, the number of equal bins that the values ask for.
+
+    The narrower of the Sturges width (range / (log2 n + 1)) and the Freedman-Diaconis
+    width (twice the quartiles' distance over the cube root of n; if that is 0, Sturges
+    alone) decides; values without a range, or none, get one bin.
+    """
+    c = F.col
+    spread = c("hi") - c("lo")
+    sturges = F.try_divide(spread, F.log2(c("n")) + 1)
+    diaconis = F.try_divide(F.lit(2.0) * (c("q3") - c("q1")), F.pow(c("n"), F.lit(1.0 / 3.0)))
+    width = F.when(diaconis > 0, F.least(diaconis, sturges)).otherwise(sturges)
+    return _order_statistics(df, value).withColumn(
+        "bins", F.when(width > 0, F.greatest(F.ceil(spread / width), F.lit(1))).otherwise(F.lit(1)).cast("bigint"))
+
+
 def histogram(df: DataFrame, value: str, group_col: str | None = None,
-              groups: Sequence[int] | None = None, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
+              groups: Sequence[int] | None = None, bins: int | str = 10, by: Sequence[str] = ()) -> DataFrame:
     """Counts of ``value`` in ``bins`` equal bins over [min, max] taken over
     all listed groups together (common edges), separately for each value of
-    ``by``; the last bin is closed.
+    ``by``; the last bin is closed. ``bins='auto'`` lets the values choose their
+    number (``auto_bins``; not together with ``by``).
 
     The range is a scalar subquery (or one row per ``by``), planned with the
     rest: the shuffle that builds the input is shared by both.
     Columns: [by..., group_col,] bin, bin_lo, bin_hi, n.
     """
+    if bins == "auto" and by:
+        raise ValueError("bins='auto' takes all values together: pass a number of bins with `by`")
     x = df.where(F.col(value).isNotNull())
     if group_col and groups is not None:
         x = x.where(F.col(group_col).isin(*groups))
     keys = [*by, *([group_col] if group_col else [])]
     x = x.select(*keys, F.col(value).cast("double").alias("_v"))
-    ends = F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    if by:
+    number = F.lit(1).cast("bigint") if bins == "auto" else F.lit(bins).cast("bigint")
+    ends = F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.min(number).alias("bins"))
+    if bins == "auto":
+        x = x.withColumn("_r", auto_bins(x, "_v").select(F.struct("lo", "hi", "bins")).scalar())
+    elif by:
         # one row per value of ``by``, a parameter of the caller
         x = x.join(F.broadcast(x.groupBy(*by).agg(ends.alias("_r"))), list(by))
     else:
         x = x.withColumn("_r", x.agg(ends).scalar())
-    lo, width = F.col("_r.lo"), F.col("_r.hi") - F.col("_r.lo")
+    lo, width, number = F.col("_r.lo"), F.col("_r.hi") - F.col("_r.lo"), F.col("_r.bins")
     b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor(F.try_divide(F.col("_v") - lo, width) * bins), F.lit(bins - 1))).cast("int")
+        F.least(F.floor(F.try_divide(F.col("_v") - lo, width) * number), number - 1)).cast("int")
     out = x.withColumn("bin", b).groupBy(*keys, "bin", "_r").agg(F.count(F.lit(1)).alias("n"))
-    step = width / F.lit(float(bins))
+    step = width / number.cast("double")
     return out.select(*keys, "bin", (lo + step * F.col("bin")).alias("bin_lo"),
                       (lo + step * (F.col("bin") + 1)).alias("bin_hi"), "n")
 

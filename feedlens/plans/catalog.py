@@ -212,6 +212,18 @@ def q_bucket_ctr(a: Actions) -> DataFrame:
     return _buckets(a)
 
 
+def _xxh64_buckets(a: Actions) -> DataFrame:
+    return ex.bucket_ctr(a.feed, P.EXP_START, P.EXP_END, P.AB_GROUPS, P.BUCKETS, hashing="xxh64")
+
+
+def q_bucket_ctr_xxh64(a: Actions) -> DataFrame:
+    return _xxh64_buckets(a)
+
+
+def q_welch_bucket_xxh64(a: Actions) -> DataFrame:
+    return ex.welch_pairs(_xxh64_buckets(a), "bucket_ctr", [P.AB_GROUPS])
+
+
 def q_welch_bucket(a: Actions) -> DataFrame:
     return ex.welch_pairs(_buckets(a), "bucket_ctr", [P.AB_GROUPS])
 
@@ -241,6 +253,14 @@ def q_ctr_histogram(a: Actions) -> DataFrame:
     return ex.histogram(_users(a, P.AB_GROUPS), "ctr", "exp_group", P.AB_GROUPS, P.HIST_BINS)
 
 
+def q_ctr_histogram_auto(a: Actions) -> DataFrame:
+    return ex.histogram(_users(a, P.AB_GROUPS), "ctr", "exp_group", P.AB_GROUPS, "auto")
+
+
+def q_ctr_auto_bins(a: Actions) -> DataFrame:
+    return ex.auto_bins(_users(a, P.AB_GROUPS), "ctr")
+
+
 def q_bootstrap_diff_histogram(a: Actions) -> DataFrame:
     return ex.histogram(ex.bootstrap_diff(_boot(a), *P.AB_GROUPS), "diff", bins=P.HIST_BINS)
 

@@ -12,7 +12,7 @@ import datetime as dt
 import zlib
 from decimal import Decimal, localcontext
 
-from feedlens.functions.columns import GOLDEN32, M32, MIX32
+from feedlens.functions.columns import GOLDEN32, M32, MIX32, XXH_PRIMES
 from feedlens.functions.permutation import ROUNDS
 from feedlens.functions.resampling import SMALL_MEAN
 from feedlens.plans import params as P
@@ -246,6 +246,38 @@ def _bucket_cte(name: str) -> str:
   FROM bucket_low GROUP BY 1, 2)"""
 
 
+def xxh64_sql(keys: str) -> str:
+    """CTEs up to ``hashed`` (key, xxh64): the hash of each key's 8 little-endian bytes with
+    seed 0, unsigned, step by step as its specification has it; products are taken in 128 bits."""
+    p1, p2, p3, p4, p5 = XXH_PRIMES
+
+    def times(x: str, p: int, plus: int = 0) -> str:
+        return f"CAST((CAST({x} AS UHUGEINT) * {p}::UHUGEINT + {plus}::UHUGEINT) % 18446744073709551616::UHUGEINT AS UBIGINT)"
+
+    def rotate(x: str, by: int) -> str:
+        return f"({times(x, 1 << by)} | ({x} >> {64 - by}))"
+
+    steps = [("a0", "CAST(CAST(key AS HUGEINT) + CASE WHEN key < 0 THEN 18446744073709551616::HUGEINT ELSE 0 END AS UBIGINT)"),
+             ("a1", times("a0", p2)), ("a2", rotate("a1", 31)), ("a3", times("a2", p1)),
+             ("a4", f"xor(a3, {(p5 + 8) % 2**64}::UBIGINT)"), ("a5", rotate("a4", 27)), ("a6", times("a5", p1, p4)),
+             ("a7", "xor(a6, a6 >> 33)"), ("a8", times("a7", p2)), ("a9", "xor(a8, a8 >> 29)"), ("a10", times("a9", p3)),
+             ("xxh64", "xor(a10, a10 >> 32)")]
+    body = keys
+    for name, step in steps:
+        body = f"SELECT *, {step} AS {name} FROM ({body})"
+    return f"hashed AS (SELECT key, xxh64 FROM ({body}))"
+
+
+def _xxh64_bucket_cte(name: str) -> str:
+    g = ", ".join(str(x) for x in P.AB_GROUPS)
+    return f"""{xxh64_sql('SELECT DISTINCT user_id AS key FROM feed_actions')},
+{name} AS (
+  SELECT exp_group, CAST(xxh64 % {P.BUCKETS} AS INTEGER) AS bucket,
+    CAST(count_if(action = 'like') AS BIGINT) AS likes, CAST(count_if(action = 'view') AS BIGINT) AS views,
+    {_ratio("count_if(action = 'like')", "count_if(action = 'view')")} AS bucket_ctr
+  FROM feed_actions JOIN hashed ON key = user_id WHERE {_exp_week()} AND exp_group IN ({g}) GROUP BY 1, 2)"""
+
+
 def _linearized_cte(name: str) -> str:
     ctrl = ", ".join(str(a) for a, _ in P.LINEARIZED_PAIRS)
     return f"""{_user_ctr_cte('lin_users', P.ALL_GROUPS)},
@@ -679,6 +711,9 @@ SELECT CAST(b AS INTEGER) AS b, {_r('ctr_a')} AS ctr_a, {_r('ctr_b')} AS ctr_b,
     q["welch_bucket"] = _welch_pairs(_bucket_cte("src"), "bucket_ctr", [P.AB_GROUPS])
     q["mann_whitney_bucket"] = _mann_whitney(_bucket_cte("src"), "bucket_ctr", *P.AB_GROUPS)
 
+    q["bucket_ctr_xxh64"] = _with(_xxh64_bucket_cte("src")) + f"SELECT exp_group, bucket, likes, views, {_r('bucket_ctr')} AS bucket_ctr FROM src"
+    q["welch_bucket_xxh64"] = _welch_pairs(_xxh64_bucket_cte("src"), "bucket_ctr", [P.AB_GROUPS])
+
     lc = ["group_a", "group_b", "exp_group", "user_id", "likes", "views", "ctr_control", "linearized_likes"]
     q["linearized_likes"] = _with(_linearized_cte("lin")) + f"SELECT {_rounded_cols(lc, {'ctr_control', 'linearized_likes'})} FROM lin"
     q["linearized_means"] = _with(_linearized_cte("lin")) + f"""
@@ -700,6 +735,20 @@ GROUP BY {g}bin, lo, hi"""
 
     q["ctr_histogram"] = hist_sql((_users_src(P.AB_GROUPS),), "src", "ctr", "exp_group")
     q["aa_ctr_histogram"] = hist_sql((_users_src(P.AA_GROUPS),), "src", "ctr", "exp_group")
+    auto = f"""qs AS (
+  SELECT CAST(count(*) AS BIGINT) AS n, min(ctr) AS lo, max(ctr) AS hi, quantile_cont(ctr, 0.25) AS q1, quantile_cont(ctr, 0.75) AS q3
+  FROM src WHERE ctr IS NOT NULL),
+widths AS (SELECT *, (hi - lo) / (log2(n) + 1) AS sturges, 2 * (q3 - q1) / pow(n, 1.0 / 3) AS fd FROM qs),
+auto AS (SELECT n, lo, hi, q1, q3, CASE WHEN hi > lo
+  THEN CAST(ceil((hi - lo) / CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END) AS BIGINT) ELSE 1 END AS bins FROM widths)"""
+    q["ctr_auto_bins"] = _with(_users_src(P.AB_GROUPS), auto) + f"SELECT {_rounded_cols(['n', 'lo', 'hi', 'q1', 'q3', 'bins'], {'lo', 'hi', 'q1', 'q3'})} FROM auto"
+    q["ctr_histogram_auto"] = _with(_users_src(P.AB_GROUPS), auto) + f"""
+SELECT exp_group, bin, {_r('lo + (hi - lo) / bins * bin')} AS bin_lo, {_r('lo + (hi - lo) / bins * (bin + 1)')} AS bin_hi,
+  CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT src.exp_group, lo, hi, bins,
+    CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((ctr - lo) / (hi - lo) * bins), bins - 1) END AS INTEGER) AS bin
+  FROM src CROSS JOIN auto WHERE ctr IS NOT NULL)
+GROUP BY exp_group, bin, lo, hi, bins"""
     diff_cte = f"""diff AS (
   SELECT b, max(CASE WHEN exp_group = {a} THEN ctr END) AS ctr_a, max(CASE WHEN exp_group = {b} THEN ctr END) AS ctr_b,
     max(CASE WHEN exp_group = {b} THEN ctr END) - max(CASE WHEN exp_group = {a} THEN ctr END) AS diff
