@@ -120,6 +120,11 @@ def alert_check(bands: DataFrame, keys=()) -> DataFrame:
     last = (bands.withColumn("_next", F.lead("ts").over(order))
             .where(F.col("_next").isNull())
             .select(*keys, "metric", "ts", "value", "prev_value", "low", "up"))
+    return flagged(last, keys)
+
+
+def flagged(last: DataFrame, keys=()) -> DataFrame:
+    """The result columns of ``alert_check`` from (metric, ts, value, prev_value, low, up)."""
     v = F.col("value")
     alert = F.coalesce((v < F.col("low")) | (v > F.col("up")), F.lit(False))
     deviation = F.abs(F.lit(1.0) - F.try_divide(v, F.col("prev_value")))
@@ -130,9 +135,9 @@ def alert_check(bands: DataFrame, keys=()) -> DataFrame:
         F.lit("Alert! Metric "), F.coalesce(label, F.col("metric")), F.lit(":\n- current value "),
         F.coalesce(fixed2(v), F.lit("n/a")), F.lit(";\n- deviation from the previous value "),
         F.coalesce(percent2(F.col("deviation")), F.lit("n/a")))
-    flagged = last.select(*keys, "metric", "ts", "value", "low", "up", alert.alias("is_alert"),
+    out = last.select(*keys, "metric", "ts", "value", "low", "up", alert.alias("is_alert"),
                           deviation.alias("deviation"))
-    return flagged.select("*", F.when(F.col("is_alert"), message).alias("message"))
+    return out.select("*", F.when(F.col("is_alert"), message).alias("message"))
 
 
 def check_each(series: DataFrame, buckets: DataFrame) -> DataFrame:

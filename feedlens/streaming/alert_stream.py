@@ -8,10 +8,14 @@
   window (chained stateful operators; the watermark flows through both).
 * ``window_metrics`` computes feed and messenger metrics in one query over
   the union of both streams, so a window's six metrics arrive together.
+* ``with_bands`` checks every closed window against its band inside the stream:
+  ``BandState`` keeps, per metric, the few values before it that the two
+  smoothed bands need, so no window is read again.
 * ``run_alert_stream`` appends each micro-batch of closed windows to a
   Parquet table by date and batch id (a replayed batch overwrites its own
-  folders, so nothing is duplicated), then runs the band check of
-  ``operators.alerts`` for every window that the batch closed.
+  folders, so nothing is duplicated), and the checks of these windows to another.
+  ``check_buckets`` is the check from the stored windows, for a range of them
+  that is to be judged again.
 
 Event time must be a TIMESTAMP (with time zone) column to carry a watermark;
 the fixture's TIMESTAMP_NTZ is cast with the session time zone (UTC).
@@ -20,9 +24,13 @@ the fixture's TIMESTAMP_NTZ is cast with the session time zone (UTC).
 from __future__ import annotations
 
 import datetime as dt
+import math
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from feedlens.operators import alerts
 from feedlens.operators.timeframe import date_literal
@@ -125,17 +133,126 @@ def check_buckets(spark: SparkSession, table: str, buckets: DataFrame) -> DataFr
     return alerts.check_each(series, buckets)
 
 
+Point = tuple[int, float | None]     # a bucket's start in microseconds of its own clock, value
+DAY, STEP = 86_400_000_000, 900_000_000
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _mean(values: list[float]) -> float | None:
+    total = 0.0
+    for v in values:
+        total += v
+    return total / len(values) if values else None
+
+
+def _sample_std(values: list[float]) -> float:
+    """By the running moments that Spark's ``stddev_samp`` uses, so that both give the same digits."""
+    mean = m2 = 0.0
+    for n, v in enumerate(values, start=1):
+        d = v - mean
+        mean += d / n
+        m2 += d * (d - d / n)
+    return math.sqrt(m2 / (len(values) - 1))
+
+
+def band_of_last(points: list[Point], a: float = alerts.BAND_WIDTH, n: int = alerts.BAND_ROWS):
+    """(prev_value, low, up) of the last of a metric's points: those of ``alerts.alert_bands``, whose
+    series starts on the day before the moment that the bucket closed.
+
+    The last row's lower band is the mean over n rows and the upper one over those of
+    them that its centred frame reaches back to; each row needs the n values before it.
+    """
+    first = (points[-1][0] + STEP) // DAY * DAY - DAY
+    values = [v for ts, v in points if ts >= first]
+
+    def band(i: int, sign: int) -> float | None:
+        before = values[max(0, i - n):i]
+        if len(before) < n or any(v is None for v in before):
+            return None
+        return _mean(before) + sign * a * _sample_std(before)
+
+    def smoothed(rows: int, sign: int) -> float | None:
+        found = (band(i, sign) for i in range(max(0, len(values) - rows), len(values)))
+        return _mean([x for x in found if x is not None])
+
+    return (values[-2] if len(values) > 1 else None), smoothed(n, -1), smoothed(n // 2 + 1, 1)
+
+
+class BandState(StatefulProcessor):
+    """Per metric: the last values, as many as the bands of the next one need.
+
+    Windows reach it closed, each once, and no later batch has an earlier window
+    (append mode emits them as the watermark passes), so a batch's rows are taken
+    in order of time. A window without feed actions is handed on unchecked.
+    """
+
+    KEPT = 2 * alerts.BAND_ROWS - 1
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "ts array<bigint>, value array<double>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        points: list[Point] = []
+        if self.last.exists():
+            ts, values = self.last.get()
+            points = list(zip(ts, values))
+        new = pd.concat(list(rows)).sort_values("ts")
+        out = []
+        for us, value, in_feed in zip(new["ts"].astype("datetime64[us]").astype("int64"), new["value"], new["in_feed"]):
+            value = None if pd.isna(value) else float(value)
+            prev = low = up = None
+            if in_feed:
+                points = [*points[-self.KEPT:], (int(us), value)]
+                prev, low, up = band_of_last(points)
+            out.append((key[0], int(us), value, prev, low, up, bool(in_feed)))
+        points = points[-self.KEPT:]
+        self.last.update(([p[0] for p in points], [p[1] for p in points]))
+        made = pd.DataFrame(out, columns=["metric", "ts", "value", "prev_value", "low", "up", "in_feed"]).astype(
+            {c: "float64" for c in ("value", "prev_value", "low", "up")})
+        yield made.assign(ts=pd.to_datetime(made["ts"], unit="us"))
+
+    def close(self) -> None:
+        pass
+
+
+def with_bands(windows: DataFrame) -> DataFrame:
+    """(metric, ts, value, prev_value, low, up, in_feed) for each metric of a stream of ``window_metrics``;
+    bands are null where ``in_feed`` is false. The session's state store must be the RocksDB one."""
+    metrics = alerts.ALERT_METRICS
+    long = (windows.select("ts", (F.col("users_feed") > 0).alias("in_feed"),
+                           F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+                                               for m in metrics])).alias("m"))
+            .select("m.metric", "ts", "m.value", "in_feed"))
+    checked = long.groupBy("metric").transformWithStateInPandas(
+        BandState(), "metric string, ts timestamp_ntz, value double, prev_value double, low double, up double, in_feed boolean",
+        "Append", "None")
+    # a missing number comes back from pandas as NaN
+    numbers = {c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("value", "prev_value", "low", "up")}
+    return checked.withColumns(numbers)
+
+
+def _windows_of(checked: DataFrame) -> DataFrame:
+    """The windows again, one row each, from their metrics."""
+    by_metric = [F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in alerts.ALERT_METRICS]
+    out = checked.groupBy("ts").agg(*by_metric)
+    return out.select("ts", *[F.col(m).cast("double" if m == "ctr" else "bigint").alias(m) for m in alerts.ALERT_METRICS])
+
+
 def run_alert_stream(spark: SparkSession, events_path: str, out_dir: str, checkpoint_dir: str,
                      available_now: bool = True, processing_time: str = "15 minutes",
-                     check_alerts: bool = True):
+                     check_alerts: bool = True, max_files_per_trigger: int | None = None):
     """Start the alert stream over event files landing in ``events_path``.
 
     Each micro-batch appends its closed windows to ``out_dir/windows`` (by
     date, then batch id, so a replayed batch replaces itself) and writes the
     band check of every window it closed to ``out_dir/alerts/batch=<id>``, also
-    after a pause or over a backlog. Returns the streaming query.
+    after a pause or over a backlog. The bands come from the stream's own state
+    (``BandState``), which survives a restart in the checkpoint; nothing that was
+    written is read again. The session's state store is set to RocksDB while the
+    query starts. Returns the streaming query.
     """
-    events = read_event_stream(spark, events_path)
+    events = read_event_stream(spark, events_path, max_files_per_trigger)
     windows = window_metrics(feed_from_events(events), message_from_events(events))
     table, alert_table = f"{out_dir}/windows", f"{out_dir}/alerts"
 
@@ -145,14 +262,19 @@ def run_alert_stream(spark: SparkSession, events_path: str, out_dir: str, checkp
         try:
             if df.isEmpty():
                 return
-            _write_batch(df, table, batch_id)
+            _write_batch(_windows_of(df) if check_alerts else df, table, batch_id)
             if check_alerts:
-                (check_buckets(df.sparkSession, table, df.where(F.col("users_feed") > 0).select("ts"))
+                (alerts.flagged(df.where("in_feed"))
                  .write.mode("overwrite").parquet(f"{alert_table}/batch={batch_id}"))
         finally:
             df.unpersist()
 
-    w = (windows.writeStream.outputMode("append").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint_dir))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        w = ((with_bands(windows) if check_alerts else windows).writeStream.outputMode("append").foreachBatch(sink)
+             .option("checkpointLocation", checkpoint_dir))
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+        return w.start()
+    finally:
+        spark.conf.set(STATE_STORE, before)

@@ -103,3 +103,68 @@ def test_replayed_batch_replaces_its_windows(spark, tmp_dir):
         alert_stream._write_batch(rows, table, batch)
     assert spark.read.parquet(table).count() == 4
     assert sorted(os.listdir(table))[-2:] == ["date=2024-01-10", "date=2024-01-11"]
+
+
+def test_band_of_last_point_is_that_of_the_batch_job(spark):
+    """Also with gaps, missing values, equal values and at the start of the series' two days."""
+    import datetime as dt
+    import random
+
+    from feedlens.operators import alerts
+
+    rnd = random.Random(4)
+    start, rows = dt.datetime(2024, 1, 9, 22, 0), []
+    for i in range(130):
+        if rnd.random() < 0.85:
+            rows.append((start + dt.timedelta(minutes=15 * i), rnd.choice([None, 3.0, 3.0, 0.333, rnd.random() * 50])))
+    epoch = dt.datetime(1970, 1, 1)
+    points = [((ts - epoch) // dt.timedelta(microseconds=1), v) for ts, v in rows]
+    for i in range(0, len(rows), 5):
+        closed = rows[i][0] + dt.timedelta(minutes=15)
+        first = dt.datetime.combine(closed.date() - dt.timedelta(days=1), dt.time())
+        part = [(ts, v) for ts, v in rows[:i + 1] if ts >= first]
+        df = spark.createDataFrame(part, "ts timestamp_ntz, views double")
+        want = alerts.alert_bands(df, metrics=["views"]).orderBy(F.col("ts").desc()).first()
+        got = alert_stream.band_of_last(points[max(0, i - alert_stream.BandState.KEPT):i + 1])
+        assert got == (want.prev_value, want.low, want.up)
+
+
+def test_bands_in_the_stream_survive_late_rows_and_a_restart(spark, tmp_dir):
+    """A backlog in several batches with rows behind the watermark, stopped and started again: the alert
+    rows are those of ``check_each`` over the windows that the stream wrote."""
+    from feedlens.operators import alerts
+
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("events_in", "out", "ck"))
+    events = spark.read.parquet(f"{SF}/events.parquet")
+
+    def land(*spans):
+        for lo, hi in spans:
+            (events.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+             .coalesce(1).write.mode("append").parquet(src))
+
+    def run():
+        alert_stream.run_alert_stream(spark, src, out, ck, max_files_per_trigger=1).awaitTermination()
+
+    land(("2024-01-10", "2024-01-10 20:00:00"), ("2024-01-10 20:00:00", "2024-01-11 09:00:00"))
+    run()
+    first = spark.read.parquet(f"{out}/alerts").count()
+    # late rows of the day before, then what follows
+    land(("2024-01-10 10:00:00", "2024-01-10 11:00:00"), ("2024-01-11 09:00:00", "2024-01-12 03:00:00"))
+    run()
+    assert 0 < first < spark.read.parquet(f"{out}/alerts").count()
+    series = spark.read.parquet(f"{out}/windows").where("users_feed > 0").drop("date", "batch")
+    assert series.count() == series.select("ts").distinct().count() > 100
+    columns = ["metric", "ts", "value", "low", "up", "is_alert", "deviation", "message"]
+    want = {tuple(r) for r in alerts.check_each(series, series.select("ts")).select(columns).collect()}
+    rows = spark.read.parquet(f"{out}/alerts").select(columns).collect()
+    assert {tuple(r) for r in rows} == want and len(rows) == len(want)
+    # the check from the stored windows agrees
+    again = alert_stream.check_buckets(spark, f"{out}/windows", series.select("ts")).select(columns).collect()
+    assert {tuple(r) for r in again} == want
+
+
+def test_windows_alone_need_no_state_of_bands(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "events_in"), os.path.join(tmp_dir, "out")
+    (spark.read.parquet(f"{SF}/events.parquet").where("ts < '2024-01-02'").coalesce(1).write.parquet(src))
+    alert_stream.run_alert_stream(spark, src, out, os.path.join(tmp_dir, "ck"), check_alerts=False).awaitTermination()
+    assert spark.read.parquet(f"{out}/windows").count() > 30 and not os.path.exists(f"{out}/alerts")
