@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedlens.operators import alerts, cohorts, experiments as ex, metrics, slices
+from feedlens.operators import alerts, cohorts, experiments as ex, metrics, segments, slices
 from feedlens.operators.ordering import materialize
 from feedlens.plans import params as P
 from feedlens.sources.actions import Actions, load_fixture
@@ -340,6 +340,10 @@ def q_audience_drop(a: Actions) -> DataFrame:
     return cohorts.audience_drop(a, P.DROP_BASE_START, P.DROP_BASE_END, P.DROP_DAY)
 
 
+def q_audience_drop_segments(a: Actions) -> DataFrame:
+    return segments.audience_drop_segments(a, P.DROP_BASE_START, P.DROP_BASE_END, P.DROP_DAY, min_share=P.DROP_SHARE)
+
+
 # Columns kept to their leading digits instead of a fixed number of places.
 _LEADING = {"q_ab_results": ("p_value",), "q_aa_test": ("p_value",)}
 

@@ -832,4 +832,28 @@ FROM (
   CAST(count(DISTINCT user_id) FILTER (NOT came) AS BIGINT) AS users_missing,
   {_r(_ratio('count(DISTINCT user_id) FILTER (NOT came)', 'count(DISTINCT user_id)'))} AS share_missing
 FROM marked WHERE {d} IS NOT NULL GROUP BY {d}""" for d in dims)
+    cube = ", ".join(dims)
+    sizes = " + ".join(f"(1 - grouping({d}))" for d in dims)
+    known = " AND ".join(f"(grouping({d}) = 1 OR {d} IS NOT NULL)" for d in dims)
+    parent = " AND ".join(f"(p.{d} IS NOT DISTINCT FROM c.{d} OR p.{d} IS NULL)" for d in dims)
+    q["audience_drop_segments"] = _with(
+        f"""base AS (SELECT {cols} FROM feed_actions WHERE {base}
+              UNION ALL SELECT {cols} FROM message_actions WHERE {base})""",
+        f"""present AS (SELECT user_id FROM feed_actions WHERE {drop}
+              UNION ALL SELECT user_id FROM message_actions WHERE {drop})""",
+        f"""marked AS (SELECT user_id, {', '.join(f'CAST({d} AS VARCHAR) AS {d}' for d in dims)},
+                user_id IN (SELECT user_id FROM present) AS came FROM base)""",
+        f"""cube AS (
+  SELECT {cube}, CAST({sizes} AS INTEGER) AS n_dimensions, count(DISTINCT user_id) AS users_base,
+    count(DISTINCT user_id) FILTER (NOT came) AS users_missing
+  FROM marked GROUP BY CUBE ({cube}) HAVING {known}
+    AND count(DISTINCT user_id) >= ceil((SELECT count(DISTINCT user_id) FROM marked) * {P.DROP_SHARE})),
+shares AS (SELECT *, {_ratio('users_missing', 'users_base')} AS share_missing FROM cube),
+judged AS (
+  SELECT c.*, (SELECT max(p.share_missing) FROM shares p WHERE p.n_dimensions = c.n_dimensions - 1 AND {parent}) AS best
+  FROM shares c WHERE n_dimensions > 0)""") + f"""
+SELECT {cube}, n_dimensions, users_base, users_missing, {_r('share_missing')} AS share_missing,
+  {_r('best')} AS best_parent_share, {_r('share_missing / nullif(best, 0)')} AS lift,
+  {_r('(users_missing - users_base * best) / nullif(sqrt(users_base * best * (1.0 - best)), 0)')} AS z
+FROM judged"""
     return q

@@ -33,6 +33,7 @@ CAMPAIGN_END = dt.date(2024, 1, 12)
 DROP_BASE_START = dt.date(2024, 1, 22)
 DROP_BASE_END = dt.date(2024, 1, 28)
 DROP_DAY = dt.date(2024, 1, 29)
+DROP_SHARE = 0.05       # least share of the base users behind a combination
 
 DIGITS = 6
 SIGNIFICANT = 4         # digits of the p-values of aa_test and ab_results
