@@ -65,7 +65,12 @@ def weekly_audience(actions: Actions, as_of, feed_only: bool = False,
     return _weekly_counts(_weekly_rows(actions, feed_only), as_of, approx)
 
 
-def _weekly_counts(rows: DataFrame, as_of, approx: bool) -> DataFrame:
+def weekly_status(actions: Actions, as_of, feed_only: bool = False) -> DataFrame:
+    """One row per user, week and status behind ``weekly_audience``: user_id, this_week, previous_week, status."""
+    return _status_rows(_weekly_rows(actions, feed_only), as_of)
+
+
+def _status_rows(rows: DataFrame, as_of) -> DataFrame:
     week = F.col("week")
     active = F.struct(
         week.alias("this_week"), add_weeks("week", -1).alias("previous_week"),
@@ -78,11 +83,14 @@ def _weekly_counts(rows: DataFrame, as_of, approx: bool) -> DataFrame:
     out = (rows.select("user_id", F.explode(F.array(active, gone)).alias("r"))
            .where(F.col("r").isNotNull())
            .select("user_id", "r.*"))
+    next_week_of_as_of = F.date_add(monday(date_literal(as_of)), 7)
+    return out.where(~((F.col("status") == "gone") & (F.col("this_week") == next_week_of_as_of)))
+
+
+def _weekly_counts(rows: DataFrame, as_of, approx: bool) -> DataFrame:
     users = F.approx_count_distinct("user_id") if approx else F.count(F.lit(1))
     sign = F.when(F.col("status") == "gone", F.lit(-1)).otherwise(F.lit(1))
-    next_week_of_as_of = F.date_add(monday(date_literal(as_of)), 7)
-    return (out.where(~((F.col("status") == "gone") & (F.col("this_week") == next_week_of_as_of)))
-            .groupBy("this_week", "previous_week", "status")
+    return (_status_rows(rows, as_of).groupBy("this_week", "previous_week", "status")
             .agg((users * F.first(sign)).cast("bigint").alias("num_users"))
             .select("this_week", "previous_week", "num_users", "status"))
 

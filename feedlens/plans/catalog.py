@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedlens.operators import alerts, cohorts, experiments as ex, metrics, segments, slices
+from feedlens.operators import alerts, cohorts, experiments as ex, metrics, segments, sketches, slices
 from feedlens.operators.ordering import materialize
 from feedlens.plans import params as P
 from feedlens.sources.actions import Actions, load_fixture
@@ -135,6 +135,14 @@ def q_weekly_audience_approx(a: Actions) -> DataFrame:
     return cohorts.weekly_audience(a, P.AS_OF, approx=True)
 
 
+def q_weekly_users_sketched(a: Actions) -> DataFrame:
+    return sketches.weekly_users_check(a)
+
+
+def q_weekly_audience_sketched(a: Actions) -> DataFrame:
+    return sketches.audience_check(a, P.AS_OF)
+
+
 # --- daily slices ----------------------------------------------------------
 
 def q_etl_feed(a: Actions) -> DataFrame:

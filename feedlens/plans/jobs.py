@@ -9,6 +9,7 @@ for the same date replaces its own output, so scheduler retries are safe.
 * ``feed_report_job``    yesterday's feed text and the 7-day series
 * ``app_report_job``     yesterday's app text, daily series, weekly audience, top posts CSV
 * ``alert_job``          15-minute bands and alert rows for ``now``
+* ``daily_sketch_job``   sketches of the day's users, which merge to any range of days
 * ``daily_activity_job`` the compact daily tables the app report can read
                          instead of the whole raw history
 * ``ab_test_job``        every A/B test of a pair of groups over a date range
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import day_of
-from feedlens.operators import alerts, cohorts, metrics, slices
+from feedlens.operators import alerts, cohorts, metrics, sketches, slices
 from feedlens.operators import experiments as ex
 from feedlens.operators.timeframe import as_date, as_datetime, date_literal, where_days, yesterday
 from feedlens.session import ensure_checkpoint_dir
@@ -69,6 +70,7 @@ def feed_report_job(actions: Actions, as_of, out_dir: str | None = None) -> Repo
 
 ACTIVITY, POST_DAYS = "activity", "post_days"
 USER_FIRST_SEEN, POST_FIRST_SEEN = "user_first_seen", "post_first_seen"
+USER_SKETCHES = "user_sketches"
 
 
 def _write_days(df: DataFrame, path: str, start, end=None) -> None:
@@ -132,6 +134,25 @@ def daily_activity_job(actions: Actions, tables_dir: str, as_of=None, start=None
     return {"start": as_date(start), "end": as_date(end)}
 
 
+def daily_sketch_job(actions: Actions, tables_dir: str, as_of=None, start=None, end=None,
+                     lg_k: int = sketches.LG_K) -> dict:
+    """Keep ``user_sketches`` under ``tables_dir``, partitioned by day: a sketch of each
+    day's users of each service (``sketches.daily_sketches``). A run covers yesterday (from
+    ``as_of``) or the days [start, end], reads only those days and replaces them."""
+    ensure_checkpoint_dir(actions.feed.sparkSession)
+    if start is None:
+        start = end = yesterday(as_of)
+    end = end or start
+    made = sketches.daily_sketches(actions, start, end, lg_k).checkpoint(eager=True)
+    _write_days(made, f"{tables_dir}/{USER_SKETCHES}", start, end)
+    return {"start": as_date(start), "end": as_date(end)}
+
+
+def read_sketches(spark, tables_dir: str) -> DataFrame:
+    """The daily sketches under ``tables_dir``, for ``sketches.users_by_week`` and ``users_between``."""
+    return spark.read.schema("service string, users binary, day date").parquet(f"{tables_dir}/{USER_SKETCHES}")
+
+
 def read_activity_tables(spark, tables_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(spark.read.parquet(f"{tables_dir}/{n}")
                  for n in (ACTIVITY, USER_FIRST_SEEN, POST_FIRST_SEEN))
@@ -209,8 +230,8 @@ def aa_test_job(actions: Actions, start, end, groups=(2, 3), reps: int = ex.AA_R
     p-value histogram."""
     users = ex.user_ctr(actions.feed, start, end, groups)
     ensure_checkpoint_dir(actions.feed.sparkSession)
-    samples = ex.aa_samples(users, tuple(groups), reps, sample, share)
-    pvalues = ex.with_t_p_value(ex.aa_stats(samples, tuple(groups)), alpha).select("sim", "t", "df", "p_value")
+    stats = ex.aa_draw_stats(users, tuple(groups), reps, sample, share)
+    pvalues = ex.with_t_p_value(stats, alpha).select("sim", "t", "df", "p_value")
     pvalues = pvalues.checkpoint(eager=True)     # read by the summary and the histogram
     summary = ex.aa_summary(pvalues, alpha)
     hist = ex.histogram(pvalues, "p_value", bins=10)

