@@ -11,7 +11,9 @@ merges that absorb them. Words that fail are merged exactly.
 Defined cases: null and empty texts have no ids and decode to the empty text;
 a null doc_id stays null; repeated rows are kept; an empty table gives no rows;
 other columns are ignored. Texts that hold an added token's content are cut
-there, as the tokenizers library does.
+there, as the tokenizers library does. A text may be one word of any length:
+merging takes time in proportion to n log n, and long words are not kept in the
+worker's cache, which is bounded by words and characters.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import hashlib
 import json
 import re
 from array import array
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import id_text, ready, slices
-from feedlens.llm.tokens import CACHE_WORDS, byte_symbols, default_tokenizer, is_byte_level, split_words
+from feedlens.llm.tokens import CACHE_CHARS, CACHE_WORDS, LONG_WORD, byte_symbols, default_tokenizer, is_byte_level, split_words
 
 _BITS = 24  # of an id
 _ID = (1 << _BITS) - 1
 _NONE = 1 << 60  # no merge
 _NEVER = np.int64(_NONE)
+#: Words of up to so many bytes are merged by scanning their pairs, longer ones by a heap.
+SCANNED = 48
 
 
 class Codec:
@@ -80,11 +85,14 @@ class Codec:
         self.own = np.full(size, -1, np.int8)  # 1: the token is the encoding of its bytes; -1: not known yet
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the words known before the last time there were too many
+        self.chars = 0  # of the words known
         self.decimal = [b"%d" % i for i in range(size)]
         self.failed = self.seen = 0
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merging: again and again the pair of lowest rank, leftmost first."""
+        if len(word) > SCANNED:
+            return self.merge_long(word)
         ids, get = [self.byte_ids[b] for b in word], self.rank.get
         found = [get(a << _BITS | b, _NONE) for a, b in zip(ids, ids[1:])]
         while found and (best := min(found)) != _NONE:
@@ -97,6 +105,36 @@ class Codec:
                 found[i - 1] = get(ids[i - 1] << _BITS | made, _NONE)
         return ids
 
+    def merge_long(self, word: bytes) -> list[int]:
+        """``merge`` with a heap of (rank, place) over a linked list: n log n for any word.
+
+        Entries whose left part is gone or has another neighbour by now no longer
+        have the rank they were pushed with and are passed over.
+        """
+        ids, get = [self.byte_ids[b] for b in word], self.rank.get
+        n = len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        places = n.bit_length()
+        mask = (1 << places) - 1
+        heap = [found << places | i for i, (a, b) in enumerate(zip(ids, ids[1:])) if (found := get(a << _BITS | b)) is not None]
+        heapify(heap)
+        while heap:
+            entry = heappop(heap)
+            i, found = entry & mask, entry >> places
+            j = after[i]
+            if ids[i] < 0 or j >= n or get(ids[i] << _BITS | ids[j]) != found:
+                continue
+            ids[i], ids[j] = made, _ = found & _ID, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (new := get(made << _BITS | ids[k])) is not None:
+                    heappush(heap, new << places | i)
+            h = before[i]
+            if h >= 0 and (new := get(ids[h] << _BITS | made)) is not None:
+                heappush(heap, new << places | h)
+        return [i for i in ids if i >= 0]
+
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
         ids, at, n, get, longest = [], 0, len(word), self.by_bytes.get, self.longest.get
@@ -136,12 +174,11 @@ class Codec:
             self.own[i] = self.merge(self.tokens[i]) == [i]
         return self.own[ids] == 1
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, by proposing, checking and merging what fails."""
         raw = [w.encode() for w in words]
         if not self.single:
-            for w, r in zip(words, raw):
-                self.known[w] = array("I", self.merge(r)).tobytes()
-            return
+            return {w: array("I", self.merge(r)).tobytes() for w, r in zip(words, raw)}
         proposals = [self.propose(r) for r in raw]
         sizes = np.array([len(p) for p in proposals])
         flat = np.fromiter((i for p in proposals for i in p), np.int64, int(sizes.sum()))
@@ -154,8 +191,8 @@ class Codec:
         wrong[owner[inner[~good]]] = True
         self.seen += len(words)
         self.failed += int(wrong.sum())
-        for w, r, p, bad in zip(words, raw, proposals, wrong.tolist()):
-            self.known[w] = array("I", self.merge(r) if bad else p).tobytes()
+        return {w: array("I", self.merge(r) if bad else p).tobytes()
+                for w, r, p, bad in zip(words, raw, proposals, wrong.tolist())}
 
     def pieces(self, text: str) -> list[str | int]:
         """Words of the text, and ids of the added tokens in it."""
@@ -171,9 +208,9 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > CACHE_WORDS // 2:
-            self.older, self.known = self.known, {}
-        known, found, new = self.known, [], set()
+        if len(self.known) > CACHE_WORDS // 2 or self.chars > CACHE_CHARS // 2:
+            self.older, self.known, self.chars = self.known, {}, 0
+        known, found, new, long = self.known, [], set(), set()
         for text in texts:
             words = self.pieces(text)
             ids, places, at = list(map(known.get, words)), [], -1
@@ -185,15 +222,18 @@ class Codec:
                     ids[at] = w.to_bytes(4, "little")
                 elif (old := self.older.get(w)) is not None:
                     ids[at] = known[w] = old
+                    self.chars += len(w)
                 else:
-                    new.add(w)
+                    (long if len(w) > LONG_WORD else new).add(w)
             found.append((ids, places))
         if new := [w for w in new if w not in known]:
-            self.learn(new)
+            known |= self.learn(new)
+            self.chars += sum(map(len, new))
+        once = self.learn(list(long)) if long else {}  # long words are not kept
         for ids, places in found:
             for at, w in places:
                 if ids[at] is None:
-                    ids[at] = known[w]
+                    ids[at] = known[w] if len(w) <= LONG_WORD else once[w]
         return [b"".join(ids) for ids, _ in found]
 
     def decode(self, ids: list[int]) -> str:

@@ -24,8 +24,10 @@ _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NARROW = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 _PLAIN = re.compile(rf"[\x00-\x1b\x20-\x7f{_LETTERS}]*")
 _WIDE = regex.compile(WORDS)
-#: Words a worker remembers; the older half goes when there are more.
-CACHE_WORDS = 1_000_000
+#: Words a worker remembers and their characters in all; the older half goes when there are more of either.
+CACHE_WORDS, CACHE_CHARS = 1_000_000, 32_000_000
+#: Words longer than this are not remembered.
+LONG_WORD = 128
 
 
 def default_tokenizer() -> str:
@@ -69,6 +71,7 @@ class DocumentEncoder:
         self.symbols = str.maketrans({b: s for s, b in byte_symbols().items()})
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the words known before the last time there were too many
+        self.chars = 0  # of the words known
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -84,8 +87,8 @@ class DocumentEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self.whole(t) for t in texts]
-        if len(self.known) > CACHE_WORDS // 2:
-            self.older, self.known = self.known, {}
+        if len(self.known) > CACHE_WORDS // 2 or self.chars > CACHE_CHARS // 2:
+            self.older, self.known, self.chars = self.known, {}, 0
         known, word = self.known, self.word
         out = []
         for text in texts:
@@ -96,8 +99,11 @@ class DocumentEncoder:
             ids, at = list(map(known.get, words)), -1
             for _ in range(ids.count(None)):
                 at = ids.index(None, at + 1)
-                if (new := known.get(words[at])) is None:
-                    new = known[words[at]] = word(words[at])
+                if (new := known.get(w := words[at])) is None:
+                    new = word(w)
+                    if len(w) <= LONG_WORD:
+                        known[w] = new
+                        self.chars += len(w)
                 ids[at] = new
             out.append(b"".join(ids))
         return out

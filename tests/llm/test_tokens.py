@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from cases import EDGE, SF0001, documents, edge_table, empty_table
-from feedlens.llm import bpe, common, orc_tokens, packing, queries
+from feedlens.llm import bpe, common, orc_tokens, packing, queries, tokens
 from feedlens.llm.tokens import DocumentEncoder, default_tokenizer
 
 ALPHABET = "aaab  e\té\n'stLl.!12½ 　日本\x1c\x85\xa0ß\U0001f600" + chr(0x301)
@@ -238,3 +238,32 @@ def test_packing_cuts_few_documents():
         group.add(i, bytes(4 * n))
     rows = group.pack()
     assert len(rows) - sum(-(-n // 1024) for n in sizes) < 0.15 * len(sizes)
+
+
+def test_words_of_any_length(library):
+    """Merging by heap: equal to the library and to scanning, in time that does not grow with the square."""
+    rnd = random.Random(9)
+    own = bpe.Codec(default_tokenizer())
+    for n, letters in ((1_000_000, "abcdefghijklmnopqrstuvwxyz"), (60_000, "日本語のテキスト文字列"), (80_000, "ab"), (50_000, "=")):
+        word = "".join(rnd.choices(letters, k=n))
+        assert np.frombuffer(own.encode([word])[0], "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
+    assert not own.known and not own.chars  # long words are not kept
+    for _ in range(200):
+        word = "".join(rnd.choices("abcdeénstr '日", k=rnd.randrange(1, 90))).encode()
+        by_scan = own.merge(word) if len(word) <= bpe.SCANNED else None
+        by_heap = own.merge_long(word)
+        assert by_scan in (None, by_heap)
+
+
+def test_caches_are_bounded_by_characters(monkeypatch):
+    rnd = random.Random(10)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 2000)
+    monkeypatch.setattr(tokens, "CACHE_CHARS", 2000)
+    texts = [" ".join("".join(rnd.choices("abcdefgh", k=rnd.randrange(1, 200))) for _ in range(20)) for _ in range(60)]
+    codec, encoder = bpe.Codec(default_tokenizer()), tokens.DocumentEncoder(tokens.default_tokenizer())
+    fresh = bpe.Codec(default_tokenizer())
+    for text in texts:
+        assert codec.encode([text]) == encoder.encode([text]) == fresh.encode([text])
+        for own in (codec, encoder):
+            assert sum(map(len, [*own.known, *own.older])) < 2 * (1000 + 20 * tokens.LONG_WORD)
+            assert max(map(len, own.known), default=0) <= tokens.LONG_WORD + 1
