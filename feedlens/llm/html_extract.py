@@ -2,8 +2,9 @@
 
 Every page scores its containers by the text of their own blocks outside links
 and boilerplate, and votes for the path of tags and generalised classes of the
-best one; where containers beside it with the same step hold text too, of the
-container around them. Spark adds up the votes of each host; pages then take the
+best one, or of the container around it that is the article in full: one with a
+title, a lead or other text of its own, or with further sections or containers
+of the same step beside the best one. Spark adds up the votes of each host; pages then take the
 text of all containers on their host's path in page order, or on their own best
 path where the page has no such container. A host of any size only meets its votes, added up before the
 shuffle, and one row with its path. The table of paths is broadcast if it has
@@ -11,7 +12,11 @@ few rows; else pages and paths meet by host and salt, so that a host with a
 third of all pages is spread over many tasks.
 
 Left out: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments, by element, role and class or id words. Character
+styles and reader comments, by element, by role, and by class or id. A class or id
+counts if it consists of boilerplate words and words of layout only ("ad-slot-2",
+not "share-of-votes"); a name with other words beside a boilerplate one
+only marks a box outside articles, which goes if half of its text is links. Ids of
+headings, sections and text blocks never count, as they are made from titles. Character
 references are decoded, white space in a block becomes one space, blocks are
 joined by an empty line. Formulas, labels of drawings and the fallback text of
 objects, canvases and media are text like any other; of a formula only its
@@ -20,7 +25,8 @@ annotations go, which repeat it in another notation and are not shown.
 Defined cases: null and empty pages, and pages without text, give the empty
 text; a null url is a host of its own; a null page_id stays null; repeated rows
 are kept; of equally voted paths the one with the smaller text wins; an empty
-table gives no rows; other columns are ignored.
+table gives no rows; other columns are ignored. A page of any length or nesting
+is read in time and memory in proportion to it.
 """
 
 from __future__ import annotations
@@ -58,6 +64,9 @@ SPACED = frozenset("text mtr mtd".split())
 #: An open element of the key is closed by the start of one of these.
 CLOSED_BY = {"p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody"},
              "td": {"td", "th", "tr", "tbody"}, "th": {"td", "th", "tr", "tbody"}, "option": {"option"}, "head": {"body"}}
+#: Elements that hide open elements outside them from a start tag that would close those.
+SCOPES = CONTAINERS | {"table", "ul", "ol", "dl", "blockquote"}
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>?", re.I) for tag in RAW}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of classes and ids that mark boilerplate, and words that overrule them.
 BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar "
@@ -66,16 +75,26 @@ BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising banner
                         "subscribe signup share sharing social related recommended recommendations widget toolbar "
                         "pagination pager login search form".split())
 CONTENT = frozenset("article content main post entry story text body column page wrapper container".split())
+#: Words that say where a box stands or how it looks; a name of these and boilerplate words means boilerplate.
+LAYOUT = frozenset("area bar block box bottom button buttons card center col column container desktop fixed floating form global "
+                   "grid icon icons inner item items js latest layout left link links list main mobile module outer page "
+                   "panel popular posts primary recent right row secondary section site slot sticky stories strip "
+                   "top unit wrap wrapper".split())
+#: Elements whose ids are made from the titles of the text.
+TITLED = HEADINGS | frozenset("section p table li dt dd td th tr pre blockquote figure span a caption code".split())
+#: Share of a doubtful box's text that is links, from which on it is left out.
+LINKED = 0.5
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
                   "toolbar".split())
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "skipped", "container", "in_article", "in_link")
+    __slots__ = ("tag", "path", "parent", "skipped", "container", "in_article", "in_link", "closable", "doubt")
 
-    def __init__(self, tag, path, parent, skipped, container, in_article, in_link):
+    def __init__(self, tag, path, parent, skipped, in_article, in_link):
         self.tag, self.path, self.parent, self.skipped = tag, path, parent, skipped
-        self.container, self.in_article, self.in_link = container, in_article, in_link
+        self.in_article, self.in_link = in_article, in_link
+        self.container = self.closable = self.doubt = None
 
 
 def _step(tag: str, classes: str) -> str:
@@ -83,31 +102,61 @@ def _step(tag: str, classes: str) -> str:
     return ".".join([tag, *sorted({_DIGITS.sub("#", c.lower()) for c in classes.split()})])
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+def _ends_in_value(rest: str) -> bool:
+    """True if a tag's last slash belongs to a value without quotes and does not close the element."""
+    last = rest.split()[-1]
+    return "=" in last and last[-2:-1] not in ("'", '"')
+
+
+KEPT, DOUBTFUL, DROPPED = 0, 1, 2
+
+
+def _named(name: str) -> int:
+    """What a class or id says: boilerplate by all of its words, by some of them, or not at all."""
+    words = {w.lower() for w in _WORDS.findall(name) if not w.isdigit()}
+    if not words & BOILERPLATE:
+        return KEPT
+    return DROPPED if words <= BOILERPLATE | LAYOUT else DOUBTFUL
+
+
+def _judged(tag: str, attributes: dict[str, str], in_article: bool) -> int:
+    """Whether an element is boilerplate by what it is and how it is named."""
     if tag in SKIPPED or (tag == "header" and not in_article):
-        return True
+        return DROPPED
     if attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
+        return DROPPED
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
+        return DROPPED
     if tag in ("html", "body", "main", "article"):
-        return False
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    if named == " ":
-        return False
-    words = {w.lower() for w in _WORDS.findall(named)}
-    return bool(words & BOILERPLATE) and not words & CONTENT
+        return KEPT
+    classes = attributes.get("class", "").split()
+    if any({w.lower() for w in _WORDS.findall(c)} & CONTENT and _named(c) == KEPT for c in classes):
+        return KEPT
+    names = classes if tag in TITLED else [*classes, attributes.get("id", "")]
+    said = max(map(_named, names), default=KEPT)
+    return KEPT if said == DOUBTFUL and (in_article or tag in TITLED) else said
 
 
 class Page:
     """Text pieces of a page with the element they stand in and the block they belong to."""
 
     def __init__(self, source: str):
-        self.root = Element("", "", None, False, None, False, False)
-        self.root.container = self.root
+        self.steps: dict[tuple[int, str], int] = {}  # number of a path by that of the path above it and its last step
+        self.paths: list[tuple[int, str]] = [(-1, "")]
+        self.root = Element("", 0, None, False, False, False)
+        self.root.container, self.root.closable = self.root, {}
+        self.elements: list[Element] = [self.root]
         self.pieces: list[tuple[Element, int, str]] = []
         self.block = 0
         self._read(source)
+        self._settle_doubts()
+
+    def path_of(self, element: Element) -> str:
+        at, steps = element.path, []
+        while at > 0:
+            at, step = self.paths[at]
+            steps.append(step)
+        return "".join(f"/{step}" for step in reversed(steps))
 
     def _open(self, top: Element, tag: str, rest: str) -> Element:
         attributes = {}
@@ -115,15 +164,35 @@ class Page:
             for name, a, b, c in _ATTRIBUTE.findall(rest):
                 attributes.setdefault(name.lower(), html.unescape(a or b or c))
         in_article = top.in_article or tag in ("article", "main")
-        skipped = top.skipped or _is_boilerplate(tag, attributes, in_article)
-        path = f"{top.path}/{_step(tag, attributes.get('class', ''))}"
-        own = Element(tag, path, top, skipped, top.container, in_article, top.in_link or tag == "a")
-        if tag in CONTAINERS:
-            own.container = own
+        said = KEPT if top.skipped else _judged(tag, attributes, in_article)
+        key = (top.path, _step(tag, attributes.get("class", "")))
+        path = self.steps.get(key)
+        if path is None:
+            path = self.steps[key] = len(self.paths)
+            self.paths.append(key)
+        own = Element(tag, path, top, top.skipped or said == DROPPED, in_article, top.in_link or tag == "a")
+        own.container = own if tag in CONTAINERS else top.container
+        own.doubt = own if said == DOUBTFUL else top.doubt
+        # of the open elements that a start tag may close the innermost of each kind; containers and tables hide those outside
+        own.closable = {} if tag in SCOPES else top.closable
+        if tag in CLOSED_BY:
+            own.closable = {t: e for t, e in own.closable.items() if t != tag} | {tag: own}
+        self.elements.append(own)
         return own
 
     def _read(self, source: str) -> None:
         at, top, n = 0, self.root, len(source)
+        open_tags: Counter[str] = Counter()
+
+        def closed_up_to(node: Element) -> Element:
+            """Close the elements from ``top`` up to ``node``; what was around that one."""
+            e = top
+            while True:
+                open_tags[e.tag] -= 1
+                if e is node:
+                    return e.parent
+                e = e.parent
+
         while at < n:
             m = _MARKUP.search(source, at)
             stop = m.start() if m else n
@@ -140,48 +209,70 @@ class Page:
             elif tag in SPACED and not top.skipped:
                 self.pieces.append((top, self.block, " "))
             if m["close"]:
-                node = top
-                while node is not self.root and node.tag != tag:
-                    node = node.parent
-                if node is not self.root:
-                    top = node.parent
+                if open_tags[tag] > 0:
+                    node = top
+                    while node.tag != tag:
+                        node = node.parent
+                    top = closed_up_to(node)
                 continue
-            while tag in CLOSED_BY.get(self._closable(top, tag), ()):
-                top = self._nearest(top, tag).parent
+            while ended := self._ended(top, tag):
+                top = closed_up_to(ended)
             if tag in VOID:
                 if tag == "br" and not top.skipped:
                     self.pieces.append((top, self.block, " "))
                 continue
-            if tag in ("html", "body") and any(e.tag == tag for e in self._ancestors(top)):
+            if tag in ("html", "body") and open_tags[tag] > 0:
                 continue
             own = self._open(top, tag, m["rest"])
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(source, at)
+                end = _RAW_END[tag].search(source, at)
                 at = end.end() if end else n
                 continue
-            if not m["rest"].endswith("/") or tag in BLOCKS:
+            if not m["rest"].endswith("/") or tag in BLOCKS or _ends_in_value(m["rest"]):
                 top = own
+                open_tags[tag] += 1
+
+    @staticmethod
+    def _ended(top: Element, tag: str) -> Element | None:
+        """The innermost open element that the start of ``tag`` closes."""
+        found = None
+        for open_tag, element in top.closable.items():  # outer ones first
+            if tag in CLOSED_BY[open_tag]:
+                found = element
+        return found
+
+    def _settle_doubts(self) -> None:
+        """Doubtful boxes whose text is links for the most part are boilerplate, the others are not."""
+        texts: dict[Element, list[int]] = {}
+        for node, _, text in self.pieces:
+            if node.doubt:
+                held = texts.setdefault(node.doubt, [0, 0])
+                size = len(text.strip())
+                held[0] += size
+                held[1] += size * node.in_link
+        if not texts:
+            return
+        gone = set()
+        for e in reversed(self.elements):  # inner boxes before those around them
+            if e.doubt is e and e in texts:
+                total, linked = texts[e]
+                if linked >= LINKED * total:
+                    gone.add(e)
+                outer = e.parent.doubt
+                if outer:
+                    held = texts.setdefault(outer, [0, 0])
+                    held[0] += total
+                    held[1] += linked
+        if gone:
+            for e in self.elements[1:]:
+                e.skipped = e.skipped or e in gone or e.parent.skipped
+            self.pieces = [p for p in self.pieces if not p[0].skipped]
 
     def _ancestors(self, node: Element):
         while node is not None:
             yield node
             node = node.parent
 
-    def _nearest(self, top: Element, tag: str) -> Element | None:
-        """The innermost open element that the start of ``tag`` closes; containers and tables stop the search."""
-        node = top
-        while node is not self.root:
-            if tag in CLOSED_BY.get(node.tag, ()):
-                return node
-            if node.tag in CONTAINERS or node.tag in ("table", "ul", "ol", "dl", "blockquote"):
-                return None
-            node = node.parent
-        return None
-
-    def _closable(self, top: Element, tag: str) -> str:
-        node = self._nearest(top, tag)
-        return node.tag if node else ""
-
     def scores(self) -> dict[Element, float]:
         """Text of each container: its own blocks in full, those of the containers in it by half, and so on."""
         out: dict[Element, float] = {}
@@ -208,37 +299,67 @@ class Page:
                 box = box.parent.container if box.parent else None
         return out
 
+    def speaking(self) -> set[Element]:
+        """Containers with text outside links of their own, not only in containers in them."""
+        return {node.container for node, _, text in self.pieces if not node.in_link and html.unescape(text).strip()}
+
     def best(self) -> tuple[Element, float] | None:
-        """The container with the most text, the first of equals, or the article or main element around it.
+        """The container with the most text, the first of equals, or the container around it that is the whole article.
 
-        Without such an element, the container around it as long as others of its step beside it hold text.
+        Of an article or main element around it the innermost one counts at least.
+        From there on the container around it counts as long as it has text of its own
+        (a title, a lead), or other sections, articles or containers of the same
+        step as the one before with text.
         """
         scores = {e: s for e, s in self.scores().items() if s > 0}
         if not scores:
             return None
         own = max(scores, key=scores.get)
-        for e in self._ancestors(own):
-            if e.tag in ("article", "main"):
-                return e, scores[own]
-        beside = Counter((e.parent.container, e.path) for e in self.holding() if e.parent)
-        box = own
-        while box.parent and beside[box.parent.container, box.path] > 1:
-            box = box.parent.container
+        holding, speaking = self.holding(), self.speaking()
+        beside = Counter((e.parent.container, e.path) for e in holding if e.parent)
+        held = Counter(e.parent.container for e in holding if e.parent)
+        parts = Counter(e.parent.container for e in holding if e.parent and e.tag in ("section", "article"))
+        inner = [e for e in self._ancestors(own) if e.tag in ("article", "main")]
+        box = at = inner[0] if inner else own
+        while at.parent:
+            outer = at.parent.container
+            if outer in speaking or beside[outer, at.path] > 1 or parts[outer] > (at.tag in ("section", "article")):
+                box = outer
+            elif held[outer] > 1:
+                break
+            at = outer  # one that only wraps the last one is passed
         return box, scores[own]
 
+    def _matching(self, path: str) -> list[bool]:
+        """For each of the page's paths whether it is ``path``."""
+        upto, out = [0], [path == ""]  # how much of ``path`` a path covers; -1: it differs
+        for above, step in self.paths[1:]:
+            begin = upto[above]
+            upto.append(begin + len(step) + 1 if begin >= 0 and path.startswith(f"/{step}", begin) else -1)
+            out.append(upto[-1] == len(path))
+        return out
+
     def holds(self, path: str) -> bool:
         """True if a container on the path has text outside links."""
-        return any(e.path == path for e in self.holding())
+        on_path = self._matching(path)
+        return any(on_path[e.path] for e in self.holding())
 
     def text(self, path: str) -> str:
-        """Blocks of all containers on the path, in page order and without boilerplate."""
+        """Blocks of all containers on the path, in page order and without boilerplate.
+
+        A header of the article goes except for its headline.
+        """
+        on_path = self._matching(path)
+        taken: dict[Element, bool] = {}
+        in_header: dict[Element, bool] = {}
+        for e in self.elements:  # outer ones first
+            begins = on_path[e.path]
+            taken[e] = begins or (e.parent is not None and taken[e.parent])
+            in_header[e] = not begins and (e.tag == "header" or (
+                e.parent is not None and in_header[e.parent] and e.tag not in HEADINGS))
         blocks: list[tuple[int, list[str]]] = []
-        inside: dict[Element, bool] = {}
         for node, number, piece in self.pieces:
-            own = inside.get(node)
-            if own is None:
-                own = inside[node] = any(e.path == path for e in self._ancestors(node)) and not self._in_header(node, path)
-            if not own:
+            if not taken[node] or in_header[node]:
                 continue
             if not blocks or blocks[-1][0] != number:
                 blocks.append((number, []))
@@ -246,23 +367,12 @@ class Page:
         lines = (" ".join(html.unescape("".join(pieces)).split()) for _, pieces in blocks)
         return "\n\n".join(line for line in lines if line)
 
-    def _in_header(self, node: Element, path: str) -> bool:
-        """In a header of the article, but not in its headline."""
-        heading = False
-        for e in self._ancestors(node):
-            if e.path == path:
-                return False
-            heading |= e.tag in HEADINGS
-            if e.tag == "header":
-                return not heading
-        return False
-
 
 def vote(source: str | None) -> tuple[str, float] | None:
     """Path and score of the page's best container."""
     page = Page(source or "")
     best = page.best()
-    return (best[0].path, best[1]) if best else None
+    return (page.path_of(best[0]), best[1]) if best else None
 
 
 def extract(source: str | None, path: str | None = None) -> str:
@@ -272,7 +382,7 @@ def extract(source: str | None, path: str | None = None) -> str:
         best = page.best()
         if best is None:
             return ""
-        path = best[0].path
+        path = page.path_of(best[0])
     return page.text(path)
 
 

@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 from cases import SF001
@@ -94,7 +95,8 @@ def test_text_split_over_containers():
 
 def test_all_containers_on_the_path():
     articles = "<main><article><p>one of two</p></article><p>mid</p><article><header><h1>T</h1><i>by x</i></header>the longer one, two of two</article></main>"
-    assert hx.extract(articles) == "one of two\n\nT\n\nthe longer one, two of two"
+    assert hx.extract(articles) == "one of two\n\nmid\n\nT\n\nthe longer one, two of two"
+    assert hx.extract(articles, "/main/article") == "one of two\n\nT\n\nthe longer one, two of two"
     page = "<body><div class='c'><div class='part'>one, the longest</div><div class='x'>no</div><div class='part'>two</div></div></body>"
     assert hx.extract(page, "/body/div.c/div.part") == "one, the longest\n\ntwo"
     links = "<body><div class='part'><a>menu</a></div><div class='c'>text</div></body>"
@@ -129,6 +131,76 @@ def test_query(spark):
         assert r.text == _plain(pages[r.page_id]) and r.n_chars == len(r.text)
 
 
+def test_names_made_from_titles_stay():
+    """Ids of headings and words of other names are no boilerplate; the article stays whole."""
+    words = "some words of the text " * 6
+    for part in ("<h2 id='related-work'>{}</h2>", "<h2 id='search'>{}</h2>", "<section id='social-history'><p>{}</p></section>",
+                 "<div class='share-of-votes'><p>{}</p></div>", "<table id='form'><tr><td>{}</td></tr></table>",
+                 "<h3 id='cookies' class='title'>{}</h3>", "<p id='notice'>{}</p>", "<section id='comments-on-the-law'><p>{}</p></section>",
+                 "<div class='header-compression'><p>{}</p></div>", "<ul class='menu-of-the-day'><li>{}</li></ul>"):
+        inner = f"<p>{words}</p>{part.format('This part')}<p>{words}</p>"
+        want = f"{words.strip()}\n\nThis part\n\n{words.strip()}"
+        for page in (f"<article>{inner}</article>", f"<main>{inner}</main>", f"<body><div class='content'>{inner}</div></body>",
+                     f"<body><nav>menu</nav>{inner}<footer>end</footer></body>"):
+            assert hx.extract(page) == want, (part, page)
+
+
+def test_names_of_boilerplate_go():
+    words = "some words of the text " * 6
+    for name in ("ad", "ad-slot-12", "AdBox", "sidebar", "right_sidebar", "share-buttons", "related-posts", "comments-list", "newsletter",
+                 "cookie-banner", "social links", "comment", "widget_search", "main-nav"):
+        for where in ("<article>{}{}</article>", "<body><div class='content'>{}{}</div></body>"):
+            assert hx.extract(where.format(f"<p>{words}</p>", f"<div class='{name}'><p>buy, share, reply</p></div>")) == words.strip(), name
+            assert hx.extract(where.format(f"<p>{words}</p>", f"<div id='{name}'><p>buy, share, reply</p></div>")) == words.strip(), name
+    # other words beside a boilerplate one: outside an article the links decide
+    links = "<div class='menu-of-the-site'><a href=/>one</a> <a href=/>two</a> or</div>"
+    assert hx.extract(f"<body><div class='content'><p>{words}</p>{links}</div></body>") == words.strip()
+    assert hx.extract(f"<body><div class='content'><p>{words}</p>{links.replace('<a href=/>', '').replace('</a>', '')}</div></body>") \
+        == f"{words.strip()}\n\none two or"
+
+
+def test_a_dominant_section_does_not_stand_for_the_article():
+    def lines(n, what):
+        return "".join(f"<p>{what} line {i}.</p>" for i in range(n))
+
+    for shape in ("<section class='{}'>", "<div class='{}'>", "<section id='{}'>"):
+        for sizes in ((5, 40, 8), (5, 4, 8), (0, 40, 0), (30, 1, 1)):
+            parts = "".join(f"{shape.format(k)}{lines(n, k)}</{shape[1:].split()[0]}>" for k, n in zip(("intro", "method", "result"), sizes))
+            page = f"<body><nav>menu</nav><div class=content><p>The lead.</p>{parts}</div><div class='x'>teaser</div></body>"
+            want = ["The lead.", *(f"{k} line {i}." for k, n in zip(("intro", "method", "result"), sizes) for i in range(n))]
+            assert hx.extract(page) == "\n\n".join(want)
+            assert hx.vote(page)[0] == "/body/div.content"
+    assert hx.extract(f"<main><h1>Title</h1><article>{lines(9, 'text')}</article></main>").startswith("Title\n\ntext line 0.")
+    beside = f"<body><div class=a>before<div class=b>{lines(9, 'text')}</div>after</div><div class=x>teaser</div></body>"
+    got = hx.extract(beside)
+    assert got.startswith("before\n\ntext line 0.") and got.endswith("text line 8.\n\nafter")
+    sections = f"<body><div><section>{lines(2, 'a')}</section><section class=t>{lines(30, 'b')}</section></div><div class=x>teaser</div></body>"
+    assert hx.extract(sections).startswith("a line 0.") and "teaser" not in hx.extract(sections)
+
+
+def test_a_host_without_articles(spark):
+    """Page text in plain boxes, each page with parts of other lengths: all of it comes back."""
+    rows, want = [], {}
+    for n in range(24):
+        parts = [f"Part {k} of page {n} says this. " * (1 + (n * 7 + k * 5) % 11) for k in range(3)]
+        inner = "".join(f"<div class='{c}'><h2 id='{c}'>{c}</h2><p>{t}</p></div>" for c, t in zip(("intro", "related-work", "end"), parts))
+        rows.append((n, f"https://h.example/{n}", f"<body><div class='menu'><a href=/>Home</a></div><div id='page'><h1>Title {n}</h1>{inner}</div>"
+                                                  f"<div class='footer'>About us</div></body>"))
+        want[n] = "\n\n".join([f"Title {n}", *(x for c, t in zip(("intro", "related-work", "end"), parts) for x in (c, t.strip()))])
+    got = hx.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
+def test_deep_and_broken_markup_in_time():
+    began = time.perf_counter()
+    assert hx.extract("<body>" + "<font color=red>a " * 50_000 + "<p>end") == ("a " * 50_000).strip() + "\n\nend"
+    assert hx.extract("<div>" * 50_000 + "text") == "text"
+    assert hx.extract("<font><p>x</span></b></i>" * 20_000).count("x") == 20_000
+    assert hx.extract("<div class='ad-thing'>" * 20_000 + "text" + "</div>" * 20_000) == "text"
+    assert hx.extract("<ul>" + "<li><b>x" * 30_000).count("x") == 30_000
+    assert time.perf_counter() - began < 20
+
+
 def test_long_page():
     body = "".join(f"<p>Paragraph number {i}.</p>" for i in range(20000))
     assert hx.extract(f"<main>{body}</main>").count("\n\n") == 19999
