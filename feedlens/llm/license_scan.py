@@ -9,20 +9,26 @@ RUN characters is enough. The templates'
 fingerprints form an inverted index, small enough to go to every task (its size
 is checked). Hits on one diagonal are a candidate; the template's words are
 then aligned with the words around it inside a band, and the result is the span
-in the text and the share of the template's words that match.
+in the text and the share of the template's words that match. Of a long template
+the hits are first extended to runs of equal words and chained; only the gaps
+between chained runs, and what stands before and after them, are aligned, so a whole
+licence costs little more than comparing it word by word.
 
 Defined cases: null and empty texts match nothing; a null doc_id stays null;
 repeated rows repeat their matches; of overlapping matches the one with the
 higher alignment score stays, then the one earlier in the list of templates; an
 empty table gives no rows; other columns are ignored. A notice is named only if
-its numbers and marks (version, SA, NC, ND, Lesser, Affero) are those of the text.
+its numbers and marks (version, SA, NC, ND, Lesser, Affero, the licence's short name)
+are those of the text.
+A text of any length with any number of licences is searched whole, in time that
+grows with its hits.
 """
 
 from __future__ import annotations
 
 import pkgutil
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -39,6 +45,10 @@ SHORT = 60
 BAND, BAND_SHARE = 6, 0.1
 #: Wider bands are aligned with numpy.
 WIDE_BAND = 16
+#: Templates of at least so many words are aligned between chained runs of equal words.
+CHAINED_WORDS = 90
+#: An alignment beyond the last run goes on until its score has fallen by so much.
+FALL = 40
 MIN_COVERAGE = 0.8
 #: Bound of the templates' text, which is sent to every task.
 TEMPLATE_BYTES = 64 << 20
@@ -101,6 +111,12 @@ def _variants():
             scope = "International" if v == "4.0" else "Unported" if v == "3.0" else "Generic"
             yield full, f"This work is licensed under a Creative Commons {name} {v} {scope} License."
             yield full, f"This work is licensed under the Creative Commons {name} {v} License."
+    for n in (2, 3):
+        yield f"BSD-{n}-Clause", f"Released under the BSD {n}-Clause License."
+    yield "MIT", "This project is MIT licensed."
+    yield "Apache-2.0", "Licensed under the Apache License 2.0."
+    for name in (*WHOLE, "AGPL-3.0", *(f"CC-{short}-4.0" for short, _ in _CC)):
+        yield name, f"SPDX-License-Identifier: {name}"
     yield "MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"
 
 
@@ -111,7 +127,8 @@ WHOLE = {"MIT": "MIT", "BSD-2-Clause": "BSD-2", "BSD-3-Clause": "BSD-3", "ISC":
          "LGPL-2.0": "LGPL-2", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
 #: Templates of fewer words are notices: their numbers and these words must be those of the text.
 NOTICE_WORDS = 90
-MARKS = frozenset(b"sa nc nd sharealike noncommercial noderivatives noderivs lesser affero".split())
+MARKS = frozenset(b"sa nc nd sharealike noncommercial noderivatives noderivs lesser affero "
+                  b"mit bsd apache gpl lgpl agpl gfdl mpl isc cc0 artistic unlicense".split())
 
 
 def production_templates() -> list[tuple[str, str]]:
@@ -189,11 +206,11 @@ class Index:
     def hits(self, h: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int]]:
         values = h[places]
         near = self.filter[(values & np.uint64((1 << 20) - 1)).astype(np.int64)]
-        out = []
-        for at, v in zip(places[near].tolist(), values[near]):
-            a, b = np.searchsorted(self.hashes, v), np.searchsorted(self.hashes, v, "right")
-            out += [(at, int(self.owner[k]), int(self.place[k])) for k in range(a, b)]
-        return out
+        places, values = places[near], values[near]
+        a, b = np.searchsorted(self.hashes, values), np.searchsorted(self.hashes, values, "right")
+        size = b - a
+        entry = np.repeat(a - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+        return list(zip(np.repeat(places, size).tolist(), self.owner[entry].tolist(), self.place[entry].tolist()))
 
 
 class Templates:
@@ -205,6 +222,9 @@ class Templates:
         self.names = [name for name, _ in templates]
         self.words = [[w.group().lower() for w in _WORD.finditer(t.encode())] for _, t in templates]
         self.bags = [Counter(words) for words in self.words]
+        self.number = {w: k for k, w in enumerate(dict.fromkeys(w for words in self.words for w in words))}
+        self.codes = [np.array([self.number[w] for w in words], np.int32) for words in self.words]
+        self.code_bags = [np.unique(c, return_counts=True) for c in self.codes]
         self.named = [Counter({w: n for w, n in bag.items() if w.isdigit() or w in MARKS})
                       if sum(bag.values()) < NOTICE_WORDS else None for bag in self.bags]
         entries: tuple[list, list] = [], []  # of long and of short templates: hash, template, word
@@ -227,6 +247,14 @@ class Templates:
         own = self.bags[t]
         return sum(min(n, own[w]) for w, n in Counter(window).items() if w in own) >= least
 
+    def possible_codes(self, t: int, window: np.ndarray, least: float) -> bool:
+        """``possible`` for words by their numbers (-1: in no template)."""
+        if len(window) < least:
+            return False
+        own, n = self.code_bags[t]
+        here = np.bincount(window[window >= 0], minlength=len(self.number))
+        return bool(np.minimum(here[own], n).sum() >= least)
+
     def right_name(self, t: int, span: list[bytes]) -> bool:
         """Whether the words that tell a notice from others are in the span, and no other such mark is."""
         if self.named[t] is None:
@@ -306,46 +334,165 @@ def _align_wide(template: list[bytes], words: list[bytes], diagonal: int, band:
     return best
 
 
+def _grid(a: np.ndarray, b: np.ndarray, whole: bool) -> tuple[int, int, int]:
+    """Alignment of two word sequences from their beginnings on: score, matched words and words of ``b`` up to the last match.
+
+    ``whole`` takes both to their ends; else the best beginnings count, and rows end
+    when the score has fallen by ``FALL``. One row of the grid at a time; gaps along a
+    row come from a running maximum.
+    """
+    k = np.arange(len(b) + 1)
+    s, m, best = -k, np.zeros(len(b) + 1, np.int64), (0, 0, 0)
+    for i, word in enumerate(a):
+        same = b == word
+        now, count = s - 1, m.copy()  # a word of a is left out
+        step = s[:-1] + np.where(same, 2, -1)
+        better = step >= now[1:]
+        now[1:][better], count[1:][better] = step[better], (m[:-1] + same)[better]
+        along = now + k
+        top = np.maximum.accumulate(along)
+        source = np.maximum.accumulate(np.where(along == top, k, 0))
+        s, m = top - k, count[source]
+        if not whole:
+            at = int(np.argmax(s))
+            if s[at] > best[0]:
+                best = (int(s[at]), int(m[at]), at)
+            elif s[at] < best[0] - FALL:
+                break
+    return (int(s[-1]), int(m[-1]), len(b)) if whole else best
+
+
+def _equal_runs(template: np.ndarray, words: np.ndarray, hits: list[tuple[int, int]], begin: int,
+                stop: int) -> list[tuple[int, int, int]]:
+    """(word of the text, word of the template, length) of the runs of equal words that the hits lie in, by place."""
+    runs: list[tuple[int, int, int]] = []
+    pairs = np.array(hits, np.int64)
+    pairs = pairs[np.argsort(pairs[:, 0] - pairs[:, 1], kind="stable")]
+    diagonals, starts = np.unique(pairs[:, 0] - pairs[:, 1], return_index=True)
+    for d, places in zip(diagonals.tolist(), np.split(pairs[:, 1], starts[1:])):
+        low, high = max(0, begin - d), min(len(template), stop - d)
+        if high <= low:
+            continue
+        unequal = np.flatnonzero(template[low:high] != words[low + d:high + d]) + low
+        ends = np.concatenate([[low - 1], unequal, [high]])
+        at = np.concatenate([places, places + 1, places + 2])  # a hit may begin inside a word
+        at = at[(low <= at) & (at < high)]
+        own = np.searchsorted(ends, at, "right") - 1
+        own = np.unique(own[ends[own] < at])  # not an unequal word itself
+        first, after = ends[own] + 1, ends[own + 1]
+        runs += [(f + d, f, e - f) for f, e in zip(first.tolist(), after.tolist()) if f < e]
+    return sorted(runs)
+
+
+def align_chained(template: np.ndarray, words: np.ndarray, hits: list[tuple[int, int]], begin: int, stop: int,
+                  band: int) -> tuple[int, int, int, int]:
+    """``align`` by way of the hits (word of the text, word of the template) between ``begin`` and ``stop``.
+
+    The runs of equal words in order in both make the chain with the largest score,
+    a gap costing its words; the gaps are then aligned, and the ends as far as they add to it.
+    """
+    runs = _equal_runs(template, words, hits, begin, stop)
+    if not runs:
+        return 0, 0, -1, -1
+    j, i, n = (np.array(c) for c in zip(*runs))
+    total, before, cut = 2 * n, np.full(len(runs), -1), np.zeros(len(runs), np.int64)
+    for r in range(1, len(runs)):
+        over = np.maximum(0, np.maximum(j[:r] + n[:r] - j[r], i[:r] + n[:r] - i[r]))  # words that both runs would take
+        apart = np.maximum(j[r] + over - j[:r] - n[:r], i[r] + over - i[:r] - n[:r])
+        value = np.where(over < n[r], total[:r] + 2 * (n[r] - over) - apart, -1)
+        best = int(np.argmax(value))
+        if value[best] > total[r]:
+            total[r], before[r], cut[r] = value[best], best, over[best]
+    chain = []
+    at = int(np.argmax(total))
+    while at >= 0:
+        chain.append((int(j[at] + cut[at]), int(i[at] + cut[at]), int(n[at] - cut[at])))
+        at = int(before[at])
+    chain.reverse()
+    matched = sum(c[2] for c in chain)
+    score = 2 * matched
+    for (j0, i0, n0), (j1, i1, _) in zip(chain, chain[1:]):
+        s, m, _ = _grid(template[i0 + n0:i1], words[j0 + n0:j1], True)
+        score, matched = score + s, matched + m
+    first, start = chain[0][:2]
+    s, m, back = _grid(template[:start][::-1], words[max(begin, first - start - band):first][::-1], False)
+    score, matched, first = score + s, matched + m, first - back
+    last, end = chain[-1][0] + chain[-1][2], chain[-1][1] + chain[-1][2]
+    s, m, on = _grid(template[end:], words[last:min(stop, last + len(template) - end + band)], False)
+    return score + s, matched + m, first, last + on - 1
+
+
+def _inside(spans: list[tuple[int, int]], word: int) -> bool:
+    """Whether a word lies in one of the spans (first and last word), which are in order and do not overlap."""
+    at = bisect_right(spans, (word, 1 << 60)) - 1
+    return at >= 0 and word <= spans[at][1]
+
+
 def matches(raw: bytes, hits: list[tuple[int, int, int]], templates: Templates,
             min_coverage: float) -> list[tuple[str, int, int, int, float]]:
     """(template, begin and end byte, matched words, coverage) of one text's hits (byte, template, word)."""
     found = list(_WORD.finditer(raw))
     begins = np.array([w.start() for w in found])
     words = [w.group().lower() for w in found]
+    codes = np.fromiter((templates.number.get(w, -1) for w in words), np.int32, len(words))
     tries = defaultdict(set)
-    for at, t, place in hits:
-        word = int(np.searchsorted(begins, at, "right")) - 1
+    at = np.searchsorted(begins, [hit[0] for hit in hits], "right") - 1
+    for word, (_, t, place) in zip(at.tolist(), hits):
         tries[t].add((word - place, word))
     out = []
-    for t, places in tries.items():
-        template, places = templates.words[t], sorted(places)
+    # long templates first, by their hits; a whole licence found word for word leaves nothing
+    # in its span that could score more
+    solid: list[tuple[int, int]] = []
+    order = sorted(tries, key=lambda t: (len(templates.words[t]) < CHAINED_WORDS, -len(tries[t]), t))
+    for t in order:
+        template = templates.words[t]
+        places = sorted(p for p in tries[t] if not _inside(solid, p[1]))
         band = max(BAND, int(len(template) * BAND_SHARE))
         diagonals = [d for d, _ in places]
+        least = min_coverage * len(template)
+        chained = len(template) >= CHAINED_WORDS
+        bands: list[tuple[int, list[tuple[int, int]]]] = []
         last = None
         for d in diagonals:
-            if last is not None and d - last <= band:  # the same band has been aligned
-                continue
-            last = d
-            near = [w for _, w in places[bisect_left(diagonals, d - band):bisect_right(diagonals, d + band)]]
+            if last is None or d - last > band:  # else the same band is aligned
+                bands.append((d, places[bisect_left(diagonals, d - band):bisect_right(diagonals, d + band)]))
+                last = d
+        taken: list[tuple[int, int]] = []
+        if chained:  # true copies first; hits inside them are none of others
+            bands.sort(key=lambda b: -len(b[1]))
+        for d, here in bands:
+            here = [p for p in here if not _inside(taken, p[1])]
+            near = sorted(w for _, w in here)
             # a band may hold several copies: again before and after each, while hits are left there
             todo = [(0, len(words))]
             while todo:
                 begin, stop = todo.pop()
-                if not any(begin <= w < stop for w in near):
-                    continue
-                least = min_coverage * len(template)
-                if not templates.possible(t, words[max(begin, d - band):max(0, min(stop, d + len(template) + band))], least):
+                if bisect_left(near, begin) == bisect_left(near, stop):
                     continue
-                score, n, first, end = align(template, words, d, band, begin, stop)
+                low, high = max(begin, d - band), max(0, min(stop, d + len(template) + band))
+                if chained:
+                    if not templates.possible_codes(t, codes[low:high], least):
+                        continue
+                    inside = [(w, w - e) for e, w in here if low <= w < high]
+                    score, n, first, end = align_chained(templates.codes[t], codes, inside, low, high, band)
+                else:
+                    if not templates.possible(t, words[low:high], least):
+                        continue
+                    score, n, first, end = align(template, words, d, band, begin, stop)
                 if n and n >= least:
                     if templates.right_name(t, words[first:end + 1]):
                         out.append((-score, t, found[first].start(), found[end].end(), n, n / len(template)))
+                        if chained and n == len(template) == end - first + 1:
+                            insort(solid, (first, end))
+                    if chained:
+                        insort(taken, (first, end))
                     todo += [(begin, first), (end + 1, stop)]
-    kept = []
+    kept: list[tuple[int, int, str, int, float]] = []  # by place, without overlaps
     for _, t, a, b, n, coverage in sorted(out):
-        if all(b <= x or y <= a for _, x, y, _, _ in kept):
-            kept.append((templates.names[t], a, b, n, coverage))
-    return sorted(kept, key=lambda k: k[1:3])
+        at = bisect_left(kept, (a,))
+        if (at == 0 or kept[at - 1][1] <= a) and (at == len(kept) or b <= kept[at][0]):
+            kept.insert(at, (a, b, templates.names[t], n, coverage))
+    return [(name, a, b, n, coverage) for a, b, name, n, coverage in kept]
 
 
 SCHEMA = ("doc_id bigint, license string, coverage double, matched_words bigint, "

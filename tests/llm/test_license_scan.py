@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -139,6 +140,81 @@ def test_short_notices_with_one_word_changed(spark):
     assert {(i, name) for i, name, _ in got} == {(i + 10 * k, names[i]) for i in names for k in range(12)}
 
 
+def test_short_forms(spark):
+    want = {"This project is MIT licensed": "MIT", "SPDX-License-Identifier: GPL-3.0": "GPL-3.0",
+            "SPDX-License-Identifier: LGPL-2.1": "LGPL-2.1", "// SPDX-License-Identifier: MIT": "MIT",
+            "Licensed under Apache License 2.0": "Apache-2.0", "Released under the BSD 3-Clause License": "BSD-3-Clause",
+            "Released under the BSD 2-Clause License": "BSD-2-Clause", "This project is fully licensed": None,
+            "Released under the Foo License.": None, "SPDX-License-Identifier: WTFPL": None}
+    got = {r.doc_id: r.license for r in scan.scan(documents(spark, list(enumerate(want)))).collect()}
+    assert [got.get(k) for k in range(len(want))] == list(want.values())
+
+
+def _full_local_alignment(template, words):
+    """Best local alignment by the whole table, without band or index: score, and all (matches, first, last) that reach it."""
+    rows, columns = len(template) + 1, len(words) + 1
+    best, found = 0, set()
+    s = [[(0, 0, -1)] * columns for _ in range(rows)]
+    for i in range(1, rows):
+        for j in range(1, columns):
+            same = template[i - 1] == words[j - 1]
+            d, m, f = s[i - 1][j - 1]
+            cell = (d + 2, m + 1, f if m else j - 1) if same else (d - 1, m, f)
+            for x, m2, f2 in (s[i - 1][j], s[i][j - 1]):
+                if x - 1 > cell[0]:
+                    cell = (x - 1, m2, f2)
+            s[i][j] = cell if cell[0] > 0 else (0, 0, -1)
+            if same and cell[0] >= best:
+                found = (found if cell[0] == best else set()) | {(cell[1], cell[2], j - 1)}
+                best = cell[0]
+    return best, found
+
+
+def test_chained_alignment_equals_the_whole_table():
+    """Edited long templates in a text of other words: the same score as by a full dynamic program, hence the same coverage."""
+    rng = random.Random(12)
+    template = [f"w{rng.randrange(60)}" for _ in range(160)]
+    number = {w: k for k, w in enumerate(dict.fromkeys(template))}
+    codes = np.array([number[w] for w in template], np.int32)
+    for trial in range(25):
+        edited = list(template)
+        for _ in range(rng.randrange(0, 16)):
+            k = rng.randrange(len(edited))
+            edited[k:k + rng.choice([1, 1, 2])] = rng.choice([[], ["new"], [edited[k], "new", "words"]])
+        if trial % 5 == 0:
+            edited = edited[:70] + ["lost"] * 6 + edited[76:]
+        text = ["noise"] * 15 + edited + ["noise"] * 15
+        words = np.array([number.get(w, -1) for w in text], np.int32)
+        hits = [(j, i) for i in range(len(template) - 2) for j in range(len(text) - 2) if template[i:i + 3] == text[j:j + 3]]
+        best, found = _full_local_alignment(template, text)
+        score, n, first, last = scan.align_chained(codes, words, hits, 0, len(text), 40)
+        assert score == best and any(abs(n - m) <= 1 for m, _, _ in found)
+        assert 15 <= first <= last < len(text) - 15
+
+
+def test_edited_licences_and_many_of_them_in_time(spark):
+    texts = dict(sorted(scan.production_templates(), key=lambda t: len(t[1])))
+    rng = random.Random(4)
+    rows = []
+    for k, name in enumerate(("GPL-3.0", "LGPL-2.1", "Apache-2.0", "MPL-2.0")):
+        words = texts[name].split(" ")
+        for _ in range(len(words) // 40):
+            at = rng.randrange(len(words))
+            words[at:at + 1] = rng.choice([[], ["changed"], [words[at], "added"]])
+        rows.append((k, " ".join(words)))
+    rows.append((9, "\n\nnext copy\n\n".join([texts["GPL-3.0"]] * 5)))
+    rows.append((10, "Released under the MIT License.\n" * 8000))
+    began = time.perf_counter()
+    got = {}
+    for r in scan.scan(documents(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert time.perf_counter() - began < 60
+    for k, name in enumerate(("GPL-3.0", "LGPL-2.1", "Apache-2.0", "MPL-2.0")):
+        assert [r.license for r in got[k]] == [name] and 0.9 < got[k][0].coverage < 1
+    assert [r.license for r in got[9]] == ["GPL-3.0"] * 5 and all(r.coverage == 1 for r in got[9])
+    assert len(got[10]) == 8000
+
+
 def test_defined_cases(spark):
     assert scan.scan(edge_table(spark)).count() == 0
     assert scan.scan(empty_table(spark)).count() == 0
