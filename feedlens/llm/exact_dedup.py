@@ -5,7 +5,9 @@ text repeated by a third of all rows leaves each task once. These texts go, by
 length and content hash, to owner tasks, which insert the full byte strings
 into a trie of their own; a terminal node keeps the row that stays and the size
 of the group. An owner over its byte bound moves its largest subtree to a file
-of the task and ends it in a trie of its own afterwards. Member rows then look
+of the task and ends it in a trie of its own afterwards. A text that very many
+tasks send on is first merged by owners of a share of its copies each, as many as
+the square root of their number, so that no owner meets them all. Member rows then look
 up their group by the number their first task gave it.
 
 Defined cases: a null text counts as empty, and empty texts are equal; of equal
@@ -20,6 +22,7 @@ import hashlib
 import pickle
 import tempfile
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 import xxhash
@@ -27,12 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import SEED, id_text, ready, signed, slices, without, work_dir, written
+from feedlens.llm.common import BROADCAST_ROWS, SEED, id_text, ready, signed, slices, without, work_dir, written
 
 #: Fixed value: the characters left out before texts are compared.
 SPACE = b" \t\n\x0b\x0c\r"
 #: Bytes of text in a task's trie before it sends them on (first tasks) or spills a subtree (owners).
 TRIE_BYTES = 24 << 20
+#: Copies of a text from which on they are merged in two steps.
+HOT_COPIES = 64
 
 _LOCAL = ("group_no bigint, row_no bigint, doc_id bigint, n_chars bigint, is_text boolean, n_rows bigint, "
           "text_hash bigint, length bigint, content_hash bigint, body binary")
@@ -198,27 +203,47 @@ def _merge_local(old: tuple, new: tuple) -> tuple:
 
 
 def _merge_owned(old: tuple, new: tuple) -> tuple:
-    return min(old[0], new[0], key=lambda b: b[0]), old[1] + new[1], old[2] + new[2]
+    old[2].extend(new[2])
+    return min(old[0], new[0], key=lambda b: b[0]), old[1] + new[1], old[2]
+
+
+def _merged(batches, trie_bytes: int) -> Iterator[tuple[bytes, tuple]]:
+    """Each distinct text of text rows with its best row, number of rows and the numbers of its groups."""
+    trie = RadixTrie(trie_bytes)
+    for part in slices(batches, "body"):
+        for group_no, row_no, doc_id, n_chars, n, body in zip(*(part[c].to_pylist() for c in (
+                "group_no", "row_no", "doc_id", "n_chars", "n_rows", "body"))):
+            trie.insert(body, ((_rank(n_chars, doc_id, row_no), doc_id), n, [group_no]), _merge_owned)
+    yield from trie.items(_merge_owned)
+
+
+def _batches(rows: Iterator[tuple], schema: str, most: int) -> Iterator[pa.RecordBatch]:
+    while part := list(islice(rows, most)):
+        yield _batch(part, schema)
 
 
 def _own(trie_bytes: int):
-    """Second pass: one trie for the texts of a length-and-hash partition."""
+    """Last pass: one trie for the texts of a length-and-hash partition."""
 
     def run(batches):
-        trie = RadixTrie(trie_bytes)
-        for part in slices(batches, "body"):
-            for group_no, row_no, doc_id, n_chars, n, body in zip(*(part[c].to_pylist() for c in (
-                    "group_no", "row_no", "doc_id", "n_chars", "n_rows", "body"))):
-                trie.insert(body, ((_rank(n_chars, doc_id, row_no), doc_id), n, (group_no,)), _merge_owned)
-        rows = []
-        for body, (best, n, numbers) in trie.items(_merge_owned):
-            sha = hashlib.sha256(body).hexdigest()
-            rows += [(g, best[0][3], best[1], n, sha) for g in numbers]
-            if len(rows) > 5000:
-                yield _batch(rows, _OWNED)
-                rows = []
-        if rows:
-            yield _batch(rows, _OWNED)
+        def rows():
+            for body, (best, n, numbers) in _merged(batches, trie_bytes):
+                sha = hashlib.sha256(body).hexdigest()
+                yield from ((g, best[0][3], best[1], n, sha) for g in numbers)
+        yield from _batches(rows(), _OWNED, 5000)
+
+    return run
+
+
+def _own_share(trie_bytes: int):
+    """For a share of the copies of hot texts: a text row of each, and for each of its groups (group_no) the one it became (row_no)."""
+
+    def run(batches):
+        for body, (best, n, numbers) in _merged(batches, trie_bytes):
+            neg, _, _, row_no = best[0]
+            yield _batch([(numbers[0], row_no, best[1], -neg, True, n, None, len(body),
+                           xxhash.xxh3_64_intdigest(body) - 2**63, body)], _LOCAL)
+            yield from _batches(((g, numbers[0], None, None, False, None, None, None, None, None) for g in numbers), _LOCAL, 5000)
 
     return run
 
@@ -233,13 +258,30 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                trie_bytes: int = TRIE_BYTES) -> DataFrame:
+                trie_bytes: int = TRIE_BYTES, hot_copies: int = HOT_COPIES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_chars, text_hash (XXH64 of the text)."""
     spark = docs.sparkSession
     ready(spark)
     local = written(id_text(docs, id_col, text_col).mapInArrow(_gather(trie_bytes), _LOCAL), work_dir(spark, "dedup"))
-    owned = (local.where("is_text").select("group_no", "row_no", "doc_id", "n_chars", "n_rows", "length", "content_hash", "body")
-             .repartition("length", "content_hash").mapInArrow(_own(trie_bytes), _OWNED))
+    columns = ["group_no", "row_no", "doc_id", "n_chars", "n_rows", "length", "content_hash", "body"]
+    key = ["length", "content_hash"]
+    texts = local.where("is_text").select(columns)
+    hot = written(texts.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > hot_copies),
+                  work_dir(spark, "dedup-hot"))
+    n_hot, parts = hot.count(), None
+    if n_hot:
+        told = texts.join(F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot, key, "left")
+        share = F.pmod(F.xxhash64("group_no"), F.ceil(F.sqrt("copies")))
+        parts = written(told.where("copies is not null").withColumn("share", share).repartition(*key, "share")
+                        .select(columns).mapInArrow(_own_share(trie_bytes), _LOCAL), work_dir(spark, "dedup-shares"))
+        texts = told.where("copies is null").select(columns).unionByName(parts.where("is_text").select(columns))
+    owned = texts.repartition(*key).mapInArrow(_own(trie_bytes), _OWNED)
+    if parts is not None:
+        owned = written(owned, work_dir(spark, "dedup-owned"))
+        became = parts.where("not is_text").select(F.col("group_no").alias("own_no"), F.col("row_no").alias("group_no"))
+        # a group that a share kept is among the groups that became it
+        joined = became.join(owned, "group_no").drop("group_no").withColumnRenamed("own_no", "group_no")
+        owned = owned.join(became.select("group_no").distinct(), "group_no", "left_anti").unionByName(joined)
     members = local.where("not is_text").select("group_no", "row_no", "doc_id", "n_chars", "text_hash")
     return members.join(owned, "group_no").select(
         "doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), "text_sha256", "n_chars",

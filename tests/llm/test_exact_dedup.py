@@ -1,6 +1,8 @@
 import random
+import time
 
 import duckdb
+import pyarrow as pa
 
 from cases import LONG, SF001, documents, edge_table, empty_table
 from feedlens.llm import exact_dedup, queries
@@ -85,3 +87,22 @@ def test_query_matches_duckdb(spark):
     rel = con.sql(queries.ORACLE_SQL["op2_exact_dedup"])
     got = queries.QUERIES["op2_exact_dedup"](spark, SF001).select(*rel.columns)
     assert sorted(map(tuple, got.collect())) == sorted(rel.fetchall())
+
+
+def test_hot_texts_are_merged_in_two_steps(spark):
+    """Texts that every task sends on, with other rows between them: the same rows, and no owner meets all copies."""
+    rows = [(i, "hot text" if i % 3 == 0 else "warm " + "w" * (i % 2) if i % 3 == 1 else f"own {i}") for i in range(3000)]
+    whole = exact_dedup.exact_dedup(documents(spark, rows).repartition(60), hot_copies=1_000_000).drop("text_hash")
+    split = exact_dedup.exact_dedup(documents(spark, rows).repartition(60), hot_copies=9).drop("text_hash")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, split.collect()))
+    assert {r.group_size for r in split.where("text_sha256 = sha2('hottext', 256)").collect()} == {1000}
+
+
+def test_many_group_numbers_of_one_text_in_time():
+    began = time.perf_counter()
+    rows = [(n, n, n, 4, 1, b"same") for n in range(200_000)]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(),) * 5 + (pa.binary(),))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["group_no", "row_no", "doc_id", "n_chars", "n_rows", "body"])
+    got = pa.Table.from_batches(list(exact_dedup._own(1 << 20)(iter([batch]))))
+    assert got.num_rows == 200_000 and set(got["group_size"].to_pylist()) == {200_000} and set(got["keep_id"].to_pylist()) == {0}
+    assert time.perf_counter() - began < 15
