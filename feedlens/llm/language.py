@@ -5,8 +5,8 @@ every linear machine's margin is the mean of its trigram weights over the whole
 text. One-versus-one support vector machines separate the families, and the
 languages of each family; a logistic curve on each margin gives its share of
 the score. The fit reads a bounded sample of labelled rows, about
-``sample`` of each language, chosen by a hash of the document id over all rows;
-feature vectors are made on the executors from whole texts.
+``sample`` of each language, chosen by a hash of document id and text over all rows;
+feature vectors are made on the executors from whole texts, of any length.
 
 Defined cases: ``und`` and score 0 if the text is null or has no letter, or if
 there is nothing to learn from; with one learned language that language; rows
@@ -41,6 +41,8 @@ FAMILIES = {
 BUCKETS = 4096
 #: About so many labelled documents of each language are read for the fit.
 SAMPLE = 400
+#: Most labelled documents in all (16 kB each on the driver), and most languages that are learned.
+SAMPLES, LANGUAGES = 8000, 200
 #: A document without a letter, or with less than this score, is rejected by ``keep_identified``.
 MIN_SCORE = 0.2
 # ASCII characters other than letters count as space
@@ -162,19 +164,27 @@ def fit(x: np.ndarray, labels: list[str], families: dict[str, tuple[str, ...]] |
 
 def train(docs: DataFrame, teach: Column | None = None, sample: int = SAMPLE, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on about ``sample`` labelled rows of each language among the rows where ``teach`` holds."""
+    """Fit on about ``sample`` labelled rows of each language among the rows where ``teach`` holds.
+
+    What the driver holds is bounded: the ``LANGUAGES`` most frequent languages are
+    learned, on fewer rows of each if they would be over ``SAMPLES`` in all. Equal
+    rows (id and text) are one row of the sample.
+    """
     ready(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if teach is not None:
         rows = rows.where(teach)
     rows = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    limit = F.lit(0)
+    found = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in found.collect()}
+    each = max(1, min(sample, SAMPLES // max(len(counts), 1)))
+    key = F.xxhash64("doc_id", "text")
+    limit = F.lit(-1).cast("bigint")
     for name, n in counts.items():
-        limit = F.when(F.col("lang") == name, min(1_000_000, -(-sample * 1_000_000 // n))).otherwise(limit)
-    chosen = rows.where(draw < limit)
+        limit = F.when(F.col("lang") == name, F.lit(min(2**63 - 1, each * 2**63 // n)).cast("bigint")).otherwise(limit)
+    chosen = (rows.where(F.shiftrightunsigned(key, 1) <= limit).groupBy("lang", key.alias("key"))  # draws from 0 to 2^63 - 1
+              .agg(F.first("text").alias("text")))
 
     def run(batches):
         for part in slices(batches):

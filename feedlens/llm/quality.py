@@ -113,8 +113,13 @@ class Model:
         return np.clip(np.interp(raw, self.scores, self.shares), 0, 1)
 
 
+#: Vectors that the driver adds up itself.
+VECTORS = 8
+
+
 def summed(rows: DataFrame, compute, size: int) -> np.ndarray:
-    """Sum of ``compute(batch)`` (``size`` numbers) over all rows; two levels, a vector per task."""
+    """Sum of ``compute(batch)`` (``size`` numbers) over all rows: a vector per task, added up by fewer and
+    fewer tasks until at most ``VECTORS`` are left for the driver."""
     def first(batches):
         total = np.zeros(size)
         for batch in batches:
@@ -128,9 +133,9 @@ def summed(rows: DataFrame, compute, size: int) -> np.ndarray:
                 total += np.frombuffer(s)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
 
-    groups = max(1, math.isqrt(rows.rdd.getNumPartitions()))
-    sums = rows.mapInArrow(first, "s binary")
-    if groups > 2:
+    sums, groups = rows.mapInArrow(first, "s binary"), rows.rdd.getNumPartitions()
+    while groups > VECTORS:
+        groups = math.isqrt(groups)
         sums = sums.repartition(groups).mapInArrow(second, "s binary")
     return sum((np.frombuffer(r["s"]) for r in sums.collect()), np.zeros(size))
 

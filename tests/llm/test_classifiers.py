@@ -124,3 +124,92 @@ def test_statistics_cover_the_whole_text():
 def test_isotonic_pools_violators():
     scores, shares = quality.isotonic([(0.1, 0, 2), (0.2, 2, 2), (0.3, 1, 2), (0.4, 2, 2)])
     assert shares.tolist() == [0.0, 0.75, 1.0] and scores.tolist() == pytest.approx([0.1, 0.25, 0.4])
+
+
+def _plain_language(model, text):
+    """The prediction by dictionaries: trigram counts, one duel after the other."""
+    words = " ".join("".join(c if c.isalpha() and c.isascii() or ord(c) > 127 else " " for c in text.lower()).split())
+    if not language.has_letter(text):
+        return "und", 0.0
+    vector = language.vectors([text])[0].astype(float)
+    assert words
+    weights = {k: v for k, v in enumerate(vector.tolist()) if v}
+
+    def contest(names, duels):
+        if len(names) == 1:
+            return names[0], 1.0
+        wins, shares = {n: 0 for n in names}, {n: 0.0 for n in names}
+        for d in duels:
+            m = sum(v * float(model.weights[k, d.column]) for k, v in weights.items()) + d.bias
+            p = 1 / (1 + np.exp(-(d.slope * m + d.offset)))
+            wins[d.first if m > 0 else d.second] += 1
+            shares[d.first] += p
+            shares[d.second] += 1 - p
+        best = max(names, key=lambda n: (wins[n], shares[n], n))
+        return best, shares[best] / (len(names) - 1)
+
+    family, p = contest(sorted(model.families), model.between)
+    name, q = contest(model.families[family], model.within[family])
+    return name, p * q
+
+
+def test_language_query_against_plain_duels(spark):
+    from pyspark.sql import functions as F
+    docs = common.documents(spark, SF001)
+    model = language.train(docs, teach=common.hash_mod(F.col("doc_id"), 3) != 1)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in queries.QUERIES["op7_language_id"](spark, SF001).collect()}
+    for doc_id in sorted(texts)[::7]:
+        name, score = _plain_language(model, texts[doc_id] or "")
+        assert got[doc_id].lang_pred == name and got[doc_id].score == pytest.approx(score, abs=1e-4)
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Many languages, and one row repeated very often: the driver's share keeps its bound."""
+    monkeypatch.setattr(language, "SAMPLES", 60)
+    monkeypatch.setattr(language, "LANGUAGES", 20)
+    rows = [(i, f"{'abcdefghijklmnopqrstuvwxy'[i % 25] * 4} word {i}", f"l{i % 25:02d}") for i in range(2000)]
+    rows += [(5, "the very same text", "l05")] * 3000
+    seen = []
+    fit = language.fit
+    monkeypatch.setattr(language, "fit", lambda x, labels: seen.append((len(x), len(set(labels)))) or fit(x, labels))
+    language.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert seen[0][0] < 200 and 5 <= seen[0][1] <= 20
+
+
+def test_quality_query_against_least_squares(spark):
+    """The normal equations by plain least squares over all rows, and a naive isotonic fit: the same scores."""
+    docs = {r.doc_id: r.text or "" for r in common.documents(spark, SF001).collect()}
+    labels = {r.doc_id: float(r.quality) for r in spark.read.parquet(f"{SF001}/labels.parquet").collect() if r.quality is not None}
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i in docs}
+    x = {i: np.array(quality.statistics(t), np.float32).astype(float) for i, t in docs.items()}
+    teach = [i for i in docs if i in labels and fold[i] != 0]
+    known = np.array([x[i] for i in teach])
+    spread = known.std(axis=0)
+    model = quality.Model(known.mean(axis=0), np.where(spread > 1e-9, spread, 1.0))
+    fits = [i for i in teach if fold[i] != 1]
+    z = model.cosines(np.array([x[i] for i in fits]))
+    strength = np.sqrt(quality.RIDGE * len(fits) / quality.COSINES)
+    model.weights = np.linalg.lstsq(np.vstack([z, strength * np.eye(z.shape[1])]),
+                                    np.r_[[labels[i] for i in fits], np.zeros(z.shape[1])], rcond=None)[0]
+    held = [i for i in teach if fold[i] == 1]
+    raw = np.round(model.ridge(np.array([x[i] for i in held])) / quality.BIN).clip(-2000, 2000) * quality.BIN
+    bins = sorted(set(raw))
+    ones = np.array([sum(labels[i] for i, r in zip(held, raw) if r == b) for b in bins])
+    n = np.array([sum(1 for r in raw if r == b) for b in bins])
+    # naive isotonic regression: the largest of the smallest means around each bin
+    share = [max(min(ones[a:b + 1].sum() / n[a:b + 1].sum() for b in range(k, len(bins))) for a in range(k + 1)) for k in range(len(bins))]
+    blocks = {}
+    for k, s in enumerate(share):
+        blocks.setdefault(round(s, 12), []).append(k)
+    at = [np.average([bins[k] for k in ks], weights=n[ks]) for ks in blocks.values()]
+    want = dict(zip(docs, np.interp(model.ridge(np.array([x[i] for i in docs])), at, list(blocks))))
+    got = {r.doc_id: r.score for r in queries.QUERIES["op9_quality_score"](spark, SF001).collect()}
+    assert set(got) == set(want) and max(abs(got[i] - want[i]) for i in want) < 1e-6
+
+
+def test_sums_need_few_vectors_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(quality, "VECTORS", 2)
+    rows = spark.range(1000, numPartitions=40).selectExpr("cast(id as double) AS v")
+    total = quality.summed(rows, lambda b: np.array([b.num_rows, sum(b["v"].to_pylist())]), 2)
+    assert total.tolist() == [1000.0, 499500.0]
