@@ -30,6 +30,7 @@ from feedlens.operators.timeframe import as_date, as_datetime, date_literal, whe
 from feedlens.session import ensure_checkpoint_dir
 from feedlens.sources import sinks
 from feedlens.sources.actions import Actions
+from feedlens.sources.versioned import DayTable, is_versioned
 
 
 @dataclass
@@ -41,10 +42,13 @@ class ReportOutput:
 def daily_slices_job(actions: Actions, as_of, target: str, mode: str = "overwrite_days",
                      table: str | None = None) -> DataFrame:
     """Slices of yesterday (relative to as_of) written to ``target`` (a
-    Parquet folder) or to the catalog ``table``. Returns the written rows."""
+    Parquet folder) or to the catalog ``table``. Returns the written rows.
+    ``mode='versioned'`` replaces the day in a ``versioned.DayTable`` at ``target``."""
     day = yesterday(as_of)
     df = slices.daily_slices(actions.feed, actions.message, day, day)
-    if table:
+    if mode == "versioned":
+        sinks.replace_slice_days(df, target, day, day)
+    elif table:
         sinks.insert_slices(df, table, mode=mode, location=target or None)
     else:
         sinks.write_slices(df, target, mode=mode)
@@ -71,11 +75,18 @@ def feed_report_job(actions: Actions, as_of, out_dir: str | None = None) -> Repo
 ACTIVITY, POST_DAYS = "activity", "post_days"
 USER_FIRST_SEEN, POST_FIRST_SEEN = "user_first_seen", "post_first_seen"
 USER_SKETCHES = "user_sketches"
+#: Columns of the tables that reports read.
+COLUMNS = {ACTIVITY: "user_id bigint, likes bigint, views bigint, messages_sent bigint, f int, day date",
+           USER_FIRST_SEEN: "user_id bigint, day date", POST_FIRST_SEEN: "post_id bigint, day date"}
 
 
-def _write_days(df: DataFrame, path: str, start, end=None) -> None:
+def _write_days(df: DataFrame, path: str, start, end=None, versioned: bool = False) -> None:
     """Replace the days [start, end] (or from ``start`` on) of a table
-    partitioned by day with ``df``'s rows; a day without rows goes."""
+    partitioned by day with ``df``'s rows; a day without rows goes. A versioned
+    table (``sources.versioned``) changes in one step; it stays one."""
+    if versioned or is_versioned(df.sparkSession, path):
+        DayTable(df.sparkSession, path).replace_days(df, start, end)
+        return
     # REBALANCE groups rows by day for the partitioned write and lets AQE
     # split a large day over several tasks (and merge small ones).
     (df.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -89,12 +100,14 @@ def _write_days(df: DataFrame, path: str, start, end=None) -> None:
 def _read_days(spark, path: str, schema) -> DataFrame:
     """A table of ``_write_days``; empty if nothing has been written. Any other
     failure to read it is the caller's error."""
+    if is_versioned(spark, path):
+        return DayTable(spark, path).read(schema)
     if not sinks.has_days(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
-def _rewrite_first_seen(spark, tables_dir: str, source: str, name: str, key: str, start) -> None:
+def _rewrite_first_seen(spark, tables_dir: str, source: str, name: str, key: str, start, versioned: bool = False) -> None:
     """First-seen rows from ``start`` on: the earliest day per key in the
     source's days from ``start`` on, without the keys first seen before."""
     days = f"{key} bigint, day date"
@@ -103,10 +116,11 @@ def _rewrite_first_seen(spark, tables_dir: str, source: str, name: str, key: str
     # The rows replace part of the table they are compared with: the new ones
     # are on shared storage before any of it is written.
     new = metrics.first_seen(later.select(key, "day"), key, earlier).checkpoint(eager=True)
-    _write_days(new, f"{tables_dir}/{name}", start)
+    _write_days(new, f"{tables_dir}/{name}", start, versioned=versioned)
 
 
-def daily_activity_job(actions: Actions, tables_dir: str, as_of=None, start=None, end=None) -> dict:
+def daily_activity_job(actions: Actions, tables_dir: str, as_of=None, start=None, end=None,
+                       versioned: bool = False) -> dict:
     """Keep four compact tables under ``tables_dir``, partitioned by day:
     ``activity`` (one row per day and user: likes, views, messages, service
     bits), ``post_days`` (one row per day and post), ``user_first_seen`` and
@@ -116,7 +130,9 @@ def daily_activity_job(actions: Actions, tables_dir: str, as_of=None, start=None
     only those days of the action tables. The days' rows are replaced, days
     that have become empty included, and the first-seen rows from ``start`` on
     are computed anew from the compact tables, so retries, backfills and reruns
-    of any earlier day give the tables of one run over the whole history.
+    of any earlier day give the tables of one run over the whole history. With
+    ``versioned`` each table's days change in one step: readers, and a run that
+    fails in between, find the days as they were (tables once written so stay so).
     """
     spark = actions.feed.sparkSession
     ensure_checkpoint_dir(spark)
@@ -126,11 +142,11 @@ def daily_activity_job(actions: Actions, tables_dir: str, as_of=None, start=None
     feed = where_days(actions.feed, start, end)
     msg = where_days(actions.message, start, end)
     _write_days(metrics.user_day_activity(Actions(feed=feed, message=msg)).checkpoint(eager=True),
-                f"{tables_dir}/{ACTIVITY}", start, end)
+                f"{tables_dir}/{ACTIVITY}", start, end, versioned)
     posts = feed.select("post_id", day_of("time").alias("day")).distinct().checkpoint(eager=True)
-    _write_days(posts, f"{tables_dir}/{POST_DAYS}", start, end)
-    _rewrite_first_seen(spark, tables_dir, ACTIVITY, USER_FIRST_SEEN, "user_id", start)
-    _rewrite_first_seen(spark, tables_dir, POST_DAYS, POST_FIRST_SEEN, "post_id", start)
+    _write_days(posts, f"{tables_dir}/{POST_DAYS}", start, end, versioned)
+    _rewrite_first_seen(spark, tables_dir, ACTIVITY, USER_FIRST_SEEN, "user_id", start, versioned)
+    _rewrite_first_seen(spark, tables_dir, POST_DAYS, POST_FIRST_SEEN, "post_id", start, versioned)
     return {"start": as_date(start), "end": as_date(end)}
 
 
@@ -154,8 +170,8 @@ def read_sketches(spark, tables_dir: str) -> DataFrame:
 
 
 def read_activity_tables(spark, tables_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return tuple(spark.read.parquet(f"{tables_dir}/{n}")
-                 for n in (ACTIVITY, USER_FIRST_SEEN, POST_FIRST_SEEN))
+    return tuple(DayTable(spark, f"{tables_dir}/{n}").read(COLUMNS[n]) if is_versioned(spark, f"{tables_dir}/{n}")
+                 else spark.read.parquet(f"{tables_dir}/{n}") for n in (ACTIVITY, USER_FIRST_SEEN, POST_FIRST_SEEN))
 
 
 def app_report_job(actions: Actions, as_of, out_dir: str | None = None,

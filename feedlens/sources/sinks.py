@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlens.operators.slices import SLICE_COLUMNS
+from feedlens.sources.versioned import DayTable
 
 SLICE_DDL = """
 CREATE TABLE IF NOT EXISTS {table} (
@@ -52,6 +53,21 @@ def write_slices(df: DataFrame, path: str, mode: str = "overwrite_days") -> None
         raise ValueError(f"unknown mode {mode!r}")
 
 
+SLICE_SCHEMA = ("event_date date, dimension string, dimension_value string, views bigint, likes bigint, "
+                "messages_received bigint, messages_sent bigint, users_received bigint, users_sent bigint")
+
+
+def replace_slice_days(df: DataFrame, path: str, start, end=None) -> int:
+    """Replace the days [start, end] of a versioned slice table in one step, days without
+    rows included; returns the new version. ``read_slices`` reads it."""
+    return DayTable(df.sparkSession, path, "event_date").replace_days(_ordered(df), start, end or start)
+
+
+def read_slices(spark: SparkSession, path: str, start=None, end=None, version: int | None = None) -> DataFrame:
+    """Slices of the days [start, end] of a versioned table, by default as of its latest version."""
+    return DayTable(spark, path, "event_date").read(SLICE_SCHEMA, start, end, version)
+
+
 def create_slice_table(spark: SparkSession, table: str, location: str | None = None) -> None:
     ddl = SLICE_DDL.format(table=table)
     if location:
