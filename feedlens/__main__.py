@@ -22,7 +22,7 @@ from feedlens.sources.actions import load_fixture, read_actions
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="feedlens")
-    p.add_argument("job", choices=["slices", "activity", "sketches", "feed-report", "app-report", "alert", "alert-stream",
+    p.add_argument("job", choices=["slices", "activity", "sketches", "bitmaps", "feed-report", "app-report", "alert", "alert-stream",
                                    "ab-test", "aa-test"])
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="job date; 'yesterday' is the day before")
     p.add_argument("--time-zone", default="UTC", help="session time zone: the borders of days")
@@ -37,7 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--table", default=None, help="slices: catalog table instead of a folder")
     p.add_argument("--append", action="store_true", help="slices: append instead of replacing the day")
     p.add_argument("--tables", help="app-report: compact tables kept by the activity job")
-    p.add_argument("--start", help="activity, sketches: first day of a backfill; ab-test / aa-test: first day")
+    p.add_argument("--start", help="activity, sketches, bitmaps: first day of a backfill; ab-test / aa-test: first day")
     p.add_argument("--end", help="ab-test / aa-test: last day of the experiment")
     p.add_argument("--groups", default="1,2", help="ab-test: control,treatment; aa-test: the two groups")
     p.add_argument("--reps", type=int, default=None, help="bootstrap (ab-test) or A/A repetitions")
@@ -76,8 +76,8 @@ def main(argv: list[str] | None = None) -> int:
         df = jobs.daily_slices_job(actions, args.as_of, args.out, table=args.table,
                                    mode="append" if args.append else "overwrite_days")
         result["rows"] = df.count()
-    elif args.job in ("activity", "sketches"):
-        job = jobs.daily_activity_job if args.job == "activity" else jobs.daily_sketch_job
+    elif args.job in ("activity", "sketches", "bitmaps"):
+        job = {"activity": jobs.daily_activity_job, "sketches": jobs.daily_sketch_job, "bitmaps": jobs.daily_bitmap_job}[args.job]
         if args.start:
             result.update(job(actions, args.out, start=args.start, end=args.end or args.start))
         else:

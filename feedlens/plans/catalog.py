@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedlens.operators import alerts, cohorts, experiments as ex, metrics, segments, sketches, slices
+from feedlens.operators import alerts, bitmaps, cohorts, experiments as ex, metrics, segments, sketches, slices
 from feedlens.operators.ordering import materialize
 from feedlens.plans import params as P
 from feedlens.sources.actions import Actions, load_fixture
@@ -344,6 +344,18 @@ def q_campaign_retention(a: Actions) -> DataFrame:
     return cohorts.campaign_retention(a.feed, P.CAMPAIGN_START, P.CAMPAIGN_END)
 
 
+def q_weekly_audience_bitmaps(a: Actions) -> DataFrame:
+    return bitmaps.weekly_audience(bitmaps.user_bitmaps(a), P.AS_OF)
+
+
+def q_retention_by_source_bitmaps(a: Actions) -> DataFrame:
+    return bitmaps.retention_by_source(bitmaps.user_bitmaps(a))
+
+
+def q_campaign_retention_bitmaps(a: Actions) -> DataFrame:
+    return bitmaps.campaign_retention(bitmaps.user_bitmaps(a), P.CAMPAIGN_START, P.CAMPAIGN_END)
+
+
 def q_audience_drop(a: Actions) -> DataFrame:
     return cohorts.audience_drop(a, P.DROP_BASE_START, P.DROP_BASE_END, P.DROP_DAY)
 

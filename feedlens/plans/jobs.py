@@ -10,6 +10,7 @@ for the same date replaces its own output, so scheduler retries are safe.
 * ``app_report_job``     yesterday's app text, daily series, weekly audience, top posts CSV
 * ``alert_job``          15-minute bands and alert rows for ``now``
 * ``daily_sketch_job``   sketches of the day's users, which merge to any range of days
+* ``daily_bitmap_job``   bitmaps of the users' active days, for audience and retention
 * ``daily_activity_job`` the compact daily tables the app report can read
                          instead of the whole raw history
 * ``ab_test_job``        every A/B test of a pair of groups over a date range
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import day_of
-from feedlens.operators import alerts, cohorts, metrics, sketches, slices
+from feedlens.operators import alerts, bitmaps, cohorts, metrics, sketches, slices
 from feedlens.operators import experiments as ex
 from feedlens.operators.timeframe import as_date, as_datetime, date_literal, where_days, yesterday
 from feedlens.session import ensure_checkpoint_dir
@@ -74,7 +75,7 @@ def feed_report_job(actions: Actions, as_of, out_dir: str | None = None) -> Repo
 
 ACTIVITY, POST_DAYS = "activity", "post_days"
 USER_FIRST_SEEN, POST_FIRST_SEEN = "user_first_seen", "post_first_seen"
-USER_SKETCHES = "user_sketches"
+USER_SKETCHES, USER_BITMAPS = "user_sketches", "user_bitmaps"
 #: Columns of the tables that reports read.
 COLUMNS = {ACTIVITY: "user_id bigint, likes bigint, views bigint, messages_sent bigint, f int, day date",
            USER_FIRST_SEEN: "user_id bigint, day date", POST_FIRST_SEEN: "post_id bigint, day date"}
@@ -164,6 +165,26 @@ def daily_sketch_job(actions: Actions, tables_dir: str, as_of=None, start=None,
     return {"start": as_date(start), "end": as_date(end)}
 
 
+def daily_bitmap_job(actions: Actions, tables_dir: str, as_of=None, start=None, end=None) -> dict:
+    """Keep ``user_bitmaps`` under ``tables_dir``: a row per user and block of eight weeks with a bit for each
+    active day (``operators.bitmaps``), a versioned table by block. A run covers yesterday (from
+    ``as_of``) or the days [start, end]; it reads only those days of the actions and only the
+    blocks they lie in, and replaces these in one step."""
+    spark = actions.feed.sparkSession
+    if start is None:
+        start = end = yesterday(as_of)
+    end = end or start
+    table = DayTable(spark, f"{tables_dir}/{USER_BITMAPS}", "block")
+    blocks = spark.range(1).select(bitmaps.block_of(date_literal(start)), bitmaps.block_of(date_literal(end))).first()
+    made = bitmaps.updated(table.read(bitmaps.SCHEMA, *blocks), actions, start, end)
+    return {"start": as_date(start), "end": as_date(end), "version": table.replace_days(made, *blocks)}
+
+
+def read_bitmaps(spark, tables_dir: str) -> DataFrame:
+    """The bitmaps under ``tables_dir``, for ``bitmaps.weekly_audience`` and the retention reports."""
+    return DayTable(spark, f"{tables_dir}/{USER_BITMAPS}", "block").read(bitmaps.SCHEMA)
+
+
 def read_sketches(spark, tables_dir: str) -> DataFrame:
     """The daily sketches under ``tables_dir``, for ``sketches.users_by_week`` and ``users_between``."""
     return spark.read.schema("service string, users binary, day date").parquet(f"{tables_dir}/{USER_SKETCHES}")

@@ -825,6 +825,9 @@ FROM (
     camp = (f"CASE WHEN u.cohort_date BETWEEN {_d(P.CAMPAIGN_START)} AND {_d(P.CAMPAIGN_END)} "
             f"THEN 'campaign' ELSE 'other' END")
     q["campaign_retention"] = _with(_retention_select(camp, "segment")) + _retention_final("segment")
+    # the same numbers from the bitmaps of active days
+    for key in ("weekly_audience", "retention_by_source", "campaign_retention"):
+        q[f"{key}_bitmaps"] = q[key]
     base = (f'CAST("time" AS DATE) BETWEEN {_d(P.DROP_BASE_START)} AND {_d(P.DROP_BASE_END)}')
     drop = f'CAST("time" AS DATE) = {_d(P.DROP_DAY)}'
     dims = ("os", "gender", "age", "source")
