@@ -96,8 +96,9 @@ def range_cuts(df: DataFrame, column: str, parts: int) -> list[float]:
     return sorted(set(cuts))
 
 
-def with_range(df: DataFrame, column: str, cuts: list[float], out: str) -> DataFrame:
-    """Add the range number of ``column`` (nulls: the last one)."""
+def with_range(df: DataFrame, column: str, cuts: list[float], out: str, null_ranges: int = 1,
+               null_key: Column | None = None) -> DataFrame:
+    """Add the range number of ``column``. Nulls come last: one range, or ``null_ranges`` dealt by a hash of ``null_key``."""
     wide, number = f"{out}_value", f"{out}_no"
     df = df.withColumn(wide, F.col(column).cast("double"))
     if cuts:
@@ -106,6 +107,8 @@ def with_range(df: DataFrame, column: str, cuts: list[float], out: str) -> DataF
     else:
         df = df.withColumn(number, F.lit(0.0))
     last = F.lit(len(cuts) + 1)
+    if null_ranges > 1:
+        last = last + F.pmod(F.xxhash64(null_key), F.lit(null_ranges)).cast("int")
     return df.withColumn(out, F.when(F.col(wide).isNull(), last).otherwise(F.col(number).cast("int"))).drop(wide, number)
 
 

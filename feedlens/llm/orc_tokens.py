@@ -29,13 +29,15 @@ FILE_SCHEMA = "doc_id bigint, part int, row_start bigint, n_tokens int, ids arra
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0,
                  parts: int | None = None, stripe_bytes: int = 64 << 20, index_rows: int = 1000,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode documents and write them to ORC files in ascending doc_id order."""
+    """Encode documents, whole texts of any length, and write them to ORC files in ascending doc_id order."""
     spark = docs.sparkSession
     ready(spark)
     file, end = tokenizer or default_tokenizer(), end_id.to_bytes(4, "little")
     table = id_text(docs, id_col, text_col)
     n = parts or shuffle_partitions(spark)
     cuts = range_cuts(table, "doc_id", n)
+    # documents without id come last, spread over as many ranges as the others
+    null_ranges = 1 if table.where("doc_id is null").isEmpty() else n
 
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0
@@ -53,8 +55,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                  pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
                 names=["doc_id", "part", "row_start", "n_tokens", "ids"])
 
-    (with_range(table, "doc_id", cuts, "range_no")
-     .repartitionById(len(cuts) + 2, F.col("range_no"))
+    (with_range(table, "doc_id", cuts, "range_no", null_ranges, F.col("text"))
+     .repartitionById(len(cuts) + 1 + null_ranges, F.col("range_no"))
      .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
      .select("doc_id", "text").mapInArrow(run, FILE_SCHEMA)
      .write.option("compression", "zstd").option("orc.stripe.size", stripe_bytes)

@@ -267,3 +267,15 @@ def test_caches_are_bounded_by_characters(monkeypatch):
         for own in (codec, encoder):
             assert sum(map(len, [*own.known, *own.older])) < 2 * (1000 + 20 * tokens.LONG_WORD)
             assert max(map(len, own.known), default=0) <= tokens.LONG_WORD + 1
+
+
+def test_documents_without_id_are_spread(spark):
+    """Half of the rows without id: last, over many files, and offsets without gaps."""
+    rows = [(i if i % 2 else None, f"text number {i} " * (i % 5 + 1)) for i in range(800)]
+    path = os.path.join(tempfile.mkdtemp(prefix="feedlens-test-"), "t")
+    orc_tokens.write_tokens(documents(spark, rows), path, parts=6)
+    got = orc_tokens.read_tokens(spark, path).orderBy("start").collect()
+    assert len(got) == 800 and [r.doc_id for r in got[:400]] == sorted(i for i, _ in rows if i is not None)
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    per_file = spark.read.orc(path).where("doc_id is null").groupBy("part").count().collect()
+    assert len(per_file) >= 5 and max(r["count"] for r in per_file) < 200
