@@ -36,8 +36,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     table = id_text(docs, id_col, text_col)
     n = parts or shuffle_partitions(spark)
     cuts = range_cuts(table, "doc_id", n)
-    # documents without id come last, spread over as many ranges as the others
-    null_ranges = 1 if table.where("doc_id is null").isEmpty() else n
+    # documents without id come last, in as many ranges as their share of all documents asks for
+    rows = table.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    null_ranges = max(1, rows["nulls"] * n // max(rows["n"], 1))
 
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0

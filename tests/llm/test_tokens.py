@@ -278,4 +278,4 @@ def test_documents_without_id_are_spread(spark):
     assert len(got) == 800 and [r.doc_id for r in got[:400]] == sorted(i for i, _ in rows if i is not None)
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
     per_file = spark.read.orc(path).where("doc_id is null").groupBy("part").count().collect()
-    assert len(per_file) >= 5 and max(r["count"] for r in per_file) < 200
+    assert len(per_file) == 3 and max(r["count"] for r in per_file) < 250
