@@ -36,9 +36,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     table = id_text(docs, id_col, text_col)
     n = parts or shuffle_partitions(spark)
     cuts = range_cuts(table, "doc_id", n)
-    # documents without id come last, in as many ranges as their share of all documents asks for
+    # documents without id come last, in as many ranges of their texts' first bytes as their share of the rows asks for
     rows = table.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
-    null_ranges = max(1, rows["nulls"] * n // max(rows["n"], 1))
+    table = table.withColumn("first_bytes", F.when(F.col("doc_id").isNull(), F.conv(F.rpad(F.hex(F.substring(
+        F.encode("text", "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("long")))
+    null_cuts = range_cuts(table.where("doc_id is null"), "first_bytes", rows["nulls"] * n // max(rows["n"], 1))
+    ranged = with_range(with_range(table, "doc_id", cuts, "range_no"), "first_bytes", null_cuts, "null_range_no")
+    range_no = F.when(F.col("doc_id").isNull(), F.col("range_no") + F.col("null_range_no")).otherwise(F.col("range_no"))
 
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0
@@ -56,8 +60,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                  pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
                 names=["doc_id", "part", "row_start", "n_tokens", "ids"])
 
-    (with_range(table, "doc_id", cuts, "range_no", null_ranges, F.col("text"))
-     .repartitionById(len(cuts) + 1 + null_ranges, F.col("range_no"))
+    (ranged.repartitionById(len(cuts) + 2 + len(null_cuts), range_no)
      .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
      .select("doc_id", "text").mapInArrow(run, FILE_SCHEMA)
      .write.option("compression", "zstd").option("orc.stripe.size", stripe_bytes)

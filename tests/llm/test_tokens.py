@@ -271,7 +271,7 @@ def test_caches_are_bounded_by_characters(monkeypatch):
 
 def test_documents_without_id_are_spread(spark):
     """Half of the rows without id: last, over many files, and offsets without gaps."""
-    rows = [(i if i % 2 else None, f"text number {i} " * (i % 5 + 1)) for i in range(800)]
+    rows = [(i if i % 2 else None, f"{'abcdefghé日'[i // 2 % 10]} text number {i} " * (i % 5 + 1)) for i in range(800)]
     path = os.path.join(tempfile.mkdtemp(prefix="feedlens-test-"), "t")
     orc_tokens.write_tokens(documents(spark, rows), path, parts=6)
     got = orc_tokens.read_tokens(spark, path).orderBy("start").collect()
@@ -279,3 +279,4 @@ def test_documents_without_id_are_spread(spark):
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
     per_file = spark.read.orc(path).where("doc_id is null").groupBy("part").count().collect()
     assert len(per_file) == 3 and max(r["count"] for r in per_file) < 250
+    _check_file(orc_tokens.token_digests(orc_tokens.read_tokens(spark, path)).collect(), rows, Tokenizer.from_file(default_tokenizer()))
