@@ -81,7 +81,7 @@ def test_stages_stand_the_edge_cases(spark):
 def test_registered_queries():
     own = entry.queries()
     assert {n for n in own if n.startswith("op")} == set(queries.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert own["pipeline"] is corpus_pipeline.run
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
 
