@@ -420,8 +420,10 @@ def aa_draw_stats(users: DataFrame, groups: Pair = (2, 3), reps: int = AA_REPS,
         k = F.when(n < sample, too_large.cast("bigint")).otherwise(F.lit(sample).cast("bigint"))
     else:
         k = F.floor(n * F.lit(share))
-    blocks = (spark.range(0, -(-reps // SIMS), 1, explode_tasks(spark)).join(F.broadcast(whole.withColumn("_k", k)))
-              .select(F.col("id").alias("_block"), "exp_group", "_k", "_totals", F.coalesce("_mid", F.lit(0.0)).alias("_mid")))
+    blocks = (spark.range(0, -(-reps // SIMS), 1, explode_tasks(spark))
+              .select(F.col("id").alias("_block"), F.explode(F.array(*[F.lit(g) for g in groups])).alias("exp_group"))
+              .join(F.broadcast(whole.withColumn("_k", k)), "exp_group")
+              .select("_block", "exp_group", "_k", "_totals", F.coalesce("_mid", F.lit(0.0)).alias("_mid")))
     sims, low, offset, split = SIMS, (cells - 1).bit_length(), salt_offset(salt), resampling.split_sample
 
     def streams(block):
