@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,9 +55,36 @@ def ready(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+#: The folder of the innermost ``intermediate_tables``.
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run of an operator, below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_SCOPE.get() or ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators write in this scope are removed at its end, also after an error.
+
+    Results are computed when they are read, from those tables: write a result
+    that is to outlive the scope to a folder made outside it. Scopes may be
+    nested; another thread's operators are not affected.
+    """
+    folder = work_dir(spark, "intermediate")
+    outer = _SCOPE.set(folder)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(outer)
+        removed(spark, folder)
+
+
+def removed(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of shared storage that is no longer read; whether there was one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
@@ -109,6 +138,25 @@ def with_range(df: DataFrame, column: str, cuts: list[float], out: str) -> DataF
     return df.withColumn(out, F.when(F.col(wide).isNull(), last).otherwise(F.col(number).cast("int"))).drop(wide, number)
 
 
+def with_id_range(table: DataFrame, parts: int, out: str = "range_no") -> tuple[DataFrame, int]:
+    """Deal (doc_id, text) into about ``parts`` ranges of doc_id; also the number of ranges.
+
+    Rows without id come last, in as many ranges of their texts' first bytes as
+    their share of the rows asks for, whose borders are in the column
+    ``first_bytes`` (null for rows with an id).
+    """
+    cuts = range_cuts(table, "doc_id", parts)
+    rows = table.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    if not rows["nulls"]:
+        return with_range(table, "doc_id", cuts, out).withColumn("first_bytes", F.lit(None).cast("long")), len(cuts) + 2
+    first = F.conv(F.rpad(F.hex(F.substring(F.encode("text", "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("long")
+    table = table.withColumn("first_bytes", F.when(F.col("doc_id").isNull(), first))
+    null_cuts = range_cuts(table.where("doc_id is null"), "first_bytes", rows["nulls"] * parts // rows["n"])
+    table = with_range(with_range(table, "doc_id", cuts, out), "first_bytes", null_cuts, "null_no")
+    number = F.when(F.col("doc_id").isNull(), F.col(out) + F.col("null_no")).otherwise(F.col(out))
+    return table.withColumn(out, number).drop("null_no"), len(cuts) + 2 + len(null_cuts)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,13 +7,14 @@ document shares the document's beginning, so the two are parsed together up to
 the cut.
 
 For the comparison with the next document, rows are dealt into ranges of doc_id
-and sorted there; each range also gets the first document of the range that
-follows it, one row per range, found by id.
+(those without id into ranges of their texts' first bytes) and sorted there;
+each range also gets the first document of the range that follows it, one row
+per range.
 
 Defined cases: a null text counts as empty; an empty text's signature is its own
 and resembles only empty texts; documents without doc_id come last, in the order
-of their texts, like rows of equal doc_id; a single document is its own next
-one; an empty table gives no rows; other columns are ignored.
+of their texts, like rows of equal doc_id; texts of any length are parsed
+whole; a single document is its own next one; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import id_text, range_cuts, ready, shuffle_partitions, slices, with_range
+from feedlens.llm.common import id_text, ready, shuffle_partitions, slices, with_id_range
 
 #: Places of a signature; each is kept as 16 bits.
 PLACES = 128
@@ -128,18 +129,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, fingerprint string")
 
 
-def _followers(table: DataFrame, cuts: list[float]) -> DataFrame:
-    """For each range of doc_id the first document after it (descending; from the last range to the first)."""
-    spark = table.sparkSession
-    heads = (with_range(table.select("doc_id"), "doc_id", cuts, "range_no").groupBy("range_no")
-             .agg(F.max("doc_id").alias("head")).collect())  # one row per range
-    heads.sort(key=lambda r: (r["head"] is None, -(r["head"] or 0)))
-    pairs = [(a["range_no"], b["head"]) for a, b in zip(heads, [*heads[1:], *heads[:1]])]
-    to = F.broadcast(spark.createDataFrame(pairs, "range_no int, head bigint"))  # one row per range
-    wanted = table.join(F.broadcast(spark.createDataFrame([(h,) for _, h in pairs], "head bigint")),
-                        F.col("doc_id").eqNullSafe(F.col("head")), "left_semi")
-    texts = wanted.groupBy("doc_id").agg(F.min("text").alias("text"))
-    return texts.join(to, F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", "range_no", F.lit(1).alias("extra"))
+def _followers(ranged: DataFrame) -> DataFrame:
+    """For each range the first document of the one after it (ids descending, then rows without id; after the last the first)."""
+    spark = ranged.sparkSession
+    heads = (ranged.groupBy("range_no").agg(F.max("doc_id").alias("head"), F.min("first_bytes").alias("first"))
+             .collect())  # one row per range
+    heads.sort(key=lambda r: (r["head"] is None, -(r["head"] or 0), r["range_no"]))
+    pairs = [(a["range_no"], b["range_no"], b["head"], b["first"]) for a, b in zip(heads, [*heads[1:], *heads[:1]])]
+    to = F.broadcast(spark.createDataFrame(pairs, "before int, after int, head bigint, first bigint"))  # one row per range
+    wanted = ranged.join(to, (F.col("range_no") == F.col("after")) & F.col("doc_id").eqNullSafe(F.col("head"))
+                         & F.col("first_bytes").eqNullSafe(F.col("first")))
+    return wanted.groupBy("before").agg(F.min("text").alias("text")).select(
+        F.lit(None).cast("long").alias("doc_id"), "text", F.col("before").alias("range_no"), F.lit(1).alias("extra"))
 
 
 _SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -178,9 +179,9 @@ def compare_edits(docs: DataFrame, parts: int | None = None, id_col: str = "doc_
     spark = docs.sparkSession
     ready(spark)
     table = id_text(docs, id_col, text_col)
-    cuts = range_cuts(table, "doc_id", parts or shuffle_partitions(spark))
-    rows = with_range(table, "doc_id", cuts, "range_no").select("doc_id", "text", "range_no", F.lit(0).alias("extra"))
-    return (rows.unionByName(_followers(table, cuts))
-            .repartitionById(len(cuts) + 2, F.col("range_no"))
+    ranged, n = with_id_range(table, parts or shuffle_partitions(spark))
+    rows = ranged.select("doc_id", "text", "range_no", F.lit(0).alias("extra"))
+    return (rows.unionByName(_followers(ranged))
+            .repartitionById(n, F.col("range_no"))
             .sortWithinPartitions("range_no", "extra", F.col("doc_id").desc_nulls_last(), "text")
             .mapInArrow(_rows, _SCHEMA))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import id_text, range_cuts, ready, shuffle_partitions, slices, with_range
+from feedlens.llm.common import id_text, ready, shuffle_partitions, slices, with_id_range
 from feedlens.llm.tokens import default_tokenizer, encoder
 
 FILE_SCHEMA = "doc_id bigint, part int, row_start bigint, n_tokens int, ids array<int>"
@@ -34,15 +34,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     ready(spark)
     file, end = tokenizer or default_tokenizer(), end_id.to_bytes(4, "little")
     table = id_text(docs, id_col, text_col)
-    n = parts or shuffle_partitions(spark)
-    cuts = range_cuts(table, "doc_id", n)
-    # documents without id come last, in as many ranges of their texts' first bytes as their share of the rows asks for
-    rows = table.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
-    table = table.withColumn("first_bytes", F.when(F.col("doc_id").isNull(), F.conv(F.rpad(F.hex(F.substring(
-        F.encode("text", "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("long")))
-    null_cuts = range_cuts(table.where("doc_id is null"), "first_bytes", rows["nulls"] * n // max(rows["n"], 1))
-    ranged = with_range(with_range(table, "doc_id", cuts, "range_no"), "first_bytes", null_cuts, "null_range_no")
-    range_no = F.when(F.col("doc_id").isNull(), F.col("range_no") + F.col("null_range_no")).otherwise(F.col("range_no"))
+    ranged, n = with_id_range(table, parts or shuffle_partitions(spark))
 
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0
@@ -60,7 +52,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                  pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
                 names=["doc_id", "part", "row_start", "n_tokens", "ids"])
 
-    (ranged.repartitionById(len(cuts) + 2 + len(null_cuts), range_no)
+    (ranged.repartitionById(n, F.col("range_no"))
      .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
      .select("doc_id", "text").mapInArrow(run, FILE_SCHEMA)
      .write.option("compression", "zstd").option("orc.stripe.size", stripe_bytes)

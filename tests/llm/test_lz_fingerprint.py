@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cases import EDGE, SF0001, documents, edge_table, empty_table
 from feedlens.llm import common, queries
@@ -62,6 +63,19 @@ def test_defined_cases(spark):
     assert lz.fingerprints(edge_table(spark)).count() == len(EDGE)
 
 
+def test_documents_without_id_are_spread(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, rng.integers(97, 123, 12))) + " some words" for _ in range(300)]
+    rows = [(i if i % 3 == 0 else None, t) for i, t in enumerate(texts)] + [(None, None), (None, ""), (None, texts[1])]
+    got = lz.compare_edits(documents(spark, rows).repartition(4), parts=9)
+    _check(got.collect(), rows)
+    sizes = [r["count"] for r in got.where("doc_id is null").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 5 and max(sizes) < 60
+    nobody = [(None, t) for t in texts[:50]]
+    for parts in (1, 7):
+        _check(lz.compare_edits(documents(spark, nobody), parts=parts).collect(), nobody)
+
+
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in common.documents(spark, SF0001).collect()]
     rows.sort()
