@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import BROADCAST_ROWS, work_dir, written
+from feedlens.llm.common import BROADCAST_ROWS, removed, work_dir, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -17,7 +17,8 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
 
     Large-star and small-star steps in turn until nothing changes: each moves
     links towards smaller nodes, the number of rounds grows with the logarithm
-    of the longest path. Every round starts from a table on shared storage. The
+    of the longest path. Every round starts from a table on shared storage and
+    removes the one before. The
     minimum of each node is added up before the shuffle and meets the node's
     links by a broadcast while there are few nodes; beyond that a node with very
     many links is split by the skew-aware join, since its minimum is one row.
@@ -38,6 +39,7 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
         n += 1
         edges = written(small.distinct(), f"{folder}/{n}")
         before, state = state, _state(edges)
+        removed(spark, f"{folder}/{n - 1}")
         if state == before:
             break
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -30,7 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import BROADCAST_ROWS, SEED, id_text, ready, signed, slices, without, work_dir, written
+from feedlens.llm.common import (BROADCAST_ROWS, SEED, id_text, intermediate_tables, ready, signed, slices, without,
+                                 work_dir, written)
 
 #: Fixed value: the characters left out before texts are compared.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -290,7 +291,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that ``exact_dedup`` keeps; columns as before."""
-    decided = written(exact_dedup(docs, id_col, text_col).where("not kept").select(
-        "doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("repeated")),
-        work_dir(docs.sparkSession, "dedup-dropped"))
+    folder = work_dir(docs.sparkSession, "dedup-dropped")
+    with intermediate_tables(docs.sparkSession):
+        decided = written(exact_dedup(docs, id_col, text_col).where("not kept").select(
+            "doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("repeated")), folder)
     return without(docs, decided, id_col, text_col)

@@ -3,12 +3,12 @@
 A document is some twenty statistics of its whole text. Random cosines of the
 standardised statistics approximate a Gaussian kernel; every task adds up its
 rows' normal equations, and the sums, whose size depends on the number of
-features alone, are added in two levels. The ridge scores of rows set aside are
+features alone, are added in levels, so that the driver gets a few. The ridge scores of rows set aside are
 binned over all partitions, and an isotonic curve over the bins turns scores
 into shares of label 1. All labelled rows take part.
 
 Defined cases: null and empty texts are scored like any text, from zero
-statistics; a document's repeated labels count as their mean, null labels not
+statistics; texts of any length count whole; a document's repeated labels count as their mean, null labels not
 at all; without labels every score is 0.5, and with labels of one kind it is
 that label; repeated rows are kept; an empty table gives no rows; other columns
 are ignored.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import hash_mod, id_text, ready, slices, with_text_scores, work_dir, written
+from feedlens.llm.common import hash_mod, id_text, intermediate_tables, ready, slices, with_text_scores, work_dir, written
 
 #: Random cosines, and the width of the kernel in standard deviations of one statistic.
 COSINES = 384
@@ -153,7 +153,12 @@ def isotonic(bins: list[tuple[float, float, float]]) -> tuple[np.ndarray, np.nda
 
 def fit(rows: DataFrame) -> Model:
     """Model of (x, y, calibrate) rows: y in 0 to 1; rows with ``calibrate`` are for the isotonic curve."""
-    rows = written(rows.select("x", F.col("y").cast("double").alias("y"), "calibrate"), work_dir(rows.sparkSession, "quality"))
+    with intermediate_tables(rows.sparkSession):
+        return _fit(written(rows.select("x", F.col("y").cast("double").alias("y"), "calibrate"),
+                            work_dir(rows.sparkSession, "quality")))
+
+
+def _fit(rows: DataFrame) -> Model:
     d, m = len(STATISTICS), COSINES + 1
 
     def moments(batch):

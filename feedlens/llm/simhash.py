@@ -13,9 +13,9 @@ fingerprints meet if and only if they differ in at most two bits.
 
 Defined cases: null and empty texts, and texts of white space, have fingerprint
 zero and are linked like any other; a text of fewer words than a shingle is one
-shingle; a null doc_id is never a component's smallest id unless it stands
-alone with others of that kind; repeated rows are kept; an empty table gives no
-rows; other columns are ignored.
+shingle; of a text of any length all shingles count; a null doc_id is never a
+component's smallest id unless it stands alone with others of that kind;
+repeated rows are kept; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import BROADCAST_ROWS, SEED, id_text, ready, signed, slices, without, work_dir, written
+from feedlens.llm.common import (BROADCAST_ROWS, SEED, id_text, intermediate_tables, ready, signed, slices, without,
+                                 work_dir, written)
 from feedlens.llm.components import connected_components
 
 #: Fixed value: generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the (23, 12) Golay code.
@@ -147,9 +148,10 @@ def _verify(bits: int):
 def links(distinct: DataFrame, small_key: int = SMALL_KEY) -> DataFrame:
     """Links (a, b) that connect all fingerprints within two bits; ``distinct`` holds each once."""
     spark = distinct.sparkSession
-    keys = distinct.select("fp").mapInArrow(_key_rows, "key bigint, fp bigint")
+    folder = work_dir(spark, "simhash-keys")
+    keys = written(distinct.select("fp").mapInArrow(_key_rows, "key bigint, fp bigint"), f"{folder}/all")
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(keys.join(counts, "key"), work_dir(spark, "simhash-keys"))
+    shared = written(keys.join(counts, "key"), f"{folder}/shared")
     small = (shared.where(F.col("n") <= small_key).groupBy("key").agg(F.collect_list("fp").alias("fps"))
              .mapInArrow(_verify(2), "a bigint, b bigint"))
     flips = [F.lit(0).cast("long"), *(F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(64))]
@@ -167,7 +169,8 @@ def classes(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col:
     folder = work_dir(spark, "simhash")
     table = written(fingerprints(docs, shingle, id_col, text_col), f"{folder}/fingerprints")
     distinct = written(table.groupBy("fp").agg(F.min("doc_id").alias("least_id")), f"{folder}/distinct")
-    found = connected_components(links(distinct, small_key))
+    with intermediate_tables(spark):
+        found = written(connected_components(links(distinct, small_key)), f"{folder}/roots")
     rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -184,6 +187,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component the row with the smallest doc_id (then text hash; null ids last); columns as before."""
     spark = docs.sparkSession
+    folder = work_dir(spark, "simhash-dropped")
+    with intermediate_tables(spark):
+        dropped = written(_others(docs, shingle, id_col, text_col), folder)
+    return without(docs, dropped, id_col, text_col)
+
+
+def _others(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_hash, repeated) of the rows that do not stay; ``repeated`` ones equal a row that does."""
+    spark = docs.sparkSession
     found = written(classes(docs, shingle, id_col, text_col), work_dir(spark, "simhash-classes"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     best = written(found.groupBy("root").agg(F.min(place).alias("best"), F.count("*").alias("n")).where("n > 1"),
@@ -191,6 +203,5 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
     same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
     others = found.join(F.broadcast(best) if best.count() <= BROADCAST_ROWS else best, "root").select("doc_id", "text_hash", same.alias("repeated"))
     kept_once = others.where("repeated").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
-    dropped = others.where("not repeated").unionByName(
+    return others.where("not repeated").unionByName(
         kept_once.select("doc_id", "text_hash", F.lit(True).alias("repeated")))
-    return without(docs, written(dropped, work_dir(spark, "simhash-dropped")), id_col, text_col)

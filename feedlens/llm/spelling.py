@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import BROADCAST_ROWS, id_text, ready, slices, work_dir, written
+from feedlens.llm.common import BROADCAST_ROWS, id_text, intermediate_tables, ready, slices, work_dir, written
 
 #: Letters of a word: ASCII and the upper part of Latin-1.
 LETTERS = "[A-Za-zÀ-ÿ]+"
@@ -269,12 +269,14 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     other columns are ignored, whatever their names.
     """
     folder = work_dir(docs.sparkSession, "spelling")
-    vocab = written(vocabulary(docs, id_col, text_col, min_letters, min_count, typo_every), f"{folder}/vocabulary")
-    judged = vocab.join(near_words(vocab, block), "word", "left")
-    follows = F.col("form_n") >= ratio * F.col("n")
-    judged = written(judged.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
-                                   F.when(follows, F.col("form")).alias("form"),
-                                   F.when(follows, F.col("form_n")).alias("form_n")), f"{folder}/judged")
-    ends = roots(judged.where("form is not null").select("word", "form"))
+    with intermediate_tables(docs.sparkSession):
+        vocab = written(vocabulary(docs, id_col, text_col, min_letters, min_count, typo_every),
+                        work_dir(docs.sparkSession, "vocabulary"))
+        judged = vocab.join(near_words(vocab, block), "word", "left")
+        follows = F.col("form_n") >= ratio * F.col("n")
+        judged = written(judged.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
+                                       F.when(follows, F.col("form")).alias("form"),
+                                       F.when(follows, F.col("form_n")).alias("form_n")), f"{folder}/judged")
+        ends = written(roots(judged.where("form is not null").select("word", "form")), f"{folder}/roots")
     return judged.join(ends, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
