@@ -2,7 +2,13 @@
 
 Every stage is written as Parquet below the shared checkpoint folder and read
 again as the input of the next, so a lost executor costs no more than a stage's
-own tasks. All stages but the last return the columns of ``documents``.
+own tasks; a stage's own intermediate tables, and its input if a stage wrote it,
+are removed then. All stages but the last return the columns of ``documents``.
+
+Defined cases: null, empty and letterless texts go in the first stage; rows with
+a null doc_id stay like any other; of repeated rows one stays; texts of any
+length are read whole; an empty table gives no rows; extra columns pass through
+to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,5 +55,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     folder = common.work_dir(spark, "corpus-pipeline")
     for n, (_, stage) in enumerate(STAGES[:-1]):
-        docs = common.written(stage(spark, docs, sf_dir), f"{folder}/{n}")
+        with common.intermediate_tables(spark):
+            docs = common.written(stage(spark, docs, sf_dir), f"{folder}/{n}")
+        common.removed(spark, f"{folder}/{n - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
